@@ -60,7 +60,7 @@ def export_csv(
     return files
 
 
-def publish_files(spark: SparkSession, staged: str, folder: str, base: str) -> list[str]:
+def publish_files(spark: SparkSession, staged: str, folder: str, base: str, suffix: str = ".csv") -> list[str]:
     """Moves the staged part files to `<folder>/<base>.csv`, or `<base>-00001.csv` and so on.
 
     Files of an earlier run under the same name are replaced.
@@ -69,12 +69,12 @@ def publish_files(spark: SparkSession, staged: str, folder: str, base: str) -> l
     path = jvm.org.apache.hadoop.fs.Path
     fs = path(folder).getFileSystem(spark._jsc.hadoopConfiguration())
     parts = sorted(str(s.getPath()) for s in fs.globStatus(path(f"{staged}/part-*")))
-    names = [f"{base}.csv"] if len(parts) == 1 else [f"{base}-{i:05d}.csv" for i in range(1, len(parts) + 1)]
+    numbers = [""] if len(parts) == 1 else [f"-{i:05d}" for i in range(1, len(parts) + 1)]
     fs.mkdirs(path(folder))
-    for pattern in (f"{base}.csv", f"{base}-[0-9][0-9][0-9][0-9][0-9].csv"):
+    for pattern in (f"{base}{suffix}", f"{base}-[0-9][0-9][0-9][0-9][0-9]{suffix}"):
         for earlier in fs.globStatus(path(f"{folder}/{pattern}")) or []:
             fs.delete(earlier.getPath(), False)
-    targets = [f"{folder}/{name}" for name in names]
+    targets = [f"{folder}/{base}{number}{suffix}" for number in numbers]
     for part, target in zip(parts, targets, strict=True):
         if not fs.rename(path(part), path(target)):
             raise OSError(f"cannot move {part} to {target}")
