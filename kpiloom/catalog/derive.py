@@ -32,6 +32,9 @@ def _texts(fields: dict[str, str]) -> list[Column]:
 
 # ------------------------------------------------------------ form vendor
 
+# Fields that hold more than letters, digits and points, and so need encoding.
+_ENCODED = {"ORDER_H_ACCESS_BROWSER_KBN", "COUPON_ID", "SHIP_SLIP_NO", "ORDER_DATE"}
+
 # Raw field -> Spark expression over `orders`.
 _RAW_ORDER = {
     "ORDER_DISP_NO": "concat(if(o_orderkey % 2 = 0, 'ORDER', 'e'), o_orderkey)",
@@ -113,6 +116,11 @@ def sql_time(timestamp: str) -> str:
     return f"strftime({timestamp}, '%Y-%m-%d %H:%M:%S')"
 
 
+def _join_facts(orders: DataFrame, per_order: DataFrame, how: str = "inner") -> DataFrame:
+    """Both sides grow with the data, so neither is ever broadcast on an estimate."""
+    return orders.join(per_order.hint("merge"), F.col("o_orderkey") == F.col("l_orderkey"), how)
+
+
 def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per (order, line number)."""
     return (
@@ -148,7 +156,10 @@ def raw_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def feed_texts(orders: DataFrame, items: DataFrame) -> DataFrame:
     """URL-encoded records, one per order, as `value`."""
-    pair = lambda name, value: F.concat(name, F.lit("="), F.url_encode(value))
+
+    def pair(name: Column, value: Column, encode: bool) -> Column:
+        return F.concat(name, F.lit("="), F.url_encode(value) if encode else value)
+
     dates = {
         "ORDER_DATE": F.date_format("o_orderdate", "yyyy/MM/dd"),
         "CANCEL_DATE": F.when(
@@ -157,16 +168,16 @@ def feed_texts(orders: DataFrame, items: DataFrame) -> DataFrame:
     }
     head = F.concat_ws(
         "&",
-        *[pair(F.lit(name), F.col(name)) for name in _RAW_ORDER],
-        *[pair(F.lit(name), value) for name, value in dates.items()],
+        *[pair(F.lit(name), F.col(name), name in _ENCODED) for name in _RAW_ORDER],
+        *[pair(F.lit(name), value, name in _ENCODED) for name, value in dates.items()],
         F.lit("FREE_ITEM1=no line"),
     )
     item = F.concat_ws(
         "&",
-        *[pair(F.concat(F.lit(name + "_"), F.col("l_linenumber")), F.col(name)) for name in _RAW_LINE],
+        *[pair(F.concat(F.lit(name + "_"), F.col("l_linenumber")), F.col(name), False) for name in _RAW_LINE],
     )
     per_order = items.select("l_orderkey", item.alias("item")).groupBy("l_orderkey").agg(F.collect_list("item").alias("items"))
-    joined = orders.join(per_order, F.col("o_orderkey") == F.col("l_orderkey"), "left")
+    joined = _join_facts(orders, per_order, "left")
     return joined.select("o_orderkey", F.concat_ws("&", head, F.col("items")).alias("value"))
 
 
@@ -177,7 +188,7 @@ def form_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
 def flat_rows(spark: SparkSession, sf_dir: str, cancel: bool) -> DataFrame:
     """Recovery rows of the form vendor, one per order and line, in file layout."""
     o, l = raw_orders(spark, sf_dir), raw_lines(spark, sf_dir)  # noqa: E741
-    joined = o.drop("ORDER_D_FREE_ITEM31", "ORDER_D_FREE_ITEM35").join(l, F.col("o_orderkey") == F.col("l_orderkey"))
+    joined = _join_facts(o.drop("ORDER_D_FREE_ITEM31", "ORDER_D_FREE_ITEM35"), l)
     at = F.expr("o_orderdate + make_dt_interval(0, o_orderkey % 24, o_orderkey % 60, o_orderkey % 50)")
     at_minute = F.expr("o_orderdate + make_dt_interval(0, o_orderkey % 24, o_orderkey % 60, 0)")
     cancelled = F.when(
@@ -308,9 +319,7 @@ def _struct(fields: dict[str, str], order: list[str]) -> Column:
 
 
 def _order_with_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "orders").join(
-        lines(spark, sf_dir), F.col("o_orderkey") == F.col("l_orderkey")
-    )
+    return _join_facts(table(spark, sf_dir, "orders"), lines(spark, sf_dir))
 
 
 def _page(orders: DataFrame, flow: str) -> DataFrame:
@@ -350,7 +359,7 @@ def sales_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("o_custkey") % 3 == 0,
         F.array(_struct(first, contracts.ORDER_PAYMENT_FIELDS), _struct(second, contracts.ORDER_PAYMENT_FIELDS)),
     ).otherwise(F.array(_struct(first, contracts.ORDER_PAYMENT_FIELDS)))
-    joined = table(spark, sf_dir, "orders").join(per_order, F.col("o_orderkey") == F.col("l_orderkey"), "left")
+    joined = _join_facts(table(spark, sf_dir, "orders"), per_order, "left")
     order = F.struct(
         *[_text(_ENVELOPE_ORDER[name]).alias(name) for name in contracts.ORDER_TEXT_FIELDS],
         F.col("Order_Lines"),

@@ -66,7 +66,7 @@ FROM o JOIN l ON l.l_orderkey = k {_FIRST_TYPE} LEFT JOIN i ON l.barcode = bc WH
 """,
 )
 def feed_line(spark, sf_dir):
-    lines = feed_flow.parse_lines(feed_flow.parse_orders(d.form_feed(spark, sf_dir)))
+    lines = feed_flow.parse_lines(d.form_feed(spark, sf_dir))
     return render(feed_flow.build_line(lines, d.item_map(spark, sf_dir)), "feed", "line")
 
 
@@ -95,7 +95,7 @@ FROM o JOIN l ON l.l_orderkey = k {_FIRST_TYPE} LEFT JOIN i ON l.barcode = bc WH
 """,
 )
 def feed_cancel(spark, sf_dir):
-    lines = feed_flow.parse_lines(feed_flow.parse_orders(d.form_feed(spark, sf_dir)))
+    lines = feed_flow.parse_lines(d.form_feed(spark, sf_dir))
     return render(feed_flow.build_cancel(lines, d.item_map(spark, sf_dir)), "feed", "cancel")
 
 

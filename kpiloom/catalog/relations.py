@@ -118,7 +118,7 @@ def line_cond_agg(spark, sf_dir):
 
 @query("line_in_place", _LINES_SQL)
 def line_in_place(spark, sf_dir):
-    fields = entries.with_fields(d.form_feed(spark, sf_dir)).withColumnRenamed("o_orderkey", "record_id")
+    fields = entries.with_fields(d.form_feed(spark, sf_dir), items=True).withColumnRenamed("o_orderkey", "record_id")
     return entries.explode_items(fields, ["record_id"]).select(
         "record_id", "sequence", *_line_columns(entries.item_field)
     )
@@ -456,12 +456,13 @@ def _event_pages(spark, sf_dir):
         F.lit("/in/"), region, F.lit("-"), F.date_format("ts", "yyyyMMdd"), F.lit("-Sales-"),
         F.minute("ts") + 1, F.lit(".json"),
     )
-    return table(spark, sf_dir, "events").select(
+    envelopes = table(spark, sf_dir, "events").select(
         name.alias(SOURCE_FILE),
         (F.hour("ts") + 1).cast("long").alias("pages"),
         (F.col("value") < 50).alias("success"),
         F.lit(0).cast("long").alias("code"),
     )
+    return pages.landed_pages(envelopes)
 
 
 _PAGES_SQL = """

@@ -21,7 +21,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kpiloom.functions.text import (
-    SEQUENCE_SUFFIX,
     after_first,
     base_name,
     before_first,
@@ -33,6 +32,13 @@ from kpiloom.operators.nested import explode_range
 
 RECORD_ID = "record_id"
 
+# Parts of `&name=value`. The strict form also drops what follows a further `=`.
+VALUE_PART = r"=[^&]*"
+NAME_PART = r"&[^&=]*=?()"
+STRICT_NAME_PART = r"&[^&=]*=?([^&=]*)[^&]*"
+# A whole `&name`, capturing its number suffix if it has one.
+NUMBERED_NAME = r"&(?:[^&]*_(\d+)(?=&|$)|[^&]*)"
+
 # Copies of one line that may be written out by one task.
 COPIES_PER_TASK = 1_000_000
 
@@ -130,27 +136,39 @@ def pivot_lines_conditional(entries: DataFrame, names: Sequence[str]) -> DataFra
 # ----------------------------------------------------------------- in place
 
 
-def with_fields(records: DataFrame, text: str = "value", decode_first: bool = False) -> DataFrame:
+def with_fields(
+    records: DataFrame, text: str = "value", decode_first: bool = False, items: bool = False
+) -> DataFrame:
     """Replaces a record's text by two arrays, `names` and `values`.
 
+    For `explode_items`, ask for `items`: a third array holds the number suffix of
+    each name, or ''.
+
     Values stay encoded until a field is read, as most of them never are; after
     `decode_first` they are plain, and `field` has to be told so.
     """
-    line = form_decode(F.col(text)) if decode_first else F.col(text)
-    split = split_pair_strict if decode_first else split_pair
-    pairs = records.withColumn("__pairs", split_on(line, "&"))
-
-    def name_of(pair: Column) -> Column:
-        name = split(pair)[0]
-        return name if decode_first else form_decode(name)
-
-    fields = F.struct(
-        F.transform("__pairs", name_of).alias("names"),
-        F.transform("__pairs", lambda pair: split(pair)[1]).alias("values"),
+    line = F.concat(F.lit("&"), form_decode(F.col(text)) if decode_first else F.col(text))
+    # Names and values of the whole line by one replacement each. Element 1 of both
+    # arrays stands for the text in front of the first `&` and is empty.
+    cut = records.select(
+        *[c for c in records.columns if c != text],
+        F.regexp_replace(line, VALUE_PART, "").alias("__names"),
+        split_on(F.regexp_replace(line, STRICT_NAME_PART if decode_first else NAME_PART, "&$1"), "&").alias("__values"),
     )
+    # Few feeds encode names at all; one look at them spares a call per name.
+    encoded = F.contains("__names", F.lit("%")) | F.contains("__names", F.lit("+"))
+    plain = split_on(F.col("__names"), "&")
+    names = plain if decode_first else F.when(encoded, F.transform(plain, form_decode)).otherwise(plain)
+    arrays = [names.alias("names"), F.col("__values").alias("values")]
+    if items:
+        suffixes = split_on(F.regexp_replace("__names", NUMBERED_NAME, "&$1"), "&")
+        if not decode_first:
+            each = F.transform(names, lambda name: F.coalesce(seq_suffix(name), F.lit("")))
+            suffixes = F.when(encoded, each).otherwise(suffixes)
+        arrays.append(suffixes.alias("sequences"))
     # As a generator of one row, the arrays are built once per record: a later filter
     # on a field then tests them, where a plain projection would be repeated in it.
-    return pairs.select(*[c for c in records.columns if c != text], F.inline(F.array(fields)))
+    return cut.select(*[c for c in records.columns if c != text], F.inline(F.array(F.struct(*arrays))))
 
 
 def _lookup(name: Column, decoded: bool) -> Column:
@@ -167,23 +185,19 @@ def field(name: str, decoded: bool = False) -> Column:
 def explode_items(fields: DataFrame, carried: Sequence[str]) -> DataFrame:
     """One row per number suffix, with that suffix's entries only.
 
+    `fields` is a frame made by `with_fields(..., items=True)`.
+
     The suffixed entries are sorted by suffix once, and every item is a slice
     between two neighbouring starts: the work grows with the length of the
     record, not with its square, however many items an order has.
     """
-    def entry(name: Column, pos: Column) -> Column:
-        return F.struct(
-            F.regexp_extract(name, SEQUENCE_SUFFIX, 1).alias("sequence"),
-            pos.alias("pos"),
-            name.alias("name"),
-            F.get(F.col("values"), pos).alias("value"),
-        )
-
     def is_start(place: Column) -> Column:
         here, previous = F.get("__entries", place - 1), F.get("__entries", place - 2)
-        return (place == 1) | (here["sequence"] != previous["sequence"])
+        return (place == 1) | (here["sequences"] != previous["sequences"])
 
-    suffixed = F.filter(F.transform("names", entry), lambda e: e["sequence"] != F.lit(""))
+    positions = F.sequence(F.lit(1), F.size("names")).alias("pos")
+    entry = F.arrays_zip(F.col("sequences"), positions, F.col("names"), F.col("values"))
+    suffixed = F.filter(entry, lambda e: e["sequences"] != F.lit(""))
     sorted_entries = fields.select(*carried, F.sort_array(suffixed).alias("__entries"))
     places = F.when(F.size("__entries") > 0, F.sequence(F.lit(1), F.size("__entries")))
     starts = sorted_entries.withColumn("__starts", F.filter(places, is_start))
@@ -202,9 +216,9 @@ def explode_items(fields: DataFrame, carried: Sequence[str]) -> DataFrame:
     )
     return items.select(
         *carried,
-        F.get("__item", F.lit(0))["sequence"].alias("sequence"),
-        F.col("__item.name").alias("names"),
-        F.col("__item.value").alias("values"),
+        F.get("__item", F.lit(0))["sequences"].alias("sequence"),
+        F.col("__item.names").alias("names"),
+        F.col("__item.values").alias("values"),
     )
 
 

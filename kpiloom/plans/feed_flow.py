@@ -25,16 +25,21 @@ _CARRIED = [
 ]
 
 
-def parse_orders(feed: DataFrame, text_column: str = "value", decode_first: bool = False) -> DataFrame:
-    """One row per record: the wide header and the record's fields."""
-    fields = entries.with_fields(feed.select(text_column), text_column, decode_first)
+def _fields_and_header(feed: DataFrame, text_column: str, decode_first: bool, items: bool) -> DataFrame:
+    fields = entries.with_fields(feed.select(text_column), text_column, decode_first, items)
     header = wide_header(FEED, lambda name: entries.field(name, decode_first))
-    return fields.select("names", "values", *[c.alias(name) for name, c in header.items()])
+    return fields.select("*", *[c.alias(name) for name, c in header.items()])
+
+
+def parse_orders(feed: DataFrame, text_column: str = "value", decode_first: bool = False) -> DataFrame:
+    """One row per record: the wide header."""
+    return _fields_and_header(feed, text_column, decode_first, False).drop("names", "values")
 
 
-def parse_lines(orders: DataFrame, decode_first: bool = False) -> DataFrame:
-    """One row per item of an order, with the order's columns."""
-    items = entries.explode_items(orders, _CARRIED)
+def parse_lines(feed: DataFrame, text_column: str = "value", decode_first: bool = False) -> DataFrame:
+    """One row per item of a record, with the order's columns."""
+    records = _fields_and_header(feed, text_column, decode_first, True)
+    items = entries.explode_items(records, _CARRIED)
 
     def raw(name: str):
         return entries.item_field(name, decode_first)
@@ -115,9 +120,8 @@ def feed_facts(feed: DataFrame, tender_map: DataFrame, items: DataFrame) -> dict
     Landed are the typed columns only. Landing the parsed text as well, to save the
     second pass, would write and read the whole feed once more.
     """
-    parsed = parse_orders(feed)
-    orders = land(parsed.drop("names", "values"), "feed-orders")
-    lines = land(parse_lines(parsed), "feed-lines")
+    orders = land(parse_orders(feed), "feed-orders")
+    lines = land(parse_lines(feed), "feed-lines")
     return {
         "header": build_header(orders),
         "line": build_line(lines, items),

@@ -14,6 +14,7 @@ from kpiloom.operators.joins import cancel_match, with_item
 from kpiloom.operators.relational import order_total, split_cancelled
 from kpiloom.plans.facts import to_cancel, to_header, to_line, to_payment
 from kpiloom.plans.wide import FLAT_CANCEL, FLAT_SALES, Profile, wide_header
+from kpiloom.session import land
 
 _LINE_OF_CANCEL = [
     "Item_Seq_Number", "Barcode", "Demand_Sales_Unit", "Cancel_Line_Total", "Cancel_Discount_Amount",
@@ -118,3 +119,18 @@ def build_cancel(rows: DataFrame, items: DataFrame) -> DataFrame:
         Currency=F.col("Demand_Currency"),
         Webstore=F.col("Country"),
     )
+
+
+def sales_facts(rows: DataFrame, tender_map: DataFrame, items: DataFrame) -> dict[str, DataFrame]:
+    """Header, line and payment from one read of the files."""
+    landed = land(rows, "flat-sales")
+    return {
+        "header": build_header(landed),
+        "line": build_line(landed, items),
+        "payment": build_payment(landed, tender_map),
+    }
+
+
+def cancel_facts(rows: DataFrame, items: DataFrame) -> dict[str, DataFrame]:
+    """Cancellations from one read of the files; the plan uses the rows three times."""
+    return {"cancel": build_cancel(land(rows, "flat-cancel"), items)}

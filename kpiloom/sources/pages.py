@@ -14,7 +14,10 @@ DOWNLOAD = ["region", "business_date", "flow"]
 
 
 def landed_pages(envelopes: DataFrame) -> DataFrame:
-    """One row per landed page: its place from the file name, its answer from the document."""
+    """One row per landed page: its place from the file name, its answer from the document.
+
+    Land this frame before taking both reports of it: it is small, its source is not.
+    """
     part = lambda i: F.regexp_extract(SOURCE_FILE, PAGE_NAME, i)
     return envelopes.select(
         part(1).alias("region"),
@@ -32,20 +35,18 @@ def _expected(landed: DataFrame) -> DataFrame:
     return landed.groupBy(*DOWNLOAD).agg(F.coalesce(F.max("pages"), F.lit(1)).alias("expected_pages"))
 
 
-def missing_pages(envelopes: DataFrame) -> DataFrame:
+def missing_pages(landed: DataFrame) -> DataFrame:
     """One row per page that a download announces and that has not landed."""
-    landed = landed_pages(envelopes)
     announced = explode_range(_expected(landed), F.lit(1), F.col("expected_pages"), "page")
     return announced.join(landed.select(*DOWNLOAD, "page"), [*DOWNLOAD, "page"], "left_anti").select(*DOWNLOAD, "page")
 
 
-def audit_pages(envelopes: DataFrame, ok_code: int | None = None) -> DataFrame:
+def audit_pages(landed: DataFrame, ok_code: int | None = None) -> DataFrame:
     """Per download: pages announced, landed, missing, and pages with a failed answer.
 
     Pages are counted as rows of a two-step aggregate; a download's page numbers are
     never gathered in one place.
     """
-    landed = landed_pages(envelopes)
     failed = ~F.coalesce(F.col("success"), F.lit(False))
     if ok_code is not None:
         failed = failed | ~F.coalesce(F.col("code") == F.lit(ok_code), F.lit(False))
@@ -57,7 +58,7 @@ def audit_pages(envelopes: DataFrame, ok_code: int | None = None) -> DataFrame:
         F.count(F.lit(1)).alias("landed_pages"),
         F.sum("failed").alias("failed_pages"),
     )
-    missing = missing_pages(envelopes).groupBy(*DOWNLOAD).agg(F.count(F.lit(1)).alias("missing"))
+    missing = missing_pages(landed).groupBy(*DOWNLOAD).agg(F.count(F.lit(1)).alias("missing"))
     return totals.join(missing, DOWNLOAD, "left").select(
         *DOWNLOAD,
         "expected_pages",
