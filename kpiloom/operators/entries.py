@@ -96,7 +96,8 @@ def record_entries(records: DataFrame, text: str = "value", decode_first: bool =
     whole line, splits then, and cuts a value at a further `=`.
     """
     line = form_decode(F.col(text)) if decode_first else F.col(text)
-    pairs = records.select(RECORD_ID, F.posexplode(split_on(line, "&")).alias("pos", "pair"))
+    # A line that cannot be decoded stays a record, with no entry to read.
+    pairs = records.select(RECORD_ID, F.posexplode_outer(split_on(line, "&")).alias("pos", "pair"))
     if decode_first:
         name, value = split_pair_strict(F.col("pair"))
     else:
