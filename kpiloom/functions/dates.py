@@ -40,8 +40,14 @@ def file_date(path: Column) -> Column:
     return F.try_to_timestamp(digits, F.lit("yyyyMMdd")).cast("date")
 
 
+def local_time(value: datetime | str) -> Column:
+    """A time without zone, as it reads; the zone of the Python process plays no part."""
+    return F.lit(str(value)).cast("timestamp_ntz")
+
+
 def ingestion_ts(now: datetime | str | None = None) -> Column:
-    return F.current_timestamp() if now is None else F.lit(now).cast("timestamp")
+    """Time of the load, or a given local time in the zone of the session."""
+    return F.current_timestamp() if now is None else local_time(now).cast("timestamp")
 
 
 def request_window(
@@ -68,6 +74,7 @@ def request_window(
     return lo, hi
 
 
-def in_window(c: Column, lo: object, hi: object) -> Column:
+def in_window(c: Column, lo: datetime | Column, hi: datetime | Column) -> Column:
     """Half-open range test, so that windows in a row neither overlap nor leave a gap."""
-    return (c >= F.lit(lo)) & (c < F.lit(hi))
+    first, stop = (bound if isinstance(bound, Column) else local_time(bound) for bound in (lo, hi))
+    return (c >= first) & (c < stop)
