@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 
 from kpiloom import contracts
 from kpiloom.operators.relational import business_date
-from kpiloom.session import land
+from kpiloom.session import file_system, landed, remove_folder
 
 ROWS_PER_FILE = 5_000_000
 
@@ -65,9 +65,7 @@ def publish_files(spark: SparkSession, staged: str, folder: str, base: str, suff
 
     Files of an earlier run under the same name are replaced.
     """
-    jvm = spark._jvm
-    path = jvm.org.apache.hadoop.fs.Path
-    fs = path(folder).getFileSystem(spark._jsc.hadoopConfiguration())
+    fs, path = file_system(spark, folder)
     parts = sorted(str(s.getPath()) for s in fs.globStatus(path(f"{staged}/part-*")))
     numbers = [""] if len(parts) == 1 else [f"-{i:05d}" for i in range(1, len(parts) + 1)]
     fs.mkdirs(path(folder))
@@ -78,7 +76,7 @@ def publish_files(spark: SparkSession, staged: str, folder: str, base: str, suff
     for part, target in zip(parts, targets, strict=True):
         if not fs.rename(path(part), path(target)):
             raise OSError(f"cannot move {part} to {target}")
-    fs.delete(path(staged), True)
+    remove_folder(spark, staged)
     return targets
 
 
@@ -105,12 +103,12 @@ def publish(
     The date is `on_date`, else the earliest order date (status date of
     cancellations) of the fact, else `fallback`.
     """
-    landed = land(df, f"export-{fact}")
-    day = on_date or business_date(landed, contracts.BUSINESS_DATE_COLUMN[fact]) or fallback
-    if day is None:
-        raise ValueError(f"no business date for {fact}")
-    base = f"{prefix}_{region}_{contracts.FILE_WORD[fact]}-{day:%Y%m%d}"
-    return _write(landed, root, fact, base, **options)
+    with landed(df, f"export-{fact}") as rows:
+        day = on_date or business_date(rows, contracts.BUSINESS_DATE_COLUMN[fact]) or fallback
+        if day is None:
+            raise ValueError(f"no business date for {fact}")
+        base = f"{prefix}_{region}_{contracts.FILE_WORD[fact]}-{day:%Y%m%d}"
+        return _write(rows, root, fact, base, **options)
 
 
 def publish_window(
@@ -118,4 +116,5 @@ def publish_window(
 ) -> list[str]:
     """Export of a history slice `<prefix>_<region>_<Fact>_<start>_<end>.csv`."""
     base = f"{prefix}_{region}_{contracts.FILE_WORD[fact]}_{start:%Y%m%d}_{end:%Y%m%d}"
-    return _write(land(df, f"export-{fact}"), root, fact, base, **options)
+    with landed(df, f"export-{fact}") as rows:
+        return _write(rows, root, fact, base, **options)

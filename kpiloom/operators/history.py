@@ -12,7 +12,6 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import date, datetime
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -20,6 +19,7 @@ from pyspark.sql import types as T
 from kpiloom.functions.dates import in_window, ingestion_ts
 from kpiloom.operators.joins import not_in_history
 from kpiloom.operators.quality import split_valid
+from kpiloom.session import folder_exists
 
 STAMP = "ingestion_timestamp"
 PARTITION = "ingestion_date"
@@ -43,14 +43,22 @@ def table_schema(fact_schema: T.StructType) -> T.StructType:
 
 def ensure_table(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet") -> None:
     """Creates the table, empty, unless its folder exists."""
-    try:
-        spark.read.format(fmt).schema(schema).load(path)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
+    if not folder_exists(spark, path):
         append(spark.createDataFrame([], schema), path, fmt)
 
 
+def register_table(spark: SparkSession, name: str, path: str, schema: T.StructType, fmt: str = "parquet") -> None:
+    """Makes the table known to the session's catalog, for SQL users.
+
+    With a metastore behind it, a query on few days then lists those days only.
+    """
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
+    spark.sql(
+        f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING {fmt} PARTITIONED BY ({PARTITION}) LOCATION '{path}'"
+    )
+    spark.catalog.recoverPartitions(name)
+
+
 def read_table(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet") -> DataFrame:
     return spark.read.format(fmt).schema(schema).load(path)
 
@@ -62,7 +70,8 @@ def append(df: DataFrame, path: str, fmt: str = "parquet") -> None:
 def near_batch(history: DataFrame, batch: DataFrame, date_key: str) -> DataFrame:
     """History rows whose date lies in the batch's date range, the only ones a key can equal.
 
-    The bounds are two values; the filter reaches the scan and skips row groups.
+    The bounds are two values; the filter reaches the scan and skips row groups, which
+    are written in date order.
     """
     lo, hi = batch.agg(F.min(date_key), F.max(date_key)).first()
     return history.filter(F.lit(False) if lo is None else F.col(date_key).between(lo, hi))
@@ -75,25 +84,26 @@ def one_per_key(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return best.select(*[F.col(c) if c in keys else F.col(f"__best.{c}").alias(c) for c in df.columns])
 
 
-def append_new(batch: DataFrame, path: str, keys: Sequence[str], date_key: str, fmt: str = "parquet") -> None:
+def append_new(
+    batch: DataFrame, history: DataFrame, path: str, keys: Sequence[str], date_key: str, fmt: str = "parquet"
+) -> None:
     """Insert-if-absent: appends the valid rows whose key the history does not have."""
-    valid = split_valid(batch)[0]
-    history = read_table(batch.sparkSession, path, batch.schema, fmt)
-    append(not_in_history(valid, near_batch(history, valid, date_key), keys), path, fmt)
+    fresh = not_in_history(split_valid(batch)[0], near_batch(history, batch, date_key), keys)
+    append(fresh.sortWithinPartitions(date_key), path, fmt)
 
 
-def upsert(batch: DataFrame, path: str, keys: Sequence[str], fmt: str = "parquet") -> None:
+def upsert(batch: DataFrame, path: str, keys: Sequence[str], date_key: str, fmt: str = "parquet") -> None:
     """Appends one valid row per key, as the key's first or next version."""
-    append(one_per_key(split_valid(batch)[0], keys), path, fmt)
+    append(one_per_key(split_valid(batch)[0], keys).sortWithinPartitions(date_key), path, fmt)
 
 
 def quarantine(
-    batch: DataFrame, error_path: str, history_path: str, keys: Sequence[str], date_key: str, fmt: str = "parquet"
+    batch: DataFrame, history: DataFrame, path: str, keys: Sequence[str], date_key: str, fmt: str = "parquet"
 ) -> None:
-    """Appends the invalid rows whose key the history does not have to the error table."""
-    invalid = split_valid(batch)[1]
-    history = read_table(batch.sparkSession, history_path, batch.schema, fmt)
-    append(not_in_history(invalid, near_batch(history, invalid, date_key), keys), error_path, fmt)
+    """Appends the invalid rows whose key is neither in the history nor valid in the batch itself."""
+    valid, invalid = split_valid(batch)
+    known = near_batch(history, batch, date_key).select(*keys).unionByName(valid.select(*keys))
+    append(not_in_history(invalid, known, keys), path, fmt)
 
 
 def current(history: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -82,9 +82,9 @@ def build_cancel(orders: DataFrame, tender_map: DataFrame) -> DataFrame:
     return to_cancel(labelled, **columns)
 
 
-def sales_facts(envelopes: DataFrame, tender_map: DataFrame) -> dict[str, DataFrame]:
-    """Header, line and payment from one parse of the pages."""
-    orders = land(nested.explode_orders(envelopes), "envelope-orders")
+def sales_facts(envelopes: DataFrame, tender_map: DataFrame, folder: str) -> dict[str, DataFrame]:
+    """Header, line and payment from one parse of the pages, landed in `folder`."""
+    orders = land(nested.explode_orders(envelopes), folder)
     return {
         "header": build_header(orders),
         "line": build_line(orders),

@@ -114,14 +114,14 @@ def build_cancel(lines: DataFrame, items: DataFrame) -> DataFrame:
     )
 
 
-def feed_facts(feed: DataFrame, tender_map: DataFrame, items: DataFrame) -> dict[str, DataFrame]:
+def feed_facts(feed: DataFrame, tender_map: DataFrame, items: DataFrame, folder: str) -> dict[str, DataFrame]:
     """All four facts from two passes over the feed, one for orders and one for items.
 
-    Landed are the typed columns only. Landing the parsed text as well, to save the
+    Landed below `folder`, a work folder, are the typed columns only. Landing the parsed text as well, to save the
     second pass, would write and read the whole feed once more.
     """
-    orders = land(parse_orders(feed), "feed-orders")
-    lines = land(parse_lines(feed), "feed-lines")
+    orders = land(parse_orders(feed), f"{folder}/orders")
+    lines = land(parse_lines(feed), f"{folder}/lines")
     return {
         "header": build_header(orders),
         "line": build_line(lines, items),

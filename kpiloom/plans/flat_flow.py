@@ -121,9 +121,9 @@ def build_cancel(rows: DataFrame, items: DataFrame) -> DataFrame:
     )
 
 
-def sales_facts(rows: DataFrame, tender_map: DataFrame, items: DataFrame) -> dict[str, DataFrame]:
-    """Header, line and payment from one read of the files."""
-    landed = land(rows, "flat-sales")
+def sales_facts(rows: DataFrame, tender_map: DataFrame, items: DataFrame, folder: str) -> dict[str, DataFrame]:
+    """Header, line and payment from one read of the files, landed in `folder`."""
+    landed = land(rows, folder)
     return {
         "header": build_header(landed),
         "line": build_line(landed, items),
@@ -131,6 +131,6 @@ def sales_facts(rows: DataFrame, tender_map: DataFrame, items: DataFrame) -> dic
     }
 
 
-def cancel_facts(rows: DataFrame, items: DataFrame) -> dict[str, DataFrame]:
-    """Cancellations from one read of the files; the plan uses the rows three times."""
-    return {"cancel": build_cancel(land(rows, "flat-cancel"), items)}
+def cancel_facts(rows: DataFrame, items: DataFrame, folder: str) -> dict[str, DataFrame]:
+    """Cancellations from one read of the files; the plan uses the landed rows three times."""
+    return {"cancel": build_cancel(land(rows, folder), items)}

@@ -13,7 +13,7 @@ from kpiloom.operators import history
 from kpiloom.operators.export import publish_window
 from kpiloom.operators.quality import check_mandatory
 from kpiloom.plans.render import render
-from kpiloom.session import land
+from kpiloom.session import landed
 
 DATE_KEY = "Order_Date"
 
@@ -30,20 +30,22 @@ def load_fact(
     """Checks, stamps and loads one fact.
 
     `deduplicate` inserts new keys only; otherwise known keys are updated. The
-    batch is landed first: it is read three times, and its stamp must be one.
+    batch is landed first: it is read several times, and its stamp must be one.
     """
     keys = keys or contracts.PRIMARY_KEYS[fact]
     checked = history.with_stamp(check_mandatory(df, contracts.MANDATORY[fact]), now)
-    batch = land(checked, f"load-{fact}")
-    spark = batch.sparkSession
+    spark = df.sparkSession
     kept, faulty = (history.table_path(root, fact, kind) for kind in ("history", "error"))
-    for path in (kept, faulty):
-        history.ensure_table(spark, path, batch.schema, fmt)
-    if deduplicate:
-        history.append_new(batch, kept, keys, DATE_KEY, fmt)
-    else:
-        history.upsert(batch, kept, keys, fmt)
-    history.quarantine(batch, faulty, kept, keys, DATE_KEY, fmt)
+    with landed(checked, f"load-{fact}") as batch:
+        for path in (kept, faulty):
+            history.ensure_table(spark, path, batch.schema, fmt)
+        # Listed once, before the load: both steps compare with the state up to here.
+        known = history.read_table(spark, kept, batch.schema, fmt)
+        if deduplicate:
+            history.append_new(batch, known, kept, keys, DATE_KEY, fmt)
+        else:
+            history.upsert(batch, kept, keys, DATE_KEY, fmt)
+        history.quarantine(batch, known, faulty, keys, DATE_KEY, fmt)
 
 
 def load_history(

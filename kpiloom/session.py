@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -44,12 +46,40 @@ def work_folder(spark: SparkSession, purpose: str) -> str:
     return f"{shared_folder(spark)}/{purpose}-{uuid.uuid4().hex}"
 
 
-def land(df: DataFrame, purpose: str) -> DataFrame:
+def land(df: DataFrame, folder: str) -> DataFrame:
     """Write a frame as Parquet once and read it back.
 
     Several outputs of one feed then share a single parse, read only the columns
-    they need, and survive the loss of executors.
+    they need, and survive the loss of executors. `folder` is new, from
+    `work_folder`; whoever named it removes it once the outputs are written.
     """
-    path = work_folder(df.sparkSession, purpose)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
+
+
+def file_system(spark: SparkSession, path: str):
+    """Hadoop file system of a path, and the constructor of its paths."""
+    to_path = spark._jvm.org.apache.hadoop.fs.Path
+    return to_path(path).getFileSystem(spark._jsc.hadoopConfiguration()), to_path
+
+
+def folder_exists(spark: SparkSession, folder: str) -> bool:
+    fs, to_path = file_system(spark, folder)
+    return fs.exists(to_path(folder))
+
+
+def remove_folder(spark: SparkSession, folder: str) -> None:
+    """Removes a work folder and what is in it."""
+    fs, to_path = file_system(spark, folder)
+    fs.delete(to_path(folder), True)
+
+
+@contextmanager
+def landed(df: DataFrame, purpose: str) -> Iterator[DataFrame]:
+    """The landed frame, for as long as the block takes."""
+    spark = df.sparkSession
+    folder = work_folder(spark, purpose)
+    try:
+        yield land(df, folder)
+    finally:
+        remove_folder(spark, folder)

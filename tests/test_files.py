@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from kpiloom import contracts
 from kpiloom.operators import export, nested
 from kpiloom.plans import envelope_flow
-from kpiloom.session import land, shared_folder
+from kpiloom.session import folder_exists, landed, shared_folder, work_folder
 from kpiloom.sources import readers
 from kpiloom.streaming.ingest import FLOW_SOURCES, ingest_inbound
 
@@ -46,7 +46,7 @@ def test_pretty_printed_pages(spark, tmp_path):
     assert (header.Order_Date, header.Demand_Net, header.Employee_ID, header.Tax) == ("2024-05-01 10:00:00", 12.5, None, None)
     assert sorted(r.Gift_IND for r in envelope_flow.build_line(orders).collect()) == [0, 1]
     tender = spark.createDataFrame([("CN", "a", "Card")], contracts.TENDER_BY_COUNTRY)
-    facts = envelope_flow.sales_facts(envelopes, tender)
+    facts = envelope_flow.sales_facts(envelopes, tender, work_folder(spark, "test"))
     assert sorted((r.Tender, r.Tender_Amt) for r in facts["payment"].collect()) == [("Card", 0.0), ("OTHER", 3.0)]
     assert facts["header"].count() == 1
 
@@ -139,8 +139,11 @@ def test_publish_names_and_reruns(spark, tmp_path):
 
 
 def test_landing_uses_the_folder_of_the_cluster(spark):
-    frame = land(spark.range(3), "landing-test")
-    assert shared_folder(spark) in frame.inputFiles()[0]
+    with landed(spark.range(3), "landing-test") as frame:
+        (folder,) = {str(Path(f).parent) for f in frame.inputFiles()}
+        assert shared_folder(spark) in folder
+        assert frame.count() == 3
+    assert not folder_exists(spark, folder)
     assert shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from kpiloom import contracts
 from kpiloom.plans import conformed_flow, envelope_flow, feed_flow, flat_flow
 from kpiloom.plans.render import RULES, render
+from kpiloom.session import work_folder
 
 
 @pytest.fixture(scope="module")
@@ -88,8 +89,8 @@ def test_feed_cancel(feed, items):
     assert {key: row[key] for key in expected} == expected
 
 
-def test_feed_facts_land_once(feed, tender, items):
-    facts = feed_flow.feed_facts(feed, tender, items)
+def test_feed_facts_land_once(spark, feed, tender, items):
+    facts = feed_flow.feed_facts(feed, tender, items, work_folder(spark, "test"))
     assert {fact: df.count() for fact, df in facts.items()} == {"header": 3, "line": 4, "payment": 3, "cancel": 1}
 
 
@@ -118,7 +119,7 @@ def flat(spark, schema, *changes):
 
 def test_flat_sales(spark, tender, items):
     rows = flat(spark, contracts.FLAT_SALES, {"ORDER_DATE": "2024/05/01 9:5:3"}, {"ORDER_DATE": "bad", "DAIBIKI": ""})
-    facts = flat_flow.sales_facts(rows, tender, items)
+    facts = flat_flow.sales_facts(rows, tender, items, work_folder(spark, "test"))
     header = {r.Order_Date: r for r in facts["header"].collect()}
     assert facts["header"].columns == contracts.HEADER_COLUMNS + contracts.HEADER_CHARGE_COLUMNS
     good, bad = header["2024-05-01 09:05:03"], header[None]
@@ -144,7 +145,7 @@ def test_flat_cancel(spark, items):
         cancelled | {"ORDER_DISP_NO": "e7"},
         cancelled | {"ORDER_DISP_NO": "e7"},
     )
-    facts = flat_flow.cancel_facts(rows, items)["cancel"]
+    facts = flat_flow.cancel_facts(rows, items, work_folder(spark, "test"))["cancel"]
     printed = render(facts, "flat", "cancel")
     got = sorted(tuple(r) for r in printed.select(
         "Weborder_Id", F.coalesce("Line", F.lit(-1)), "Upc", "APAC_style", "Order_Demand_Amt", "Line_Qty", "Line_Sub_Total", "Disc_Promo"

@@ -154,3 +154,14 @@ def test_hot_key_partition_is_split(spark):
     finally:
         for key, value in before.items():
             spark.conf.set(key, value)
+
+
+def test_registered_table(spark, root):
+    load(payment(spark, ("1", "2024-04-01 00:00:00", 1.0)), root, DAY1)
+    load(payment(spark, ("2", "2024-04-01 00:00:00", 2.0)), root, DAY2)
+    schema = history.table_schema(history_flow.checked_schema(payment(spark).schema))
+    for _ in range(2):
+        history.register_table(spark, "payment_history", history.table_path(root, "payment", "history"), schema)
+    found = spark.sql("SELECT Transaction_Nbr FROM payment_history WHERE ingestion_date = DATE '2024-05-02'").collect()
+    spark.sql("DROP TABLE payment_history")
+    assert [r.Transaction_Nbr for r in found] == ["2"]
