@@ -114,9 +114,13 @@ def current(history: DataFrame, keys: Sequence[str]) -> DataFrame:
     """
     loads = history.groupBy(*keys).agg(F.max(STAMP).alias("__last"), F.min(STAMP).alias("__first"))
     replaced = loads.filter(F.col("__first") < F.col("__last")).drop("__first")
-    old, new = history.alias("old"), replaced.alias("new")
-    match = [F.col(f"old.{key}") == F.col(f"new.{key}") for key in keys]
-    return old.join(new, [*match, F.col(f"old.{STAMP}") < F.col("new.__last")], "left_anti")
+    # The hash adds nothing to the match, but keeps the join from reusing the shuffle
+    # of the aggregate: AQE splits a hot key's partition only where both sides of the
+    # join come straight from a shuffle of the join itself.
+    digest = F.xxhash64(*keys).alias("__hash")
+    old, new = history.select("*", digest).alias("old"), replaced.select("*", digest).alias("new")
+    match = [F.col(f"old.{key}") == F.col(f"new.{key}") for key in [*keys, "__hash"]]
+    return old.join(new, [*match, F.col(f"old.{STAMP}") < F.col("new.__last")], "left_anti").drop("__hash")
 
 
 def window_slice(history: DataFrame, keys: Sequence[str], start: date, end: date) -> DataFrame:

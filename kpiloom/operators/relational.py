@@ -42,7 +42,7 @@ def order_total(df: DataFrame, key: str, amount: Column, name: str) -> DataFrame
     """Adds the sum of `amount` over all rows of the same key.
 
     The sum is taken per key before any row moves and joined back, so no task
-    ever holds all rows of a key. NULL keys form one group.
+    ever holds all rows of a key: the join splits a hot key. NULL keys form one group.
     """
     totals = df.groupBy(F.col(key).alias("__key")).agg(F.sum(amount).alias(name))
     return df.join(totals, F.col(key).eqNullSafe(F.col("__key")), "left").drop("__key")

@@ -129,33 +129,6 @@ def test_one_per_key(spark):
     assert sorted(map(tuple, history.one_per_key(df, ["k"]).collect()), key=str) == [("a", 2, "w"), (None, 1, "n")]
 
 
-def test_hot_key_partition_is_split(spark):
-    """With one key holding most rows, AQE splits its partition in the join with the history."""
-    settings = {
-        "spark.sql.autoBroadcastJoinThreshold": "-1",
-        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "100KB",
-        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "100KB",
-    }
-    before = {key: spark.conf.get(key) for key in settings}
-    for key, value in settings.items():
-        spark.conf.set(key, value)
-    try:
-        ids = spark.range(0, 120_000, 1, 8)
-        key = F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.sha2(F.col("id").cast("string"), 256))
-        batch = ids.select(key.alias("k"), F.sha2(F.col("id").cast("string"), 512).alias("payload"))
-        known = ids.select(F.sha2(F.col("id").cast("string"), 256).alias("k"))
-        fresh = history.not_in_history(batch, known, ["k"])
-        fresh.write.format("noop").mode("overwrite").save()
-        counted = fresh.select("k", "payload").collect()
-        assert len(counted) == 40_000
-        fresh.collect()
-        assert "skew=true" in fresh._jdf.queryExecution().executedPlan().toString()
-    finally:
-        for key, value in before.items():
-            spark.conf.set(key, value)
-
-
 def test_registered_table(spark, root):
     load(payment(spark, ("1", "2024-04-01 00:00:00", 1.0)), root, DAY1)
     load(payment(spark, ("2", "2024-04-01 00:00:00", 2.0)), root, DAY2)
