@@ -21,13 +21,17 @@ _WIDGET_TIME = "%Y-%m-%d %H:%M:%S"
 
 
 def norm_ts(c: Column, pattern: str) -> Column:
-    """Text in `pattern` -> text `yyyy-MM-dd HH:mm:ss`, unparsable -> NULL."""
+    """Text in `pattern` -> text `yyyy-MM-dd HH:mm:ss`, unparsable -> NULL.
+
+    Read and printed in the zone of the session, which should be one without
+    daylight saving (see session.py): it has every local time once.
+    """
     return F.date_format(F.try_to_timestamp(c, F.lit(pattern)), OUTPUT_TIME)
 
 
 def norm_iso(c: Column) -> Column:
     """ISO text -> text `yyyy-MM-dd HH:mm:ss`, without any zone shift."""
-    return F.date_format(c.try_cast("timestamp_ntz"), OUTPUT_TIME)
+    return F.left(c.try_cast("timestamp_ntz").cast("string"), F.lit(len("yyyy-MM-dd HH:mm:ss")))
 
 
 def parse_output_time(c: Column) -> Column:

@@ -7,9 +7,11 @@ only joins are the ones with the tender and item dimensions.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from kpiloom import contracts
 from kpiloom.functions import measures, text
 from kpiloom.operators import entries
 from kpiloom.operators.joins import with_item
@@ -128,3 +130,16 @@ def feed_facts(feed: DataFrame, tender_map: DataFrame, items: DataFrame, folder:
         "payment": build_payment(orders, tender_map),
         "cancel": build_cancel(lines, items),
     }
+
+
+def fact_schemas(spark: SparkSession) -> dict[str, T.StructType]:
+    """Columns and types of the four facts, as the history tables hold them."""
+    feed = spark.createDataFrame([], "value string")
+    orders, lines = parse_orders(feed), parse_lines(feed)
+    items = spark.createDataFrame([], contracts.ITEM)
+    return {
+        "header": build_header(orders).schema,
+        "line": build_line(lines, items).schema,
+        "payment": build_payment(orders, spark.createDataFrame([], contracts.TENDER)).schema,
+        "cancel": build_cancel(lines, items).schema,
+    }

@@ -29,16 +29,23 @@ def build_session(app_name: str = "kpiloom", **conf: str) -> SparkSession:
     return builder.getOrCreate()
 
 
+_test_folders: dict[str, str] = {}
+
+
 def shared_folder(spark: SparkSession) -> str:
     """Folder that every executor can reach, as named by the cluster.
 
-    Only a session that names none (a unit test) gets a new local folder.
+    Only a local session that names none (a unit test) gets a new local folder.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        folder = tempfile.mkdtemp(prefix="run-", dir="/tmp")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return folder.rstrip("/")
+    if folder:
+        return folder.rstrip("/")
+    context = spark.sparkContext
+    if not context.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+    if context.applicationId not in _test_folders:
+        _test_folders[context.applicationId] = tempfile.mkdtemp(prefix="run-", dir="/tmp")
+    return _test_folders[context.applicationId]
 
 
 def work_folder(spark: SparkSession, purpose: str) -> str:

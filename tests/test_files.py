@@ -2,6 +2,7 @@ import json
 from datetime import date, datetime
 from decimal import Decimal
 from pathlib import Path
+from types import SimpleNamespace
 
 import pytest
 from pyspark.errors import PySparkException
@@ -206,3 +207,16 @@ def test_nothing_is_written_next_to_the_source(spark, tmp_path):
     df = spark.createDataFrame([("a",)], "s string").select(F.upper("s").alias("s"))
     export.export_csv(df, f"{tmp_path}/x/out")
     assert [p.name for p in tmp_path.iterdir()] == ["x"]
+
+
+def test_without_a_named_folder_only_a_local_session_gets_one():
+    class Named:
+        def __init__(self, master):
+            self.conf = {}
+            self.sparkContext = SimpleNamespace(master=master, applicationId=f"app-{master}")
+
+    local = Named("local[2]")
+    assert shared_folder(local) == shared_folder(local)
+    assert Path(shared_folder(local)).is_dir()
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_folder(Named("yarn"))
