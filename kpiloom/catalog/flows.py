@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from kpiloom.catalog import derive as d
 from kpiloom.catalog.registry import query
+from kpiloom.operators.nested import explode_orders
 from kpiloom.plans import conformed_flow, envelope_flow, feed_flow, flat_flow
 from kpiloom.plans.render import render
-from kpiloom.operators.nested import explode_orders
 
 # ------------------------------------------------------------- form feed
 
@@ -277,6 +279,22 @@ def json_cancel(spark, sf_dir):
     return render(cancelled, "envelope", "cancel")
 
 
+@query(
+    "envelope_day",
+    "SELECT CAST(min(o_orderdate) AS DATE) AS sales_day, "
+    "CAST(min(CASE WHEN o_orderstatus = 'P' AND o_orderkey IN (SELECT l_orderkey FROM lineitem) THEN o_orderdate END) "
+    "+ INTERVAL 3 DAY AS DATE) AS cancel_day, DATE '2024-05-01' AS file_day FROM orders",
+)
+def envelope_day(spark, sf_dir):
+    sales = d.sales_envelopes(spark, sf_dir)
+    days = (
+        envelope_flow.business_day(sales),
+        envelope_flow.business_day(d.cancel_envelopes(spark, sf_dir), "Status_Date"),
+        envelope_flow.business_day(sales.withColumn("orders", F.filter("orders", lambda _: F.lit(False)))),
+    )
+    return spark.createDataFrame([days], "sales_day date, cancel_day date, file_day date")
+
+
 # ---------------------------------------------- envelope vendor, recovery
 
 

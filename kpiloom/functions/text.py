@@ -7,6 +7,7 @@ import re
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# Patterns and sentinels of the feeds.
 ORDER_PREFIX = r"^(?:ORDER|e)"
 SEQUENCE_SUFFIX = r"_(\d+)$"
 SEQUENCED_NAME = r"^(.+?)_(?:\d+)$"

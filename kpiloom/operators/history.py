@@ -89,12 +89,12 @@ def append_new(
 ) -> None:
     """Insert-if-absent: appends the valid rows whose key the history does not have."""
     fresh = not_in_history(split_valid(batch)[0], near_batch(history, batch, date_key), keys)
-    append(fresh.sortWithinPartitions(date_key), path, fmt)
+    append(fresh.sortWithinPartitions(PARTITION, date_key), path, fmt)
 
 
 def upsert(batch: DataFrame, path: str, keys: Sequence[str], date_key: str, fmt: str = "parquet") -> None:
     """Appends one valid row per key, as the key's first or next version."""
-    append(one_per_key(split_valid(batch)[0], keys).sortWithinPartitions(date_key), path, fmt)
+    append(one_per_key(split_valid(batch)[0], keys).sortWithinPartitions(PARTITION, date_key), path, fmt)
 
 
 def quarantine(

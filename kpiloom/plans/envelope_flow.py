@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -9,9 +11,10 @@ from kpiloom import contracts
 from kpiloom.functions import codes, dates, measures, text
 from kpiloom.operators import nested
 from kpiloom.operators.joins import join_tender
+from kpiloom.operators.relational import business_date, derive
 from kpiloom.plans.facts import to_cancel, to_header, to_line, to_payment
-from kpiloom.operators.relational import derive
 from kpiloom.session import land
+from kpiloom.sources.readers import SOURCE_FILE
 
 _HEADER_AMOUNTS = ["Freight_Tax", "Demand_Net", "Freight_Amount", "Discount_Amount", "Coupon_Amount", "Tax"]
 
@@ -82,6 +85,14 @@ def build_cancel(orders: DataFrame, tender_map: DataFrame) -> DataFrame:
     return to_cancel(labelled, **columns)
 
 
+def business_day(envelopes: DataFrame, column: str = "Order_Date") -> date | None:
+    """Earliest date in the pages (`Status_Date` for cancellations), else the one in their file names."""
+    earliest = F.array_min(F.transform("orders", lambda order: dates.norm_iso(order[column])))
+    return business_date(
+        envelopes.select(earliest.alias("earliest"), SOURCE_FILE), "earliest", dates.file_date(F.col(SOURCE_FILE))
+    )
+
+
 def sales_facts(envelopes: DataFrame, tender_map: DataFrame, folder: str) -> dict[str, DataFrame]:
     """Header, line and payment from one parse of the pages, landed in `folder`."""
     orders = land(nested.explode_orders(envelopes), folder)
