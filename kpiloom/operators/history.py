@@ -87,8 +87,8 @@ def one_per_key(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 def append_new(
     batch: DataFrame, history: DataFrame, path: str, keys: Sequence[str], date_key: str, fmt: str = "parquet"
 ) -> None:
-    """Insert-if-absent: appends the valid rows whose key the history does not have."""
-    fresh = not_in_history(split_valid(batch)[0], near_batch(history, batch, date_key), keys)
+    """Insert-if-absent: appends the valid rows whose key the history (see `near_batch`) does not have."""
+    fresh = not_in_history(split_valid(batch)[0], history, keys)
     append(fresh.sortWithinPartitions(PARTITION, date_key), path, fmt)
 
 
@@ -97,12 +97,10 @@ def upsert(batch: DataFrame, path: str, keys: Sequence[str], date_key: str, fmt:
     append(one_per_key(split_valid(batch)[0], keys).sortWithinPartitions(PARTITION, date_key), path, fmt)
 
 
-def quarantine(
-    batch: DataFrame, history: DataFrame, path: str, keys: Sequence[str], date_key: str, fmt: str = "parquet"
-) -> None:
+def quarantine(batch: DataFrame, history: DataFrame, path: str, keys: Sequence[str], fmt: str = "parquet") -> None:
     """Appends the invalid rows whose key is neither in the history nor valid in the batch itself."""
     valid, invalid = split_valid(batch)
-    known = near_batch(history, batch, date_key).select(*keys).unionByName(valid.select(*keys))
+    known = history.select(*keys).unionByName(valid.select(*keys))
     append(not_in_history(invalid, known, keys), path, fmt)
 
 

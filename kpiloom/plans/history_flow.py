@@ -40,12 +40,12 @@ def load_fact(
         for path in (kept, faulty):
             history.ensure_table(spark, path, batch.schema, fmt)
         # Listed once, before the load: both steps compare with the state up to here.
-        known = history.read_table(spark, kept, batch.schema, fmt)
+        known = history.near_batch(history.read_table(spark, kept, batch.schema, fmt), batch, DATE_KEY)
         if deduplicate:
             history.append_new(batch, known, kept, keys, DATE_KEY, fmt)
         else:
             history.upsert(batch, kept, keys, DATE_KEY, fmt)
-        history.quarantine(batch, known, faulty, keys, DATE_KEY, fmt)
+        history.quarantine(batch, known, faulty, keys, fmt)
 
 
 def load_history(
