@@ -192,6 +192,7 @@ def explode_items(fields: DataFrame, carried: Sequence[str]) -> DataFrame:
     between two neighbouring starts: the work grows with the length of the
     record, not with its square, however many items an order has.
     """
+
     def is_start(place: Column) -> Column:
         here, previous = F.get("__entries", place - 1), F.get("__entries", place - 2)
         return (place == 1) | (here["sequences"] != previous["sequences"])
