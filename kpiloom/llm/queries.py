@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kpiloom.llm import mixing, sharding
-from kpiloom.llm.common import table
+from kpiloom.llm import exact_dedup, licenses, mixing, sharding, toxicity, warc
+from kpiloom.llm.common import checkpointed, table
+from kpiloom.session import remove_folder, work_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -24,6 +25,43 @@ def query(name: str, sql: str | None = None):
     return register
 
 
+LICENSE_SQL = r"""
+WITH docs AS (SELECT row_number() OVER () AS r, doc_id, text FROM documents WHERE length(text) > 0),
+lines AS (SELECT r, doc_id, string_split(text, chr(10)) AS parts FROM docs),
+paragraphs AS (SELECT r, doc_id, regexp_split_to_array(text, '\n[ \t\r]*\n') AS parts FROM docs),
+units AS (
+  SELECT r, doc_id, 'line' AS unit, generate_subscripts(parts, 1) - 1 AS unit_no, unnest(parts) AS body FROM lines
+  UNION ALL
+  SELECT * FROM (
+    SELECT r, doc_id, 'paragraph', generate_subscripts(parts, 1) - 1, unnest(parts) AS body FROM paragraphs)
+  WHERE contains(body, chr(10))
+  UNION ALL
+  SELECT r, doc_id, 'document', 0, text FROM docs WHERE regexp_matches(text, '\n[ \t\r]*\n')),
+worded AS (
+  SELECT r, doc_id, unit, unit_no, regexp_extract_all(body, '[0-9A-Za-z]+') AS words FROM units),
+grams AS (
+  SELECT r, doc_id, unit, unit_no, len(words) - 1 AS n, unnest(list_transform(
+    range(1, len(words)), lambda i: lower(words[i] || ' ' || words[i + 1]))) AS gram
+  FROM worded WHERE len(words) > 1),
+templates(license_id, template, size, gram, times) AS (VALUES %s),
+counts AS (
+  SELECT r, doc_id, unit, unit_no, n, license_id, template, size, least(count(*), max(times)) AS shared
+  FROM grams JOIN templates USING (gram)
+  GROUP BY r, doc_id, unit, unit_no, n, license_id, template, size, gram),
+scores AS (
+  SELECT r, doc_id, unit, unit_no, license_id, template, CAST(2 * sum(shared) AS DOUBLE) / (n + size) AS dice
+  FROM counts GROUP BY r, doc_id, unit, unit_no, n, license_id, template, size)
+SELECT doc_id, unit, CAST(unit_no AS INTEGER) AS unit_no, license_id, CAST(template AS INTEGER) AS template, dice
+FROM scores WHERE dice >= 0.8
+QUALIFY row_number() OVER (PARTITION BY r, unit, unit_no ORDER BY dice DESC, license_id, template) = 1
+""" % licenses.template_values()
+
+
+@query("op1_license_scan", LICENSE_SQL)
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan_licenses(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 MIX_SQL = r"""
 WITH docs AS (
   SELECT doc_id, source,
@@ -70,6 +108,38 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return planned.select("doc_id", "size", "source_size", "target", taken)
 
 
+EXACT_SQL = r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS r, doc_id, length(coalesce(text, '')) AS n_chars,
+         regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') AS body
+  FROM documents),
+placed AS (
+  SELECT r, doc_id, sha256(body) AS text_sha256, count(*) OVER (PARTITION BY body) AS group_size,
+         first_value(doc_id) OVER w AS keep_id, row_number() OVER w AS place
+  FROM docs WINDOW w AS (PARTITION BY body ORDER BY n_chars DESC, doc_id NULLS LAST))
+SELECT doc_id, keep_id, group_size, place = 1 AS kept, text_sha256 FROM placed
+"""
+
+
+@query("op3_exact_dedup", EXACT_SQL)
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    groups = exact_dedup.exact_groups(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return groups.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
+
+
+@query("op5_toxicity")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.learn(docs, table(spark, sf_dir, "labels"))
+    scored = toxicity.score(docs, model)
+    return scored.select(
+        "doc_id",
+        toxicity.held_out(F.col("doc_id")).alias("held_out"),
+        F.col("toxic_score").alias("score"),
+        (F.col("toxic_score") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
 @query("op6_ring_shards")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = sharding.assign_shards(table(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -82,3 +152,29 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
         "slot",
         F.lit(None).cast("int").alias("grown_shard"),
     )
+
+
+WARC_SQL = """
+WITH bodies AS (SELECT page_id, coalesce(html, '') AS body, sha1(coalesce(html, '')) AS hex FROM pages),
+groups AS (
+  SELECT page_id, body, min(page_id) OVER (PARTITION BY body) AS first_id,
+         array_to_string(list_transform(range(0, 4), lambda k: array_to_string(list_transform(range(0, 8),
+           lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+             1 + CAST((CAST('0x' || substr(hex, CAST(1 + 10 * k AS INTEGER), 10) AS BIGINT)
+                       >> CAST(35 - 5 * i AS BIGINT)) & 31 AS INTEGER), 1)), '')), '') AS payload_digest
+  FROM bodies)
+SELECT page_id, CAST(strlen(body) AS BIGINT) AS payload_bytes, payload_digest,
+       CASE WHEN page_id IS DISTINCT FROM first_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN page_id IS DISTINCT FROM first_id THEN first_id END AS refers_to
+FROM groups
+"""
+
+
+@query("op10_warc_roundtrip", WARC_SQL)
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = work_folder(spark, "warc")
+    warc.write_warc(table(spark, sf_dir, "pages"), folder)
+    records = warc.read_warc(spark, folder)
+    found = checkpointed(records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"))
+    remove_folder(spark, folder)
+    return found
