@@ -16,6 +16,7 @@ from __future__ import annotations
 import json
 import re
 from collections import Counter
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -25,6 +26,7 @@ from kpiloom.llm.common import fresh
 THRESHOLD = 0.8
 MAX_BIGRAMS = 100_000
 ASCII_WORD = "[0-9A-Za-z]+"
+BLANK_LINE = "\n[ \t\r]*\n"
 
 # Public licence notices and texts.
 TEMPLATES = {
@@ -134,26 +136,25 @@ def scan_licenses(
     row = fresh(docs, "__row")
     text = F.col("text")
 
-    def units(kind: str, parts: Column) -> Column:
-        return F.transform(parts, lambda x, i: F.struct(F.lit(kind).alias("unit"), i.alias("unit_no"), x.alias("body")))
+    def units(kind: str, parts: Column, wanted: Callable[[Column], Column]) -> Column:
+        # The words are made here, before the rows are: later on every use would match the text again.
+        named = F.transform(parts, lambda x, i: F.struct(i.alias("unit_no"), x.alias("body")))
+        return F.transform(
+            F.filter(named, lambda u: wanted(u["body"])),
+            lambda u: F.struct(
+                F.lit(kind).alias("unit"),
+                u["unit_no"].alias("unit_no"),
+                F.regexp_extract_all(u["body"], F.lit(ASCII_WORD), F.lit(0)).alias("words"),
+            ),
+        )
 
-    lines = F.split(text, "\n", -1)
+    lines = units("line", F.split(text, "\n", -1), lambda x: F.length(x) > 0)
     # A paragraph or text of one line is that line.
-    longer = F.filter(
-        units("paragraph", F.split(text, "\n[ \t\r]*\n", -1)), lambda u: F.contains(u["body"], F.lit("\n"))
-    )
-    whole = F.filter(
-        units("document", F.array(text)), lambda u: u["body"].rlike("\n[ \t\r]*\n")
-    )
+    paragraphs = units("paragraph", F.split(text, BLANK_LINE, -1), lambda x: F.contains(x, F.lit("\n")))
+    whole = units("document", F.array(text), lambda x: x.rlike(BLANK_LINE))
     listed = docs.select("doc_id", F.monotonically_increasing_id().alias(row), "text").filter(F.length(text) > 0)
-    found = listed.select("doc_id", row, F.inline(F.concat(units("line", lines), longer, whole)))
-    worded = found.select(
-        "doc_id",
-        row,
-        "unit",
-        "unit_no",
-        F.regexp_extract_all("body", F.lit(ASCII_WORD), F.lit(0)).alias("words"),
-    ).withColumn("n", F.size("words") - 1)
+    found = listed.select("doc_id", row, F.inline(F.concat(lines, paragraphs, whole)))
+    worded = found.withColumn("n", F.size("words") - 1)
     possible = F.lit(False)
     for size in sizes:
         possible = possible | within(F.col("n"), size, threshold)
