@@ -35,21 +35,17 @@ def fresh(df: DataFrame, name: str) -> str:
 
 
 def lookup(
-    big: DataFrame, small: DataFrame, keys: Sequence[tuple[str, str]], salt: Column, how: str = "inner", lanes: int = 16
+    big: DataFrame, small: DataFrame, keys: Sequence[tuple[str, str]], how: str = "inner", width: Column | None = None
 ) -> DataFrame:
     """Joins a checkpointed table of one row per key to a large frame; nulls equal nulls.
 
-    Up to BROADCAST_ROWS rows it is broadcast. Beyond, both sides are shuffled by the
-    keys and a salt, so that a key with a third of all rows meets its row in `lanes` tasks.
-    `keys` are pairs of a column of `big` and one of `small`, whose names differ.
+    Up to BROADCAST_ROWS rows it is broadcast, `width` counting for a row where rows have
+    arrays. Beyond, both sides are shuffled, and adaptive execution splits the partitions
+    of hot keys. `keys` are pairs of a column of `big` and one of `small`, with different names.
     """
     match = [F.col(b).eqNullSafe(F.col(s)) for b, s in keys]
-    if small.count() <= BROADCAST_ROWS:
-        return big.join(F.broadcast(small), match, how)
-    left, right = fresh(big, "__salt"), fresh(small, "__lane")
-    salted = big.withColumn(left, F.pmod(F.xxhash64(salt), F.lit(lanes)).cast("int"))
-    copies = small.withColumn(right, F.explode(F.sequence(F.lit(0), F.lit(lanes - 1))))
-    return salted.join(copies, [*match, F.col(left) == F.col(right)], how).drop(left, right)
+    rows = small.agg(F.sum(F.lit(1) if width is None else width)).first()[0] or 0
+    return big.join(F.broadcast(small) if rows <= BROADCAST_ROWS else small, match, how)
 
 
 def ranked(df: DataFrame, name: str, *order: Column) -> DataFrame:

@@ -26,7 +26,7 @@ CHUNK = 1 << 16
 #: Primes and bases of the two hashes.
 MODULI = ((2_147_483_647, 1_315_423_911), (2_147_483_629, 388_276_013))
 #: Rows of a group that one task compares.
-LANE_ROWS = 512
+LANE_ROWS = 128
 
 _HASHED = "doc_id long, n_chars long, n_bytes long, h1 long, h2 long, text_sha256 string"
 _PRINT = ["n_bytes", "h1", "h2"]
@@ -256,18 +256,23 @@ def exact_groups(docs: DataFrame, moduli=MODULI) -> DataFrame:
         groups = checkpointed(
             open_rows.groupBy(*_PRINT)
             .agg(F.count(F.lit(1)).alias("size"), F.min(order).alias("best"))
+            .filter("size > 1")
             .select(
                 F.monotonically_increasing_id().alias("g"),
                 *[F.col(c).alias(f"g_{c}") for c in _PRINT],
                 "size",
-                F.col("best.doc_id").alias("keep_id"),
+                F.col("best.doc_id").alias("best_id"),
                 F.col("best.text_sha256").alias("keep_sha"),
-                F.col("best.rid").alias("keep_rid"),
+                F.col("best.rid").alias("best_rid"),
             )
         )
-        keys = [(c, f"g_{c}") for c in _PRINT]
-        placed = lookup(open_rows, groups, keys, F.col("rid"))
-        differing = checkpointed(_differing(docs, placed, groups, moduli))
+        grouped = F.col("g").isNotNull()
+        placed = (
+            lookup(open_rows, groups, [(c, f"g_{c}") for c in _PRINT], how="left")
+            .withColumn("keep_id", F.when(grouped, F.col("best_id")).otherwise(F.col("doc_id")))
+            .withColumn("keep_rid", F.when(grouped, F.col("best_rid")).otherwise(F.col("rid")))
+        )
+        differing = checkpointed(_differing(docs, placed))
         d = differing.alias("d")
         match = (
             (F.col("g") == F.col("d.g"))
@@ -280,21 +285,21 @@ def exact_groups(docs: DataFrame, moduli=MODULI) -> DataFrame:
         if none_left:
             break
         open_rows = checkpointed(placed.join(d, match, "left_semi").select(prints.columns))
-    # Sizes once more, as rows may have left a group; counted before the shuffle.
-    sizes = checkpointed(done.groupBy(F.col("keep_rid").alias("of_rid")).agg(F.count(F.lit(1)).alias("group_size")))
-    return lookup(done, sizes, [("keep_rid", "of_rid")], F.col("rid")).select(
+    # Counted once more, as rows may have left a group.
+    sizes = done.groupBy(F.col("keep_rid").alias("of_rid")).agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    return lookup(done, checkpointed(sizes), [("keep_rid", "of_rid")], how="left").select(
         "doc_id",
         "keep_id",
-        "group_size",
+        F.coalesce("n", F.lit(1)).cast("long").alias("group_size"),
         (F.col("rid") == F.col("keep_rid")).alias("kept"),
         "text_sha256",
         "n_chars",
     )
 
 
-def _differing(docs: DataFrame, placed: DataFrame, groups: DataFrame, moduli) -> DataFrame:
+def _differing(docs: DataFrame, placed: DataFrame) -> DataFrame:
     """(g, doc_id, sha) of the rows of groups whose text is not that of the staying row."""
-    members = placed.filter(F.col("size") > 1).select(
+    members = placed.filter("g is not null").select(
         "g", "size", F.col("doc_id").alias("m_id"), F.col("text_sha256").alias("m_sha"), "keep_id", "keep_sha"
     )
     # One entry per different (doc_id, text) of a group: repeated rows need one comparison.
@@ -303,7 +308,7 @@ def _differing(docs: DataFrame, placed: DataFrame, groups: DataFrame, moduli) ->
     texts = docs.select("doc_id", text.alias("text")).withColumn(
         "sha", F.sha2(F.translate(F.col("text"), BLANKS, ""), 256)
     )
-    met = lookup(texts, members, [("doc_id", "m_id"), ("sha", "m_sha")], F.col("doc_id"), lanes=1)
+    met = lookup(texts, members, [("doc_id", "m_id"), ("sha", "m_sha")])
     lanes = F.ceil(F.col("size") / LANE_ROWS).cast("long")
     chunks = met.select(
         "g",

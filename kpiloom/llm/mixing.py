@@ -77,7 +77,7 @@ def plan_mix(
     clash = [c for c in docs.columns if c.lower() in {"size", "source_size", "target", "copies", "mix_source"}]
     docs = docs.drop(*clash)
     sized = docs.withColumn("size", words_count(F.col("text")))
-    joined = lookup(sized, source_targets(docs, weights, cap, share), [("source", "mix_source")], F.col("doc_id"))
+    joined = lookup(sized, source_targets(docs, weights, cap, share), [("source", "mix_source")])
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
     whole = F.floor(rate)
     extra = F.when(unit_hash(seed, F.col("doc_id")) < rate - whole, 1).otherwise(0)

@@ -80,7 +80,7 @@ def classify(pages: DataFrame, least_bytes: int = LEAST_BYTES) -> DataFrame:
         .drop("n")
     )
     keys = [("payload_digest", "g_digest"), ("payload_bytes", "g_bytes")]
-    met = lookup(sized, checkpointed(groups), keys, F.col("page_id"), how="left")
+    met = lookup(sized, checkpointed(groups), keys, how="left")
     revisit = F.col("g_digest").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first_id"))
     return met.withColumn("record_type", F.when(revisit, "revisit").otherwise("response")).withColumn(
         "refers_to", F.when(revisit, F.col("first_id"))
@@ -357,7 +357,7 @@ def _assembled(
     owned = checkpointed(_owned(found, on_chain, parts))
     pieces = _pieces(spark, folder).mapInArrow(_with_offsets, "p_file string, p_block long, p_rel long, bytes binary")
     keys = [("p_file", "file"), ("p_block", "block"), ("p_rel", "rel")]
-    met = lookup(pieces, owned, keys, F.col("p_rel"), lanes=1)
+    met = lookup(pieces, owned, keys)
     sized = parts.select("file", F.col("off").alias("owner"), "head_len", "content_len")
     read = (
         met.drop("p_file", "p_block", "p_rel")
