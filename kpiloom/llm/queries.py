@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kpiloom.llm import exact_dedup, licenses, mixing, sharding, toxicity, warc
+from kpiloom.llm import exact_dedup, licenses, line_dedup, mixing, near_dedup, sharding, toxicity, warc
 from kpiloom.llm.common import checkpointed, table
 from kpiloom.session import remove_folder, work_folder
 
@@ -154,6 +154,18 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op7_line_dedup")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@query("op8_minhash_bayes")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    groups = near_dedup.near_groups(table(spark, sf_dir, "documents").select("doc_id", "text"), words=3, percent=85)
+    kept = F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept")
+    return groups.select("doc_id", "n_shingles", "component_id", kept)
+
+
 WARC_SQL = """
 WITH bodies AS (SELECT page_id, coalesce(html, '') AS body, sha1(coalesce(html, '')) AS hex FROM pages),
 groups AS (
