@@ -7,7 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kpiloom.llm import exact_dedup, licenses, line_dedup, mixing, near_dedup, sharding, toxicity, warc
+from kpiloom.llm import (
+    bpe,
+    exact_dedup,
+    fingerprints,
+    licenses,
+    line_dedup,
+    mixing,
+    near_dedup,
+    sharding,
+    toxicity,
+    warc,
+)
 from kpiloom.llm.common import checkpointed, table
 from kpiloom.session import remove_folder, work_folder
 
@@ -127,6 +138,18 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+#: Name of the vocabulary file among the public tokenizers.
+TOKENIZER = "byte_bpe_50k.json"
+
+
+@query("op4_bpe")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return bpe.round_trip(docs, public_tokenizers.path(TOKENIZER), full=False)
+
+
 @query("op5_toxicity")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -166,6 +189,11 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.select("doc_id", "n_shingles", "component_id", kept)
 
 
+@query("op9_spotsigs")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.compare_next(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 WARC_SQL = """
 WITH bodies AS (SELECT page_id, coalesce(html, '') AS body, sha1(coalesce(html, '')) AS hex FROM pages),
 groups AS (
