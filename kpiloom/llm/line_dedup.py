@@ -21,7 +21,6 @@ per document.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -34,10 +33,11 @@ from kpiloom.llm.common import checkpointed, fresh, lookup
 MIN_WORDS = 50
 #: What ends a line: a line feed, or blanks after a sentence end.
 LINE_END = re.compile(r"\n|[.!?][ \t]+\n?")
-#: Hash of a line without words; no fingerprint, as it is larger than all others.
-NO_WORDS = (1 << 63) - 1
+#: Odd bases of the two hashes of a run, and their inverses modulo 2^64.
+BASES = (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9)
+_INVERSES = tuple(pow(b, -1, 1 << 64) for b in BASES)
 
-_LINES = "key_id long, key_hash long, hashes array<long>, words array<int>"
+_LINES = "key_id long, key_hash long, hashes array<long>, words array<int>, prints array<long>, places array<int>"
 
 
 def cut_lines(text: str) -> list[str]:
@@ -49,103 +49,110 @@ def cut_lines(text: str) -> list[str]:
 
 
 def line_hash(words: list[str]) -> int:
-    # 63 bits, so that the hash is a positive long below NO_WORDS.
-    return (xxhash.xxh3_64_intdigest(" ".join(words).encode()) >> 1) % NO_WORDS if words else NO_WORDS
+    return xxhash.xxh3_64_intdigest(" ".join(words).encode()) >> 1
 
 
-def windows(words: list[int], min_words: int) -> list[tuple[int, int]]:
-    """(first, last) of the shortest runs with `min_words` words from each line down and up.
+def windows(words: np.ndarray, min_words: int) -> tuple[np.ndarray, np.ndarray]:
+    """First and last of the shortest runs with `min_words` words, from each line down and up.
 
-    Runs start and end with lines that have words.
+    Lines here are those that have words, so every count is at least 1.
     """
-    count = np.asarray(words, dtype=np.int64)
-    upto = count.cumsum()
-    before, full = upto - count, np.flatnonzero(count)
-    if not len(full) or upto[-1] < min_words:
-        return []
-    last = np.searchsorted(upto, before[full] + min_words)
-    down = full[last < len(count)], last[last < len(count)]
-    ends = full[upto[full] >= min_words]
-    up = np.searchsorted(before, upto[ends] - min_words, side="right") - 1, ends
-    return sorted(set(zip(*(np.concatenate(x).tolist() for x in zip(down, up, strict=True)), strict=True)))
-
-
-def fingerprint_of(hashes: list[int], first: int, last: int) -> int:
-    """The window's minimum."""
-    return min(hashes[first : last + 1])
-
-
-def window_hash(hashes: list[int], first: int, last: int) -> bytes:
-    run = [h for h in hashes[first : last + 1] if h != NO_WORDS]
-    return xxhash.xxh3_128_digest(np.array(run, dtype=np.int64).tobytes())
-
-
-def _read_lines(batches) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        hashes, counts = [], []
-        for text in batch.column("text").to_pylist():
-            split = [line.split() for line in cut_lines(text or "")]
-            hashes.append([line_hash(w) for w in split])
-            counts.append([len(w) for w in split])
-        yield pa.RecordBatch.from_arrays(
-            [
-                batch.column("key_id"),
-                batch.column("key_hash"),
-                pa.array(hashes, pa.list_(pa.int64())),
-                pa.array(counts, pa.list_(pa.int32())),
-            ],
-            names=["key_id", "key_hash", "hashes", "words"],
-        )
+    upto = words.cumsum(dtype=np.int64)
+    if not len(upto) or upto[-1] < min_words:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    before, lines = upto - words, np.arange(len(words))
+    last = np.searchsorted(upto, before + min_words)
+    down = last < len(words)
+    up = upto >= min_words
+    first = np.searchsorted(before, upto[up] - min_words, side="right") - 1
+    found = np.unique(
+        np.concatenate([lines[down], first]) * len(words) + np.concatenate([last[down], lines[up]])
+    )
+    return found // len(words), found % len(words)
+
 
+def minima(hashes: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
+    """The smallest hash of each window, by minima over powers of two."""
+    size = last - first + 1
+    level = np.frexp(size)[1] - 1
+    table, out = hashes, np.empty(len(first), dtype=np.int64)
+    for k in range(int(level.max(initial=-1)) + 1):
+        at = level == k
+        out[at] = np.minimum(table[first[at]], table[last[at] - (1 << k) + 1])
+        table = np.minimum(table[: -(1 << k)], table[1 << k :]) if len(table) > 1 << k else table
+    return out
 
-def _keys(batch: pa.RecordBatch, index: list[int]) -> list[pa.Array]:
-    at = pa.array(index, pa.int64())
-    return [batch.column("key_id").take(at), batch.column("key_hash").take(at)]
 
+def contents(hashes: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
+    """128 bits of each window's content, wherever it stands: sums over powers, shifted back to the start."""
+    x, out = hashes.astype(np.uint64), []
+    for base, inverse in zip(BASES, _INVERSES, strict=True):
+        power, back = np.full((2, len(x)), [[base], [inverse]], dtype=np.uint64)
+        power[0] = back[0] = 1
+        power, back = power.cumprod(dtype=np.uint64), back.cumprod(dtype=np.uint64)
+        sums = np.concatenate([np.zeros(1, np.uint64), (x * power).cumsum(dtype=np.uint64)])
+        out.append((sums[last + 1] - sums[first]) * back[first] + (last - first).astype(np.uint64))
+    return np.stack(out, axis=1)
 
-def _select_fingerprints(min_words: int):
-    """Each document's window minima once, with the number of lines that have that hash."""
+
+def _read_lines(min_words: int):
+    """Hashes and word counts of the lines that have words, and the window minima with their number of lines."""
 
     def run(batches):
         for batch in batches:
-            rows = zip(batch.column("hashes").to_pylist(), batch.column("words").to_pylist(), strict=True)
-            index, prints, places = [], [], []
-            for i, (hashes, words) in enumerate(rows):
-                for chosen in sorted({fingerprint_of(hashes, a, b) for a, b in windows(words, min_words)}):
-                    index.append(i)
-                    prints.append(chosen)
-                    places.append(hashes.count(chosen))
+            columns = [], [], [], []
+            for text in batch.column("text").to_pylist():
+                split = [w for w in (line.split() for line in cut_lines(text or "")) if w]
+                hashes = np.array([line_hash(w) for w in split], dtype=np.int64)
+                words = np.array([len(w) for w in split], dtype=np.int32)
+                prints = np.unique(minima(hashes, *windows(words, min_words)))
+                kept = np.isin(hashes, prints)
+                places = np.unique(hashes[kept], return_counts=True)[1] if len(prints) else prints
+                for column, value in zip(columns, (hashes, words, prints, places.astype(np.int32)), strict=True):
+                    column.append(value)
+            kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int32())
             yield pa.RecordBatch.from_arrays(
-                [*_keys(batch, index), pa.array(prints, pa.int64()), pa.array(places, pa.int32())],
-                names=["key_id", "key_hash", "print", "places"],
+                [
+                    batch.column("key_id"),
+                    batch.column("key_hash"),
+                    *(pa.array(c, pa.list_(k)) for c, k in zip(columns, kinds, strict=True)),
+                ],
+                names=["key_id", "key_hash", "hashes", "words", "prints", "places"],
             )
 
     return run
 
 
+def _lists(column: pa.Array) -> list[np.ndarray]:
+    values, ends = column.flatten().to_numpy(zero_copy_only=False), column.value_lengths().to_numpy().cumsum()
+    return np.split(values, ends[:-1])
+
+
 def _extend(min_words: int):
     """The windows around matched positions, by their content."""
 
     def run(batches):
         for batch in batches:
             index, found, firsts, lasts = [], [], [], []
-            rows = zip(*(batch.column(c).to_pylist() for c in ("hashes", "words", "prints")), strict=True)
-            for i, (hashes, words, prints) in enumerate(rows):
-                matched = set(prints)
-                for a, b in windows(words, min_words):
-                    if fingerprint_of(hashes, a, b) in matched:
-                        index.append(i)
-                        found.append(window_hash(hashes, a, b))
-                        firsts.append(a)
-                        lasts.append(b)
+            rows = zip(*(_lists(batch.column(c)) for c in ("hashes", "words", "matched")), strict=True)
+            for i, (hashes, words, matched) in enumerate(rows):
+                first, last = windows(words, min_words)
+                near = np.isin(minima(hashes, first, last), matched)
+                first, last = first[near], last[near]
+                index.append(np.full(len(first), i))
+                found.append(contents(hashes, first, last) if len(first) else np.zeros((0, 2), np.uint64))
+                firsts.append(first)
+                lasts.append(last)
+            at = pa.array(np.concatenate(index))
             yield pa.RecordBatch.from_arrays(
                 [
-                    *_keys(batch, index),
-                    pa.array(found, pa.binary()),
-                    pa.array(firsts, pa.int32()),
-                    pa.array(lasts, pa.int32()),
+                    batch.column("key_id").take(at),
+                    batch.column("key_hash").take(at),
+                    *(pa.array(np.concatenate(found)[:, k].copy().view(np.int64)) for k in (0, 1)),
+                    pa.array(np.concatenate(firsts).astype(np.int32)),
+                    pa.array(np.concatenate(lasts).astype(np.int32)),
                 ],
-                names=["key_id", "key_hash", "content", "first_line", "last_line"],
+                names=["key_id", "key_hash", "content_a", "content_b", "first_line", "last_line"],
             )
 
     return run
@@ -164,32 +171,31 @@ def _place(prefix: str = "") -> Column:
 def repeated_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """(key_id, key_hash, runs): per document with repeated runs, the (first, last) lines that go.
 
-    Rows that agree in doc_id and text are one document here.
+    Lines are counted without those that have no words. Rows that agree in doc_id and
+    text are one document here.
     """
     keyed = docs.select(F.col("doc_id").alias("key_id"), F.xxhash64("text").alias("key_hash"), "text")
-    lines = checkpointed(keyed.filter(F.length("text") > 0).mapInArrow(_read_lines, _LINES))
-    chosen = lines.mapInArrow(_select_fingerprints(min_words), "key_id long, key_hash long, print long, places int")
+    lines = checkpointed(keyed.filter(F.length("text") > 0).mapInArrow(_read_lines(min_words), _LINES))
+    chosen = lines.select("key_id", "key_hash", F.inline(F.arrays_zip("prints", "places"))).withColumnsRenamed(
+        {"prints": "print"}
+    )
     # Added up before the shuffle; only fingerprints of several places go on.
     shared = chosen.groupBy(F.col("print").alias("shared")).agg(F.sum("places").alias("n")).filter("n > 1")
     matches = lookup(chosen, checkpointed(shared.select("shared")), [("print", "shared")])
-    by_doc = matches.groupBy("key_id", "key_hash").agg(F.collect_set("print").alias("prints"))
-    k, m = lines.alias("k"), by_doc.alias("m")
+    by_doc = matches.groupBy("key_id", "key_hash").agg(F.collect_set("print").alias("matched"))
+    k, m = lines.select("key_id", "key_hash", "hashes", "words").alias("k"), by_doc.alias("m")
     same = F.col("k.key_id").eqNullSafe(F.col("m.key_id")) & (F.col("k.key_hash") == F.col("m.key_hash"))
-    around = k.join(m, same).select("k.key_id", "k.key_hash", "hashes", "words", "prints")
-    extended = checkpointed(
-        around.mapInArrow(
-            _extend(min_words), "key_id long, key_hash long, content binary, first_line int, last_line int"
-        )
-    )
+    around = k.join(m, same).select("k.key_id", "k.key_hash", "hashes", "words", "matched")
+    kind = "key_id long, key_hash long, content_a long, content_b long, first_line int, last_line int"
+    extended = checkpointed(around.mapInArrow(_extend(min_words), kind))
     firsts = (
-        extended.groupBy(F.col("content").alias("of_content"))
+        extended.groupBy(F.col("content_a").alias("of_a"), F.col("content_b").alias("of_b"))
         .agg(F.count(F.lit(1)).alias("n"), F.min(_place()).alias("origin"))
         .filter("n > 1")
         .drop("n")
     )
-    later = lookup(extended, checkpointed(firsts), [("content", "of_content")]).filter(
-        _place() > F.col("origin")
-    )
+    keys = [("content_a", "of_a"), ("content_b", "of_b")]
+    later = lookup(extended, checkpointed(firsts), keys).filter(_place() > F.col("origin"))
     run = F.struct("first_line", "last_line")
     covered = later.groupBy("key_id", "key_hash").agg(F.array_sort(F.collect_set(run)).alias("runs"))
     return covered.withColumn("runs", merged(F.col("runs")))
@@ -221,7 +227,13 @@ def _cut_runs(text_at: int, runs_at: int, kept: int):
             out, n_lines, gone_lines, gone_words = [], [], [], []
             for text, runs in zip(texts, batch.column(runs_at).to_pylist(), strict=True):
                 lines = cut_lines(text or "")
-                gone = {i for r in runs or [] for i in range(r["first_line"], r["last_line"] + 1)}
+                # Runs count the lines that have words; what lies between them goes too.
+                worded = [i for i, x in enumerate(lines) if x.split()] if runs else []
+                gone = {
+                    i
+                    for r in runs or []
+                    for i in range(worded[r["first_line"]], worded[r["last_line"]] + 1)
+                }
                 out.append("".join(x for i, x in enumerate(lines) if i not in gone) if gone else text)
                 n_lines.append(len(lines))
                 gone_lines.append(len(gone))
