@@ -11,12 +11,15 @@ reach the threshold; where that is less likely than `miss`, the candidate is dro
 Survivors are verified exactly, on the full sets made from the texts.
 
 Buckets are never expanded into all pairs. In the first round each class meets one
-class only, the smallest of the bucket that it shares most often. The links verified so
-far form components, and classes of a bucket that are in one component need no further
-comparison. In the second round the members of each bucket that still has several
-components are compared in blocks, everything outside the bucket's largest component
-with everything; a block pair is one task's matrix of matches, and only what survives
-the posterior is emitted.
+class only, the smallest of the bucket that it shares most often. What survives the
+posterior makes families, and every member of a family is compared with the family's
+root, exactly, from the texts; what it lacks of the root's set and has beyond it is
+kept. From these differences the exact similarity of any two members follows, so that
+the members that are not linked to the root are compared, in blocks, with all others:
+a block pair is one task's matrices, and what it emits is a spanning forest of the
+links it found, fewer rows than members. In the second round, buckets whose members are
+of several families are compared in blocks of signatures, everything outside the
+largest family with everything; what survives the posterior is verified from the texts.
 """
 
 from __future__ import annotations
@@ -43,8 +46,8 @@ BAND = 4
 #: Signature values compared before the posterior is looked at again.
 BATCH = 32
 MISS = 1e-6
-#: Members of a bucket in one block, and of a class's partners in one verification task.
-BLOCK = 256
+#: Members of a bucket or family in one block, and of a class's partners in one verification task.
+BLOCK = 1024
 LANE_ROWS = 128
 
 _U = np.uint64
@@ -169,29 +172,120 @@ def _prune_pairs(threshold: float, miss: float):
     return run
 
 
+def _by_group(function):
+    """Runs `function` over each run of rows with equal bucket, x, y; rows come sorted by them."""
+
+    def run(batches):
+        held, current = [], None
+        for batch in batches:
+            keys = np.stack([np.array(batch.column(c), dtype=np.int64) for c in ("bucket", "x", "y")], axis=1)
+            cuts = np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1
+            for start, end in zip([0, *cuts], [*cuts, len(keys)], strict=True):
+                if end == start:
+                    continue
+                if (key := tuple(keys[start])) != current:
+                    if held:
+                        yield from function(pa.Table.from_batches(held)).to_batches()
+                    held, current = [], key
+                held.append(batch.slice(start, end - start))
+        if held:
+            yield from function(pa.Table.from_batches(held)).to_batches()
+
+    return run
+
+
+def _signatures(column) -> np.ndarray:
+    return np.array([np.frombuffer(x.as_py(), np.uint16) for x in column]).reshape(-1, HASHES)
+
+
+def _sides(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """Rows to compare: side 1 with side 2, or with itself if there is no side 2."""
+    side = np.array(table.column("side"))
+    one, two = np.flatnonzero(side == 1), np.flatnonzero(side == 2)
+    return one, two if len(two) or table.column("x")[0] != table.column("y")[0] else one
+
+
+def _edges(a, b) -> pa.Table:
+    return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+
 def _prune_blocks(threshold: float, miss: float):
-    """Matches of the nodes of side 1 with those of side 2, or with each other if there are none."""
+    """Pairs of two blocks that the posterior leaves."""
 
     def run(table: pa.Table) -> pa.Table:
-        side = np.array(table.column("side"))
         node, comp = np.array(table.column("node")), np.array(table.column("comp"))
-        rows = np.array([np.frombuffer(x.as_py(), np.uint16) for x in table.column("signature")]).reshape(-1, HASHES)
-        out_a, out_b = [], []
-        one, two = np.flatnonzero(side == 1), np.flatnonzero(side == 2)
-        two = two if len(two) else one
+        rows, (one, two) = _signatures(table.column("signature")), _sides(table)
+        out_a, out_b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
         for i in one:
             other = two[comp[two] != comp[i]]
             keep = other[survives(np.broadcast_to(rows[i], (len(other), HASHES)), rows[other], threshold, miss)]
             out_a.append(np.minimum(node[keep], node[i]))
             out_b.append(np.maximum(node[keep], node[i]))
-        empty = np.zeros(0, dtype=np.int64)
-        return pa.table({"a": np.concatenate([empty, *out_a]), "b": np.concatenate([empty, *out_b])})
+        return _edges(np.concatenate(out_a), np.concatenate(out_b))
+
+    return run
+
+
+def _shared_counts(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """Sizes of the intersections of every set on the left with every one on the right, in stretches of elements."""
+    out = np.zeros((len(left), len(right)), dtype=np.float32)
+    every = np.intersect1d(np.concatenate([*left, np.zeros(0, _U)]), np.concatenate([*right, np.zeros(0, _U)]))
+    for start in range(0, len(every), 4096):
+        part = every[start : start + 4096]
+        sides = []
+        for sets in (left, right):
+            hits = np.zeros((len(sets), len(part)), dtype=np.float32)
+            for i, own in enumerate(sets):
+                at = np.searchsorted(part, own)
+                at = at[(at < len(part)) & (part[np.minimum(at, len(part) - 1)] == own)]
+                hits[i, at] = 1
+            sides.append(hits)
+        out += sides[0] @ sides[1].T
+    return out.astype(np.int64)
+
+
+def _exact_blocks(threshold: float, miss: float, percent: int):
+    """A spanning forest of the links between two blocks of a family, from the differences to its root."""
+
+    def run(table: pa.Table) -> pa.Table:
+        node, own = np.array(table.column("node")), np.array(table.column("n_own"))
+        rows, (one, two) = _signatures(table.column("signature")), _sides(table)
+        alive = np.zeros((len(one), len(two)), dtype=bool)
+        for k, i in enumerate(one):
+            alive[k, survives(np.broadcast_to(rows[i], (len(two), HASHES)), rows[two], threshold, miss)] = True
+        alive &= node[one][:, None] != node[two]
+        # Only rows and columns that the posterior left in some pair are looked at exactly.
+        one, two = one[used := alive.any(axis=1)], two[other := alive.any(axis=0)]
+        alive = alive[used][:, other]
+        if not alive.size:
+            return _edges([], [])
+        plus, minus = (
+            [np.frombuffer(x.as_py(), _U) for x in table.column(c)] for c in ("plus", "minus")
+        )
+        lacks = np.array([len(x) for x in minus])
+        both_lack = _shared_counts([minus[i] for i in one], [minus[i] for i in two])
+        both_have = _shared_counts([plus[i] for i in one], [plus[i] for i in two])
+        root = table.column("n_root")[0].as_py()
+        shared = root - (lacks[one][:, None] + lacks[two] - both_lack) + both_have
+        linked = alive & (100 * shared >= percent * (own[one][:, None] + own[two] - shared))
+        label, out_a, out_b = {int(n): int(n) for n in node}, [], []
+        names = np.array([label[int(n)] for n in node])
+        for k, i in enumerate(one):
+            for j in two[linked[k]]:
+                if names[i] != names[j]:
+                    out_a.append(node[i])
+                    out_b.append(node[j])
+                    names[names == names[j]] = names[i]
+        return _edges(out_a, out_b)
 
     return run
 
 
-def _verify(words: int, percent: int):
-    """Streams texts sorted by (hub, lane, hub first); yields the pairs that reach the threshold.
+_COMPARED = "hub long, node long, linked boolean, n_root long, n_own long, plus binary, minus binary"
+
+
+def _compare(words: int, percent: int, differences: bool):
+    """Streams texts sorted by (hub, lane, hub first) and compares each with its hub.
 
     Held in memory is the set of one hub. Whole numbers are compared: 100 * shared >= percent * union.
     """
@@ -199,7 +293,7 @@ def _verify(words: int, percent: int):
     def run(batches):
         current, held = None, None
         for batch in batches:
-            a, b = [], []
+            out = []
             rows = zip(*(batch.column(c).to_pylist() for c in ("hub", "lane", "node")), strict=True)
             for (hub, lane, node), text in zip(rows, _texts(batch), strict=True):
                 if (hub, lane) != current:
@@ -209,33 +303,45 @@ def _verify(words: int, percent: int):
                 elif held is not None:
                     own = shingle_set(text, words)
                     shared = len(np.intersect1d(held, own, assume_unique=True))
-                    if 100 * shared >= percent * (len(held) + len(own) - shared):
-                        a.append(hub)
-                        b.append(node)
-            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+                    linked = 100 * shared >= percent * (len(held) + len(own) - shared)
+                    plus, minus = (
+                        np.setdiff1d(x, y, assume_unique=True).tobytes() if differences else None
+                        for x, y in ((own, held), (held, own))
+                    )
+                    out.append((hub, node, linked, len(held), len(own), plus, minus))
+            columns = list(zip(*out, strict=True)) or [[]] * 7
+            kinds = [pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.binary(), pa.binary()]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)],
+                names=["hub", "node", "linked", "n_root", "n_own", "plus", "minus"],
+            )
 
     return run
 
 
-def _verified(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, words: int, percent: int) -> DataFrame:
-    """The pairs (a, b) whose full sets reach the threshold; a is the hub that its partners meet in lanes."""
+def _compared(
+    docs: DataFrame, nodes: DataFrame, pairs: DataFrame, words: int, percent: int, differences: bool
+) -> DataFrame:
+    """Exact comparison of pairs (a, b), from the texts; a is the hub that its partners meet in lanes."""
     partners = pairs.groupBy(F.col("a").alias("hub")).agg(F.count(F.lit(1)).alias("n"))
     lanes = F.ceil(F.col("n") / LANE_ROWS).cast("long")
-    hubs = partners.select("hub", F.explode(F.sequence(F.lit(0).cast("long"), lanes - 1)).alias("lane"), F.col("hub").alias("node"))
+    lane = F.explode(F.sequence(F.lit(0).cast("long"), lanes - 1)).alias("lane")
+    hubs = partners.select("hub", lane, F.col("hub").alias("node"))
     met = pairs.join(partners.withColumnRenamed("hub", "a"), "a")
-    members = met.select(F.col("a").alias("hub"), F.pmod(F.xxhash64("b"), lanes).alias("lane"), F.col("b").alias("node"))
+    members = met.select(
+        F.col("a").alias("hub"), F.pmod(F.xxhash64("b"), lanes).alias("lane"), F.col("b").alias("node")
+    )
     roles = hubs.unionByName(members).groupBy("node").agg(F.collect_list(F.struct("hub", "lane")).alias("roles"))
     keyed = nodes.select("node", F.col("key_id").alias("n_id"), F.col("key_hash").alias("n_hash"))
     small = checkpointed(roles.join(keyed, "node"))
     texts = docs.select("doc_id", F.xxhash64("text").alias("h"), "text")
     found = lookup(texts, small, [("doc_id", "n_id"), ("h", "n_hash")], width=F.size("roles"))
-    # A node's lanes grow with its partners; the texts of repeated rows need no second look.
     dealt = (
         found.select("node", "text", F.inline("roles"))
         .repartition("hub", "lane")
-        .sortWithinPartitions("hub", "lane", (F.col("node") != F.col("hub")))
+        .sortWithinPartitions("hub", "lane", (F.col("node") != F.col("hub")), "node")
     )
-    return checkpointed(dealt.mapInArrow(_verify(words, percent), "a long, b long").distinct())
+    return checkpointed(dealt.mapInArrow(_compare(words, percent, differences), _COMPARED))
 
 
 def _shared_buckets(nodes: DataFrame) -> DataFrame:
@@ -288,8 +394,11 @@ def _open_buckets(shared: DataFrame, best: DataFrame, comps: DataFrame) -> DataF
     return checkpointed(lookup(placed.drop("met"), checkpointed(still), [("bucket", "of")]).drop("of"))
 
 
-def _second_round(members: DataFrame, nodes: DataFrame, threshold: float, miss: float) -> DataFrame:
-    """Candidates of the open buckets. Blocks x of the rest meet each other (y >= 0) and the groups of the base (y < 0)."""
+def _dealt(members: DataFrame) -> DataFrame:
+    """(bucket, node, comp, x, y, side): members dealt to pairs of blocks.
+
+    Blocks x of the rest meet each other (y >= 0) and the blocks of the base (y < 0).
+    """
     blocks = F.ceil(F.col("rest") / BLOCK).cast("int")
     spot = F.xxhash64(F.col("node"), F.lit("block"))
     rest = members.filter("comp <> base").withColumn("own", F.pmod(spot, blocks).cast("int"))
@@ -305,23 +414,21 @@ def _second_round(members: DataFrame, nodes: DataFrame, threshold: float, miss:
     sizes = base.groupBy(F.col("bucket").alias("of")).agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("groups"))
     sizes = checkpointed(sizes)
     base = lookup(base, sizes, [("bucket", "of")]).withColumn("y", -1 - F.pmod(spot, F.col("groups")).cast("int"))
-    to_base = F.sequence(F.lit(-1), -F.col("groups"), F.lit(-1))
-    dealt = (
+    to_base = F.explode(F.sequence(F.lit(-1), -F.col("groups"), F.lit(-1))).alias("y")
+    to_rest = F.explode(F.sequence(F.lit(0), blocks - 1)).alias("x")
+    first, second = F.lit(1).alias("side"), F.lit(2).alias("side")
+    resting = lookup(rest, sizes, [("bucket", "of")])
+    return (
         rest.select("bucket", "node", "comp", F.inline(meets))
-        .unionByName(
-            lookup(rest, sizes, [("bucket", "of")]).select(
-                "bucket", "node", "comp", F.col("own").alias("x"), F.explode(to_base).alias("y"), F.lit(1).alias("side")
-            )
-        )
-        .unionByName(
-            base.select(
-                "bucket", "node", "comp", F.explode(F.sequence(F.lit(0), blocks - 1)).alias("x"), "y", F.lit(2).alias("side")
-            )
-        )
+        .unionByName(resting.select("bucket", "node", "comp", F.col("own").alias("x"), to_base, first))
+        .unionByName(base.select("bucket", "node", "comp", to_rest, "y", second))
     )
-    signed = dealt.join(nodes.select("node", "signature"), "node")
-    pairs = signed.groupBy("bucket", "x", "y").applyInArrow(_prune_blocks(threshold, miss), "a long, b long")
-    return checkpointed(pairs.distinct())
+
+
+def _in_blocks(members: DataFrame, payload: DataFrame, function) -> DataFrame:
+    dealt = _dealt(members).join(payload, "node").repartition("bucket", "x", "y")
+    edges = dealt.sortWithinPartitions("bucket", "x", "y").mapInArrow(_by_group(function), "a long, b long")
+    return checkpointed(edges.distinct())
 
 
 def near_groups(
@@ -391,10 +498,29 @@ def _links(
     nodes = classes.select("node", "key_id", "key_hash", "signature")
     shared = _shared_buckets(nodes)
     best = _best_heads(shared)
-    first = _verified(docs, nodes, _pruned(best, nodes, threshold, miss), words, percent)
-    members = _open_buckets(shared, best, components(first))
-    second = _verified(docs, nodes, _second_round(members, nodes, threshold, miss), words, percent)
-    return first.unionByName(second)
+    families = components(_pruned(best, nodes, threshold, miss))
+    to_root = families.filter("node <> root").select(F.col("root").alias("a"), F.col("node").alias("b"))
+    compared = _compared(docs, nodes, to_root, words, percent, differences=True)
+    links = compared.filter("linked").select(F.col("hub").alias("a"), F.col("node").alias("b"))
+    # In a family, what is linked to the root is the base; the root itself has met everything.
+    counts = compared.groupBy(F.col("hub").alias("of")).agg(F.sum(F.when(F.col("linked"), 0).otherwise(1)).alias("rest"))
+    unlinked = checkpointed(counts.filter("rest > 0"))
+    members = lookup(compared, unlinked, [("hub", "of")]).select(
+        F.col("hub").alias("bucket"),
+        "node",
+        F.when(F.col("linked"), F.col("hub")).otherwise(F.col("node")).alias("comp"),
+        F.col("hub").alias("base"),
+        "rest",
+    )
+    payload = compared.select("node", "n_root", "n_own", "plus", "minus").join(nodes.select("node", "signature"), "node")
+    inside = _in_blocks(members, payload, _exact_blocks(threshold, miss, percent))
+    across = _in_blocks(
+        _open_buckets(shared, best, families), nodes.select("node", "signature"), _prune_blocks(threshold, miss)
+    )
+    verified = _compared(docs, nodes, across, words, percent, differences=False).filter("linked")
+    return (
+        links.unionByName(inside).unionByName(verified.select(F.col("hub").alias("a"), F.col("node").alias("b")))
+    )
 
 
 def drop_near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
