@@ -219,23 +219,23 @@ def merged(runs: Column) -> Column:
 
 
 def _cut_runs(text_at: int, runs_at: int, kept: int):
-    """Rewrites the text without the lines of its runs; adds counts of lines and words."""
+    """Rewrites the text without the lines of its runs; adds counts of the lines and words that went."""
 
     def run(batches):
         for batch in batches:
             texts = batch.column(text_at).to_pylist()
-            out, n_lines, gone_lines, gone_words = [], [], [], []
+            out, gone_lines, gone_words = [], [], []
             for text, runs in zip(texts, batch.column(runs_at).to_pylist(), strict=True):
-                lines = cut_lines(text or "")
+                if not runs:
+                    out.append(text)
+                    gone_lines.append(0)
+                    gone_words.append(0)
+                    continue
+                lines = cut_lines(text)
                 # Runs count the lines that have words; what lies between them goes too.
-                worded = [i for i, x in enumerate(lines) if x.split()] if runs else []
-                gone = {
-                    i
-                    for r in runs or []
-                    for i in range(worded[r["first_line"]], worded[r["last_line"]] + 1)
-                }
-                out.append("".join(x for i, x in enumerate(lines) if i not in gone) if gone else text)
-                n_lines.append(len(lines))
+                worded = [i for i, x in enumerate(lines) if x.split()]
+                gone = {i for r in runs for i in range(worded[r["first_line"]], worded[r["last_line"]] + 1)}
+                out.append("".join(x for i, x in enumerate(lines) if i not in gone))
                 gone_lines.append(len(gone))
                 gone_words.append(sum(len(lines[i].split()) for i in gone))
             columns = [batch.column(i) for i in range(kept)]
@@ -243,26 +243,24 @@ def _cut_runs(text_at: int, runs_at: int, kept: int):
             yield pa.RecordBatch.from_arrays(
                 [
                     *columns,
-                    pa.array(n_lines, pa.int32()),
                     pa.array(gone_lines, pa.int32()),
                     pa.array(gone_words, pa.int32()),
                 ],
-                names=[*batch.schema.names[:kept], "line_count", "dropped_lines", "dropped_words"],
+                names=[*batch.schema.names[:kept], "dropped_lines", "dropped_words"],
             )
 
     return run
 
 
 def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """The documents with later repeated runs cut out of `text`, and three counts added.
+    """The documents with later repeated runs cut out of `text`, and two counts added.
 
-    line_count is that of the original text; dropped_lines and dropped_words count what
-    went. Needs doc_id and text; columns with the names of the counts are replaced, others
+    dropped_lines and dropped_words count what went. Needs doc_id and text; columns with the names of the counts are replaced, others
     stay. Null and empty texts stay as they are. Rows that agree in doc_id and text are
     one document and keep the same lines. Line ends go with their lines; nothing else of
     a text changes. Empty in, empty out.
     """
-    docs = docs.drop("line_count", "dropped_lines", "dropped_words")
+    docs = docs.drop("dropped_lines", "dropped_words")
     names = docs.columns
     runs = checkpointed(repeated_lines(docs, min_words))
     text_hash = fresh(docs, "__hash")
@@ -277,5 +275,5 @@ def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
         hashed, small, [("doc_id", key_id), (text_hash, key_hash)], how="left", width=F.size(key_runs)
     ).select(*names, key_runs)
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    counted = f"{schema}, line_count int, dropped_lines int, dropped_words int"
+    counted = f"{schema}, dropped_lines int, dropped_words int"
     return met.mapInArrow(_cut_runs(names.index("text"), len(names), len(names)), counted)

@@ -33,12 +33,12 @@ GRAMS = (3, 4, 5)
 BUCKETS = 1 << 19
 DIMENSIONS = 2
 STEPS = 80
-LEAST_DOCS = 25
+LEAST_DOCS = 30
 CALIBRATE = 6
 SHARPNESS = (0.3, 3.0)
-#: Bounds of the training sample: documents per label, and windows of one document per label.
-SAMPLE_DOCS = {0: 2500, 1: 1000}
-SAMPLE_WINDOWS = {0: 300, 1: 300}
+#: Bounds of the training sample: documents per label, and windows of one document per label, spread over its text.
+SAMPLE_DOCS = {0: 2500, 1: 800}
+SAMPLE_WINDOWS = {0: 160, 1: 200}
 FOLDS = 5
 #: Words whose sums a task keeps before it starts afresh.
 CACHED_WORDS = 400_000
@@ -80,9 +80,9 @@ def _sample_windows(batches) -> Iterator[pa.RecordBatch]:
             words, most = words_of(text), SAMPLE_WINDOWS[toxic]
             starts = window_starts(len(words))
             step = -(-len(starts) // most)
-            found.append([" ".join(words[s : s + WINDOW]) for s in starts[::step]])
+            found.append("\n".join(" ".join(words[s : s + WINDOW]) for s in starts[::step]))
         yield pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), batch.column("toxic"), pa.array(found, pa.list_(pa.string()))],
+            [batch.column("doc_id"), batch.column("toxic"), pa.array(found, pa.string())],
             names=["doc_id", "toxic", "windows"],
         )
 
@@ -106,8 +106,8 @@ def training_sample(docs: DataFrame, known: DataFrame) -> list[tuple[int, int, l
     ]
     chosen = parts[0].unionByName(parts[1])
     texts = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
-    rows = texts.mapInArrow(_sample_windows, "doc_id long, toxic int, windows array<string>").collect()
-    return sorted((r["doc_id"], r["toxic"], list(r["windows"])) for r in rows)
+    rows = texts.mapInArrow(_sample_windows, "doc_id long, toxic int, windows string").collect()
+    return sorted((r["doc_id"], r["toxic"], r["windows"].split("\n")) for r in rows)
 
 
 @dataclass(frozen=True)
@@ -147,23 +147,15 @@ class _Bags:
         ids = [x or [place.setdefault("", len(place))] for x in ids]
         per_word = [grams(w) for w in place]
         self.word_sizes = np.array([len(g) for g in per_word])
-        self.grams = np.array([g for word in per_word for g in word])
-        self.word_of_gram = np.repeat(np.arange(len(per_word)), self.word_sizes)
+        self.grams = np.fromiter((g for word in per_word for g in word), dtype=np.int32)
+        self.word_of_gram = np.repeat(np.arange(len(per_word), dtype=np.int32), self.word_sizes)
         sizes = np.array([len(x) for x in ids])
-        self.words = np.array([w for x in ids for w in x])
-        self.window_of_word = np.repeat(np.arange(len(ids)), sizes)
+        self.words = np.fromiter((w for x in ids for w in x), dtype=np.int32)
+        self.window_of_word = np.repeat(np.arange(len(ids), dtype=np.int32), sizes)
         # A bucket that few documents hold says more about them than about the label; its embedding stays zero.
         pairs = np.unique(self.words.astype(np.int64) + len(per_word) * doc[self.window_of_word])
-        word_docs = pairs % len(per_word)
-        gram_doc = np.repeat(pairs // len(per_word), self.word_sizes[word_docs])
-        first = np.concatenate([[0], self.word_sizes.cumsum()])
-        offset = np.arange(len(gram_doc)) - np.repeat(
-            self.word_sizes[word_docs].cumsum() - self.word_sizes[word_docs], self.word_sizes[word_docs]
-        )
-        gram = self.grams[np.repeat(first[word_docs], self.word_sizes[word_docs]) + offset]
-        seen = np.unique(gram.astype(np.int64) + BUCKETS * gram_doc)
-        owners = np.bincount(seen % BUCKETS, minlength=BUCKETS)
-        self.known = owners >= LEAST_DOCS
+        word_docs = np.bincount(pairs % len(per_word), minlength=len(per_word))
+        self.known = np.bincount(self.grams, word_docs[self.word_of_gram], BUCKETS) >= LEAST_DOCS
         self.totals = np.bincount(self.window_of_word, self.word_sizes[self.words], len(ids))
 
     def average(self, table: np.ndarray) -> np.ndarray:
