@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import json
 import math
 from collections.abc import Iterator
 
@@ -106,13 +107,7 @@ def _order() -> Column:
     )
 
 
-def _literal(key) -> Column:
-    return F.struct(
-        F.lit(key["n"]).alias("n"), F.lit(key["o"]).cast("long").alias("o"), F.lit(key["h"]).cast("long").alias("h")
-    )
-
-
-def with_next(docs: DataFrame) -> tuple[DataFrame, int]:
+def with_next(docs: DataFrame) -> DataFrame:
     """The documents dealt to ranges of their order, each range with the first row of the next as a guest.
 
     Columns: spot (number of the range), guest, key, doc_id, text; rows are sorted by
@@ -124,23 +119,17 @@ def with_next(docs: DataFrame) -> tuple[DataFrame, int]:
     ranges = min(4 * int(spark.conf.get("spark.sql.shuffle.partitions")), 512)
     sample = keyed.select("key").orderBy(F.xxhash64("key.o", "key.h"), "key").limit(SAMPLED * ranges).collect()
     found = sorted({(r["key"]["n"], r["key"]["o"] or 0, r["key"]["h"]): r["key"] for r in sample}.items())
-    cuts = [found[i * len(found) // ranges][1] for i in range(1, ranges)] if found else []
-    kind = "array<struct<n:boolean,o:bigint,h:bigint>>"
-    listed = F.array(*map(_literal, cuts)).cast(kind)
-    spot = F.size(F.filter(listed, lambda c: c <= F.col("key"))).cast("int") if cuts else F.lit(0)
-    placed = keyed.withColumn("spot", spot)
+    cuts = [found[i * len(found) // ranges][1].asDict() for i in range(1, ranges)] if found else []
+    listed = F.from_json(F.lit(json.dumps(cuts)), "array<struct<n:boolean,o:bigint,h:bigint>>")
+    placed = keyed.withColumn("spot", F.size(F.filter(listed, lambda c: c <= F.col("key"))).cast("int"))
     firsts = sorted(placed.groupBy("spot").agg(F.min("key").alias("key")).collect(), key=lambda r: r["spot"])
     # The first row of a range also visits the range before it, that of the first range the last one.
-    before = {r["spot"]: firsts[i - 1]["spot"] for i, r in enumerate(firsts)}
-    visit = F.lit(None).cast("int")
-    for row in firsts:
-        is_first = (F.col("spot") == row["spot"]) & (F.col("key") == _literal(row["key"]))
-        visit = F.when(is_first, F.lit(before[row["spot"]])).otherwise(visit)
+    visits = [(r["spot"], tuple(r["key"]), firsts[i - 1]["spot"]) for i, r in enumerate(firsts)]
+    table = spark.createDataFrame(visits, "at int, first struct<n:boolean,o:bigint,h:bigint>, visit int")
+    met = placed.join(F.broadcast(table), F.col("spot") == F.col("at"))
     at_home = F.struct(F.col("spot").alias("spot"), F.lit(False).alias("guest"))
-    places = F.when(visit.isNull(), F.array(at_home)).otherwise(
-        F.array(at_home, F.struct(visit.alias("spot"), F.lit(True).alias("guest")))
-    )
-    dealt = placed.withColumn("places", places).select("doc_id", "text", "key", F.inline("places"))
+    places = F.when(F.col("key") == F.col("first"), F.array(at_home, F.struct(F.col("visit").alias("spot"), F.lit(True).alias("guest"))))
+    dealt = met.select("doc_id", "text", "key", F.inline(places.otherwise(F.array(at_home))))
     return dealt.repartition("spot").sortWithinPartitions("spot", "guest", "key")
 
 
