@@ -21,7 +21,6 @@ import hashlib
 import json
 import unicodedata
 import zlib
-from collections import Counter
 from collections.abc import Iterator
 from functools import cache
 from pathlib import Path
@@ -37,12 +36,12 @@ from tokenizers import Tokenizer
 
 from kpiloom.llm.common import checkpointed
 
-#: UTF-8 bytes of text that make a chunk; its dictionary and positions are held by a task.
-CHUNK_BYTES = 24 << 20
+#: Characters of text that make a chunk; its dictionary and positions are held by a task.
+CHUNK_BYTES = 36 << 20
 #: Documents whose positions travel together.
-GROUP = 256
+GROUP = 1024
 #: Parts of the word table; a bucket's distinct words are held by a task, up to HELD_WORDS.
-BUCKETS = 128
+BUCKETS = 64
 HELD_WORDS = 500_000
 #: Entries of a vocabulary up to which its table is broadcast.
 MAX_VOCABULARY = 1_000_000
@@ -154,7 +153,6 @@ class _Chunk:
     def __init__(self, number: int):
         self.number, self.bytes = number, 0
         self.codes: dict[str, int] = {}
-        self.counts: Counter = Counter()
         self.docs: list[tuple[int | None, np.ndarray]] = []
 
     def add(self, doc_id: int | None, words: list[str], size: int) -> None:
@@ -165,11 +163,8 @@ class _Chunk:
 
     def rows(self) -> Iterator[dict]:
         # Frequent words get small codes, which compress well.
-        used = np.zeros(len(self.codes), dtype=np.int64)
-        for _, found in self.docs:
-            used += np.bincount(found, minlength=len(used)) if len(found) * 8 > len(used) else 0
-            if len(found) * 8 <= len(used):
-                np.add.at(used, found, 1)
+        every = np.concatenate([np.zeros(0, np.uint32), *(found for _, found in self.docs)])
+        used = np.bincount(every, minlength=len(self.codes))
         order = np.argsort(-used, kind="stable")
         rank = np.empty(len(order), dtype=np.uint32)
         rank[order] = np.arange(len(order), dtype=np.uint32)
@@ -227,7 +222,7 @@ def _split(definition):
     return run
 
 
-_IDS = "chunk long, seq int, codes binary, sizes binary, ids binary, used array<int>"
+_IDS = "chunk long, seq int, codes binary, sizes binary, ids binary"
 
 
 def _encode(definition):
@@ -254,7 +249,6 @@ def _encode(definition):
                         "codes": row["codes"],
                         "sizes": _pack(np.array([len(x) for x in ids])),
                         "ids": _pack(flat),
-                        "used": np.unique(flat).astype(np.int32),
                     }
                 )
             yield pa.RecordBatch.from_pylist(rows, schema=_IDS_TYPES)
@@ -269,11 +263,20 @@ _IDS_TYPES = pa.schema(
         ("codes", pa.binary()),
         ("sizes", pa.binary()),
         ("ids", pa.binary()),
-        ("used", pa.list_(pa.int32())),
     ]
 )
 
 
+def _used(batches) -> Iterator[pa.RecordBatch]:
+    """The ids that occur in a row, once each."""
+    for batch in batches:
+        for chunk, blob in zip(batch.column("chunk").to_pylist(), batch.column("ids").to_pylist(), strict=True):
+            ids = np.unique(_unpack(blob)).astype(np.int32)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.full(len(ids), chunk, np.int64)), pa.array(ids)], names=["chunk", "id"]
+            )
+
+
 class _Dictionary:
     """Ids, their decimals, and the decoded bytes of a chunk's words, by code."""
 
@@ -371,7 +374,7 @@ def round_trip(docs: DataFrame, path: str, full: bool = True) -> DataFrame:
     encoded = checkpointed(
         words.repartition("seq").sortWithinPartitions("seq", "chunk").mapInArrow(_encode(definition), _IDS)
     )
-    used = encoded.select("chunk", F.explode("used").alias("id")).distinct()
+    used = encoded.select("chunk", "ids").mapInArrow(_used, "chunk long, id int").distinct()
     pieces = (
         used.join(F.broadcast(vocabulary(spark, text)), "id")
         .groupBy("chunk")
