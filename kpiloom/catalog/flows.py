@@ -287,12 +287,14 @@ def json_cancel(spark, sf_dir):
 )
 def envelope_day(spark, sf_dir):
     sales = d.sales_envelopes(spark, sf_dir)
-    days = (
-        envelope_flow.business_day(sales),
-        envelope_flow.business_day(d.cancel_envelopes(spark, sf_dir), "Status_Date"),
-        envelope_flow.business_day(sales.withColumn("orders", F.filter("orders", lambda _: F.lit(False)))),
-    )
-    return spark.createDataFrame([days], "sales_day date, cancel_day date, file_day date")
+    days = {
+        "sales_day": envelope_flow.business_days(sales),
+        "cancel_day": envelope_flow.business_days(d.cancel_envelopes(spark, sf_dir), "Status_Date"),
+        "file_day": envelope_flow.business_days(sales.withColumn("orders", F.filter("orders", lambda _: F.lit(False)))),
+    }
+    each = [df.select(F.lit(name).alias("name"), "d") for name, df in days.items()]
+    rows = each[0].unionByName(each[1]).unionByName(each[2])
+    return rows.agg(*[F.max(F.when(F.col("name") == name, F.col("d"))).alias(name) for name in days])
 
 
 # ---------------------------------------------- envelope vendor, recovery

@@ -300,11 +300,7 @@ def order_total_window(spark, sf_dir):
 )
 def business_date(spark, sf_dir):
     orders = table(spark, sf_dir, "orders").withColumn("t", F.date_format("o_orderdate", dates.OUTPUT_TIME))
-    found = [
-        (status, relational.business_date(orders.filter(F.col("o_orderstatus") == status), "t"))
-        for status in ["F", "O", "P"]
-    ]
-    return spark.createDataFrame(found, "o_orderstatus string, business_date date")
+    return orders.groupBy("o_orderstatus").agg(relational.earliest_date("t").alias("business_date"))
 
 
 _ROUTE = f"WITH {d.SQL_O} SELECT k AS o_orderkey, {{date}} AS cancel_date FROM o WHERE st {{test}} 'P'"
@@ -358,10 +354,13 @@ def in_between(spark, sf_dir):
     )
 
 
-@query("schema_only", "SELECT count(*) AS rows_kept, false AS any_row FROM orders WHERE 1 <> 1")
+@query("schema_only", "SELECT count(*) AS rows_kept, false AS any_row, count(*) > 0 AS any_order FROM orders")
 def schema_only(spark, sf_dir):
-    none = relational.empty_like(table(spark, sf_dir, "orders"))
-    return none.agg(F.count(F.lit(1)).alias("rows_kept")).withColumn("any_row", F.lit(has_rows(none)))
+    """The empty frame of a table's schema adds no row to the table."""
+    orders = table(spark, sf_dir, "orders")
+    none = relational.empty_like(orders)
+    counted = none.unionByName(orders).agg(F.count(F.lit(1)).alias("rows_kept"))
+    return counted.withColumn("any_row", F.lit(has_rows(none))).withColumn("any_order", F.lit(has_rows(orders)))
 
 
 @query(

@@ -177,7 +177,7 @@ def csv_roundtrip(spark, sf_dir):
         F.concat("c_name", F.lit("|"), "c_mktsegment").alias("label"),
         F.when(F.col("c_nationkey") != 3, text.fmt2(F.col("c_acctbal"))).alias("balance"),
     )
-    export.export_csv(rows, path, sep="|", rows_per_file=1000)
+    export.export_csv(rows, path, sep="|", files=4)
     back = contracts.text_struct(["key", "label", "balance"])
     return spark.read.schema(back).options(sep="|", quote="", header=True, lineSep="\r\n").csv(path)
 
@@ -257,6 +257,49 @@ def history_upsert(spark, sf_dir):
     return _shown(history_flow.read_history(spark, root, "header", schema))
 
 
+@query(
+    "history_upsert_payment",
+    """
+SELECT 'T' || o_orderkey AS Transaction_Nbr, unnest(['Card', 'Points']) AS Tender,
+  unnest([o_totalprice, o_custkey::DOUBLE]) AS amount
+FROM orders
+""",
+)
+def history_upsert_payment(spark, sf_dir):
+    """Orders with two tenders, loaded twice under one stamp: both payments of the last load stay."""
+    root = work_folder(spark, "payments")
+    orders = table(spark, sf_dir, "orders")
+    tender = F.explode(F.array(F.struct(F.lit("Card").alias("t"), F.col("o_totalprice").alias("a")),
+                               F.struct(F.lit("Points").alias("t"), F.col("o_custkey").cast("double").alias("a"))))
+    rows = orders.select(
+        F.lit("s").alias("eCom_Store_ID"),
+        F.expr("concat('T', o_orderkey)").alias("Transaction_Nbr"),
+        F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss").alias("Order_Date"),
+        tender.alias("p"),
+    ).select("eCom_Store_ID", "Transaction_Nbr", "Order_Date", F.col("p.t").alias("Tender"), F.col("p.a").alias("Tender_Amt"))
+    for change in (1, 0):
+        batch = rows.withColumn("Tender_Amt", F.col("Tender_Amt") + F.lit(change))
+        history_flow.load_fact(batch, root, "payment", deduplicate=False, now=_DAY_1)
+    current = history_flow.read_history(spark, root, "payment", rows.schema)
+    return current.select("Transaction_Nbr", "Tender", F.col("Tender_Amt").alias("amount"))
+
+
+@query(
+    "quarantine_repeated",
+    f"""
+WITH {_H}
+SELECT Transaction_Nbr, p AS net, DATE '2024-05-01' AS day, false AS mandatory_field_check FROM h WHERE NOT ok AND st <> 'P'
+""",
+)
+def quarantine_repeated(spark, sf_dir):
+    """A batch that is loaded twice is quarantined once."""
+    root = work_folder(spark, "repeated")
+    batch = _header_batch(spark, sf_dir, True, 0)
+    for now in (_DAY_1, _DAY_2):
+        history_flow.load_fact(batch, root, "header", now=now)
+    return _shown(history_flow.read_history(spark, root, "header", batch.schema, kind="error"))
+
+
 @query(
     "quarantine_rows",
     f"""
@@ -302,7 +345,8 @@ def history_current(spark, sf_dir):
     events = table(spark, sf_dir, "events").select("user_id", "event_type", "event_id", F.to_date("ts").alias("day"))
     daily = history.one_per_key(events, ["user_id", "event_type", "day"])
     path = work_folder(spark, "versions")
-    stamped = daily.withColumn(history.STAMP, F.col("day").cast("timestamp")).withColumnRenamed("day", history.PARTITION)
+    stamped = daily.withColumn(history.STAMP, F.col("day").cast("timestamp")).withColumn(history.LOAD, F.lit(1).cast("long"))
+    stamped = stamped.withColumnRenamed("day", history.PARTITION)
     history.append(stamped, path)
     rows = history.current(history.read_table(spark, path, stamped.schema), ["user_id", "event_type"])
     return rows.select("user_id", "event_type", "event_id")
@@ -327,7 +371,7 @@ def stream_once(spark, sf_dir):
 
     def land(portion, name):
         portion.select("value").write.text(f"{root}/landing/{name}")
-        export.publish_files(spark, f"{root}/landing/{name}", inbound, name, suffix=".txt")
+        export.publish_files(spark, f"{root}/landing/{name}", inbound, name, suffix=".txt", numbered=True)
 
     open_order = F.col("value").contains("&CANCEL_DATE=&")
     for name, portion in [("a", feed.filter(open_order)), ("b", feed.filter(~open_order))]:

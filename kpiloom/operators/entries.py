@@ -72,20 +72,11 @@ def with_record_id(df: DataFrame, text: str = "value", source: str | None = None
     counted = df.groupBy(*group).agg(F.count(F.lit(1)).alias("__copies"))
     digest = F.sha2(F.concat_ws("\u001f", *[F.col(c) for c in reversed(group)]), 256)
 
-    def numbered(rows: DataFrame, first: Column, last: Column) -> DataFrame:
-        ids = explode_range(rows, first, last, "__copy")
-        return ids.select(F.concat_ws("-", digest, F.col("__copy").cast("string")).alias(RECORD_ID), *group)
-
-    copies = F.col("__copies")
-    few = numbered(counted.filter(copies <= COPIES_PER_TASK), F.lit(1), copies)
+    copies, first = F.col("__copies"), F.col("__from")
     starts = F.sequence(F.lit(1).cast("long"), copies, F.lit(COPIES_PER_TASK).cast("long"))
-    spread = (
-        counted.filter(copies > COPIES_PER_TASK)
-        .withColumn("__from", F.explode(starts))
-        .repartition(*group, "__from")
-    )
-    many = numbered(spread, F.col("__from"), F.least(copies, F.col("__from") + F.lit(COPIES_PER_TASK - 1)))
-    return few.unionByName(many)
+    spread = counted.withColumn("__from", F.explode(starts)).repartition(*group, "__from")
+    ids = explode_range(spread, first, F.least(copies, first + F.lit(COPIES_PER_TASK - 1)), "__copy")
+    return ids.select(F.concat_ws("-", digest, F.col("__copy").cast("string")).alias(RECORD_ID), *group)
 
 
 def record_entries(records: DataFrame, text: str = "value", decode_first: bool = False) -> DataFrame:

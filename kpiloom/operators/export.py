@@ -1,14 +1,12 @@
 """Delimited files for the receiving system.
 
-A fact is one file, as the receiver expects, as long as it has at most
-`rows_per_file` rows. A larger one becomes several numbered files, written in
-parallel; no export goes through a single task or the driver as a whole.
+A fact is one file, as the receiver expects, or as many numbered files as the caller
+asks for, written in parallel. The names follow from that number and not from the rows.
 """
 
 from __future__ import annotations
 
 from datetime import date
-from math import ceil
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,8 +16,6 @@ from kpiloom import contracts
 from kpiloom.operators.relational import business_date
 from kpiloom.session import file_system, landed, remove_folder
 
-ROWS_PER_FILE = 5_000_000
-
 # No quoting, CRLF, '' for NULL and for the empty text.
 _DIALECT = {
     "lineSep": "\r\n",
@@ -43,10 +39,8 @@ def separator_safe(c: Column, sep: str, on_clash: str = "replace") -> Column:
     raise ValueError(f"unknown clash policy: {on_clash}")
 
 
-def export_csv(
-    df: DataFrame, path: str, sep: str = ",", on_clash: str = "replace", rows_per_file: int = ROWS_PER_FILE
-) -> int:
-    """Writes the frame below `path` and gives the number of files."""
+def export_csv(df: DataFrame, path: str, sep: str = ",", on_clash: str = "replace", files: int = 1) -> None:
+    """Writes the frame below `path` in so many files, or fewer if there are fewer rows."""
     safe = df.select(
         *[
             separator_safe(F.col(f.name), sep, on_clash).alias(f.name)
@@ -55,19 +49,21 @@ def export_csv(
             for f in df.schema
         ]
     )
-    files = max(1, ceil(df.count() / rows_per_file))
     safe.repartition(files).write.mode("overwrite").options(sep=sep, **_DIALECT).csv(path)
-    return files
 
 
-def publish_files(spark: SparkSession, staged: str, folder: str, base: str, suffix: str = ".csv") -> list[str]:
-    """Moves the staged part files to `<folder>/<base>.csv`, or `<base>-00001.csv` and so on.
+def publish_files(
+    spark: SparkSession, staged: str, folder: str, base: str, suffix: str = ".csv", numbered: bool = False
+) -> list[str]:
+    """Moves the staged part file to `<folder>/<base>.csv`, or `numbered` ones to `<base>-00001.csv` and so on.
 
     Files of an earlier run under the same name are replaced.
     """
     fs, path = file_system(spark, folder)
     parts = sorted(str(s.getPath()) for s in fs.globStatus(path(f"{staged}/part-*")))
-    numbers = [""] if len(parts) == 1 else [f"-{i:05d}" for i in range(1, len(parts) + 1)]
+    if len(parts) > 1 and not numbered:
+        raise ValueError(f"{len(parts)} files for one name: {base}{suffix}")
+    numbers = [f"-{i:05d}" for i in range(1, len(parts) + 1)] if numbered else [""]
     fs.mkdirs(path(folder))
     for pattern in (f"{base}{suffix}", f"{base}-[0-9][0-9][0-9][0-9][0-9]{suffix}"):
         for earlier in fs.globStatus(path(f"{folder}/{pattern}")) or []:
@@ -80,12 +76,12 @@ def publish_files(spark: SparkSession, staged: str, folder: str, base: str, suff
     return targets
 
 
-def _write(df: DataFrame, root: str, fact: str, base: str, **options) -> list[str]:
+def _write(df: DataFrame, root: str, fact: str, base: str, files: int = 1, **options) -> list[str]:
     spark = df.sparkSession
     folder = f"{root.rstrip('/')}/{fact}s"
     staged = f"{root.rstrip('/')}/_staging/{fact}s/{base}"
-    export_csv(df, staged, contracts.FILE_SEPARATOR[fact], **options)
-    return publish_files(spark, staged, folder, base)
+    export_csv(df, staged, contracts.FILE_SEPARATOR[fact], files=files, **options)
+    return publish_files(spark, staged, folder, base, numbered=files > 1)
 
 
 def publish(
@@ -101,10 +97,12 @@ def publish(
     """Business-dated export `<prefix>_<region>_<Fact>-<yyyyMMdd>.csv`.
 
     The date is `on_date`, else the earliest order date (status date of
-    cancellations) of the fact, else `fallback`.
+    cancellations) of the fact, else `fallback`. A fact without rows and dates is no file.
     """
     with landed(df, f"export-{fact}") as rows:
         day = on_date or business_date(rows, contracts.BUSINESS_DATE_COLUMN[fact]) or fallback
+        if day is None and rows.isEmpty():
+            return []
         if day is None:
             raise ValueError(f"no business date for {fact}")
         base = f"{prefix}_{region}_{contracts.FILE_WORD[fact]}-{day:%Y%m%d}"

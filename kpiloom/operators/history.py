@@ -4,11 +4,13 @@ The tables only ever grow: every load appends files to one `ingestion_date`
 partition and rewrites nothing, so a load costs what its batch costs, and a
 reader never sees a half-replaced file. An update is a newer version of a key;
 `current` leaves the versions that no later load replaced. Any appendable format
-works; Parquet is the default.
+works; Parquet is the default. Loads are told apart by their stamp and, where a caller
+gives several loads one stamp, by a load number that grows with the clock.
 """
 
 from __future__ import annotations
 
+import time
 from collections.abc import Sequence
 from datetime import date, datetime
 
@@ -23,6 +25,7 @@ from kpiloom.session import folder_exists
 
 STAMP = "ingestion_timestamp"
 PARTITION = "ingestion_date"
+LOAD = "load_number"
 
 
 def table_path(root: str, fact: str, kind: str) -> str:
@@ -31,14 +34,15 @@ def table_path(root: str, fact: str, kind: str) -> str:
 
 
 def with_stamp(df: DataFrame, now: datetime | str | None = None) -> DataFrame:
-    stamped = df.withColumn(STAMP, ingestion_ts(now))
+    stamped = df.withColumn(STAMP, ingestion_ts(now)).withColumn(LOAD, F.lit(time.time_ns()))
     return stamped.withColumn(PARTITION, F.to_date(STAMP))
 
 
 def table_schema(fact_schema: T.StructType) -> T.StructType:
-    """Columns of a fact that carries its check flag, and the two of the load."""
-    fields = [T.StructField(f.name, f.dataType) for f in fact_schema if f.name not in (STAMP, PARTITION)]
-    return T.StructType([*fields, T.StructField(STAMP, T.TimestampType()), T.StructField(PARTITION, T.DateType())])
+    """Columns of a fact that carries its check flag, and the three of the load."""
+    load = [(STAMP, T.TimestampType()), (LOAD, T.LongType()), (PARTITION, T.DateType())]
+    fields = [T.StructField(f.name, f.dataType) for f in fact_schema if f.name not in dict(load)]
+    return T.StructType([*fields, *[T.StructField(name, kind) for name, kind in load]])
 
 
 def ensure_table(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet") -> None:
@@ -92,16 +96,27 @@ def append_new(
     append(fresh.sortWithinPartitions(PARTITION, date_key), path, fmt)
 
 
-def upsert(batch: DataFrame, path: str, keys: Sequence[str], date_key: str, fmt: str = "parquet") -> None:
-    """Appends one valid row per key, as the key's first or next version."""
-    append(one_per_key(split_valid(batch)[0], keys).sortWithinPartitions(PARTITION, date_key), path, fmt)
+def upsert(batch: DataFrame, path: str, date_key: str, fmt: str = "parquet") -> None:
+    """Appends the valid rows, as the first or next version of their keys.
+
+    Rows of a batch that share a key, such as the payments of an order, are its version
+    together; none is dropped.
+    """
+    append(split_valid(batch)[0].sortWithinPartitions(PARTITION, date_key), path, fmt)
 
 
 def quarantine(batch: DataFrame, history: DataFrame, path: str, keys: Sequence[str], fmt: str = "parquet") -> None:
-    """Appends the invalid rows whose key is neither in the history nor valid in the batch itself."""
+    """Appends the invalid rows whose key is neither in the history nor valid in the batch itself.
+
+    A row that an earlier load quarantined is not added again, so a repeated batch adds none.
+    """
     valid, invalid = split_valid(batch)
     known = history.select(*keys).unionByName(valid.select(*keys))
-    append(not_in_history(invalid, known, keys), path, fmt)
+    fields = [F.col(c) for c in batch.columns if c not in (STAMP, LOAD, PARTITION)]
+    digest = F.sha2(F.to_json(F.struct(*fields)), 256).alias("__row")
+    earlier = read_table(batch.sparkSession, path, batch.schema, fmt).select(digest).distinct()
+    fresh = not_in_history(invalid, known, keys).withColumn("__row", digest)
+    append(fresh.join(earlier, "__row", "left_anti").drop("__row"), path, fmt)
 
 
 def current(history: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -110,7 +125,8 @@ def current(history: DataFrame, keys: Sequence[str]) -> DataFrame:
     Only keys with more than one load enter the join; in a table that was never
     updated there are none.
     """
-    loads = history.groupBy(*keys).agg(F.max(STAMP).alias("__last"), F.min(STAMP).alias("__first"))
+    version = F.struct(STAMP, LOAD)
+    loads = history.groupBy(*keys).agg(F.max(version).alias("__last"), F.min(version).alias("__first"))
     replaced = loads.filter(F.col("__first") < F.col("__last")).drop("__first")
     # The hash adds nothing to the match, but keeps the join from reusing the shuffle
     # of the aggregate: AQE splits a hot key's partition only where both sides of the
@@ -118,7 +134,8 @@ def current(history: DataFrame, keys: Sequence[str]) -> DataFrame:
     digest = F.xxhash64(*keys).alias("__hash")
     old, new = history.select("*", digest).alias("old"), replaced.select("*", digest).alias("new")
     match = [F.col(f"old.{key}") == F.col(f"new.{key}") for key in [*keys, "__hash"]]
-    return old.join(new, [*match, F.col(f"old.{STAMP}") < F.col("new.__last")], "left_anti").drop("__hash")
+    older = F.struct(f"old.{STAMP}", f"old.{LOAD}") < F.col("new.__last")
+    return old.join(new, [*match, older], "left_anti").drop("__hash")
 
 
 def window_slice(history: DataFrame, keys: Sequence[str], start: date, end: date) -> DataFrame:

@@ -48,9 +48,12 @@ def order_total(df: DataFrame, key: str, amount: Column, name: str) -> DataFrame
     return df.join(totals, F.col(key).eqNullSafe(F.col("__key")), "left").drop("__key")
 
 
-def business_date(df: DataFrame, column: str, fallback: Column | None = None) -> date | None:
-    """Earliest date of an output; else the earliest `fallback` (say, the file's date)."""
+def earliest_date(column: str, fallback: Column | None = None) -> Column:
+    """Aggregate: the earliest date of an output; else the earliest `fallback` (say, the file's date)."""
     earliest = F.min(parse_output_time(F.col(column))).cast("date")
-    if fallback is not None:
-        earliest = F.coalesce(earliest, F.min(fallback))
-    return df.agg(earliest.alias("d")).first().d
+    return earliest if fallback is None else F.coalesce(earliest, F.min(fallback))
+
+
+def business_date(df: DataFrame, column: str, fallback: Column | None = None) -> date | None:
+    """`earliest_date` of all rows, as a value for file names."""
+    return df.agg(earliest_date(column, fallback).alias("d")).first().d

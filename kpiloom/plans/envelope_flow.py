@@ -11,7 +11,7 @@ from kpiloom import contracts
 from kpiloom.functions import codes, dates, measures, text
 from kpiloom.operators import nested
 from kpiloom.operators.joins import join_tender
-from kpiloom.operators.relational import business_date, derive
+from kpiloom.operators.relational import derive, earliest_date
 from kpiloom.plans.facts import to_cancel, to_header, to_line, to_payment
 from kpiloom.session import land
 from kpiloom.sources.readers import SOURCE_FILE
@@ -85,12 +85,16 @@ def build_cancel(orders: DataFrame, tender_map: DataFrame) -> DataFrame:
     return to_cancel(labelled, **columns)
 
 
-def business_day(envelopes: DataFrame, column: str = "Order_Date") -> date | None:
-    """Earliest date in the pages (`Status_Date` for cancellations), else the one in their file names."""
+def business_days(envelopes: DataFrame, column: str = "Order_Date") -> DataFrame:
+    """One row `d`: the earliest date in the pages (`Status_Date` for cancellations), else that of their file names."""
     earliest = F.array_min(F.transform("orders", lambda order: dates.norm_iso(order[column])))
-    return business_date(
-        envelopes.select(earliest.alias("earliest"), SOURCE_FILE), "earliest", dates.file_date(F.col(SOURCE_FILE))
-    )
+    pages = envelopes.select(earliest.alias("earliest"), SOURCE_FILE)
+    return pages.agg(earliest_date("earliest", dates.file_date(F.col(SOURCE_FILE))).alias("d"))
+
+
+def business_day(envelopes: DataFrame, column: str = "Order_Date") -> date | None:
+    """`business_days` as a value for file names."""
+    return business_days(envelopes, column).first().d
 
 
 def sales_facts(envelopes: DataFrame, tender_map: DataFrame, folder: str) -> dict[str, DataFrame]:

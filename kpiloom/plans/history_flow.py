@@ -40,11 +40,13 @@ def load_fact(
         for path in (kept, faulty):
             history.ensure_table(spark, path, batch.schema, fmt)
         # Listed once, before the load: both steps compare with the state up to here.
-        known = history.near_batch(history.read_table(spark, kept, batch.schema, fmt), batch, DATE_KEY)
+        known = history.read_table(spark, kept, batch.schema, fmt)
+        if DATE_KEY in keys:
+            known = history.near_batch(known, batch, DATE_KEY)
         if deduplicate:
             history.append_new(batch, known, kept, keys, DATE_KEY, fmt)
         else:
-            history.upsert(batch, kept, keys, DATE_KEY, fmt)
+            history.upsert(batch, kept, DATE_KEY, fmt)
         history.quarantine(batch, known, faulty, keys, fmt)
 
 
@@ -73,7 +75,7 @@ def read_history(
         spark, history.table_path(root, fact, kind), history.table_schema(checked_schema(fact_schema)), fmt
     )
     rows = history.current(table, keys or contracts.PRIMARY_KEYS[fact]) if kind == "history" else table
-    return rows.drop(history.PARTITION)
+    return rows.drop(history.PARTITION, history.LOAD)
 
 
 def checked_schema(fact_schema: T.StructType) -> T.StructType:
@@ -92,8 +94,12 @@ def export_history(
     start: date | None = None,
     end: date | None = None,
     fmt: str = "parquet",
+    keys: dict[str, list[str]] | None = None,
 ) -> dict[str, list[str]]:
-    """One export per fact of the rows ingested from `start` to `end`, by default yesterday's."""
+    """One export per fact of the rows ingested from `start` to `end`, by default yesterday's.
+
+    `keys` are those the facts were loaded with, where they are not the default ones.
+    """
     yesterday = dates.request_window()[0].date()
     start, end = start or yesterday, end or yesterday
     written = {}
@@ -101,6 +107,7 @@ def export_history(
         table = history.read_table(
             spark, history.table_path(root, fact, "history"), history.table_schema(checked_schema(schema)), fmt
         )
-        rows = history.window_slice(table, contracts.PRIMARY_KEYS[fact], start, end).drop(history.PARTITION)
+        own = (keys or {}).get(fact) or contracts.PRIMARY_KEYS[fact]
+        rows = history.window_slice(table, own, start, end).drop(history.PARTITION, history.LOAD)
         written[fact] = publish_window(render(rows, feed, fact), outbound, fact, region, prefix, start, end)
     return written

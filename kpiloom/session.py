@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -29,23 +28,10 @@ def build_session(app_name: str = "kpiloom", **conf: str) -> SparkSession:
     return builder.getOrCreate()
 
 
-_test_folders: dict[str, str] = {}
-
-
 def shared_folder(spark: SparkSession) -> str:
-    """Folder that every executor can reach, as named by the cluster.
-
-    Only a local session that names none (a unit test) gets a new local folder.
-    """
+    """Folder that every executor can reach: as named by the cluster, else one in the warehouse."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder.rstrip("/")
-    context = spark.sparkContext
-    if not context.master.startswith("local"):
-        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
-    if context.applicationId not in _test_folders:
-        _test_folders[context.applicationId] = tempfile.mkdtemp(prefix="run-", dir="/tmp")
-    return _test_folders[context.applicationId]
+    return folder.rstrip("/") if folder else f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/work"
 
 
 def work_folder(spark: SparkSession, purpose: str) -> str:

