@@ -247,7 +247,7 @@ def exact_groups(docs: DataFrame, moduli=MODULI) -> DataFrame:
     are not read; an empty table gives none.
     """
     prints = checkpointed(fingerprints(docs, moduli).withColumn("rid", F.monotonically_increasing_id()))
-    open_rows, done = prints.withColumn("round", F.lit(0)), None
+    open_rows, done = prints, None
     while True:
         # The best of a group: most code points, smallest doc_id, null last.
         order = F.struct(
@@ -272,19 +272,18 @@ def exact_groups(docs: DataFrame, moduli=MODULI) -> DataFrame:
             .withColumn("keep_id", F.when(grouped, F.col("best_id")).otherwise(F.col("doc_id")))
             .withColumn("keep_rid", F.when(grouped, F.col("best_rid")).otherwise(F.col("rid")))
         )
-        differing = checkpointed(_differing(docs, placed))
-        d = differing.alias("d")
+        differing = checkpointed(_differing(docs, placed).toDF("d_g", "d_id", "d_sha"))
         match = (
-            (F.col("g") == F.col("d.g"))
-            & F.col("doc_id").eqNullSafe(F.col("d.doc_id"))
-            & (F.col("text_sha256") == F.col("d.sha"))
+            (F.col("g") == F.col("d_g"))
+            & F.col("doc_id").eqNullSafe(F.col("d_id"))
+            & (F.col("text_sha256") == F.col("d_sha"))
         )
         none_left = differing.isEmpty()
-        equal = placed if none_left else placed.join(d, match, "left_anti")
+        equal = placed if none_left else placed.join(differing, match, "left_anti")
         done = equal if done is None else done.unionByName(equal)
         if none_left:
             break
-        open_rows = checkpointed(placed.join(d, match, "left_semi").select(prints.columns))
+        open_rows = checkpointed(placed.join(differing, match, "left_semi").select(prints.columns))
     # Counted once more, as rows may have left a group.
     sizes = done.groupBy(F.col("keep_rid").alias("of_rid")).agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     return lookup(done, checkpointed(sizes), [("keep_rid", "of_rid")], how="left").select(
