@@ -245,12 +245,12 @@ def calibrated(model: Model, held: list[tuple[int, int, list[str]]], share: floa
     return Model((model.bucket_odds * a).astype(np.float32), model.bias * a + b)
 
 
-def score(docs: DataFrame, model: Model) -> DataFrame:
-    """The documents with `toxic_score`, from 0 to 1; needs the column text.
+def score(docs: DataFrame, model: Model, name: str = "toxic_score") -> DataFrame:
+    """The documents with a score from 0 to 1 in the column `name`; needs the column text.
 
     Null and empty texts score as the model's bias. A column of this name is replaced.
     """
-    docs = docs.drop("toxic_score")
+    docs = docs.drop(name)
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast((model.bucket_odds, model.bias))
 
@@ -260,9 +260,9 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
         for batch in batches:
             odds = np.array(own.odds(batch.column("text").to_pylist(), cache), dtype=float)
             values = 1 / (1 + np.exp(-np.clip(odds, -50, 50)))
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(values)], names=[*batch.schema.names, "toxic_score"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(values)], names=[*batch.schema.names, name])
 
-    schema = T.StructType([*docs.schema.fields, T.StructField("toxic_score", T.DoubleType())])
+    schema = T.StructType([*docs.schema.fields, T.StructField(name, T.DoubleType())])
     return docs.mapInArrow(run, schema)
 
 
@@ -276,5 +276,5 @@ def learn(docs: DataFrame, labels: DataFrame) -> Model:
 def drop_toxic(docs: DataFrame, labels: DataFrame, threshold: float = 0.5) -> DataFrame:
     """The documents that score below the threshold, columns unchanged."""
     name = fresh(docs, "__toxic")
-    scored = score(docs, learn(docs, labels)).withColumnRenamed("toxic_score", name)
+    scored = score(docs, learn(docs, labels), name)
     return scored.filter(F.col(name) < threshold).select(*docs.columns)
