@@ -85,11 +85,11 @@ def _family(n: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def signature(shingles: np.ndarray, hashes: int = HASHES) -> np.ndarray:
-    """16 bits of each MinHash; stretches of 4,096 shingles bound the memory of long texts."""
+    """16 bits of each MinHash; stretches of 1,024 shingles bound the memory of long texts."""
     a, b = _family(hashes)
     low = np.full(hashes, np.iinfo(np.uint64).max, dtype=_U)
-    for i in range(0, len(shingles), 4096):
-        low = np.minimum(low, (shingles[i : i + 4096, None] * a + b).min(axis=0))
+    for i in range(0, len(shingles), 1024):
+        low = np.minimum(low, (shingles[i : i + 1024, None] * a + b).min(axis=0))
     return _mixed(low).astype(np.uint16)
 
 
