@@ -76,7 +76,8 @@ def test_rows_without_barcode(rows, shuffled):
 
 def test_current_versions(spark, rows, shuffled):
     stamp = F.timestamp_micros(F.when(F.col("k") == "hot", F.monotonically_increasing_id()).otherwise(F.lit(5).cast("long")))
-    current = history.current(rows.withColumn(history.STAMP, stamp), ["k"])
+    table = rows.withColumn(history.STAMP, stamp).withColumn(history.LOAD, F.lit(1).cast("long"))
+    current = history.current(table, ["k"])
     assert current.groupBy("k").count().filter("count > 1").count() == 0
     assert current.count() == ROWS - HOT + 1
     assert "skew=true" in final_plan(current)
