@@ -7,9 +7,10 @@ dictionaries' words are dealt to buckets by hash, where each distinct word is en
 once. The ids go back to the chunks, are joined to the positions, and a document's ids
 are those of its words in turn.
 
-Decoding joins ids to pieces: the ids that occur in a chunk are joined to the table of
-the vocabulary, each word's pieces are put together once, and a document's text is that
-of its positions. `decode` does the same for any ids, a row per position.
+Decoding joins ids to pieces: the table of the vocabulary, whose size is checked, is
+broadcast, the ids of a chunk's words meet it where they are joined back, each word's
+pieces are put together once, and a document's text is that of its positions. `decode`
+does the same for any ids, a row per position.
 
 What travels between the steps is packed: positions and ids as compressed planes of
 bytes, words as compressed lists.
@@ -103,14 +104,20 @@ def byte_alphabet() -> dict[str, int]:
     return {chr(b): b for b in shown} | {chr(256 + i): b for i, b in enumerate(hidden)}
 
 
-def vocabulary(spark: SparkSession, definition: str) -> DataFrame:
-    """(id, piece): the bytes of every id."""
+def piece_table(definition: str) -> dict[int, bytes]:
+    """The bytes of every id of the vocabulary."""
     spec, alphabet = json.loads(definition), byte_alphabet()
     rows = {i: bytes(alphabet[c] for c in piece) for piece, i in spec["model"]["vocab"].items()}
     rows |= {t["id"]: t["content"].encode() for t in spec["added_tokens"]}
     if len(rows) > MAX_VOCABULARY:
         raise ValueError(f"a vocabulary of {len(rows)} entries")
-    return spark.createDataFrame([(i, bytearray(b)) for i, b in sorted(rows.items())], "id int, piece binary")
+    return rows
+
+
+def vocabulary(spark: SparkSession, definition: str) -> DataFrame:
+    """(id, piece): the bytes of every id."""
+    rows = sorted(piece_table(definition).items())
+    return spark.createDataFrame([(i, bytearray(b)) for i, b in rows], "id int, piece binary")
 
 
 def _pack(numbers: np.ndarray) -> bytes:
@@ -267,24 +274,13 @@ _IDS_TYPES = pa.schema(
 )
 
 
-def _used(batches) -> Iterator[pa.RecordBatch]:
-    """The ids that occur in a row, once each."""
-    for batch in batches:
-        for chunk, blob in zip(batch.column("chunk").to_pylist(), batch.column("ids").to_pylist(), strict=True):
-            ids = np.unique(_unpack(blob)).astype(np.int32)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.full(len(ids), chunk, np.int64)), pa.array(ids)], names=["chunk", "id"]
-            )
-
-
 class _Dictionary:
     """Ids, their decimals, and the decoded bytes of a chunk's words, by code."""
 
     def __init__(self):
         self.parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-        self.pieces: dict[int, bytes] = {}
 
-    def ready(self) -> None:
+    def ready(self, pieces: dict[int, bytes]) -> None:
         codes = np.concatenate([c for c, _, _ in self.parts])
         sizes = np.concatenate([s for _, s, _ in self.parts]).astype(np.int64)
         flat = np.concatenate([i for _, _, i in self.parts])
@@ -292,13 +288,13 @@ class _Dictionary:
         self.ids, self.sizes, self.starts = flat, np.zeros(len(codes), np.int64), np.zeros(len(codes), np.int64)
         self.sizes[codes], self.starts[codes] = sizes, starts
         self.decimals, self.bytes = [""] * len(codes), [b""] * len(codes)
-        listed, at, pieces = flat.tolist(), 0, self.pieces
+        listed, at = flat.tolist(), 0
         for code, size in zip(codes.tolist(), sizes.tolist(), strict=True):
             own = listed[at : at + size]
             self.decimals[code] = ",".join(map(str, own))
             self.bytes[code] = b"".join([pieces[i] for i in own])
             at += size
-        self.parts, self.pieces = [], {}
+        self.parts = []
 
     def ids_of(self, codes: np.ndarray) -> np.ndarray:
         sizes = self.sizes[codes]
@@ -306,27 +302,25 @@ class _Dictionary:
         return self.ids[np.repeat(self.starts[codes] - before, sizes) + np.arange(sizes.sum())]
 
 
-def _join_back(full: bool):
-    """Streams (ids, pieces, positions) of chunk after chunk; one chunk's dictionary is held."""
+def _join_back(pieces, full: bool):
+    """Streams (ids, positions) of chunk after chunk; one chunk's dictionary is held."""
 
     def run(batches):
         chunk, held, open_ = None, _Dictionary(), True
         for batch in batches:
-            columns = {c: batch.column(c) for c in ("kind", "chunk", "doc_ids", "sizes", "codes", "ids", "piece_ids", "pieces")}
+            columns = {c: batch.column(c) for c in ("kind", "chunk", "doc_ids", "sizes", "codes", "ids")}
             for i in range(batch.num_rows):
                 value = {c: x[i].as_py() for c, x in columns.items()}
                 if value["chunk"] != chunk:
                     chunk, held, open_ = value["chunk"], _Dictionary(), True
-                if value["kind"] == 0:
+                if value["kind"] == WORDS_OF_CHUNK:
                     codes = _unpack(value["codes"]).cumsum()
                     held.parts.append((codes, _unpack(value["sizes"]), _unpack(value["ids"])))
-                elif value["kind"] == 1:
-                    held.pieces.update(zip(value["piece_ids"], value["pieces"], strict=True))
                 else:
                     if open_:
                         open_ = False
                         if held.parts:
-                            held.ready()
+                            held.ready(pieces.value)
                     yield _documents(held, value, full)
 
     return run
@@ -369,38 +363,15 @@ def round_trip(docs: DataFrame, path: str, full: bool = True) -> DataFrame:
     spark = docs.sparkSession
     text = read_tokenizer(path)
     definition = spark.sparkContext.broadcast(text)
+    pieces = spark.sparkContext.broadcast(piece_table(text))
     split = checkpointed(docs.select("doc_id", "text").mapInArrow(_split(definition), _SPLIT))
     words = split.filter(F.col("kind") == WORDS_OF_CHUNK).select("chunk", "seq", "codes", "words")
-    encoded = checkpointed(
-        words.repartition("seq").sortWithinPartitions("seq", "chunk").mapInArrow(_encode(definition), _IDS)
-    )
-    used = encoded.select("chunk", "ids").mapInArrow(_used, "chunk long, id int").distinct()
-    pieces = (
-        used.join(F.broadcast(vocabulary(spark, text)), "id")
-        .groupBy("chunk")
-        .agg(F.collect_list(F.struct("id", "piece")).alias("p"))
-    )
-    nothing = F.lit(None)
-
-    def rows(df: DataFrame, kind: int, **named) -> DataFrame:
-        kinds = {"seq": "int", "doc_ids": "array<long>", "sizes": "binary", "codes": "binary", "ids": "binary"}
-        kinds |= {"piece_ids": "array<int>", "pieces": "array<binary>"}
-        return df.select(
-            F.lit(kind).alias("kind"),
-            "chunk",
-            *[(named[c] if c in named else nothing).cast(t).alias(c) for c, t in kinds.items()],
-        )
-
-    parts = (
-        rows(encoded, 0, **{c: F.col(c) for c in ("seq", "sizes", "codes", "ids")})
-        .unionByName(rows(pieces, 1, piece_ids=F.col("p.id"), pieces=F.col("p.piece")))
-        .unionByName(
-            rows(split.filter(F.col("kind") == POSITIONS), 2, **{c: F.col(c) for c in ("seq", "doc_ids", "sizes", "codes")})
-        )
-    )
+    encoded = words.repartition("seq").sortWithinPartitions("seq", "chunk").mapInArrow(_encode(definition), _IDS)
+    positions = split.filter(F.col("kind") == POSITIONS).select("kind", "chunk", "seq", "doc_ids", "sizes", "codes")
+    parts = encoded.withColumn("kind", F.lit(WORDS_OF_CHUNK)).unionByName(positions, allowMissingColumns=True)
     dealt = parts.repartition("chunk").sortWithinPartitions("chunk", "kind", "seq")
     schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
-    return dealt.mapInArrow(_join_back(full), schema + (", ids array<int>, decoded string" if full else ""))
+    return dealt.mapInArrow(_join_back(pieces, full), schema + (", ids array<int>, decoded string" if full else ""))
 
 
 def _joined(batches) -> Iterator[pa.RecordBatch]:
