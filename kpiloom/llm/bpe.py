@@ -3,8 +3,8 @@
 A byte-level BPE encodes the words of a text one by one, so a word has the same ids
 wherever it stands. Texts are split in their tasks; a task codes the words of a chunk of
 documents by a dictionary of the chunk, and keeps the documents as positions in it. The
-dictionaries' words are dealt to buckets by hash, where each distinct word is encoded
-once. The ids go back to the chunks, are joined to the positions, and a document's ids
+dictionaries' words are dealt to buckets by hash, where each distinct word of a stretch of
+chunks is encoded once. The ids go back to the chunks, are joined to the positions, and a document's ids
 are those of its words in turn.
 
 Decoding joins ids to pieces: the table of the vocabulary, whose size is checked, is
@@ -41,8 +41,10 @@ from kpiloom.llm.common import checkpointed
 CHUNK_BYTES = 36 << 20
 #: Documents whose positions travel together.
 GROUP = 1024
-#: Parts of the word table; a bucket's distinct words are held by a task, up to HELD_WORDS.
+#: Parts of the word table of a stretch of input partitions, so that tasks grow in number and not in size;
+#: a bucket's distinct words are held by a task, up to HELD_WORDS.
 BUCKETS = 64
+STRETCH = 128
 HELD_WORDS = 500_000
 #: Entries of a vocabulary up to which its table is broadcast.
 MAX_VOCABULARY = 1_000_000
@@ -131,6 +133,26 @@ def _unpack(blob: bytes) -> np.ndarray:
     return np.ascontiguousarray(planes).view("<u4").ravel()
 
 
+def _pack_codes(codes: np.ndarray) -> bytes:
+    """Codes by falling frequency: upper bytes, and the lower ones of frequent and of other words apart."""
+    high, low = codes >> 8, codes.astype(np.uint8)
+    often, rare = high == 0, high >= 255
+    planes = [np.minimum(high, 255).astype(np.uint8), low[often], low[~often]]
+    parts = [*(zstandard.compress(plane.tobytes(), 1) for plane in planes), _pack(high[rare])]
+    return np.array([len(part) for part in parts], "<u4").tobytes() + b"".join(parts)
+
+
+def _unpack_codes(blob: bytes) -> np.ndarray:
+    ends = 16 + np.frombuffer(blob, "<u4", 4).cumsum()
+    parts = [blob[start:end] for start, end in zip([16, *ends[:-1]], ends, strict=True)]
+    upper, frequent, others = (np.frombuffer(zstandard.decompress(part), np.uint8) for part in parts[:3])
+    high = upper.astype(np.uint32)
+    low = np.empty(len(high), np.uint32)
+    low[upper == 0], low[upper > 0] = frequent, others
+    high[upper == 255] = _unpack(parts[3])
+    return (high << 8) | low
+
+
 def _pack_words(words: list[str]) -> bytes:
     return zstandard.compress(json.dumps(words, ensure_ascii=False).encode(), 3)
 
@@ -196,7 +218,7 @@ class _Chunk:
                 "seq": seq,
                 "doc_ids": [d for d, _ in part],
                 "sizes": _pack(np.array([len(x) for _, x in part])),
-                "codes": _pack(np.concatenate([rank[x] for _, x in part])),
+                "codes": _pack_codes(np.concatenate([rank[x] for _, x in part])),
             }
 
 
@@ -327,7 +349,7 @@ def _join_back(pieces, full: bool):
 
 
 def _documents(held: _Dictionary, row: dict, full: bool) -> pa.RecordBatch:
-    sizes, codes = _unpack(row["sizes"]).astype(np.int64), _unpack(row["codes"])
+    sizes, codes = _unpack(row["sizes"]).astype(np.int64), _unpack_codes(row["codes"])
     ends = sizes.cumsum()
     n_tokens, shas, decoded_shas, ids, texts = [], [], [], [], []
     for start, end in zip((ends - sizes).tolist(), ends.tolist(), strict=True):
@@ -366,7 +388,8 @@ def round_trip(docs: DataFrame, path: str, full: bool = True) -> DataFrame:
     pieces = spark.sparkContext.broadcast(piece_table(text))
     split = checkpointed(docs.select("doc_id", "text").mapInArrow(_split(definition), _SPLIT))
     words = split.filter(F.col("kind") == WORDS_OF_CHUNK).select("chunk", "seq", "codes", "words")
-    encoded = words.repartition("seq").sortWithinPartitions("seq", "chunk").mapInArrow(_encode(definition), _IDS)
+    stretch = F.floor(F.shiftright("chunk", 32) / STRETCH)
+    encoded = words.repartition("seq", stretch).sortWithinPartitions("seq", "chunk").mapInArrow(_encode(definition), _IDS)
     positions = split.filter(F.col("kind") == POSITIONS).select("kind", "chunk", "seq", "doc_ids", "sizes", "codes")
     parts = encoded.withColumn("kind", F.lit(WORDS_OF_CHUNK)).unionByName(positions, allowMissingColumns=True)
     dealt = parts.repartition("chunk").sortWithinPartitions("chunk", "kind", "seq")

@@ -4,6 +4,7 @@ import hashlib
 import random
 from collections import defaultdict
 
+import numpy as np
 import public_tokenizers
 import pytest
 from hypothesis import given, settings
@@ -239,6 +240,13 @@ def test_round_trip(spark, monkeypatch):
     assert bpe.round_trip(frame(spark, []), PATH).count() == 0
 
 
+@given(st.lists(st.one_of(st.integers(0, 300), st.integers(65_000, 66_000), st.integers(0, 2**32 - 1))))
+@settings(max_examples=100, deadline=None)
+def test_packed_codes(numbers):
+    codes = np.array(numbers, dtype=np.uint32)
+    assert bpe._unpack_codes(bpe._pack_codes(codes)).tolist() == numbers
+
+
 def test_decode(spark):
     tokenizer = Tokenizer.from_file(PATH)
     rows = [(1, [40, 50256, 13]), (1, [40, 50256, 13]), (2, []), (None, None), (3, [250, 250])]
