@@ -11,11 +11,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kpiloom.functions.codes import tender_label
-from kpiloom.functions.text import const, to_int
+from kpiloom.functions.text import to_int
 
 ITEM_COLUMNS = ["Style", "Color", "Size"]
 
@@ -73,7 +73,3 @@ def not_in_history(df: DataFrame, history: DataFrame, keys: Sequence[str]) -> Da
     """Rows whose key is not in the history. A key with a NULL part counts as new."""
     known = history.select(*keys)
     return df.join(known, list(keys), "left_anti")
-
-
-def null_columns(names: Sequence[str], data_type: str = "string") -> list[Column]:
-    return [const(None, data_type).alias(name) for name in names]
