@@ -1,7 +1,7 @@
 """Flat recovery files of the form vendor, one row per order and item -> the four facts.
 
 Every row yields a header and a payment of its own, as the files are defined;
-the history load keeps one per key.
+the history load keeps all of them, as rows of one load that share a key.
 """
 
 from __future__ import annotations
