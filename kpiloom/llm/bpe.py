@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from kpiloom.llm.common import checkpointed
+from kpiloom.llm.common import checkpointed, mapped
 
 #: Characters of text that make a chunk; its dictionary and positions are held by a task.
 CHUNK_BYTES = 36 << 20
@@ -386,15 +386,15 @@ def round_trip(docs: DataFrame, path: str, full: bool = True) -> DataFrame:
     text = read_tokenizer(path)
     definition = spark.sparkContext.broadcast(text)
     pieces = spark.sparkContext.broadcast(piece_table(text))
-    split = checkpointed(docs.select("doc_id", "text").mapInArrow(_split(definition), _SPLIT))
+    split = checkpointed(docs.select("doc_id", "text").transform(mapped, _split(definition), _SPLIT))
     words = split.filter(F.col("kind") == WORDS_OF_CHUNK).select("chunk", "seq", "codes", "words")
     stretch = F.floor(F.shiftright("chunk", 32) / STRETCH)
-    encoded = words.repartition("seq", stretch).sortWithinPartitions("seq", "chunk").mapInArrow(_encode(definition), _IDS)
+    encoded = words.repartition("seq", stretch).sortWithinPartitions("seq", "chunk").transform(mapped, _encode(definition), _IDS)
     positions = split.filter(F.col("kind") == POSITIONS).select("kind", "chunk", "seq", "doc_ids", "sizes", "codes")
     parts = encoded.withColumn("kind", F.lit(WORDS_OF_CHUNK)).unionByName(positions, allowMissingColumns=True)
     dealt = parts.repartition("chunk").sortWithinPartitions("chunk", "kind", "seq")
     schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
-    return dealt.mapInArrow(_join_back(pieces, full), schema + (", ids array<int>, decoded string" if full else ""))
+    return dealt.transform(mapped, _join_back(pieces, full), schema + (", ids array<int>, decoded string" if full else ""))
 
 
 def _joined(batches) -> Iterator[pa.RecordBatch]:
@@ -426,4 +426,4 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
         F.array_sort(F.collect_list(F.when(F.col("pos").isNotNull(), F.struct("pos", "piece")))).alias("all")
     )
     named = whole.select("doc_id", F.when(~F.col("none"), F.col("all")).alias("pieces"))
-    return named.mapInArrow(_joined, "doc_id long, text string")
+    return named.transform(mapped, _joined, "doc_id long, text string")

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import ctypes
+from collections.abc import Callable, Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from kpiloom.session import shared_folder
 
@@ -16,6 +19,10 @@ BLANKS = " \t\n\x0b\x0c\r"
 #: Rows of a decision table up to which it is broadcast; its rows have a fixed small width.
 BROADCAST_ROWS = 200_000
 
+#: Bytes that a Python worker gets at a time, so that its memory does not follow the lengths of texts.
+BATCH_BYTES = 4 << 20
+_BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
+
 
 def checkpointed(df: DataFrame) -> DataFrame:
     """The frame, computed once and kept in the folder that all executors share."""
@@ -25,6 +32,22 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def mapped(df: DataFrame, function: Callable, schema: str | T.StructType) -> DataFrame:
+    """`df.mapInArrow` in batches of BATCH_BYTES, whatever the session sets; a longer row is a batch of its own.
+
+    A worker serves task after task; what one has freed goes back to the system, not to the next.
+    """
+
+    def run(batches):
+        yield from function(batches)
+        pa.default_memory_pool().release_unused()
+        if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
+            trim(0)
+
+    df.sparkSession.conf.set(_BATCH_SETTING, BATCH_BYTES)
+    return df.mapInArrow(run, schema)
+
+
 def fresh(df: DataFrame, name: str) -> str:
     """`name`, or `name` with underscores in front where the frame has such a column."""
     taken = {c.lower() for c in df.columns}
@@ -33,7 +56,6 @@ def fresh(df: DataFrame, name: str) -> str:
     return name
 
 
-
 def lookup(
     big: DataFrame, small: DataFrame, keys: Sequence[tuple[str, str]], how: str = "inner", width: Column | None = None
 ) -> DataFrame:

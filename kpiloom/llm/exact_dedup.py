@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kpiloom.llm.common import BLANKS, checkpointed, lookup
+from kpiloom.llm.common import BLANKS, checkpointed, lookup, mapped
 
 CHUNK = 1 << 16
 #: Primes and bases of the two hashes.
@@ -173,14 +173,15 @@ def fingerprints(docs: DataFrame, moduli=MODULI) -> DataFrame:
     """Per row: doc_id, n_chars (code points), n_bytes, h1, h2, text_sha256 (of the normalised text)."""
     text = F.coalesce(F.col("text"), F.lit(""))
     rows = docs.select("doc_id", F.length(text).cast("long").alias("n_chars"), text.alias("text"))
-    short = rows.filter(F.octet_length("text") <= CHUNK).mapInArrow(_whole(moduli), _HASHED)
+    short = rows.filter(F.octet_length("text") <= CHUNK).transform(mapped, _whole(moduli), _HASHED)
     owner = "long_id long, doc_id long, n_chars long, text_sha256 string, chunk_no int"
     pieces = (
         rows.filter(F.octet_length("text") > CHUNK)
         .withColumn("long_id", F.monotonically_increasing_id())
-        .mapInArrow(_cut, f"{owner}, chunk binary")
+        .transform(mapped, _cut, f"{owner}, chunk binary")
     )
-    hashed = pieces.repartition("long_id", "chunk_no").mapInArrow(
+    hashed = pieces.repartition("long_id", "chunk_no").transform(
+        mapped,
         _hash_chunks(moduli), f"{owner}, n long, h1 long, h2 long"
     )
     known = [F.max(c).alias(c) for c in ("doc_id", "n_chars", "text_sha256")]
@@ -317,9 +318,10 @@ def _differing(docs: DataFrame, placed: DataFrame) -> DataFrame:
         "doc_id",
         "sha",
         "text",
-    ).mapInArrow(
+    ).transform(
+        mapped,
         _cut_members, "g long, chunk_no int, lane long, stays boolean, doc_id long, sha string, chunk binary"
     )
     order = ["g", "chunk_no", "lane", F.col("stays").desc()]
     dealt = chunks.repartition("g", "chunk_no", "lane").sortWithinPartitions(*order)
-    return dealt.mapInArrow(_compare, "g long, doc_id long, sha string").distinct()
+    return dealt.transform(mapped, _compare, "g long, doc_id long, sha string").distinct()

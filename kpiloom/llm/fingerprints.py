@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kpiloom.llm.common import checkpointed
+from kpiloom.llm.common import checkpointed, mapped
 
 CHAIN = 2
 THRESHOLD = 80
@@ -198,7 +198,7 @@ def compare_next(docs: DataFrame) -> DataFrame:
     (0). Rows that agree in doc_id and text stand next to each other. Other columns are
     not read. Empty in, empty out.
     """
-    return with_next(docs).select("spot", "guest", "doc_id", "text").mapInArrow(_compared, OUT_SCHEMA)
+    return with_next(docs).select("spot", "guest", "doc_id", "text").transform(mapped, _compared, OUT_SCHEMA)
 
 
 def _fingerprinted(batches) -> Iterator[pa.RecordBatch]:
@@ -223,7 +223,7 @@ def similar(queries: DataFrame, docs: DataFrame, percent: int = THRESHOLD) -> Da
 
     def sets(df: DataFrame) -> DataFrame:
         rows = df.select(F.monotonically_increasing_id().alias("node"), "doc_id", "text")
-        return checkpointed(rows.mapInArrow(_fingerprinted, kind).filter(F.size("spots") > 0))
+        return checkpointed(rows.transform(mapped, _fingerprinted, kind).filter(F.size("spots") > 0))
 
     def size_part(n: Column) -> Column:
         return F.floor(F.log(n.cast("double")) / F.lit(step) + F.lit(1e-9)).cast("int")

@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kpiloom.llm.common import checkpointed, fresh, lookup
+from kpiloom.llm.common import checkpointed, fresh, lookup, mapped
 
 MIN_WORDS = 50
 #: What ends a line: a line feed, or blanks after a sentence end.
@@ -175,7 +175,7 @@ def repeated_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     text are one document here.
     """
     keyed = docs.select(F.col("doc_id").alias("key_id"), F.xxhash64("text").alias("key_hash"), "text")
-    lines = checkpointed(keyed.filter(F.length("text") > 0).mapInArrow(_read_lines(min_words), _LINES))
+    lines = checkpointed(keyed.filter(F.length("text") > 0).transform(mapped, _read_lines(min_words), _LINES))
     chosen = lines.select("key_id", "key_hash", F.inline(F.arrays_zip("prints", "places"))).withColumnsRenamed(
         {"prints": "print"}
     )
@@ -187,7 +187,7 @@ def repeated_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     same = F.col("k.key_id").eqNullSafe(F.col("m.key_id")) & (F.col("k.key_hash") == F.col("m.key_hash"))
     around = k.join(m, same).select("k.key_id", "k.key_hash", "hashes", "words", "matched")
     kind = "key_id long, key_hash long, content_a long, content_b long, first_line int, last_line int"
-    extended = checkpointed(around.mapInArrow(_extend(min_words), kind))
+    extended = checkpointed(around.transform(mapped, _extend(min_words), kind))
     firsts = (
         extended.groupBy(F.col("content_a").alias("of_a"), F.col("content_b").alias("of_b"))
         .agg(F.count(F.lit(1)).alias("n"), F.min(_place()).alias("origin"))
@@ -276,4 +276,4 @@ def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     ).select(*names, key_runs)
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
     counted = f"{schema}, dropped_lines int, dropped_words int"
-    return met.mapInArrow(_cut_runs(names.index("text"), len(names), len(names)), counted)
+    return met.transform(mapped, _cut_runs(names.index("text"), len(names), len(names)), counted)

@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kpiloom.llm.common import checkpointed, fresh, lookup
+from kpiloom.llm.common import checkpointed, fresh, lookup, mapped
 from kpiloom.llm.components import components
 
 WORDS = 5
@@ -341,12 +341,12 @@ def _compared(
         .repartition("hub", "lane")
         .sortWithinPartitions("hub", "lane", (F.col("node") != F.col("hub")), "node")
     )
-    return checkpointed(dealt.mapInArrow(_compare(words, percent, differences), _COMPARED))
+    return checkpointed(dealt.transform(mapped, _compare(words, percent, differences), _COMPARED))
 
 
 def _shared_buckets(nodes: DataFrame) -> DataFrame:
     """(bucket, node, head) of the buckets with several nodes; the head is the smallest."""
-    buckets = nodes.select("node", "signature").mapInArrow(_bands, "bucket long, node long")
+    buckets = nodes.select("node", "signature").transform(mapped, _bands, "bucket long, node long")
     heads = buckets.groupBy(F.col("bucket").alias("of")).agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("head"))
     heads = checkpointed(heads.filter("n > 1").drop("n"))
     return checkpointed(lookup(buckets, heads, [("bucket", "of")]).drop("of"))
@@ -364,7 +364,7 @@ def _pruned(pairs: DataFrame, nodes: DataFrame, threshold: float, miss: float) -
     left = nodes.select(F.col("node").alias("a"), F.col("signature").alias("sig_a"))
     right = nodes.select(F.col("node").alias("b"), F.col("signature").alias("sig_b"))
     signed = pairs.join(right, "b").join(left, "a")
-    return checkpointed(signed.mapInArrow(_prune_pairs(threshold, miss), "a long, b long"))
+    return checkpointed(signed.transform(mapped, _prune_pairs(threshold, miss), "a long, b long"))
 
 
 def _open_buckets(shared: DataFrame, best: DataFrame, comps: DataFrame) -> DataFrame:
@@ -427,7 +427,7 @@ def _dealt(members: DataFrame) -> DataFrame:
 
 def _in_blocks(members: DataFrame, payload: DataFrame, function) -> DataFrame:
     dealt = _dealt(members).join(payload, "node").repartition("bucket", "x", "y")
-    edges = dealt.sortWithinPartitions("bucket", "x", "y").mapInArrow(_by_group(function), "a long, b long")
+    edges = dealt.sortWithinPartitions("bucket", "x", "y").transform(mapped, _by_group(function), "a long, b long")
     return checkpointed(edges.distinct())
 
 
@@ -449,7 +449,7 @@ def near_groups(
         F.xxhash64("text").alias("key_hash"),
         "text",
     )
-    signed = checkpointed(keyed.mapInArrow(_sign(words), _KEYED))
+    signed = checkpointed(keyed.transform(mapped, _sign(words), _KEYED))
     order = F.struct(F.col("key_id").isNull().alias("n"), F.col("key_id").alias("id"), F.col("key_hash").alias("h"))
     # One node per set; its text is that of the row of the smallest order.
     classes = checkpointed(

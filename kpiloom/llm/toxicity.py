@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from kpiloom.llm.common import fresh
+from kpiloom.llm.common import fresh, mapped
 
 WINDOW = 3
 STRIDE = 1
@@ -106,7 +106,7 @@ def training_sample(docs: DataFrame, known: DataFrame) -> list[tuple[int, int, l
     ]
     chosen = parts[0].unionByName(parts[1])
     texts = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
-    rows = texts.mapInArrow(_sample_windows, "doc_id long, toxic int, windows string").collect()
+    rows = texts.transform(mapped, _sample_windows, "doc_id long, toxic int, windows string").collect()
     return sorted((r["doc_id"], r["toxic"], r["windows"].split("\n")) for r in rows)
 
 
@@ -263,7 +263,7 @@ def score(docs: DataFrame, model: Model, name: str = "toxic_score") -> DataFrame
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(values)], names=[*batch.schema.names, name])
 
     schema = T.StructType([*docs.schema.fields, T.StructField(name, T.DoubleType())])
-    return docs.mapInArrow(run, schema)
+    return docs.transform(mapped, run, schema)
 
 
 def learn(docs: DataFrame, labels: DataFrame) -> Model:

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kpiloom.llm.common import checkpointed, lookup
+from kpiloom.llm.common import checkpointed, lookup, mapped
 
 MAGIC = "WARC/1.0\r\n"
 RECORD_END = "\r\n\r\n"
@@ -216,7 +216,7 @@ def _pieces(spark: SparkSession, folder: str) -> DataFrame:
 
 def candidates(spark: SparkSession, folder: str) -> DataFrame:
     """Checkpointed pieces with `off`, and `next` and `exit` where they start like a record."""
-    found = checkpointed(_pieces(spark, folder).mapInArrow(_candidates, _PIECE))
+    found = checkpointed(_pieces(spark, folder).transform(mapped, _candidates, _PIECE))
     # A file has as many splits as its size over the split size.
     sizes = found.groupBy("file", "block").agg(F.sum("size").alias("bytes"))
     before = F.expr(
@@ -355,7 +355,7 @@ def _assembled(
 ) -> DataFrame:
     """The records whose payload holds magic, with the digest of the whole payload."""
     owned = checkpointed(_owned(found, on_chain, parts))
-    pieces = _pieces(spark, folder).mapInArrow(_with_offsets, "p_file string, p_block long, p_rel long, bytes binary")
+    pieces = _pieces(spark, folder).transform(mapped, _with_offsets, "p_file string, p_block long, p_rel long, bytes binary")
     keys = [("p_file", "file"), ("p_block", "block"), ("p_rel", "rel")]
     met = lookup(pieces, owned, keys)
     sized = parts.select("file", F.col("off").alias("owner"), "head_len", "content_len")
