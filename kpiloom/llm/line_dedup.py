@@ -1,21 +1,24 @@
-"""Line dedup by winnowing over line hashes.
+"""Line dedup by winnowing over hashes of word chains.
+
+A repeated run is a run of consecutive words, of `min_words` or more, that occurs
+earlier: in a document before it (by doc_id, null last, then by hash of the text) or
+further up in the same one. It may start and end anywhere, also inside a line or a
+sentence; blanks and line ends between words do not count. Every word of a repeated run
+that is not its first occurrence goes, and with whole lines their ends. One word over
+and over within one line is no passage and stays.
 
 A line ends at a line feed, or after a sentence end that blanks follow, as extracted
-text often lost its line feeds. Lines are compared by a hash of their words. A repeated
-run is a run of consecutive lines, of `min_words` words or more, that occurs earlier:
-in a document before it (by doc_id, null last, then by hash of the text) or further up
-in the same one. Every line of a repeated run that is not its first occurrence goes.
-
-Winnowing: a window is a shortest run of lines with `min_words` words, grown from each
-line downwards and from each line upwards. The smallest line hash of a window is its
-fingerprint. Two copies of a run hold the same windows and so select the same
-fingerprints, which makes these a guaranteed sample of the lines: what no other place
-selected too is in no repeated run. Positions of the fingerprints that several places
-selected are joined back to their documents, and from there matches are extended both
-ways: the windows around a position that occur in an earlier place cover the run line
-by line, as each of its lines is the end of a window in the run. Only first occurrences
-are kept per window, never pairs, so a passage in a third of all documents costs a row
-per document.
+text often lost its line feeds.
+
+Winnowing: a seed is a chain of SEED_WORDS words, or fewer with a smaller `min_words`. A
+window is `min_words` words; the smallest seed hash inside it is its fingerprint. Two
+copies of a run hold the same windows and so select the same fingerprints, wherever the
+lines around them begin: what no other place selected too is in no repeated run. The
+fingerprints that several places selected are joined back to their documents, and from
+there matches are extended word by word both ways: each window that holds one, in all
+its places around it, is met by its content, and the windows that occur in an earlier
+place cover the run up to its first and last word. Only first occurrences are kept per
+window, never pairs, so a passage in a third of all documents costs rows per document.
 """
 
 from __future__ import annotations
@@ -33,11 +36,15 @@ from kpiloom.llm.common import checkpointed, fresh, lookup, mapped
 MIN_WORDS = 50
 #: What ends a line: a line feed, or blanks after a sentence end.
 LINE_END = re.compile(r"\n|[.!?][ \t]+\n?")
-#: Odd bases of the two hashes of a run, and their inverses modulo 2^64.
+#: Words as str.split() has them.
+WORDS = re.compile(r"\S+")
+#: Words of a seed, at most.
+SEED_WORDS = 16
+#: Odd bases of the two hashes of a window.
 BASES = (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9)
-_INVERSES = tuple(pow(b, -1, 1 << 64) for b in BASES)
 
-_LINES = "key_id long, key_hash long, hashes array<long>, words array<int>, prints array<long>, places array<int>"
+_SEEDS = "key_id long, key_hash long, prints array<long>, places array<int>"
+_U = np.uint64
 
 
 def cut_lines(text: str) -> list[str]:
@@ -48,101 +55,103 @@ def cut_lines(text: str) -> list[str]:
     return [text[a:b] for a, b in zip(cuts, cuts[1:], strict=False)]
 
 
-def line_hash(words: list[str]) -> int:
-    return xxhash.xxh3_64_intdigest(" ".join(words).encode()) >> 1
-
+def word_hashes(text: str | None) -> np.ndarray:
+    words = (text or "").split()
+    return np.fromiter(map(xxhash.xxh3_64_intdigest, words), dtype=_U, count=len(words))
 
-def windows(words: np.ndarray, min_words: int) -> tuple[np.ndarray, np.ndarray]:
-    """First and last of the shortest runs with `min_words` words, from each line down and up.
 
-    Lines here are those that have words, so every count is at least 1.
-    """
-    upto = words.cumsum(dtype=np.int64)
-    if not len(upto) or upto[-1] < min_words:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    before, lines = upto - words, np.arange(len(words))
-    last = np.searchsorted(upto, before + min_words)
-    down = last < len(words)
-    up = upto >= min_words
-    first = np.searchsorted(before, upto[up] - min_words, side="right") - 1
-    found = np.unique(
-        np.concatenate([lines[down], first]) * len(words) + np.concatenate([last[down], lines[up]])
-    )
-    return found // len(words), found % len(words)
+def rolled(x: np.ndarray, size: int, base: int) -> np.ndarray:
+    """A hash of each `size` neighbours, from hashes of 1, 2, 4, ... neighbours."""
+    out, done, block, width = x[:0], 0, x, 1
+    while True:
+        if size & width:
+            n = max(len(x) - done - width + 1, 0)
+            shift = _U(pow(base, done, 1 << 64))
+            out = block[done : done + n] * shift + out[:n] if done else block
+            done += width
+        if done == size:
+            return out
+        n = max(len(x) - 2 * width + 1, 0)
+        block = block[:n] + block[width : width + n] * _U(pow(base, width, 1 << 64))
+        width *= 2
 
 
-def minima(hashes: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
-    """The smallest hash of each window, by minima over powers of two."""
-    size = last - first + 1
-    level = np.frexp(size)[1] - 1
-    table, out = hashes, np.empty(len(first), dtype=np.int64)
-    for k in range(int(level.max(initial=-1)) + 1):
-        at = level == k
-        out[at] = np.minimum(table[first[at]], table[last[at] - (1 << k) + 1])
-        table = np.minimum(table[: -(1 << k)], table[1 << k :]) if len(table) > 1 << k else table
-    return out
+def slid(pick: np.ufunc, x: np.ndarray, size: int) -> np.ndarray:
+    """The least or greatest (`pick`) of each `size` neighbours."""
+    width = 1
+    table = x
+    while 2 * width <= size:
+        table = pick(table[:-width], table[width:]) if len(table) > width else table[:0]
+        width *= 2
+    rest = size - width
+    return pick(table[:-rest], table[rest:]) if rest and len(table) > rest else table[: 0 if rest else None]
 
 
-def contents(hashes: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
-    """128 bits of each window's content, wherever it stands: sums over powers, shifted back to the start."""
-    x, out = hashes.astype(np.uint64), []
-    for base, inverse in zip(BASES, _INVERSES, strict=True):
-        power, back = np.full((2, len(x)), [[base], [inverse]], dtype=np.uint64)
-        power[0] = back[0] = 1
-        power, back = power.cumprod(dtype=np.uint64), back.cumprod(dtype=np.uint64)
-        sums = np.concatenate([np.zeros(1, np.uint64), (x * power).cumsum(dtype=np.uint64)])
-        out.append((sums[last + 1] - sums[first]) * back[first] + (last - first).astype(np.uint64))
-    return np.stack(out, axis=1)
+def seeds(hashes: np.ndarray, min_words: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the seeds at each word, and the smallest of each window of `min_words` words."""
+    size = min(SEED_WORDS, min_words)
+    x = rolled(hashes, size, BASES[0])
+    x = (x ^ (x >> _U(32))) * _U(BASES[1])
+    x = ((x ^ (x >> _U(29))) >> _U(1)).astype(np.int64)
+    return x, slid(np.minimum, x, min_words - size + 1)
 
 
-def _read_lines(min_words: int):
-    """Hashes and word counts of the lines that have words, and the window minima with their number of lines."""
+def _read_seeds(min_words: int):
+    """The seeds that windows of a text select, and in how many of its places each."""
 
     def run(batches):
+        reach = min_words - min(SEED_WORDS, min_words) + 1
         for batch in batches:
-            columns = [], [], [], []
+            prints, places = [], []
             for text in batch.column("text").to_pylist():
-                split = [w for w in (line.split() for line in cut_lines(text or "")) if w]
-                hashes = np.array([line_hash(w) for w in split], dtype=np.int64)
-                words = np.array([len(w) for w in split], dtype=np.int32)
-                prints = np.unique(minima(hashes, *windows(words, min_words)))
-                kept = np.isin(hashes, prints)
-                places = np.unique(hashes[kept], return_counts=True)[1] if len(prints) else prints
-                for column, value in zip(columns, (hashes, words, prints, places.astype(np.int32)), strict=True):
-                    column.append(value)
-            kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int32())
+                own, least = seeds(word_hashes(text), min_words)
+                if len(least):
+                    # A place is selected if the greatest of the minima of the windows around it is its own hash.
+                    edge = np.full(reach - 1, -1)
+                    own = own[slid(np.maximum, np.concatenate([edge, least, edge]), reach) == own]
+                else:
+                    own = least
+                found, times = np.unique(own, return_counts=True)
+                prints.append(found)
+                places.append(times.astype(np.int32))
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("key_id"),
                     batch.column("key_hash"),
-                    *(pa.array(c, pa.list_(k)) for c, k in zip(columns, kinds, strict=True)),
+                    pa.array(prints, pa.list_(pa.int64())),
+                    pa.array(places, pa.list_(pa.int32())),
                 ],
-                names=["key_id", "key_hash", "hashes", "words", "prints", "places"],
+                names=["key_id", "key_hash", "prints", "places"],
             )
 
     return run
 
 
-def _lists(column: pa.Array) -> list[np.ndarray]:
-    values, ends = column.flatten().to_numpy(zero_copy_only=False), column.value_lengths().to_numpy().cumsum()
-    return np.split(values, ends[:-1])
+def line_ends(text: str) -> tuple[np.ndarray, list[tuple[int, int]], np.ndarray]:
+    """Ends of all lines, first and end character of each word, number of the line of each word."""
+    ends = np.array([m.end() for m in LINE_END.finditer(text)] + [len(text)], dtype=np.int64)
+    words = [m.span() for m in WORDS.finditer(text)]
+    return ends, words, np.searchsorted(ends, np.array([a for a, _ in words], dtype=np.int64), side="right")
 
 
 def _extend(min_words: int):
-    """The windows around matched positions, by their content."""
+    """The windows around matched seeds, by their content."""
 
     def run(batches):
         for batch in batches:
-            index, found, firsts, lasts = [], [], [], []
-            rows = zip(*(_lists(batch.column(c)) for c in ("hashes", "words", "matched")), strict=True)
-            for i, (hashes, words, matched) in enumerate(rows):
-                first, last = windows(words, min_words)
-                near = np.isin(minima(hashes, first, last), matched)
-                first, last = first[near], last[near]
+            index, found, firsts = [], [], []
+            texts, matched = batch.column("text").to_pylist(), _lists(batch.column("matched"))
+            for i, (text, some) in enumerate(zip(texts, matched, strict=True)):
+                hashes = word_hashes(text)
+                first = np.flatnonzero(np.isin(seeds(hashes, min_words)[1], some))
+                same = np.concatenate([[0], (hashes[1:] == hashes[:-1]).cumsum()])
+                filler = same[first + min_words - 1] - same[first] == min_words - 1
+                if filler.any() and min_words > 1:
+                    line = line_ends(text)[2]
+                    first = first[~filler | (line[first] != line[first + min_words - 1])]
                 index.append(np.full(len(first), i))
-                found.append(contents(hashes, first, last) if len(first) else np.zeros((0, 2), np.uint64))
+                found.append(np.stack([rolled(hashes, min_words, base)[first] for base in BASES], axis=1))
                 firsts.append(first)
-                lasts.append(last)
             at = pa.array(np.concatenate(index))
             yield pa.RecordBatch.from_arrays(
                 [
@@ -150,44 +159,52 @@ def _extend(min_words: int):
                     batch.column("key_hash").take(at),
                     *(pa.array(np.concatenate(found)[:, k].copy().view(np.int64)) for k in (0, 1)),
                     pa.array(np.concatenate(firsts).astype(np.int32)),
-                    pa.array(np.concatenate(lasts).astype(np.int32)),
                 ],
-                names=["key_id", "key_hash", "content_a", "content_b", "first_line", "last_line"],
+                names=["key_id", "key_hash", "content_a", "content_b", "first_word"],
             )
 
     return run
 
 
+def _lists(column: pa.Array) -> list[np.ndarray]:
+    values, ends = column.flatten().to_numpy(zero_copy_only=False), column.value_lengths().to_numpy().cumsum()
+    return np.split(values, ends[:-1])
+
+
 def _place(prefix: str = "") -> Column:
-    """Order of positions: doc_id, null last, then hash of the text, then line."""
+    """Order of positions: doc_id, null last, then hash of the text, then word."""
     return F.struct(
         F.col(f"{prefix}key_id").isNull().alias("a"),
         F.col(f"{prefix}key_id").alias("b"),
         F.col(f"{prefix}key_hash").alias("c"),
-        F.col(f"{prefix}first_line").alias("d"),
+        F.col(f"{prefix}first_word").alias("d"),
     )
 
 
-def repeated_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """(key_id, key_hash, runs): per document with repeated runs, the (first, last) lines that go.
+def repeated_words(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
+    """(key_id, key_hash, runs): per document with repeated runs, the first words of the windows that go.
 
-    Lines are counted without those that have no words. Rows that agree in doc_id and
-    text are one document here.
+    Rows that agree in doc_id and text are one document here.
     """
     keyed = docs.select(F.col("doc_id").alias("key_id"), F.xxhash64("text").alias("key_hash"), "text")
-    lines = checkpointed(keyed.filter(F.length("text") > 0).transform(mapped, _read_lines(min_words), _LINES))
-    chosen = lines.select("key_id", "key_hash", F.inline(F.arrays_zip("prints", "places"))).withColumnsRenamed(
+    keyed = keyed.filter(F.length("text") > 0)
+    read = checkpointed(keyed.transform(mapped, _read_seeds(min_words), _SEEDS))
+    chosen = read.select("key_id", "key_hash", F.inline(F.arrays_zip("prints", "places"))).withColumnsRenamed(
         {"prints": "print"}
     )
     # Added up before the shuffle; only fingerprints of several places go on.
     shared = chosen.groupBy(F.col("print").alias("shared")).agg(F.sum("places").alias("n")).filter("n > 1")
     matches = lookup(chosen, checkpointed(shared.select("shared")), [("print", "shared")])
-    by_doc = matches.groupBy("key_id", "key_hash").agg(F.collect_set("print").alias("matched"))
-    k, m = lines.select("key_id", "key_hash", "hashes", "words").alias("k"), by_doc.alias("m")
-    same = F.col("k.key_id").eqNullSafe(F.col("m.key_id")) & (F.col("k.key_hash") == F.col("m.key_hash"))
-    around = k.join(m, same).select("k.key_id", "k.key_hash", "hashes", "words", "matched")
-    kind = "key_id long, key_hash long, content_a long, content_b long, first_line int, last_line int"
-    extended = checkpointed(around.transform(mapped, _extend(min_words), kind))
+    by_doc = checkpointed(
+        matches.groupBy(F.col("key_id").alias("m_id"), F.col("key_hash").alias("m_hash")).agg(
+            F.collect_set("print").alias("matched")
+        )
+    )
+    around = lookup(keyed, by_doc, [("key_id", "m_id"), ("key_hash", "m_hash")], width=F.size("matched"))
+    kind = "key_id long, key_hash long, content_a long, content_b long, first_word int"
+    extended = checkpointed(
+        around.select("key_id", "key_hash", "text", "matched").transform(mapped, _extend(min_words), kind)
+    )
     firsts = (
         extended.groupBy(F.col("content_a").alias("of_a"), F.col("content_b").alias("of_b"))
         .agg(F.count(F.lit(1)).alias("n"), F.min(_place()).alias("origin"))
@@ -196,48 +213,54 @@ def repeated_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     )
     keys = [("content_a", "of_a"), ("content_b", "of_b")]
     later = lookup(extended, checkpointed(firsts), keys).filter(_place() > F.col("origin"))
-    run = F.struct("first_line", "last_line")
-    covered = later.groupBy("key_id", "key_hash").agg(F.array_sort(F.collect_set(run)).alias("runs"))
-    return covered.withColumn("runs", merged(F.col("runs")))
+    return later.groupBy("key_id", "key_hash").agg(F.collect_set("first_word").alias("runs"))
 
 
-def merged(runs: Column) -> Column:
-    """Sorted runs of which overlapping and adjacent ones are made one."""
-    kind = "array<struct<first_line:int,last_line:int>>"
+def cut_windows(text: str, starts: np.ndarray, min_words: int) -> tuple[str, int, int]:
+    """The text without the windows that start at these words, and the number of whole lines and of words that went.
 
-    def step(done: Column, run: Column) -> Column:
-        top = F.element_at(done, -1)
-        grown = F.struct(
-            top["first_line"].alias("first_line"), F.greatest(top["last_line"], run["last_line"]).alias("last_line")
-        )
-        joins = (F.size(done) > 0) & (run["first_line"] <= top["last_line"] + 1)
-        return F.when(
-            joins, F.concat(F.slice(done, F.lit(1), F.size(done) - 1), F.array(grown)).cast(kind)
-        ).otherwise(F.concat(done, F.array(run)).cast(kind))
-
-    return F.aggregate(runs, F.array().cast(kind), step)
-
-
-def _cut_runs(text_at: int, runs_at: int, kept: int):
-    """Rewrites the text without the lines of its runs; adds counts of the lines and words that went."""
+    Blanks between two words go with a window that holds both. A run that starts a line
+    takes what stands before its first word there, one that ends it the line's end, or
+    else the blanks behind it; where the head of its first line stays, so does the end.
+    """
+    ends, words, line = line_ends(text)
+
+    def covered(size: int) -> np.ndarray:
+        steps = np.zeros(len(words) + 1, dtype=np.int64)
+        steps[starts] = 1
+        np.subtract.at(steps, starts + size, 1)
+        return steps.cumsum()[:-1] > 0
+
+    gone, joined = covered(min_words), covered(min_words - 1)
+    joined[:-1] |= gone[:-1] & gone[1:] & (line[:-1] == line[1:])
+    opens = np.flatnonzero(gone & ~np.concatenate([[False], joined[:-1]]))
+    closes = np.flatnonzero(gone & ~joined)
+    out, at, lines = [], 0, 0
+    for first, last in zip(opens, closes, strict=True):
+        heads = first == 0 or line[first - 1] != line[first]
+        tails = last + 1 == len(words) or line[last + 1] != line[last]
+        begin = (int(ends[line[first] - 1]) if line[first] else 0) if heads else words[first][0]
+        end = words[last][1] if tails else words[last + 1][0]
+        if heads and tails:
+            end = int(ends[line[last]])
+        lines += int(line[last] - line[first]) + 1 - (not heads) - (not tails and (heads or line[last] > line[first]))
+        out.append(text[at:begin])
+        at = end
+    return "".join([*out, text[at:]]), lines, int(gone.sum())
+
+
+def _cut_runs(text_at: int, runs_at: int, kept: int, min_words: int):
+    """Rewrites the text without its runs; adds counts of the lines and words that went."""
 
     def run(batches):
         for batch in batches:
             texts = batch.column(text_at).to_pylist()
             out, gone_lines, gone_words = [], [], []
-            for text, runs in zip(texts, batch.column(runs_at).to_pylist(), strict=True):
-                if not runs:
-                    out.append(text)
-                    gone_lines.append(0)
-                    gone_words.append(0)
-                    continue
-                lines = cut_lines(text)
-                # Runs count the lines that have words; what lies between them goes too.
-                worded = [i for i, x in enumerate(lines) if x.split()]
-                gone = {i for r in runs for i in range(worded[r["first_line"]], worded[r["last_line"]] + 1)}
-                out.append("".join(x for i, x in enumerate(lines) if i not in gone))
-                gone_lines.append(len(gone))
-                gone_words.append(sum(len(lines[i].split()) for i in gone))
+            for text, runs in zip(texts, batch.column(runs_at), strict=True):
+                starts = np.array(runs.values, dtype=np.int64) if runs.is_valid else ()
+                done = cut_windows(text, starts, min_words) if len(starts) else (text, 0, 0)
+                for column, value in zip((out, gone_lines, gone_words), done, strict=True):
+                    column.append(value)
             columns = [batch.column(i) for i in range(kept)]
             columns[text_at] = pa.array(out, pa.string())
             yield pa.RecordBatch.from_arrays(
@@ -255,14 +278,14 @@ def _cut_runs(text_at: int, runs_at: int, kept: int):
 def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """The documents with later repeated runs cut out of `text`, and two counts added.
 
-    dropped_lines and dropped_words count what went. Needs doc_id and text; columns with the names of the counts are replaced, others
-    stay. Null and empty texts stay as they are. Rows that agree in doc_id and text are
-    one document and keep the same lines. Line ends go with their lines; nothing else of
-    a text changes. Empty in, empty out.
+    dropped_lines counts whole lines that went, dropped_words all words. Needs doc_id and
+    text; columns with the names of the counts are replaced, others stay. Null and empty
+    texts stay as they are. Rows that agree in doc_id and text are one document and keep
+    the same words. Empty in, empty out.
     """
     docs = docs.drop("dropped_lines", "dropped_words")
     names = docs.columns
-    runs = checkpointed(repeated_lines(docs, min_words))
+    runs = checkpointed(repeated_words(docs, min_words))
     text_hash = fresh(docs, "__hash")
     hashed = docs.withColumn(text_hash, F.xxhash64("text"))
     small = runs.select(
@@ -276,4 +299,4 @@ def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     ).select(*names, key_runs)
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
     counted = f"{schema}, dropped_lines int, dropped_words int"
-    return met.transform(mapped, _cut_runs(names.index("text"), len(names), len(names)), counted)
+    return met.transform(mapped, _cut_runs(names.index("text"), len(names), len(names), min_words), counted)

@@ -87,6 +87,44 @@ def test_passage_inside_a_line_and_odd_rows(spark):
     assert line_dedup.dedup_lines(frame(spark, [])).count() == 0
 
 
+def words_brute(rows, min_words):
+    """Marks every word of a run of `min_words` words that also stands at an earlier place; compares all places."""
+    docs = [(text or "").split() for _, text in rows]
+    out = []
+    for n, own in enumerate(docs):
+        gone = set()
+        for m in range(n + 1):
+            other = docs[m]
+            for p in range(len(own)):
+                for q in range(len(other) if m < n else p):
+                    size = 0
+                    while p + size < len(own) and q + size < len(other) and own[p + size] == other[q + size]:
+                        size += 1
+                    if size >= min_words:
+                        gone.update(range(p, p + size))
+        out.append([w for i, w in enumerate(own) if i not in gone])
+    return out
+
+
+def test_passages_cut_anywhere(spark):
+    """Copies that start and end inside lines and sentences, in texts with and without sentence ends."""
+    rng = random.Random(23)
+    for stop in (". ", " ", ".) ", "\n", "。 "):
+        passages = [stop.join(prose(rng, 9) for _ in range(6)).split(" ") for _ in range(3)]
+        rows = []
+        for i in range(8):
+            parts = []
+            for passage in rng.sample(passages, 2):
+                a, b = rng.randrange(4), rng.randrange(4)
+                parts += [prose(rng, 7) + stop + prose(rng, 3), " ".join(passage[a : len(passage) - b])]
+            rows.append((i, " ".join([*parts, prose(rng, 4)])))
+        found = {r["doc_id"]: r for r in line_dedup.dedup_lines(frame(spark, rows), 40).collect()}
+        kept = words_brute(rows, 40)
+        assert [found[i]["text"].split() for i, _ in rows] == kept
+        assert [found[i]["dropped_words"] for i, _ in rows] == [len(t.split()) - len(k) for (_, t), k in zip(rows, kept, strict=True)]
+        assert sum(r["dropped_words"] for r in found.values()) > 300
+
+
 @given(st.text(alphabet="ab .!?\n\t", max_size=40))
 def test_lines_are_the_text(text):
     assert "".join(line_dedup.cut_lines(text)) == text
