@@ -33,7 +33,8 @@ GRAMS = (3, 4, 5)
 BUCKETS = 1 << 19
 DIMENSIONS = 2
 STEPS = 80
-LEAST_DOCS = 30
+#: Per step, the embedding of a bucket that n word-document pairs hold shrinks by decay * (1 + RARE / n).
+RARE = 10
 CALIBRATE = 6
 SHARPNESS = (0.3, 3.0)
 #: Bounds of the training sample: documents per label, and windows of one document per label, spread over its text.
@@ -152,10 +153,10 @@ class _Bags:
         sizes = np.array([len(x) for x in ids])
         self.words = np.fromiter((w for x in ids for w in x), dtype=np.int32)
         self.window_of_word = np.repeat(np.arange(len(ids), dtype=np.int32), sizes)
-        # A bucket that few documents hold says more about them than about the label; its embedding stays zero.
+        # A bucket that few documents hold says more about them than about the label; its embedding shrinks faster.
         pairs = np.unique(self.words.astype(np.int64) + len(per_word) * doc[self.window_of_word])
         word_docs = np.bincount(pairs % len(per_word), minlength=len(per_word))
-        self.known = np.bincount(self.grams, word_docs[self.word_of_gram], BUCKETS) >= LEAST_DOCS
+        self.docs = np.bincount(self.grams, word_docs[self.word_of_gram], BUCKETS)
         self.totals = np.bincount(self.window_of_word, self.word_sizes[self.words], len(ids))
 
     def average(self, table: np.ndarray) -> np.ndarray:
@@ -202,7 +203,10 @@ def train(
     bags = _Bags([w for _, _, listed in sample for w in listed], doc)
     class_weight = 0.5 / np.bincount(label)[label]
     rng = np.random.default_rng(seed)
-    params = [rng.normal(0, 0.1, (BUCKETS, DIMENSIONS)) * bags.known[:, None], rng.normal(0, 0.5, (DIMENSIONS, 2)), np.zeros(2)]
+    # No cut by count: what a bucket may weigh falls smoothly with its documents, at any size of the sample.
+    shrink = np.minimum(decay * (1 + RARE / np.maximum(bags.docs, 1)), 0.9)[:, None]
+    seen = bags.docs[:, None] > 0
+    params = [rng.normal(0, 0.1, (BUCKETS, DIMENSIONS)) * seen, rng.normal(0, 0.5, (DIMENSIONS, 2)), np.zeros(2)]
     means, squares = [np.zeros_like(p) for p in params], [np.zeros_like(p) for p in params]
     for step in range(1, steps + 1):
         sharp = SHARPNESS[0] * (SHARPNESS[1] / SHARPNESS[0]) ** (step / steps)
@@ -216,11 +220,11 @@ def train(
         slope = class_weight * (1 / (1 + np.exp(-np.clip(pooled, -50, 50))) - label)
         d_odds = slope[doc] * part / total[doc]
         dz = np.stack([-d_odds, d_odds], axis=1)
-        for i, g in enumerate([bags.spread(dz @ params[1].T) * bags.known[:, None], h.T @ dz, dz.sum(axis=0)]):
+        for i, g in enumerate([bags.spread(dz @ params[1].T), h.T @ dz, dz.sum(axis=0)]):
             means[i] = 0.9 * means[i] + 0.1 * g
             squares[i] = 0.99 * squares[i] + 0.01 * g * g
             move = means[i] / (1 - 0.9**step) / (np.sqrt(squares[i] / (1 - 0.99**step)) + 1e-8)
-            params[i] = params[i] * (1 - decay * (i == 0)) - rate * move
+            params[i] = params[i] * (1 - shrink if i == 0 else 1) - rate * move
     odds_of = (params[0] @ (params[1][:, 1] - params[1][:, 0])).astype(np.float32)
     model = Model(odds_of, float(params[2][1] - params[2][0]))
     return calibrated(model, held, share)

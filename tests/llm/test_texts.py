@@ -324,6 +324,20 @@ def test_toxicity(spark):
     assert kept.columns == docs.columns and 0 < kept.count() < docs.count()
 
 
+def test_toxicity_of_few_labels():
+    """Words of a dozen toxic documents carry weight, and so do their misspellings."""
+    rng = random.Random(5)
+    sample = []
+    for i in range(200):
+        words = prose(rng, 30).split()
+        if i % 14 == 1:
+            words[rng.randrange(len(words))] = "snarfled"
+        sample.append((i, int(i % 14 == 1), [" ".join(words[s : s + 3]) for s in range(28)]))
+    model = toxicity.train(sample, 0.07)
+    bad, misspelt, good = model.odds(["snarfled", "snarrfled", prose(rng, 30)], {})
+    assert bad > good + 1 and misspelt > good
+
+
 def test_toxicity_without_labels_or_rows(spark):
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     docs = frame(spark, ODD)
