@@ -98,16 +98,21 @@ def known_labels(labels: DataFrame, folds: int = FOLDS) -> DataFrame:
 def training_sample(docs: DataFrame, known: DataFrame) -> list[tuple[int, int, list[str]]]:
     """(doc_id, toxic, windows) of at most SAMPLE_DOCS documents, chosen by a hash of their id.
 
-    Repeated documents or labels of an id repeat in the sample.
+    One row per labelled id that has a document, whatever repeats: the text with the smallest hash.
+    Labels without a document take no place.
     """
     order = F.md5(F.col("doc_id").cast("string"))
+    hashed = docs.select("doc_id", F.xxhash64("text").alias("hash"), "text")
+    one = hashed.groupBy("doc_id").agg(F.min("hash").alias("hash"))
+    labelled = one.join(known.distinct(), "doc_id")
     parts = [
-        known.filter(F.col("toxic") == toxic).distinct().orderBy(order, "doc_id").limit(n)
-        for toxic, n in SAMPLE_DOCS.items()
+        labelled.filter(F.col("toxic") == toxic).orderBy(order, "doc_id").limit(n) for toxic, n in SAMPLE_DOCS.items()
     ]
     chosen = parts[0].unionByName(parts[1])
-    texts = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
-    rows = texts.transform(mapped, _sample_windows, "doc_id long, toxic int, windows string").collect()
+    texts = hashed.join(F.broadcast(chosen), ["doc_id", "hash"]).select("doc_id", "toxic", "text")
+    cut = texts.transform(mapped, _sample_windows, "doc_id long, toxic int, windows string")
+    # Rows that agree in doc_id and text come together before they reach the driver.
+    rows = cut.groupBy("doc_id", "toxic").agg(F.min("windows").alias("windows")).collect()
     return sorted((r["doc_id"], r["toxic"], r["windows"].split("\n")) for r in rows)
 
 

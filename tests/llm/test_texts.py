@@ -338,6 +338,15 @@ def test_toxicity_of_few_labels():
     assert bad > good + 1 and misspelt > good
 
 
+def test_training_sample_is_one_row_per_document(spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "SAMPLE_DOCS", {0: 3, 1: 2})
+    rows = [(1, "same text here")] * 40 + [(1, f"other text {i}") for i in range(40)] + [(i, f"text {i}") for i in range(2, 9)]
+    known = spark.createDataFrame([(i, int(i % 2)) for i in range(1, 400)] + [(1, 1)], "doc_id long, toxic int")
+    found = toxicity.training_sample(frame(spark, rows), known)
+    assert [t for _, t, _ in sorted(found, key=lambda r: r[1])] == [0, 0, 0, 1, 1]
+    assert len({d for d, _, _ in found}) == 5
+
+
 def test_toxicity_without_labels_or_rows(spark):
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     docs = frame(spark, ODD)
