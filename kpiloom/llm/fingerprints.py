@@ -28,6 +28,8 @@ from pyspark.sql import functions as F
 from kpiloom.llm.common import checkpointed, mapped
 
 CHAIN = 2
+#: Stretches of more words than this without an anchor add their chains of words.
+STRETCH = 20
 THRESHOLD = 80
 #: Keys that are sampled to cut the order of documents into ranges, per range.
 SAMPLED = 20
@@ -58,8 +60,10 @@ def _mixed(x: np.ndarray) -> np.ndarray:
 def spot_signatures(text: str) -> np.ndarray:
     """Sorted 32-bit hashes of the distinct signatures.
 
-    A text without a complete spot is its chains of CHAIN + 1 words, or all its words as
-    one chain if they are fewer; a text without words has none.
+    A stretch of more than STRETCH words without an anchor adds its chains of CHAIN + 1
+    words, so that a few common words do not stand for a text of code or of another
+    language. A text without a complete spot is its chains of CHAIN + 1 words, or all its
+    words as one chain if they are fewer; a text without words has none.
     """
     words = text.encode().translate(_PLAIN).split()
     if not words:
@@ -74,6 +78,13 @@ def spot_signatures(text: str) -> np.ndarray:
         total, start = hashes[spots[full]], start[full]
         for i in range(CHAIN):
             total = _mixed(total * _U(0x9E3779B97F4A7C15) + content[start + i])
+        gaps = np.diff(spots, prepend=-1, append=len(words)) - 1
+        gap = np.repeat(np.arange(len(gaps)), gaps)
+        start = np.flatnonzero((gap[CHAIN:] == gap[:-CHAIN]) & (gaps[gap[:-CHAIN]] > STRETCH))
+        chain = np.zeros(len(start), dtype=_U)
+        for i in range(CHAIN + 1):
+            chain = _mixed(chain * _U(0x9E3779B97F4A7C15) + content[start + i])
+        total = np.concatenate([total, chain])
     else:
         n = min(CHAIN + 1, len(words))
         total = np.zeros(len(words) - n + 1, dtype=_U)

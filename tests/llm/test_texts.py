@@ -233,6 +233,14 @@ def test_compare_next(spark):
         assert [r["near_edited"], r["near_next"]] == pytest.approx(like)
 
 
+def test_one_common_word_does_not_stand_for_a_text():
+    rng = random.Random(4)
+    text = ["x" + w for w in prose(rng, 90).split()]
+    whole = fingerprints.spot_signatures(" ".join([*text[:10], "de", *text[10:]]))
+    edited_text = fingerprints.spot_signatures(" ".join([*text[:10], "de", *text[10:60], *("y" + w for w in text[60:])]))
+    assert len(whole) > 60 and 0.3 < fingerprints.likeness(whole, edited_text) < 0.8
+
+
 def test_compare_next_odd(spark):
     out = fingerprints.compare_next(frame(spark, ODD).withColumn("key", F.lit(1))).collect()
     assert sorted(str(r["doc_id"]) for r in out) == sorted(str(d) for d, _ in ODD)
