@@ -524,7 +524,10 @@ def _links(
 
 
 def drop_near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """The documents without those that a link chain joins to an earlier one; columns unchanged."""
+    """The documents without those that a link chain joins to an earlier one; columns unchanged.
+
+    Of rows that agree in doc_id and text one stays.
+    """
     gone = checkpointed(
         near_groups(docs, words, percent)
         .filter(~F.col("is_first"))
@@ -533,4 +536,13 @@ def drop_near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PER
     )
     name = fresh(docs, "__hash")
     hashed = docs.withColumn(name, F.xxhash64("text"))
-    return lookup(hashed, gone, [("doc_id", "gone_id"), (name, "gone_hash")], how="left_anti").select(*docs.columns)
+    kept = lookup(hashed, gone, [("doc_id", "gone_id"), (name, "gone_hash")], how="left_anti")
+    times = hashed.groupBy(F.col("doc_id").alias("of_id"), F.col(name).alias("of_hash")).agg(F.count(F.lit(1)).alias("n"))
+    repeated = checkpointed(times.filter("n > 1").drop("n"))
+    if repeated.isEmpty():
+        return kept.select(*docs.columns)
+    keys = [("doc_id", "of_id"), (name, "of_hash")]
+    single = lookup(kept, repeated, keys, how="left_anti")
+    # Made one before the shuffle, so a row that fills half of the table costs a row per task.
+    several = lookup(kept, repeated, keys, how="left_semi").dropDuplicates(["doc_id", name])
+    return single.unionByName(several).select(*docs.columns)

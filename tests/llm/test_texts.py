@@ -183,6 +183,14 @@ def test_near(spark, monkeypatch, words, percent, block):
     assert ids - empties == {c for _, n, c in got if n} and kept.columns == docs.columns
 
 
+def test_repeated_rows_leave_one(spark):
+    rng = random.Random(2)
+    a, b = prose(rng, 40), prose(rng, 40)
+    rows = [(1, a)] * 5 + [(2, b), (2, b), (3, a), (4, None), (4, None), (4, ""), (None, b), (None, b)]
+    found = near_dedup.drop_near_duplicates(frame(spark, rows)).collect()
+    assert sorted(map(tuple, found), key=str) == sorted([(1, a), (2, b), (4, None), (4, "")], key=str)
+
+
 def test_near_empty(spark):
     assert near_dedup.near_groups(frame(spark, [])).count() == 0
     assert near_dedup.near_groups(frame(spark, [(1, None), (2, "")])).count() == 2
