@@ -70,8 +70,51 @@ TEMPLATES = {
         "Public License as published by the Free Software Foundation; either version 2 of the License, or (at your "
         "option) any later version.",
     ],
-    "CC-BY-4.0": ["Licensed under CC BY 4.0.", "This work is licensed under CC BY 4.0."],
-    "CC-BY-SA-4.0": ["Licensed under CC BY-SA 4.0.", "This work is licensed under CC BY-SA 4.0."],
+    "CC-BY-4.0": [
+        "Licensed under CC BY 4.0.",
+        "This work is licensed under CC BY 4.0.",
+        "This work is licensed under a Creative Commons Attribution 4.0 International License.",
+    ],
+    "CC-BY-SA-4.0": [
+        "Licensed under CC BY-SA 4.0.",
+        "This work is licensed under CC BY-SA 4.0.",
+        "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.",
+    ],
+    "CC-BY-NC-SA-4.0": [
+        "Licensed under CC BY-NC-SA 4.0.",
+        "This work is licensed under CC BY-NC-SA 4.0.",
+        "This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License.",
+    ],
+    "CC-BY-NC-ND-4.0": [
+        "Licensed under CC BY-NC-ND 4.0.",
+        "This work is licensed under CC BY-NC-ND 4.0.",
+        "This work is licensed under a Creative Commons Attribution-NonCommercial-NoDerivatives 4.0 International License.",
+    ],
+    "CC-BY-ND-4.0": [
+        "Licensed under CC BY-ND 4.0.",
+        "This work is licensed under CC BY-ND 4.0.",
+        "This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License.",
+    ],
+    "AGPL-3.0": [
+        "This work is licensed under the GNU Affero General Public License, version 3.",
+        "Licensed under the GNU Affero General Public License, version 3.",
+        "Released under the GNU Affero General Public License, version 3.",
+    ],
+    "LGPL-3.0": [
+        "This work is licensed under the GNU Lesser General Public License, version 3.",
+        "Licensed under the GNU Lesser General Public License, version 3.",
+        "Released under the GNU Lesser General Public License, version 3.",
+    ],
+    "LGPL-2.1": [
+        "This work is licensed under the GNU Lesser General Public License, version 2.1.",
+        "Licensed under the GNU Lesser General Public License, version 2.1.",
+        "Released under the GNU Lesser General Public License, version 2.1.",
+    ],
+    "MPL-2.0": [
+        "This work is licensed under the Mozilla Public License, version 2.0.",
+        "Licensed under the Mozilla Public License, version 2.0.",
+        "Released under the Mozilla Public License, version 2.0.",
+    ],
     "CC-BY-NC-4.0": [
         "Licensed under CC BY-NC 4.0.",
         "This work is licensed under CC BY-NC 4.0.",

@@ -178,6 +178,18 @@ def test_licenses(spark, odd, empty):
         licenses.template_rows({"X": [" ".join(map(str, range(100_002)))]})
 
 
+def test_neighbours_have_their_own_id(spark):
+    lines = {
+        "AGPL-3.0": "This work is licensed under the GNU Affero General Public License, version 3.",
+        "LGPL-3.0": "Licensed under the GNU Lesser General Public License, version 3.",
+        "CC-BY-NC-SA-4.0": "This work is licensed under CC BY-NC-SA 4.0.",
+        "CC-BY-SA-4.0": "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.",
+    }
+    rows = [(i, text, "s") for i, text in enumerate(lines.values())]
+    found = {r["doc_id"]: r["license_id"] for r in licenses.scan_licenses(frame(spark, rows)).collect()}
+    assert found == dict(enumerate(lines))
+
+
 def test_license_values_are_sql(spark):
     assert licenses.template_values({"X": ["it is"]}) == "('X', 0, 1, 'it is', 1)"
     assert json.dumps(licenses.TEMPLATES)
