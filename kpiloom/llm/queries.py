@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kpiloom.llm import (
@@ -15,6 +15,7 @@ from kpiloom.llm import (
     line_dedup,
     mixing,
     near_dedup,
+    periodic,
     sharding,
     toxicity,
     warc,
@@ -218,3 +219,40 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = checkpointed(records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"))
     remove_folder(spark, folder)
     return found
+
+
+def _cycled(text: Column, doc_id: Column) -> Column:
+    """Of each tenth document, by the CRC of its id, the words from a place on repeat a few times; null ids stay."""
+    h = F.crc32(doc_id.cast("string").cast("binary"))
+    g = F.floor(h / 10)
+    words = F.filter(F.split(text, r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    n = F.size(words)
+    a = F.pmod(g, n).cast("int")
+    p = (F.lit(1) + F.floor((n - a) / (F.lit(3) + g % 8))).cast("int")
+    tail = F.flatten(F.array_repeat(F.slice(words, a + 1, p), F.ceil((n - a) / p).cast("int")))
+    cycled = F.array_join(F.concat(F.slice(words, F.lit(1), a), F.slice(tail, F.lit(1), n - a)), " ")
+    return F.when((h % 10 == 0) & (F.coalesce(n, F.lit(0)) > 0), cycled).otherwise(text)
+
+
+@query("op11_periodic_runs")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", _cycled(F.col("text"), F.col("doc_id")).alias("text"))
+    found = periodic.find_runs(docs, keep_text=False)
+    # Runs come by start, then period; of equal exponents the first stays.
+    best = F.reduce(
+        F.slice("runs", 2, F.greatest(F.size("runs"), F.lit(1))),
+        F.get("runs", F.lit(0)),
+        lambda x, r: F.when(r["length"] * x["period"] > x["length"] * r["period"], r).otherwise(x),
+    )
+    told = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    lines = F.array_join(F.transform(told, lambda line: F.concat(line, F.lit("\n"))), "")
+    return found.withColumn("best", best).select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        F.col("best.start").alias("start"),
+        F.col("best.length").alias("length"),
+        F.col("best.period").alias("period"),
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(lines.cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+    )
