@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from kpiloom.llm import (
     bpe,
+    conversation_trie,
+    embedding_dedup,
     exact_dedup,
     fingerprints,
     licenses,
@@ -20,7 +22,7 @@ from kpiloom.llm import (
     toxicity,
     warc,
 )
-from kpiloom.llm.common import checkpointed, table
+from kpiloom.llm.common import checkpointed, lookup, table
 from kpiloom.session import remove_folder, work_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -256,3 +258,81 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(lines.cast("binary"), 256).alias("runs_sha256"),
         F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
     )
+
+
+#: CRC-32 of a short text, bit by bit.
+_CRC_SQL = (
+    "xor(list_reduce(list_concat([4294967295::BIGINT], flatten(list_transform(string_split({0}, ''), "
+    "lambda c: [ascii(c)::BIGINT, 0, 0, 0, 0, 0, 0, 0]))), "
+    "lambda s, x: xor(xor(s, x) >> 1, (xor(s, x) & 1) * 3988292384)), 4294967295)"
+)
+
+TRIE_SQL = f"""
+WITH t AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS pos
+  FROM conversations WHERE conv_id IS NOT NULL),
+convs AS (
+  SELECT conv_id, conv_id - conv_id % 100 AS base, {_CRC_SQL.format("conv_id::VARCHAR")} % 6 AS h
+  FROM (SELECT DISTINCT conv_id FROM t)),
+both_parts AS (
+  SELECT c.conv_id, 0 AS part, t.pos, t.role, t.text FROM convs c JOIN t ON t.conv_id = c.base AND t.pos <= c.h
+  UNION ALL
+  SELECT c.conv_id, 1, t.pos, t.role, t.text FROM convs c JOIN t ON t.conv_id = c.conv_id AND t.pos > c.h),
+path AS (
+  SELECT conv_id, row_number() OVER w AS depth, length(text) AS size,
+         string_agg(sha256(length(role) || ':' || role || text), '/') OVER w AS node
+  FROM both_parts WINDOW w AS (PARTITION BY conv_id ORDER BY part, pos)
+  UNION ALL SELECT conv_id, 0, 0, '' FROM convs),
+members AS (SELECT *, lag(node) OVER (PARTITION BY conv_id ORDER BY depth) AS parent,
+  lead(node) OVER (PARTITION BY conv_id ORDER BY depth) IS NULL AS ends FROM path),
+nodes AS (
+  SELECT node, any_value(depth) AS depth, any_value(parent) AS parent, any_value(size) AS size, min(conv_id) AS conv_id,
+         count(*) AS n, bool_and(ends) AS leaf,
+         sha256(coalesce(string_agg(CASE WHEN ends THEN conv_id::VARCHAR END, ',' ORDER BY conv_id), '')) AS digest
+  FROM members GROUP BY node),
+-- The nodes above a node are on the path of its smallest member.
+totals AS (
+  SELECT p.node, sum(v.leaf::INT) AS leaves, sum((v.n - 1) * v.size) AS saved
+  FROM nodes v JOIN path p ON p.conv_id = v.conv_id AND p.depth <= v.depth GROUP BY p.node),
+kids AS (SELECT parent, count(*) AS n FROM nodes WHERE depth > 0 GROUP BY parent)
+SELECT v.conv_id, v.depth, u.conv_id AS parent_conv_id, v.n AS n_convs, coalesce(kids.n, 0) AS n_children,
+       s.leaves::BIGINT AS n_leaves, s.saved::BIGINT AS saved_tokens, v.digest AS ends_sha256
+FROM nodes v JOIN totals s ON s.node = v.node LEFT JOIN kids ON kids.parent = v.node
+LEFT JOIN nodes u ON u.node = v.parent
+"""
+
+
+def _rebuilt(turns: DataFrame, conversations: DataFrame) -> DataFrame:
+    """Each conversation after the first turns of the hundred's first one; as many of its own go, 0 to 5 by its id's CRC."""
+    first = F.crc32(F.col("conv_id").cast("string").cast("binary")) % 6
+    base = F.col("conv_id") - F.col("conv_id") % 100
+    heads = turns.filter((F.col("conv_id") % 100 == 0) & (F.col("depth") <= 5)).withColumnsRenamed(
+        {"conv_id": "h_id", "depth": "h_depth"}
+    )
+    there = heads.groupBy(F.col("h_id").alias("b_id")).agg(F.max("h_depth").alias("b_turns"))
+    facts = conversations.select(F.col("conv_id").alias("f_id"), first.alias("first"), base.alias("base"))
+    facts = facts.join(there, F.col("base") == F.col("b_id"), "left")
+    head = F.least("first", F.coalesce("b_turns", F.lit(0))).alias("head")
+    facts = checkpointed(facts.select("f_id", "first", "base", head))
+    own = lookup(turns, facts, [("conv_id", "f_id")]).filter(F.col("depth") > F.col("first"))
+    own = own.withColumn("depth", F.col("depth") - F.col("first") + F.col("head")).select(*turns.columns)
+    lent = facts.join(heads, (F.col("base") == F.col("h_id")) & (F.col("h_depth") <= F.col("head")))
+    lent = lent.withColumnsRenamed({"f_id": "conv_id", "h_depth": "depth"})
+    return own.unionByName(lent.select(*turns.columns))
+
+
+@query("op12_conversation_trie", TRIE_SQL)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    numbered = checkpointed(conversation_trie.numbered_turns(turns))
+    conversations = checkpointed(numbered.select("conv_id").distinct())
+    rebuilt = checkpointed(_rebuilt(numbered, conversations))
+    return conversation_trie.prefix_trie(rebuilt, conversations)
+
+
+@query("op13_embedding_neighbours")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label")
+    found = embedding_dedup.near_vectors(vectors, cosine=0.93)
+    return found.select("vec_id", "n_links", "component_id", "kept")

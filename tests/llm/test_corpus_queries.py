@@ -13,7 +13,7 @@ SF_DIR = "/root/testdata/sf0.001"
 
 
 def test_registered():
-    assert {name.split("_")[0] for name in queries.QUERIES} == {f"op{n}" for n in range(1, 12)}
+    assert {name.split("_")[0] for name in queries.QUERIES} == {f"op{n}" for n in range(1, 14)}
     assert {*queries.QUERIES, "pipeline"} <= set(driver.queries())
 
 
