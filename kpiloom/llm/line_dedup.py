@@ -13,12 +13,16 @@ text often lost its line feeds.
 Winnowing: a seed is a chain of SEED_WORDS words, or fewer with a smaller `min_words`. A
 window is `min_words` words; the smallest seed hash inside it is its fingerprint. Two
 copies of a run hold the same windows and so select the same fingerprints, wherever the
-lines around them begin: what no other place selected too is in no repeated run. The
-fingerprints that several places selected are joined back to their documents, and from
-there matches are extended word by word both ways: each window that holds one, in all
-its places around it, is met by its content, and the windows that occur in an earlier
-place cover the run up to its first and last word. Only first occurrences are kept per
+lines around them begin: what no other place selected too is in no repeated run. (Hashes
+of whole lines would miss runs that start and end inside lines.)
+
+Fingerprints that several places selected are joined back to their documents, and
+neighbouring windows of one fingerprint are a group there. Matches are extended both ways
+group by group: a group that occurs whole in an earlier place goes whole, which costs one
+row for all of its windows; only where the words around a fingerprint differ, at the ends
+of runs, its windows are compared one by one. First occurrences are kept per group and
 window, never pairs, so a passage in a third of all documents costs rows per document.
+Texts that are equal are read once; the later ones go whole.
 """
 
 from __future__ import annotations
@@ -32,6 +36,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kpiloom.llm.common import checkpointed, fresh, lookup, mapped
+from kpiloom.session import land, remove_folder, work_folder
 
 MIN_WORDS = 50
 #: What ends a line: a line feed, or blanks after a sentence end.
@@ -40,7 +45,9 @@ LINE_END = re.compile(r"\n|[.!?][ \t]+\n?")
 WORDS = re.compile(r"\S+")
 #: Words of a seed, at most.
 SEED_WORDS = 16
-#: Odd bases of the two hashes of a window.
+#: Words whose hashes a task remembers.
+KNOWN_WORDS = 1 << 18
+#: Odd numbers: the base of the hash of neighbours, and what spreads it.
 BASES = (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9)
 
 _SEEDS = "key_id long, key_hash long, prints array<long>, places array<int>"
@@ -55,9 +62,22 @@ def cut_lines(text: str) -> list[str]:
     return [text[a:b] for a, b in zip(cuts, cuts[1:], strict=False)]
 
 
+class _WordHashes(dict):
+    """Hashes of the words met lately."""
+
+    def __missing__(self, word: str) -> int:
+        if len(self) >= KNOWN_WORDS:
+            self.clear()
+        value = self[word] = xxhash.xxh3_64_intdigest(word)
+        return value
+
+
+_hash_of = _WordHashes()
+
+
 def word_hashes(text: str | None) -> np.ndarray:
     words = (text or "").split()
-    return np.fromiter(map(xxhash.xxh3_64_intdigest, words), dtype=_U, count=len(words))
+    return np.fromiter(map(_hash_of.__getitem__, words), dtype=_U, count=len(words))
 
 
 def rolled(x: np.ndarray, size: int, base: int) -> np.ndarray:
@@ -134,33 +154,55 @@ def line_ends(text: str) -> tuple[np.ndarray, list[tuple[int, int]], np.ndarray]
     return ends, words, np.searchsorted(ends, np.array([a for a, _ in words], dtype=np.int64), side="right")
 
 
-def _extend(min_words: int):
-    """The windows around matched seeds, by their content."""
+def filler_windows(text: str, hashes: np.ndarray, min_words: int) -> np.ndarray:
+    """Which windows are one word over and over within one line."""
+    n = max(len(hashes) - min_words + 1, 0)
+    same = np.concatenate([[0], (hashes[1:] == hashes[:-1]).cumsum()])
+    filler = same[min_words - 1 : min_words - 1 + n] - same[:n] == min_words - 1
+    if min_words == 1:
+        return np.zeros(n, dtype=bool)
+    if filler.any():
+        line = line_ends(text)[2]
+        filler &= line[:n] == line[min_words - 1 : min_words - 1 + n]
+    return filler
+
+
+def _groups(min_words: int):
+    """The windows of matched fingerprints, by their content, as groups of neighbours with one fingerprint."""
 
     def run(batches):
+        reach = min_words - min(SEED_WORDS, min_words) + 1
         for batch in batches:
-            index, found, firsts = [], [], []
+            index, prints, firsts, windows, ends = [], [], [], [], [np.zeros(1, dtype=np.int64)]
             texts, matched = batch.column("text").to_pylist(), _lists(batch.column("matched"))
             for i, (text, some) in enumerate(zip(texts, matched, strict=True)):
                 hashes = word_hashes(text)
-                first = np.flatnonzero(np.isin(seeds(hashes, min_words)[1], some))
-                same = np.concatenate([[0], (hashes[1:] == hashes[:-1]).cumsum()])
-                filler = same[first + min_words - 1] - same[first] == min_words - 1
-                if filler.any() and min_words > 1:
-                    line = line_ends(text)[2]
-                    first = first[~filler | (line[first] != line[first + min_words - 1])]
-                index.append(np.full(len(first), i))
-                found.append(np.stack([rolled(hashes, min_words, base)[first] for base in BASES], axis=1))
-                firsts.append(first)
-            at = pa.array(np.concatenate(index))
+                least = seeds(hashes, min_words)[1]
+                at = np.flatnonzero(np.isin(least, some) & ~filler_windows(text, hashes, min_words))
+                if not len(at):
+                    continue
+                # A group is as long as windows around one place can be, so its first and last window overlap.
+                new = np.concatenate([[True], (np.diff(at) > 1) | (least[at[1:]] != least[at[:-1]])])
+                start = np.flatnonzero(new)
+                inside = np.arange(len(at)) - np.repeat(start, np.diff([*start, len(at)]))
+                start = np.flatnonzero(inside % reach == 0)
+                index.append(np.full(len(start), i))
+                prints.append(least[at[start]])
+                firsts.append(at[start])
+                windows.append(rolled(hashes, min_words, BASES[0])[at].view(np.int64))
+                ends.append(ends[-1][-1] + np.append(start[1:], len(at)))
+            if not index:
+                continue
+            own = pa.array(np.concatenate(index))
             yield pa.RecordBatch.from_arrays(
                 [
-                    batch.column("key_id").take(at),
-                    batch.column("key_hash").take(at),
-                    *(pa.array(np.concatenate(found)[:, k].copy().view(np.int64)) for k in (0, 1)),
+                    batch.column("key_id").take(own),
+                    batch.column("key_hash").take(own),
+                    pa.array(np.concatenate(prints)),
                     pa.array(np.concatenate(firsts).astype(np.int32)),
+                    pa.ListArray.from_arrays(np.concatenate(ends).astype(np.int32), np.concatenate(windows)),
                 ],
-                names=["key_id", "key_hash", "content_a", "content_b", "first_word"],
+                names=["key_id", "key_hash", "print", "first_word", "windows"],
             )
 
     return run
@@ -181,14 +223,41 @@ def _place(prefix: str = "") -> Column:
     )
 
 
-def repeated_words(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """(key_id, key_hash, runs): per document with repeated runs, the first words of the windows that go.
+def _keyed(docs: DataFrame) -> DataFrame:
+    return docs.select(
+        F.col("doc_id").alias("key_id"),
+        F.xxhash64("text").alias("key_hash"),
+        F.xxhash64(F.lit(1), "text").alias("key_more"),
+        "text",
+    ).filter(F.length("text") > 0)
+
+
+def _order(key: str) -> Column:
+    return F.struct(F.col(key).isNull().alias("a"), F.col(key).alias("b"))
 
-    Rows that agree in doc_id and text are one document here.
+
+def equal_texts(docs: DataFrame) -> DataFrame:
+    """(of_hash, of_more, first): each text that several rows have, and the first of their ids."""
+    keyed = _keyed(docs)
+    same = keyed.groupBy(F.col("key_hash").alias("of_hash"), F.col("key_more").alias("of_more"))
+    return same.agg(F.count(F.lit(1)).alias("n"), F.min(_order("key_id")).alias("first")).filter("n > 1").drop("n")
+
+
+_SAME_TEXT = [("key_hash", "of_hash"), ("key_more", "of_more")]
+
+
+def repeated_words(docs: DataFrame, copies: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
+    """(key_id, key_hash, runs): per document with repeated runs, (first word, windows) of the windows that go.
+
+    Rows that agree in doc_id and text are one document here. Of `copies`, from
+    `equal_texts`, only the first document is read.
     """
-    keyed = docs.select(F.col("doc_id").alias("key_id"), F.xxhash64("text").alias("key_hash"), "text")
-    keyed = keyed.filter(F.length("text") > 0)
-    read = checkpointed(keyed.transform(mapped, _read_seeds(min_words), _SEEDS))
+    spark = docs.sparkSession
+    keyed = lookup(_keyed(docs), copies, _SAME_TEXT, how="left")
+    keyed = keyed.filter(F.col("first").isNull() | (_order("key_id") <= F.col("first"))).select("key_id", "key_hash", "text")
+    read = keyed.transform(mapped, _read_seeds(min_words), _SEEDS)
+    seeds_folder, groups_folder = work_folder(spark, "seeds"), work_folder(spark, "groups")
+    read = land(read, seeds_folder)
     chosen = read.select("key_id", "key_hash", F.inline(F.arrays_zip("prints", "places"))).withColumnsRenamed(
         {"prints": "print"}
     )
@@ -200,20 +269,34 @@ def repeated_words(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
             F.collect_set("print").alias("matched")
         )
     )
+    remove_folder(spark, seeds_folder)
     around = lookup(keyed, by_doc, [("key_id", "m_id"), ("key_hash", "m_hash")], width=F.size("matched"))
-    kind = "key_id long, key_hash long, content_a long, content_b long, first_word int"
-    extended = checkpointed(
-        around.select("key_id", "key_hash", "text", "matched").transform(mapped, _extend(min_words), kind)
-    )
-    firsts = (
-        extended.groupBy(F.col("content_a").alias("of_a"), F.col("content_b").alias("of_b"))
-        .agg(F.count(F.lit(1)).alias("n"), F.min(_place()).alias("origin"))
-        .filter("n > 1")
-        .drop("n")
+    kind = "key_id long, key_hash long, print long, first_word int, windows array<long>"
+    groups = land(around.select("key_id", "key_hash", "text", "matched").transform(mapped, _groups(min_words), kind), groups_folder)
+    # The first and the last window of a group hold all its words.
+    told = {"size": F.size("windows"), "head": F.get("windows", F.lit(0)), "tail": F.element_at("windows", -1)}
+    groups = groups.withColumns(told)
+    keys = ["print", "size", "head", "tail"]
+    met = _first_places(groups, keys)
+    whole = F.col("origin").isNotNull() & (_place() > F.col("origin"))
+    gone = met.filter(whole).select("key_id", "key_hash", "first_word", "size")
+    rest = met.filter(~whole).select("key_id", "key_hash", "print", "first_word", F.posexplode("windows").alias("at", "window"))
+    rest = rest.withColumn("first_word", F.col("first_word") + F.col("at"))
+    later = _first_places(rest, ["print", "window"]).filter(_place() > F.col("origin"))
+    gone = gone.unionByName(later.select("key_id", "key_hash", "first_word", F.lit(1).alias("size")))
+    runs = gone.groupBy("key_id", "key_hash").agg(F.collect_list(F.struct("first_word", "size")).alias("runs"))
+    runs = checkpointed(runs)
+    remove_folder(spark, groups_folder)
+    return runs
+
+
+def _first_places(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """The rows with `origin`, the first place of what several rows share; null for the others."""
+    firsts = rows.groupBy(*[F.col(k).alias(f"of_{k}") for k in keys]).agg(
+        F.count(F.lit(1)).alias("n"), F.min(_place()).alias("origin")
     )
-    keys = [("content_a", "of_a"), ("content_b", "of_b")]
-    later = lookup(extended, checkpointed(firsts), keys).filter(_place() > F.col("origin"))
-    return later.groupBy("key_id", "key_hash").agg(F.collect_set("first_word").alias("runs"))
+    firsts = checkpointed(firsts.filter("n > 1").drop("n"))
+    return lookup(rows, firsts, [(k, f"of_{k}") for k in keys], how="left").drop(*[f"of_{k}" for k in keys])
 
 
 def cut_windows(text: str, starts: np.ndarray, min_words: int) -> tuple[str, int, int]:
@@ -249,26 +332,30 @@ def cut_windows(text: str, starts: np.ndarray, min_words: int) -> tuple[str, int
     return "".join([*out, text[at:]]), lines, int(gone.sum())
 
 
-def _cut_runs(text_at: int, runs_at: int, kept: int, min_words: int):
+def _cut_runs(text_at: int, runs_at: int, copy_at: int, kept: int, min_words: int):
     """Rewrites the text without its runs; adds counts of the lines and words that went."""
 
+    def starts_of(text: str, runs: pa.Scalar, copy: bool) -> np.ndarray:
+        if copy:
+            return np.flatnonzero(~filler_windows(text, word_hashes(text), min_words))
+        first, size = (runs.values.field(k).to_numpy().astype(np.int64) for k in ("first_word", "size"))
+        return np.repeat(first, size) + np.arange(size.sum()) - np.repeat(size.cumsum() - size, size)
+
     def run(batches):
         for batch in batches:
-            texts = batch.column(text_at).to_pylist()
-            out, gone_lines, gone_words = [], [], []
-            for text, runs in zip(texts, batch.column(runs_at), strict=True):
-                starts = np.array(runs.values, dtype=np.int64) if runs.is_valid else ()
-                done = cut_windows(text, starts, min_words) if len(starts) else (text, 0, 0)
-                for column, value in zip((out, gone_lines, gone_words), done, strict=True):
-                    column.append(value)
+            runs, copies = batch.column(runs_at), batch.column(copy_at)
+            cut = [i for i in range(batch.num_rows) if copies[i].as_py() or runs[i].is_valid]
             columns = [batch.column(i) for i in range(kept)]
-            columns[text_at] = pa.array(out, pa.string())
+            lines, words = np.zeros((2, batch.num_rows), dtype=np.int32)
+            if cut:
+                texts = columns[text_at].to_pylist()
+                for i in cut:
+                    starts = starts_of(texts[i], runs[i], copies[i].as_py())
+                    if len(starts):
+                        texts[i], lines[i], words[i] = cut_windows(texts[i], starts, min_words)
+                columns[text_at] = pa.array(texts, pa.string())
             yield pa.RecordBatch.from_arrays(
-                [
-                    *columns,
-                    pa.array(gone_lines, pa.int32()),
-                    pa.array(gone_words, pa.int32()),
-                ],
+                [*columns, pa.array(lines), pa.array(words)],
                 names=[*batch.schema.names[:kept], "dropped_lines", "dropped_words"],
             )
 
@@ -285,18 +372,24 @@ def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """
     docs = docs.drop("dropped_lines", "dropped_words")
     names = docs.columns
-    runs = checkpointed(repeated_words(docs, min_words))
-    text_hash = fresh(docs, "__hash")
-    hashed = docs.withColumn(text_hash, F.xxhash64("text"))
+    copies = checkpointed(equal_texts(docs))
+    runs = repeated_words(docs, copies, min_words)
+    text_hash, text_more = fresh(docs, "__hash"), fresh(docs, "__more")
+    hashed = docs.withColumns({text_hash: F.xxhash64("text"), text_more: F.xxhash64(F.lit(1), "text")})
+    copies = copies.select(*[F.col(c).alias(fresh(hashed, f"__{c}")) for c in copies.columns])
+    of_hash, of_more, first = copies.columns
+    met = lookup(hashed, copies, [(text_hash, of_hash), (text_more, of_more)], how="left")
+    copy = fresh(met, "__copy")
+    met = met.withColumn(copy, F.col(first).isNotNull() & (_order("doc_id") > F.col(first)))
     small = runs.select(
-        F.col("key_id").alias(fresh(hashed, "__id")),
-        F.col("key_hash").alias(fresh(hashed, "__key")),
-        F.col("runs").alias(fresh(hashed, "__runs")),
+        F.col("key_id").alias(fresh(met, "__id")),
+        F.col("key_hash").alias(fresh(met, "__key")),
+        F.col("runs").alias(fresh(met, "__runs")),
     )
     key_id, key_hash, key_runs = small.columns
-    met = lookup(
-        hashed, small, [("doc_id", key_id), (text_hash, key_hash)], how="left", width=F.size(key_runs)
-    ).select(*names, key_runs)
+    met = lookup(met, small, [("doc_id", key_id), (text_hash, key_hash)], how="left", width=F.size(key_runs))
+    met = met.select(*names, key_runs, copy)
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
     counted = f"{schema}, dropped_lines int, dropped_words int"
-    return met.transform(mapped, _cut_runs(names.index("text"), len(names), len(names), min_words), counted)
+    cut = _cut_runs(names.index("text"), len(names), len(names) + 1, len(names), min_words)
+    return met.transform(mapped, cut, counted)
