@@ -137,10 +137,6 @@ COUPON_ID COUPON_WARIBIKI SORYO SORYO_TAX TEIKA_SUM TEIKA_SUM_TAX SEIKYU TAX DAI
 FREE_ITEM33 SHIRE_SUM KESSAI_ID
 """.split()
 
-FEED_LINE_USED = """
-ORDER_D_NO ORDER_D_FREE_ITEM31 ORDER_D_FREE_ITEM32 ORDER_D_FREE_ITEM35 TEIKA QUANTITY SHIRE_PRICE
-""".split()
-
 # ---------------------------------------------------------------------------
 # File columns of the inputs, in file order.
 # ---------------------------------------------------------------------------
@@ -244,6 +240,29 @@ CONFORMED_CANCEL = _typed(
     T.DecimalType(38, 0),
 )
 
+# History tables: one declared schema per fact, whichever flow fills it. Amounts and
+# quantities are doubles, numbers that are names (item, shipment) are text.
+FACT_TABLES = {
+    "header": _typed(
+        text_struct(HEADER_COLUMNS + HEADER_CHARGE_COLUMNS),
+        {"Freight_Tax", "Demand_Net", "Freight_Amount", "Discount_Amount", "Coupon_Amount", "Tax", *HEADER_CHARGE_COLUMNS},
+        T.DoubleType(),
+    ),
+    "line": _typed(
+        text_struct(LINE_COLUMNS), {"Demand_Net", "Demand_Sales_Unit", "GiftChrg", "GiftTax", "DiscountAmt"}, T.DoubleType()
+    ),
+    "payment": _typed(text_struct(PAYMENT_COLUMNS), {"Tender_Amt"}, T.DoubleType()),
+    "cancel": _typed(
+        _typed(
+            text_struct(CANCEL_COLUMNS),
+            {"Order_Total", "Order_Demand_Amt", "Line_Qty", "Line_Sub_Total", "Disc_Promo"},
+            T.DoubleType(),
+        ),
+        {"Jda_Order", "Original_Jda_Order"},
+        T.IntegerType(),
+    ),
+}
+
 TENDER_BY_COUNTRY = text_struct(["Country", "TenderID", "TenderType"])
 TENDER = text_struct(["TenderID", "TenderType"])
 ITEM = text_struct(["Barcode", "Style", "Color", "Size"])
@@ -265,8 +284,6 @@ CANCEL_STATUS_TEXT = "Cancelled"
 # Primary keys, mandatory fields and file words per fact.
 # ---------------------------------------------------------------------------
 
-FACTS = ["header", "line", "payment", "cancel"]
-
 MANDATORY = {
     "header": ["eCom_Store_ID", "Transaction_Nbr", "Order_Date", "Country", "Device_Type", "Demand_Net"],
     "payment": ["eCom_Store_ID", "Transaction_Nbr", "Order_Date"],
@@ -305,11 +322,13 @@ ORDER_KEYS = {
     "cancel": ["Store", "Weborder_Id", "Order_Date"],
 }
 
-# Default keys: as above, and the item number where a fact has one row per item,
-# so that a late line of a known order is still added.
+# Default keys: as above, and the item number where a fact has one row per item, so that
+# a late line of a known order is still added, and the tender of a payment, so that the
+# tenders of an order may come in several loads.
 PRIMARY_KEYS = {
     **ORDER_KEYS,
     "line": ORDER_KEYS["line"] + ["ItmSeqNum"],
+    "payment": ORDER_KEYS["payment"] + ["Tender"],
     "cancel": ORDER_KEYS["cancel"] + ["Line"],
 }
 

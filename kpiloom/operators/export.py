@@ -6,6 +6,8 @@ asks for, written in parallel. The names follow from that number and not from th
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import ExitStack, contextmanager
 from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -13,8 +15,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from kpiloom import contracts
-from kpiloom.operators.relational import business_date
-from kpiloom.session import file_system, landed, remove_folder
+from kpiloom.operators.relational import earliest_date
+from kpiloom.session import file_system, land_observed, remove_folder, work_folder
 
 # No quoting, CRLF, '' for NULL and for the empty text.
 _DIALECT = {
@@ -99,9 +101,9 @@ def publish(
     The date is `on_date`, else the earliest order date (status date of
     cancellations) of the fact, else `fallback`. A fact without rows and dates is no file.
     """
-    with landed(df, f"export-{fact}") as rows:
-        day = on_date or business_date(rows, contracts.BUSINESS_DATE_COLUMN[fact]) or fallback
-        if day is None and rows.isEmpty():
+    with _counted(df, fact) as (rows, seen):
+        day = on_date or seen["day"] or fallback
+        if day is None and not seen["rows"]:
             return []
         if day is None:
             raise ValueError(f"no business date for {fact}")
@@ -109,10 +111,54 @@ def publish(
         return _write(rows, root, fact, base, **options)
 
 
+def publish_facts(
+    facts: dict[str, DataFrame],
+    root: str,
+    region: str,
+    prefix: str,
+    on_date: date | None = None,
+    one_date: bool = False,
+    **options,
+) -> dict[str, list[str]]:
+    """Business-dated exports of several facts; one without rows is no file.
+
+    With `one_date` all are named by the earliest order date of all of them, cancellations
+    included; else each by its own date, as in `publish`. Each fact is computed once.
+    """
+    with ExitStack() as stack:
+        seen = {
+            fact: stack.enter_context(_counted(df, fact, "Order_Date" if one_date else None)) for fact, df in facts.items()
+        }
+        days = [s["day"] for _, s in seen.values() if s["day"]]
+        common = on_date or (min(days, default=None) if one_date else None)
+        written = {}
+        for fact, (rows, counted) in seen.items():
+            day = common or counted["day"]
+            if not counted["rows"]:
+                written[fact] = []
+                continue
+            if day is None:
+                raise ValueError(f"no business date for {fact}")
+            base = f"{prefix}_{region}_{contracts.FILE_WORD[fact]}-{day:%Y%m%d}"
+            written[fact] = _write(rows, root, fact, base, **options)
+        return written
+
+
 def publish_window(
     df: DataFrame, root: str, fact: str, region: str, prefix: str, start: date, end: date, **options
 ) -> list[str]:
-    """Export of a history slice `<prefix>_<region>_<Fact>_<start>_<end>.csv`."""
+    """Export of a history slice `<prefix>_<region>_<Fact>_<start>_<end>.csv`; without rows there is no file."""
     base = f"{prefix}_{region}_{contracts.FILE_WORD[fact]}_{start:%Y%m%d}_{end:%Y%m%d}"
-    with landed(df, f"export-{fact}") as rows:
-        return _write(rows, root, fact, base, **options)
+    with _counted(df, fact) as (rows, seen):
+        return _write(rows, root, fact, base, **options) if seen["rows"] else []
+
+
+@contextmanager
+def _counted(df: DataFrame, fact: str, date_column: str | None = None) -> Iterator[tuple[DataFrame, dict]]:
+    """The landed fact with its number of rows and earliest date, taken in the pass that lands it."""
+    folder = work_folder(df.sparkSession, f"export-{fact}")
+    day = earliest_date(date_column or contracts.BUSINESS_DATE_COLUMN[fact])
+    try:
+        yield land_observed(df, folder, rows=F.count(F.lit(1)), day=day)
+    finally:
+        remove_folder(df.sparkSession, folder)

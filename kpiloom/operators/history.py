@@ -1,48 +1,69 @@
 """History and error tables of the facts.
 
-The tables only ever grow: every load appends files to one `ingestion_date`
-partition and rewrites nothing, so a load costs what its batch costs, and a
-reader never sees a half-replaced file. An update is a newer version of a key;
-`current` leaves the versions that no later load replaced. Any appendable format
-works; Parquet is the default. Loads are told apart by their stamp and, where a caller
-gives several loads one stamp, by a load number that grows with the clock.
+A load appends files to partitions of its own, (kind, order month, day of the load, number
+of the load), in one write for valid and invalid rows, and rewrites nothing: a reader
+never sees a half-replaced file, and rows of a load that is not done (see ledger.py) are
+left out by their partition. An update is a newer version of a key; `current` leaves the
+versions that no later load replaced. `compact` writes these down per order month, so that
+a reader need not find them again. Any appendable format works; Parquet is the default.
 """
 
 from __future__ import annotations
 
-import time
+import json
 from collections.abc import Sequence
 from datetime import date, datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from kpiloom.functions.dates import in_window, ingestion_ts
-from kpiloom.operators.joins import not_in_history
-from kpiloom.operators.quality import split_valid
-from kpiloom.session import folder_exists
+from kpiloom.operators import ledger
+from kpiloom.operators.key_filter import MONTH
+from kpiloom.session import file_system, folder_exists, remove_folder
 
 STAMP = "ingestion_timestamp"
 PARTITION = "ingestion_date"
 LOAD = "load_number"
 
 
+KIND = "kind"
+#: Hash of the row, for rows of the error table.
+DIGEST = "row_digest"
+#: The rows of the load are all there are of their order.
+COMPLETE = "complete_set"
+LAYOUT = [KIND, MONTH, PARTITION, LOAD]
+
+
 def table_path(root: str, fact: str, kind: str) -> str:
     """`kind` is `history` or `error`."""
-    return f"{root.rstrip('/')}/{fact}/{kind}"
+    return f"{root.rstrip('/')}/{fact}/{KIND}={kind}"
 
 
-def with_stamp(df: DataFrame, now: datetime | str | None = None) -> DataFrame:
-    stamped = df.withColumn(STAMP, ingestion_ts(now)).withColumn(LOAD, F.lit(time.time_ns()))
+def with_stamp(df: DataFrame, load: int, now: datetime | str | None = None) -> DataFrame:
+    stamped = df.withColumns({STAMP: ingestion_ts(now), LOAD: F.lit(load).cast("long")})
     return stamped.withColumn(PARTITION, F.to_date(STAMP))
 
 
+def order_month(date_key: str) -> Column:
+    """Partition of a row: the month of its order date, null where that is no date."""
+    text = F.col(date_key).cast("string")
+    return F.when(text.rlike(r"^\d{4}-\d{2}"), F.left(text, F.lit(7)))
+
+
 def table_schema(fact_schema: T.StructType) -> T.StructType:
-    """Columns of a fact that carries its check flag, and the three of the load."""
-    load = [(STAMP, T.TimestampType()), (LOAD, T.LongType()), (PARTITION, T.DateType())]
-    fields = [T.StructField(f.name, f.dataType) for f in fact_schema if f.name not in dict(load)]
-    return T.StructType([*fields, *[T.StructField(name, kind) for name, kind in load]])
+    """Columns of a fact that carries its check flag, and those of the load."""
+    load = {
+        COMPLETE: T.BooleanType(),
+        DIGEST: T.StringType(),
+        STAMP: T.TimestampType(),
+        LOAD: T.LongType(),
+        MONTH: T.StringType(),
+        PARTITION: T.DateType(),
+    }
+    fields = [T.StructField(f.name, f.dataType) for f in fact_schema if f.name not in load]
+    return T.StructType([*fields, *[T.StructField(name, kind) for name, kind in load.items()]])
 
 
 def ensure_table(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet") -> None:
@@ -52,14 +73,13 @@ def ensure_table(spark: SparkSession, path: str, schema: T.StructType, fmt: str
 
 
 def register_table(spark: SparkSession, name: str, path: str, schema: T.StructType, fmt: str = "parquet") -> None:
-    """Makes the table known to the session's catalog, for SQL users.
+    """Makes the table known to the session's catalog, for SQL users, who see every load that has written.
 
-    With a metastore behind it, a query on few days then lists those days only.
+    With a metastore behind it, a query on few days or months then lists those only.
     """
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
-    spark.sql(
-        f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING {fmt} PARTITIONED BY ({PARTITION}) LOCATION '{path}'"
-    )
+    parts = ", ".join(LAYOUT[1:])
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING {fmt} PARTITIONED BY ({parts}) LOCATION '{path}'")
     spark.catalog.recoverPartitions(name)
 
 
@@ -67,10 +87,34 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType, fmt: str =
     return spark.read.format(fmt).schema(schema).load(path)
 
 
+def read_done(
+    spark: SparkSession, root: str, fact: str, kind: str, schema: T.StructType, fmt: str = "parquet"
+) -> DataFrame:
+    """The rows of loads that are done. The others are left out by their partition."""
+    path = table_path(root, fact, kind)
+    ensure_table(spark, path, schema, fmt)
+    rows = read_table(spark, path, schema, fmt)
+    failed = ledger.unfinished(spark, root)
+    return rows.filter(~F.col(LOAD).isin(failed)) if failed else rows
+
+
 def append(df: DataFrame, path: str, fmt: str = "parquet") -> None:
     df.write.format(fmt).mode("append").partitionBy(PARTITION).save(path)
 
 
+def append_load(df: DataFrame, root: str, fact: str, date_key: str, fmt: str = "parquet") -> None:
+    """Writes the rows of a load, which carry their `kind`, in one job; a large month is many tasks'."""
+    dealt = df.hint("rebalance", KIND, MONTH).sortWithinPartitions(*LAYOUT, date_key)
+    dealt.write.format(fmt).mode("append").partitionBy(*LAYOUT).save(f"{root.rstrip('/')}/{fact}")
+
+
+def in_months(rows: DataFrame, months: Sequence[str | None]) -> DataFrame:
+    """The rows of some order months; the filter is on the partition."""
+    named = [m for m in months if m is not None]
+    wanted = F.col(MONTH).isin(named) if named else F.lit(False)
+    return rows.filter(wanted | F.col(MONTH).isNull() if len(named) < len(months) else wanted)
+
+
 def near_batch(history: DataFrame, batch: DataFrame, date_key: str) -> DataFrame:
     """History rows whose date lies in the batch's date range, the only ones a key can equal.
 
@@ -88,62 +132,42 @@ def one_per_key(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return best.select(*[F.col(c) if c in keys else F.col(f"__best.{c}").alias(c) for c in df.columns])
 
 
-def append_new(
-    batch: DataFrame, history: DataFrame, path: str, keys: Sequence[str], date_key: str, fmt: str = "parquet"
-) -> None:
-    """Insert-if-absent: appends the valid rows whose key the history (see `near_batch`) does not have."""
-    fresh = not_in_history(split_valid(batch)[0], history, keys)
-    append(fresh.sortWithinPartitions(PARTITION, date_key), path, fmt)
-
-
-def upsert(batch: DataFrame, path: str, date_key: str, fmt: str = "parquet") -> None:
-    """Appends the valid rows, as the first or next version of their keys.
-
-    Rows of a batch that share a key, such as the payments of an order, are its version
-    together; none is dropped.
-    """
-    append(split_valid(batch)[0].sortWithinPartitions(PARTITION, date_key), path, fmt)
-
-
-def quarantine(batch: DataFrame, history: DataFrame, path: str, keys: Sequence[str], fmt: str = "parquet") -> None:
-    """Appends the invalid rows whose key is neither in the history nor valid in the batch itself.
-
-    A row that an earlier load quarantined is not added again, so a repeated batch adds none.
-    """
-    valid, invalid = split_valid(batch)
-    known = history.select(*keys).unionByName(valid.select(*keys))
-    fields = [F.col(c) for c in batch.columns if c not in (STAMP, LOAD, PARTITION)]
-    digest = F.sha2(F.to_json(F.struct(*fields)), 256).alias("__row")
-    earlier = read_table(batch.sparkSession, path, batch.schema, fmt).select(digest).distinct()
-    fresh = not_in_history(invalid, known, keys).withColumn("__row", digest)
-    append(fresh.join(earlier, "__row", "left_anti").drop("__row"), path, fmt)
+def _replaced(history: DataFrame, keys: Sequence[str], newest: DataFrame) -> DataFrame:
+    """The rows without those of a key that `newest` (`keys`, __last) has a later version of."""
+    # The hash adds nothing to the match, but keeps the join from reusing the shuffle
+    # of the aggregate: AQE splits a hot key's partition only where both sides of the
+    # join come straight from a shuffle of the join itself.
+    digest = F.xxhash64(*keys).alias("__hash")
+    old, new = history.select("*", digest).alias("old"), newest.select("*", digest).alias("new")
+    match = [F.col(f"old.{key}").eqNullSafe(F.col(f"new.{key}")) for key in [*keys, "__hash"]]
+    older = F.struct(f"old.{LOAD}", f"old.{STAMP}") < F.col("new.__last")
+    return old.join(new, [*match, older], "left_anti").drop("__hash")
 
 
-def current(history: DataFrame, keys: Sequence[str]) -> DataFrame:
+def current(history: DataFrame, keys: Sequence[str], set_keys: Sequence[str] | None = None) -> DataFrame:
     """Rows that no later load has replaced.
 
-    Only keys with more than one load enter the join; in a table that was never
-    updated there are none.
+    A later load replaces the rows of its keys; where it says that it has all rows of an
+    order (`COMPLETE`), it replaces all of the order, by `set_keys`. Only keys with more
+    than one load enter the join; in a table that was never updated there are none.
     """
-    version = F.struct(STAMP, LOAD)
+    version = F.struct(LOAD, STAMP)
     loads = history.groupBy(*keys).agg(F.max(version).alias("__last"), F.min(version).alias("__first"))
-    replaced = loads.filter(F.col("__first") < F.col("__last")).drop("__first")
-    # The hash adds nothing to the match, but keeps the join from reusing the shuffle
-    # of the aggregate: AQE splits a hot key's partition only where both sides of the
-    # join come straight from a shuffle of the join itself.
-    digest = F.xxhash64(*keys).alias("__hash")
-    old, new = history.select("*", digest).alias("old"), replaced.select("*", digest).alias("new")
-    match = [F.col(f"old.{key}") == F.col(f"new.{key}") for key in [*keys, "__hash"]]
-    older = F.struct(f"old.{STAMP}", f"old.{LOAD}") < F.col("new.__last")
-    return old.join(new, [*match, older], "left_anti").drop("__hash")
+    rows = _replaced(history, keys, loads.filter(F.col("__first") < F.col("__last")).drop("__first"))
+    if not set_keys or COMPLETE not in history.columns:
+        return rows
+    whole = history.filter(COMPLETE).groupBy(*set_keys).agg(F.max(version).alias("__last"))
+    return _replaced(rows, set_keys, whole)
 
 
-def window_slice(history: DataFrame, keys: Sequence[str], start: date, end: date) -> DataFrame:
+def window_slice(
+    history: DataFrame, keys: Sequence[str], start: date, end: date, set_keys: Sequence[str] | None = None
+) -> DataFrame:
     """Current rows ingested from `start` to `end`, both days included.
 
     Partitions before `start` are not read: a row is only ever replaced later.
     """
-    since = current(history.filter(F.col(PARTITION) >= F.lit(start)), keys)
+    since = current(history.filter(F.col(PARTITION) >= F.lit(start)), keys, set_keys)
     day = since.filter(F.col(PARTITION) <= F.lit(end))
     lo, hi = F.lit(start).cast("timestamp"), F.date_add(F.lit(end), 1).cast("timestamp")
     return day.filter(in_window(F.col(STAMP), lo, hi))
@@ -152,3 +176,81 @@ def window_slice(history: DataFrame, keys: Sequence[str], start: date, end: date
 def snapshot(history: DataFrame, keys: Sequence[str], target: str, fmt: str = "parquet") -> None:
     """Writes the current rows as a new table next to the history, to read or to go on with."""
     current(history, keys).write.format(fmt).partitionBy(PARTITION).save(target)
+
+
+# ------------------------------------------------------------ compaction
+
+AS_OF = "as_of"
+
+
+def _snapshot_path(root: str, fact: str) -> str:
+    return f"{root.rstrip('/')}/_current/{fact}"
+
+
+def _pointers(spark: SparkSession, root: str, fact: str) -> list[tuple[int, dict[str, int]]]:
+    """(load, {month: as_of}) of the compactions, the latest last. An empty month stands for none."""
+    fs, path = file_system(spark, root)
+    found = fs.globStatus(path(f"{_snapshot_path(root, fact)}/_pointers/*")) or []
+    numbers = sorted(int(str(s.getPath().getName())) for s in found)
+    texts = {n: spark.read.text(f"{_snapshot_path(root, fact)}/_pointers/{n:012d}", wholetext=True).first()[0] for n in numbers[-2:]}
+    return [(n, json.loads(text)) for n, text in texts.items()]
+
+
+def compact(spark: SparkSession, root: str, fact: str, schema: T.StructType, keys: Sequence[str], set_keys: Sequence[str] | None = None, fmt: str = "parquet") -> list[str]:
+    """Writes down the current rows of the order months that loads since the last compaction touched.
+
+    Months are replaced by new folders and a new pointer that names them, so that a reader,
+    or a compaction that fails, always has whole ones; what the pointer before the last
+    named and the last does not is removed. Returns the months written.
+    """
+    rows = read_done(spark, root, fact, "history", schema, fmt)
+    # A load that is not done may come again under its number: nothing from there on is written down.
+    failed = ledger.unfinished(spark, root)
+    last = rows.agg(F.max(LOAD)).first()[0] or 0
+    upto = min([last, *(n - 1 for n in failed)])
+    pointers = _pointers(spark, root, fact)
+    since, months = pointers[-1] if pointers else (0, {})
+    if upto <= since:
+        return []
+    rows = rows.filter(F.col(LOAD) <= upto)
+    touched = [r[0] for r in rows.filter(F.col(LOAD) > since).select(MONTH).distinct().collect()]
+    target = _snapshot_path(root, fact)
+    kept = current(in_months(rows, touched), keys, set_keys).withColumn(AS_OF, F.lit(upto).cast("long"))
+    dealt = kept.hint("rebalance", MONTH)
+    # What a failed compaction has left under this number is replaced.
+    writer = dealt.write.format(fmt).mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy(MONTH, AS_OF).save(target)
+    fs, path = file_system(spark, root)
+    now = months | {month or "": upto for month in touched}
+    with_text = fs.create(path(f"{target}/_pointers/{upto:012d}"), True)
+    with_text.write(bytearray(json.dumps(now).encode()))
+    with_text.close()
+    for number, before in pointers:
+        for month, as_of in before.items():
+            if number < since and months.get(month) != as_of and now.get(month) != as_of:
+                remove_folder(spark, f"{target}/{MONTH}={month or '__HIVE_DEFAULT_PARTITION__'}/{AS_OF}={as_of}")
+    return sorted(m or "" for m in touched)
+
+
+def read_current(spark: SparkSession, root: str, fact: str, schema: T.StructType, keys: Sequence[str], set_keys: Sequence[str] | None = None, fmt: str = "parquet") -> DataFrame:
+    """The rows that no later load has replaced, from the last compaction and the loads since.
+
+    Only keys of later loads are compared, and with them only what was written down.
+    """
+    rows = read_done(spark, root, fact, "history", schema, fmt)
+    pointers = _pointers(spark, root, fact)
+    if not pointers:
+        return current(rows, keys, set_keys)
+    upto, months = pointers[-1]
+    later = current(rows.filter(F.col(LOAD) > upto), keys, set_keys)
+    wanted = F.lit(False)
+    for month, as_of in months.items():
+        wanted |= F.col(MONTH).eqNullSafe(F.lit(month or None)) & (F.col(AS_OF) == as_of)
+    whole = T.StructType([*schema.fields, T.StructField(AS_OF, T.LongType())])
+    base = read_table(spark, _snapshot_path(root, fact), whole, fmt).filter(wanted).drop(AS_OF)
+    new = rows.filter(F.col(LOAD) > upto)
+    version = F.max(F.struct(LOAD, STAMP)).alias("__last")
+    base = _replaced(base, keys, new.groupBy(*keys).agg(version))
+    if set_keys:
+        base = _replaced(base, set_keys, new.filter(COMPLETE).groupBy(*set_keys).agg(version))
+    return base.unionByName(later)

@@ -2,20 +2,78 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from kpiloom import contracts
 from kpiloom.functions import dates
-from kpiloom.operators import history
+from kpiloom.operators import history, key_filter, ledger
 from kpiloom.operators.export import publish_window
-from kpiloom.operators.quality import check_mandatory
+from kpiloom.operators.key_filter import MONTH
+from kpiloom.operators.quality import FLAG, assign, check_mandatory
 from kpiloom.plans.render import render
-from kpiloom.session import landed
+from kpiloom.session import folder_exists, land, land_observed, remove_folder, work_folder
 
-DATE_KEY = "Order_Date"
+DATE_KEY = {"header": "Order_Date", "line": "Order_Date", "payment": "Order_Date", "cancel": "Order_Date"}
+
+
+@dataclass(frozen=True)
+class LoadCount:
+    """What became of the rows of a batch; `rows` is the sum of the others but `updated`, which are among `added`."""
+
+    rows: int
+    added: int
+    #: Rows added as a later version of a key.
+    updated: int
+    #: Valid rows of keys that the table had already, left out.
+    known: int
+    quarantined: int
+    #: Invalid rows that are not needed: of a known or valid key, or quarantined before.
+    dropped: int
+
+
+def table_schema(fact: str) -> T.StructType:
+    """The declared columns of a fact's table, with the check flag and those of the load."""
+    return history.table_schema(checked_schema(contracts.FACT_TABLES[fact]))
+
+
+def checked_schema(fact_schema: T.StructType) -> T.StructType:
+    return T.StructType([*fact_schema.fields, T.StructField(FLAG, T.BooleanType())])
+
+
+def _filter_path(root: str, fact: str) -> str:
+    return f"{root.rstrip('/')}/_keys/{fact}"
+
+
+def _filters(spark: SparkSession, root: str, fact: str, months: list[str | None]) -> DataFrame:
+    path = _filter_path(root, fact)
+    if not folder_exists(spark, path):
+        return spark.createDataFrame([], key_filter.SCHEMA)
+    return history.in_months(spark.read.schema(key_filter.SCHEMA).parquet(path), months)
+
+
+def _known_keys(
+    batch: DataFrame, filters: DataFrame, table: DataFrame, keys: list[str], own: bool, months: list[str | None], folder: str
+) -> DataFrame:
+    """(k_a, k_b): hashes of the keys of the batch that the table has.
+
+    By the table's own keys, only months in which a filter may hold a key of the batch are
+    read, and nothing if there are none; by other keys all that can have them.
+    """
+    hashes = key_filter.key_hashes(keys)
+    asked = batch.select(*hashes).distinct()
+    if own:
+        asked = land(key_filter.maybe_known(batch, filters, keys), f"{folder}/maybe")
+        table = history.in_months(table, [r[0] for r in asked.select(MONTH).distinct().collect()])
+    elif "Order_Date" in keys:
+        table = history.in_months(table, months)
+    there = table.select(*hashes)
+    found = there.join(asked, ["key_a", "key_b"], "left_semi").distinct()
+    return land(found.select(F.col("key_a").alias("k_a"), F.col("key_b").alias("k_b")), f"{folder}/known")
 
 
 def load_fact(
@@ -26,28 +84,92 @@ def load_fact(
     now: datetime | str | None = None,
     keys: list[str] | None = None,
     fmt: str = "parquet",
-) -> None:
-    """Checks, stamps and loads one fact.
+    load: ledger.Load | None = None,
+    complete: bool = False,
+    on_bad_value: str = "refuse",
+) -> LoadCount | None:
+    """Checks, stamps and loads one fact, as a load of its own or part of `load`.
 
-    `deduplicate` inserts new keys only; otherwise known keys are updated. The
-    batch is landed first: it is read several times, and its stamp must be one.
+    `deduplicate` inserts new keys only; otherwise known keys get a later version, and with
+    `complete` the batch's orders are replaced as a whole. The batch is cast to the declared
+    table (see `assign`) and landed first; valid and invalid rows are then written by one
+    job. Invalid rows are quarantined unless their key is known, valid in the batch itself,
+    or the same row is quarantined already. A load that is done already is left alone.
     """
-    keys = keys or contracts.PRIMARY_KEYS[fact]
-    checked = history.with_stamp(check_mandatory(df, contracts.MANDATORY[fact]), now)
+    if load is None:
+        with ledger.loading(df.sparkSession, root) as load:
+            return load_fact(df, root, fact, deduplicate, now, keys, fmt, load, complete, on_bad_value)
+    if load.done:
+        return None
     spark = df.sparkSession
-    kept, faulty = (history.table_path(root, fact, kind) for kind in ("history", "error"))
-    with landed(checked, f"load-{fact}") as batch:
-        for path in (kept, faulty):
-            history.ensure_table(spark, path, batch.schema, fmt)
-        # Listed once, before the load: both steps compare with the state up to here.
-        known = history.read_table(spark, kept, batch.schema, fmt)
-        if DATE_KEY in keys:
-            known = history.near_batch(known, batch, DATE_KEY)
+    own = keys is None or list(keys) == contracts.PRIMARY_KEYS[fact]
+    keys = list(keys or contracts.PRIMARY_KEYS[fact])
+    date_key = DATE_KEY[fact]
+    folder = work_folder(spark, f"load-{fact}")
+    try:
+        checked = check_mandatory(assign(df, contracts.FACT_TABLES[fact], on_bad_value), contracts.MANDATORY[fact])
+        stamped = history.with_stamp(checked, load.number, now).withColumns(
+            {MONTH: history.order_month(date_key), history.COMPLETE: F.lit(complete)}
+        )
+        valid, rows = F.count_if(F.col(FLAG)), F.count(F.lit(1))
+        batch, seen = land_observed(stamped, f"{folder}/batch", rows=rows, valid=valid)
+        months = [r[0] for r in batch.select(MONTH).distinct().collect()]
+        filters = _filters(spark, root, fact, months)
+        table = history.read_done(spark, root, fact, "history", table_schema(fact), fmt)
+        known = _known_keys(batch, filters, table, keys, own, months, folder)
+        hashed = batch.select("*", *key_filter.key_hashes(keys))
+        match = [F.col("key_a") == F.col("k_a"), F.col("key_b") == F.col("k_b")]
+        marked = hashed.join(known, match, "left").withColumn("is_known", F.col("k_a").isNotNull()).drop("k_a", "k_b")
+        good = marked.filter(F.col(FLAG))
         if deduplicate:
-            history.append_new(batch, known, kept, keys, DATE_KEY, fmt)
-        else:
-            history.upsert(batch, kept, DATE_KEY, fmt)
-        history.quarantine(batch, known, faulty, keys, fmt)
+            good = good.filter(~F.col("is_known"))
+        good = good.withColumns({history.KIND: F.lit("history"), history.DIGEST: F.lit(None).cast("string")})
+        out = good
+        if seen["rows"] > seen["valid"]:
+            out = out.unionByName(_to_quarantine(marked, root, fact, months, fmt))
+        # The filter first: bits of rows that never come cost a look, rows without bits would come twice.
+        new = good.filter(~F.col("is_known"))
+        _add_to_filter(new, key_filter.held(filters), root, fact, load.number)
+        kind = F.col(history.KIND)
+        added, written = land_observed(
+            out.drop("key_a", "key_b"),
+            f"{folder}/out",
+            added=F.count_if(kind == "history"),
+            updated=F.count_if((kind == "history") & F.col("is_known")),
+            quarantined=F.count_if(kind == "error"),
+        )
+        history.append_load(added.drop("is_known"), root, fact, date_key, fmt)
+    finally:
+        remove_folder(spark, folder)
+    n = {name: written[name] or 0 for name in written}
+    return LoadCount(
+        rows=seen["rows"],
+        **n,
+        known=seen["valid"] - n["added"],
+        dropped=seen["rows"] - seen["valid"] - n["quarantined"],
+    )
+
+
+def _to_quarantine(marked: DataFrame, root: str, fact: str, months: list[str | None], fmt: str) -> DataFrame:
+    """The invalid rows that are of no known or valid key, and not in the error table of their months."""
+    spark = marked.sparkSession
+    fields = [F.col(f.name) for f in contracts.FACT_TABLES[fact]]
+    digest = F.sha2(F.to_json(F.struct(*fields)), 256)
+    invalid = marked.filter(~F.col(FLAG) & ~F.col("is_known"))
+    valid = marked.filter(F.col(FLAG)).select("key_a", "key_b")
+    fresh = invalid.join(valid, ["key_a", "key_b"], "left_anti").withColumn(history.DIGEST, digest)
+    errors = history.read_done(spark, root, fact, "error", table_schema(fact), fmt)
+    earlier = history.in_months(errors, months).select(history.DIGEST)
+    fresh = fresh.join(earlier, history.DIGEST, "left_anti").withColumn(history.KIND, F.lit("error"))
+    return fresh.select(*marked.columns, history.KIND, history.DIGEST)
+
+
+def _add_to_filter(rows: DataFrame, held: dict[str | None, int], root: str, fact: str, number: int) -> None:
+    """By the fact's own keys, whichever the load goes by."""
+    keyed = key_filter.with_generation(rows, held)
+    words = key_filter.words(keyed, contracts.PRIMARY_KEYS[fact]).withColumn(history.LOAD, F.lit(number).cast("long"))
+    dealt = words.hint("rebalance", MONTH)
+    dealt.write.mode("append").partitionBy(MONTH, history.LOAD).parquet(_filter_path(root, fact))
 
 
 def load_history(
@@ -56,31 +178,63 @@ def load_history(
     deduplicate: bool = True,
     now: datetime | str | None = None,
     fmt: str = "parquet",
-) -> None:
-    for fact, df in facts.items():
-        load_fact(df, root, fact, deduplicate, now, fmt=fmt)
+    source: str | None = None,
+    batch: int | None = None,
+    **options,
+) -> dict[str, LoadCount | None]:
+    """All facts as one load: its rows count once every fact is written, and never before.
+
+    `source` and `batch` name the load; one of the same name that is done changes nothing.
+    """
+    if not facts:
+        return {}
+    spark = next(iter(facts.values())).sparkSession
+    with ledger.loading(spark, root, source, batch) as load:
+        return {fact: load_fact(df, root, fact, deduplicate, now, fmt=fmt, load=load, **options) for fact, df in facts.items()}
+
+
+def _set_keys(fact: str) -> list[str]:
+    return contracts.ORDER_KEYS[fact]
+
+
+def _as(rows: DataFrame, schema: T.StructType | None) -> DataFrame:
+    """The rows in the columns and types of the flow that asks."""
+    if schema is None:
+        return rows
+    rest = [c for c in (FLAG, history.STAMP) if c in rows.columns]
+    return rows.select(*[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in schema if f.name not in rest], *rest)
 
 
 def read_history(
     spark: SparkSession,
     root: str,
     fact: str,
-    fact_schema: T.StructType,
+    fact_schema: T.StructType | None = None,
     keys: list[str] | None = None,
     kind: str = "history",
     fmt: str = "parquet",
 ) -> DataFrame:
-    """The table as it stands now: each key's latest load, or the error rows."""
-    table = history.read_table(
-        spark, history.table_path(root, fact, kind), history.table_schema(checked_schema(fact_schema)), fmt
-    )
-    rows = history.current(table, keys or contracts.PRIMARY_KEYS[fact]) if kind == "history" else table
-    return rows.drop(history.PARTITION, history.LOAD)
+    """The table as it stands now: each key's latest load, or the error rows.
 
+    In the declared types, or those of `fact_schema`.
+    """
+    if kind == "history":
+        own = keys or contracts.PRIMARY_KEYS[fact]
+        if own == contracts.PRIMARY_KEYS[fact]:
+            rows = history.read_current(spark, root, fact, table_schema(fact), own, _set_keys(fact), fmt)
+        else:
+            rows = history.current(history.read_done(spark, root, fact, kind, table_schema(fact), fmt), own)
+    else:
+        rows = history.read_done(spark, root, fact, kind, table_schema(fact), fmt)
+    return _as(rows.drop(history.PARTITION, history.LOAD, MONTH, history.DIGEST, history.COMPLETE), fact_schema)
 
-def checked_schema(fact_schema: T.StructType) -> T.StructType:
-    flag = T.StructField("mandatory_field_check", T.BooleanType())
-    return T.StructType([*fact_schema.fields, flag])
+
+def compact_history(spark: SparkSession, root: str, facts: list[str] | None = None, fmt: str = "parquet") -> dict[str, list[str]]:
+    """Writes down the current rows of the months that changed, fact by fact."""
+    return {
+        fact: history.compact(spark, root, fact, table_schema(fact), contracts.PRIMARY_KEYS[fact], _set_keys(fact), fmt)
+        for fact in facts or list(contracts.FACT_TABLES)
+    }
 
 
 def export_history(
@@ -98,16 +252,15 @@ def export_history(
 ) -> dict[str, list[str]]:
     """One export per fact of the rows ingested from `start` to `end`, by default yesterday's.
 
-    `keys` are those the facts were loaded with, where they are not the default ones.
+    Printed in the types of `schemas`, those of the feed. `keys` are those the facts were
+    loaded with, where they are not the default ones. A fact without rows is no file.
     """
     yesterday = dates.request_window()[0].date()
     start, end = start or yesterday, end or yesterday
     written = {}
     for fact, schema in schemas.items():
-        table = history.read_table(
-            spark, history.table_path(root, fact, "history"), history.table_schema(checked_schema(schema)), fmt
-        )
+        table = history.read_done(spark, root, fact, "history", table_schema(fact), fmt)
         own = (keys or {}).get(fact) or contracts.PRIMARY_KEYS[fact]
-        rows = history.window_slice(table, own, start, end).drop(history.PARTITION, history.LOAD)
+        rows = _as(history.window_slice(table, own, start, end, _set_keys(fact)), schema)
         written[fact] = publish_window(render(rows, feed, fact), outbound, fact, region, prefix, start, end)
     return written

@@ -6,7 +6,7 @@ import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 RECOMMENDED_CONF = {
     # AQE sizes the shuffles, turns joins with small sides into broadcast joins
@@ -39,6 +39,13 @@ def work_folder(spark: SparkSession, purpose: str) -> str:
     return f"{shared_folder(spark)}/{purpose}-{uuid.uuid4().hex}"
 
 
+def land_observed(df: DataFrame, folder: str, **aggregates: Column) -> tuple[DataFrame, dict]:
+    """As `land`, with values of the aggregates that the same pass has taken."""
+    seen = Observation()
+    df.observe(seen, *[c.alias(name) for name, c in aggregates.items()]).write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder), seen.get
+
+
 def land(df: DataFrame, folder: str) -> DataFrame:
     """Write a frame as Parquet once and read it back.
 

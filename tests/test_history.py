@@ -93,7 +93,8 @@ def test_line_key_counts_the_item(spark, root):
     schema = ", ".join(f"{c} {'double' if c == 'Demand_Net' else 'string'}" for c in contracts.LINE_COLUMNS)
 
     def line(number):
-        values = {"ItmSeqNum": number, "Demand_Net": 1.0, "Order_Date": "2024-04-01 00:00:00"}
+        amounts = dict.fromkeys(["Demand_Sales_Unit", "GiftChrg", "GiftTax", "DiscountAmt"], "2")
+        values = amounts | {"ItmSeqNum": number, "Demand_Net": 1.0, "Order_Date": "2024-04-01 00:00:00"}
         return spark.createDataFrame([tuple(values.get(c, "x") for c in contracts.LINE_COLUMNS)], schema)
 
     def numbers():
