@@ -12,9 +12,9 @@ from kpiloom.catalog import derive as d
 from kpiloom.catalog.registry import query, table
 from kpiloom.functions import text
 from kpiloom.operators import export, history, nested
-from kpiloom.plans import conformed_flow, feed_flow, history_flow
+from kpiloom.plans import conformed_flow, feed_flow, flat_flow, history_flow
 from kpiloom.plans.render import render
-from kpiloom.session import work_folder
+from kpiloom.session import remove_folder, work_folder
 from kpiloom.sources import readers
 from kpiloom.streaming.ingest import ingest_inbound
 
@@ -352,6 +352,190 @@ def history_current(spark, sf_dir):
     return rows.select("user_id", "event_type", "event_id")
 
 
+_FEED_DAY = d.sql_time("o.d")
+_FLAT_DAY = d.sql_time("o.d + to_hours(k % 24) + to_minutes(k % 60) + to_seconds(k % 50)")
+_FLAT_CANCEL_DAY = d.sql_time("o.d + to_hours(k % 24) + to_minutes(k % 60)")
+
+#: Valid rows of the form feed's facts and of the flat files', by store, order, date and item or tender.
+_BOTH_FLOWS = f"""
+WITH {d.SQL_O}, {d.SQL_L}, {d.SQL_ITEM}, {d.SQL_TENDER},
+m AS (SELECT l_orderkey, min(n) AS first_n FROM l GROUP BY l_orderkey),
+f AS (SELECT o.*, {d.sql_store("l1.item_type")} AS store FROM o LEFT JOIN l AS l1 ON l1.l_orderkey = k AND l1.n = 1),
+g AS (SELECT o.*, {d.sql_store("l.item_type")} AS store FROM o JOIN m ON m.l_orderkey = k
+      JOIN l ON l.l_orderkey = k AND l.n = m.first_n),
+feed AS (
+  SELECT 'header' AS fact, store, txn, {_FEED_DAY.replace("o.d", "d")} AS order_time, '' AS part,
+    seikyu - tax - daibiki - soryo - coupon - free11 AS amount FROM f WHERE st <> 'P' AND free11 IS NOT NULL
+  UNION ALL
+  SELECT 'payment', store, txn, {_FEED_DAY.replace("o.d", "d")}, coalesce(tender_type, ''), seikyu
+  FROM f LEFT JOIN t ON kessai = tender_id WHERE st <> 'P'
+  UNION ALL
+  SELECT 'line', store, txn, {_FEED_DAY.replace("o.d", "f.d")}, l.n::VARCHAR, l.price * l.quantity
+  FROM f JOIN l ON l.l_orderkey = k JOIN i ON l.barcode = bc WHERE st <> 'P'
+  UNION ALL
+  SELECT 'cancel', store, txn, {_FEED_DAY.replace("o.d", "f.d")}, l.n::VARCHAR, l.price * l.quantity
+  FROM f JOIN l ON l.l_orderkey = k JOIN i ON l.barcode = bc WHERE st = 'P'),
+flat AS (
+  SELECT 'header' AS fact, store, txn, {_FLAT_DAY.replace("o.d", "d")} AS order_time, '' AS part,
+    seikyu - tax - daibiki + daibiki AS amount FROM g
+  UNION ALL
+  SELECT 'payment', store, txn, {_FLAT_DAY.replace("o.d", "d")}, coalesce(tender_type, ''), seikyu
+  FROM g LEFT JOIN t ON kessai = tender_id
+  UNION ALL
+  SELECT 'line', {d.sql_store("l.item_type")}, txn, {_FLAT_DAY}, l.n::VARCHAR, (price + 5) * 1.1::DOUBLE
+  FROM o JOIN l ON l.l_orderkey = k JOIN i ON l.barcode = bc
+  UNION ALL
+  SELECT 'cancel', {d.sql_store("l.item_type")}, txn, {_FLAT_CANCEL_DAY}, l.n::VARCHAR,
+    (teika_sum + teika_sum_tax) * floor(l.quantity)
+  FROM o JOIN l ON l.l_orderkey = k JOIN i ON l.barcode = bc WHERE st = 'P')
+"""
+
+_AMOUNTS = {
+    "header": ("eCom_Store_ID", "Transaction_Nbr", "''", "Demand_Net"),
+    "payment": ("eCom_Store_ID", "Transaction_Nbr", "coalesce(Tender, '')", "Tender_Amt"),
+    "line": ("eCom_Store_ID", "Transaction_Nbr", "ItmSeqNum", "Demand_Net"),
+    "cancel": ("Store", "Weborder_Id", "Line", "Line_Sub_Total"),
+}
+
+
+def _load_both(spark, sf_dir, purpose, deduplicate=True):
+    """The form feed's four facts, then those of the flat files, into one root."""
+    root, work = work_folder(spark, purpose), work_folder(spark, f"{purpose}-facts")
+    tender, items = d.tender_map(spark, sf_dir), d.item_map(spark, sf_dir)
+    feed = feed_flow.feed_facts(d.form_feed(spark, sf_dir), tender, items, f"{work}/feed")
+    history_flow.load_history(feed, root, deduplicate, now=_DAY_1)
+    flat = flat_flow.sales_facts(d.flat_rows(spark, sf_dir, cancel=False), tender, items, f"{work}/sales")
+    flat |= flat_flow.cancel_facts(d.flat_rows(spark, sf_dir, cancel=True), items, f"{work}/cancel")
+    history_flow.load_history(flat, root, deduplicate, now=_DAY_2)
+    remove_folder(spark, work)
+    return root
+
+
+def _amounts(df, fact):
+    store, order, part, amount = _AMOUNTS[fact]
+    return df.select(
+        F.lit(fact).alias("fact"),
+        F.col(store).alias("store"),
+        F.col(order).alias("txn"),
+        F.col("Order_Date").alias("order_time"),
+        F.expr(part).alias("part"),
+        F.col(amount).alias("amount"),
+    )
+
+
+def _all_facts(spark, root):
+    rows = [_amounts(history_flow.read_history(spark, root, fact), fact) for fact in _AMOUNTS]
+    return rows[0].unionByName(rows[1]).unionByName(rows[2]).unionByName(rows[3])
+
+
+@query(
+    "history_mixed",
+    f"""{_BOTH_FLOWS}
+SELECT * FROM feed UNION ALL
+SELECT * FROM flat WHERE NOT EXISTS (
+  SELECT 1 FROM feed WHERE feed.fact = flat.fact AND feed.store = flat.store AND feed.txn = flat.txn
+    AND feed.order_time = flat.order_time AND feed.part = flat.part)
+""",
+)
+def history_mixed(spark, sf_dir):
+    """Facts of the normal and of the recovery flow in one table each; a key of both keeps its first row."""
+    return _all_facts(spark, _load_both(spark, sf_dir, "mixed"))
+
+
+@query(
+    "history_mixed_update",
+    f"""{_BOTH_FLOWS}
+SELECT * FROM flat UNION ALL
+SELECT * FROM feed WHERE NOT EXISTS (
+  SELECT 1 FROM flat WHERE feed.fact = flat.fact AND feed.store = flat.store AND feed.txn = flat.txn
+    AND feed.order_time = flat.order_time AND feed.part = flat.part)
+""",
+)
+def history_mixed_update(spark, sf_dir):
+    """The same as updates, read after a compaction: a key of both has its last row."""
+    root = _load_both(spark, sf_dir, "mixed-update", deduplicate=False)
+    history_flow.compact_history(spark, root)
+    return _all_facts(spark, root)
+
+
+@query(
+    "export_facts",
+    f"""{_BOTH_FLOWS}
+SELECT CASE fact WHEN 'header' THEN 'Transaction' WHEN 'line' THEN 'Line' WHEN 'payment' THEN 'Payment' ELSE 'Cancel' END
+    AS word, store, txn, order_time, 'BI_JP_' || word || '_20240501_20240501.csv' AS file
+FROM feed
+""",
+)
+def export_facts(spark, sf_dir):
+    """The window export of all four facts: the rows of the first day's load, the flat files' not among them."""
+    root, outbound = _load_both(spark, sf_dir, "export-facts"), work_folder(spark, "outbound-facts")
+    day = date(2024, 5, 1)
+    schemas = feed_flow.fact_schemas(spark)
+    files = history_flow.export_history(spark, root, outbound, schemas, "JP", "BI", "feed", day, day)
+    rows = []
+    for fact, paths in files.items():
+        store, order, _, _ = _AMOUNTS[fact]
+        back = spark.read.options(header=True, sep=contracts.FILE_SEPARATOR[fact], quote="", lineSep="\r\n").csv(paths)
+        rows.append(
+            back.select(
+                F.lit(contracts.FILE_WORD[fact]).alias("word"),
+                F.col(store).alias("store"),
+                F.col(order).alias("txn"),
+                F.col("Order_Date").alias("order_time"),
+                F.regexp_extract("_metadata.file_path", r"([^/]+)$", 1).alias("file"),
+            )
+        )
+    return rows[0].unionByName(rows[1]).unionByName(rows[2]).unionByName(rows[3])
+
+
+@query(
+    "history_compacted",
+    f"WITH {_H} SELECT Transaction_Nbr, round(p + 1, 2) AS net, DATE '2024-05-02' AS day, true AS mandatory_field_check FROM h WHERE ok",
+)
+def history_compacted(spark, sf_dir):
+    """As history_upsert, from what a compaction has written down after each load."""
+    root, load = work_folder(spark, "compacted"), {}
+    for only_open, change, now in ((True, 0, _DAY_1), (False, 1, _DAY_2)):
+        batch = _header_batch(spark, sf_dir, only_open, change)
+        history_flow.load_fact(batch, root, "header", False, now=now)
+        load = history_flow.compact_history(spark, root, ["header"])
+    assert load["header"]
+    return _shown(history_flow.read_history(spark, root, "header", batch.schema))
+
+
+@query(
+    "history_tenders",
+    """
+SELECT mode, 'T' || o_orderkey AS Transaction_Nbr, unnest(['Card', 'Points']) AS Tender,
+  unnest([CASE mode WHEN 'insert' THEN o_totalprice ELSE o_totalprice + 1 END, o_custkey::DOUBLE]) AS amount
+FROM orders, (VALUES ('insert'), ('update')) AS modes(mode)
+""",
+)
+def history_tenders(spark, sf_dir):
+    """Tenders of an order that come in two loads both stay, in both modes; one that comes again is known or replaced."""
+    orders = table(spark, sf_dir, "orders")
+
+    def tenders(name, amount):
+        return orders.select(
+            F.lit("s").alias("eCom_Store_ID"),
+            F.expr("concat('T', o_orderkey)").alias("Transaction_Nbr"),
+            F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss").alias("Order_Date"),
+            F.lit(name).alias("Tender"),
+            amount.cast("double").alias("Tender_Amt"),
+        )
+
+    card, points = tenders("Card", F.col("o_totalprice")), tenders("Points", F.col("o_custkey"))
+    dearer = card.withColumn("Tender_Amt", F.col("Tender_Amt") + 1)
+    shown = []
+    for mode, deduplicate in (("insert", True), ("update", False)):
+        root = work_folder(spark, f"tenders-{mode}")
+        for batch in (card, points, dearer):
+            history_flow.load_fact(batch, root, "payment", deduplicate, now=_DAY_1)
+        rows = history_flow.read_history(spark, root, "payment")
+        shown.append(rows.select(F.lit(mode).alias("mode"), "Transaction_Nbr", "Tender", F.col("Tender_Amt").alias("amount")))
+    return shown[0].unionByName(shown[1])
+
+
 # ---------------------------------------------------------------- pickup
 
 

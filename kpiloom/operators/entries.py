@@ -105,24 +105,42 @@ def line_entries(entries: DataFrame) -> DataFrame:
 # ------------------------------------------------------------------- pivots
 
 
+def _grouped(entries: DataFrame, keys: Sequence[str], name: str, names: Sequence[str]) -> DataFrame:
+    """One row per key with `found`: the entries of the asked names, by position.
+
+    One list per key instead of a state per name: it is collected by hash, without a sort.
+    A key with none of the names keeps its row.
+    """
+    entry = F.when(F.col(name).isin(list(names)), F.struct("pos", F.col(name).alias("name"), "value"))
+    return entries.groupBy(*keys).agg(F.sort_array(F.collect_list(entry)).alias("found"))
+
+
+def _spread(grouped: DataFrame, keys: Sequence[str], names: Sequence[str]) -> DataFrame:
+    """The first value of each name, as columns; absent names are NULL."""
+    arrays = grouped.select(*keys, F.col("found.name").alias("__names"), F.col("found.value").alias("__values"))
+    firsts = [F.get("__values", F.array_position("__names", F.lit(name)) - 1).alias(name) for name in names]
+    return arrays.select(*keys, *firsts)
+
+
 def pivot_header(entries: DataFrame, names: Sequence[str]) -> DataFrame:
     """One wide row per record. Absent names are NULL columns."""
-    wide = entries.groupBy(RECORD_ID).pivot("name", list(names))
-    return wide.agg(F.min_by("value", "pos"))
+    return _spread(_grouped(entries, [RECORD_ID], "name", names), [RECORD_ID], names)
 
 
 def pivot_lines(entries: DataFrame, names: Sequence[str]) -> DataFrame:
     """One wide row per record and number suffix."""
-    wide = line_entries(entries).groupBy(RECORD_ID, "sequence").pivot("base", list(names))
-    return wide.agg(F.min_by("value", "pos"))
+    keys = [RECORD_ID, "sequence"]
+    return _spread(_grouped(line_entries(entries), keys, "base", names), keys, names)
 
 
 def pivot_lines_conditional(entries: DataFrame, names: Sequence[str]) -> DataFrame:
-    """`pivot_lines` as conditional aggregates, without the pivot operator."""
-    firsts = [
-        F.min_by(F.col("value"), F.when(F.col("base") == F.lit(name), F.col("pos"))).alias(name) for name in names
-    ]
-    return line_entries(entries).groupBy(RECORD_ID, "sequence").agg(*firsts)
+    """`pivot_lines` with a condition per name over the entries of a row, without the pivot operator."""
+    keys = [RECORD_ID, "sequence"]
+
+    def first(name: str) -> Column:
+        return F.get(F.filter("found", lambda e: e["name"] == F.lit(name)), F.lit(0))["value"].alias(name)
+
+    return _grouped(line_entries(entries), keys, "base", names).select(*keys, *[first(name) for name in names])
 
 
 # ----------------------------------------------------------------- in place
@@ -174,10 +192,11 @@ def field(name: str, decoded: bool = False) -> Column:
     return _lookup(F.lit(name), decoded)
 
 
-def explode_items(fields: DataFrame, carried: Sequence[str]) -> DataFrame:
-    """One row per number suffix, with that suffix's entries only.
+def explode_items(fields: DataFrame, carried: Sequence[str], outer: bool = False) -> DataFrame:
+    """One row per number suffix, with that suffix's entries only, and its `place` among the record's.
 
-    `fields` is a frame made by `with_fields(..., items=True)`.
+    `fields` is a frame made by `with_fields(..., items=True)`. With `outer` a record
+    without items has one row, whose suffix is NULL.
 
     The suffixed entries are sorted by suffix once, and every item is a slice
     between two neighbouring starts: the work grows with the length of the
@@ -201,14 +220,18 @@ def explode_items(fields: DataFrame, carried: Sequence[str]) -> DataFrame:
         "__entries",
         "__starts",
         F.posexplode_outer("__starts").alias("__n", "__start"),
-    ).filter(F.col("__start").isNotNull())
+    )
+    if not outer:
+        rows = rows.filter(F.col("__start").isNotNull())
     stop = F.coalesce(F.get("__starts", F.col("__n") + 1), F.size("__entries") + 1)
     items = rows.select(
         *carried,
+        F.coalesce("__n", F.lit(0)).alias("place"),
         F.slice("__entries", F.col("__start"), stop - F.col("__start")).alias("__item"),
     )
     return items.select(
         *carried,
+        "place",
         F.get("__item", F.lit(0))["sequences"].alias("sequence"),
         F.col("__item.names").alias("names"),
         F.col("__item.values").alias("values"),

@@ -88,16 +88,44 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType, fmt: str =
 
 
 def read_done(
-    spark: SparkSession, root: str, fact: str, kind: str, schema: T.StructType, fmt: str = "parquet"
+    spark: SparkSession,
+    root: str,
+    fact: str,
+    kind: str,
+    schema: T.StructType,
+    fmt: str = "parquet",
+    months: Sequence[str | None] | None = None,
 ) -> DataFrame:
-    """The rows of loads that are done. The others are left out by their partition."""
+    """The rows of loads that are done, of all order months or some. The others are left out by their partition.
+
+    Only the folders of the months are listed, however many others there are.
+    """
     path = table_path(root, fact, kind)
-    ensure_table(spark, path, schema, fmt)
-    rows = read_table(spark, path, schema, fmt)
+    if months is None:
+        ensure_table(spark, path, schema, fmt)
+        rows = read_table(spark, path, schema, fmt)
+    else:
+        rows = read_months(spark, path, months, schema, fmt)
     failed = ledger.unfinished(spark, root)
     return rows.filter(~F.col(LOAD).isin(failed)) if failed else rows
 
 
+def month_folder(month: str | None) -> str:
+    return f"{MONTH}={'__HIVE_DEFAULT_PARTITION__' if month is None else month}"
+
+
+def read_months(
+    spark: SparkSession, path: str, months: Sequence[str | None], schema: T.StructType | str, fmt: str = "parquet"
+) -> DataFrame:
+    """The partitions of some order months of the table at `path`; no rows where there are none."""
+    fs, to_path = file_system(spark, path)
+    there = {str(s.getPath().getName()) for s in fs.listStatus(to_path(path))} if fs.exists(to_path(path)) else set()
+    folders = [f"{path}/{name}" for name in map(month_folder, months) if name in there]
+    if not folders:
+        return spark.createDataFrame([], schema)
+    return spark.read.format(fmt).schema(schema).option("basePath", path).load(folders)
+
+
 def append(df: DataFrame, path: str, fmt: str = "parquet") -> None:
     df.write.format(fmt).mode("append").partitionBy(PARTITION).save(path)
 
@@ -108,13 +136,6 @@ def append_load(df: DataFrame, root: str, fact: str, date_key: str, fmt: str = "
     dealt.write.format(fmt).mode("append").partitionBy(*LAYOUT).save(f"{root.rstrip('/')}/{fact}")
 
 
-def in_months(rows: DataFrame, months: Sequence[str | None]) -> DataFrame:
-    """The rows of some order months; the filter is on the partition."""
-    named = [m for m in months if m is not None]
-    wanted = F.col(MONTH).isin(named) if named else F.lit(False)
-    return rows.filter(wanted | F.col(MONTH).isNull() if len(named) < len(months) else wanted)
-
-
 def near_batch(history: DataFrame, batch: DataFrame, date_key: str) -> DataFrame:
     """History rows whose date lies in the batch's date range, the only ones a key can equal.
 
@@ -212,10 +233,10 @@ def compact(spark: SparkSession, root: str, fact: str, schema: T.StructType, key
     since, months = pointers[-1] if pointers else (0, {})
     if upto <= since:
         return []
-    rows = rows.filter(F.col(LOAD) <= upto)
-    touched = [r[0] for r in rows.filter(F.col(LOAD) > since).select(MONTH).distinct().collect()]
+    new = rows.filter((F.col(LOAD) > since) & (F.col(LOAD) <= upto))
+    touched = [r[0] for r in new.select(MONTH).distinct().collect()]
     target = _snapshot_path(root, fact)
-    kept = current(in_months(rows, touched), keys, set_keys).withColumn(AS_OF, F.lit(upto).cast("long"))
+    kept = current(read_done(spark, root, fact, "history", schema, fmt, touched).filter(F.col(LOAD) <= upto), keys, set_keys).withColumn(AS_OF, F.lit(upto).cast("long"))
     dealt = kept.hint("rebalance", MONTH)
     # What a failed compaction has left under this number is replaced.
     writer = dealt.write.format(fmt).mode("overwrite").option("partitionOverwriteMode", "dynamic")
@@ -225,10 +246,10 @@ def compact(spark: SparkSession, root: str, fact: str, schema: T.StructType, key
     with_text = fs.create(path(f"{target}/_pointers/{upto:012d}"), True)
     with_text.write(bytearray(json.dumps(now).encode()))
     with_text.close()
-    for number, before in pointers:
+    for _, before in pointers[:-1]:
         for month, as_of in before.items():
-            if number < since and months.get(month) != as_of and now.get(month) != as_of:
-                remove_folder(spark, f"{target}/{MONTH}={month or '__HIVE_DEFAULT_PARTITION__'}/{AS_OF}={as_of}")
+            if months.get(month) != as_of:
+                remove_folder(spark, f"{target}/{month_folder(month or None)}/{AS_OF}={as_of}")
     return sorted(m or "" for m in touched)
 
 

@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kpiloom.functions.codes import tender_label
@@ -33,12 +33,30 @@ def join_tender(df: DataFrame, tender_map: DataFrame, on: dict[str, str], policy
     return joined.select("fact.*", tender_label(F.col("tender.TenderType"), policy).alias("TenderType"))
 
 
-def with_item(lines: DataFrame, items: DataFrame, trim: bool = False) -> DataFrame:
-    """Left join on Barcode that adds Style, Color and Size, trimmed when asked."""
-    line, item = lines.alias("line"), items.alias("item")
-    joined = line.join(item, F.col("line.Barcode") == F.col("item.Barcode"), "left")
+def _spread_key(c: Column, columns: Sequence[str]) -> Column:
+    """The key, or for a NULL one a text that no key is, different from row to row.
+
+    Rows without a key match nothing; spread like this they do not meet in one task.
+    """
+    return F.coalesce(c, F.concat(F.lit("\0"), F.xxhash64(*columns).cast("string")))
+
+
+def with_item(lines: DataFrame, items: DataFrame, trim: bool = False, salts: int = 1) -> DataFrame:
+    """Left join on Barcode that adds Style, Color and Size, trimmed when asked.
+
+    Lines without a barcode are spread over the tasks. With `salts` above 1 the lines of
+    a barcode are dealt to as many tasks, at the price of as many copies of the items:
+    for a dimension too large to broadcast in a session that splits no hot keys.
+    """
+    line = lines.withColumn("__key", _spread_key(F.col("Barcode"), lines.columns))
+    item, match = items, [F.col("line.__key") == F.col("item.Barcode")]
+    if salts > 1:
+        line = line.withColumn("__salt", F.pmod(F.xxhash64(*lines.columns), F.lit(salts)))
+        item = items.withColumn("__salt", F.explode(F.expr(f"sequence(0L, {salts - 1}L)")))
+        match.append(F.col("line.__salt") == F.col("item.__salt"))
+    joined = line.alias("line").join(item.alias("item"), match, "left")
     clean = F.trim if trim else (lambda c: c)
-    return joined.select("line.*", *[clean(F.col(f"item.{c}")).alias(c) for c in ITEM_COLUMNS])
+    return joined.select(*[f"line.{c}" for c in lines.columns], *[clean(F.col(f"item.{c}")).alias(c) for c in ITEM_COLUMNS])
 
 
 def lines_with_header(lines: DataFrame, header: DataFrame, key: str, header_columns: Sequence[str]) -> DataFrame:

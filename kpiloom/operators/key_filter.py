@@ -2,9 +2,10 @@
 
 A filter is a bit array cut into 64-bit words; a row holds one word and the bits that a
 load has set in it, so that a load only appends and the bits of all loads are combined
-when a batch is tested. A month begins with a filter for FIRST_KEYS keys; when it holds
-its number of keys, the next one, twice as large, takes over, so that a key is tested in
-as many filters as the month's key count has doublings, whatever the number of loads.
+when a batch is tested. A month begins with a filter for FIRST_KEYS keys; the keys of a
+load go to the smallest filter, each twice as large as the one before, that could hold all
+keys of the month, so that a key is tested in as many filters as the month's key count has
+doublings, whatever the number of loads.
 
 A key that is in no filter is new for certain, and the table need not be read for it. Of
 new keys about one in a thousand per filter is taken for a known one; those are then
@@ -30,12 +31,13 @@ def _key(keys: Sequence[str], salt: int) -> Column:
     return F.xxhash64(F.lit(salt), *[F.coalesce(F.col(k).cast("string"), F.lit("\0")) for k in keys])
 
 
-def with_generation(rows: DataFrame, known: dict[str | None, int]) -> DataFrame:
-    """Adds the generation that takes a month's next keys; `known` has the numbers of keys so far."""
-    levels = {month: (n // FIRST_KEYS + 1).bit_length() - 1 for month, n in known.items() if n >= FIRST_KEYS}
+def with_generation(rows: DataFrame, keys: dict[str | None, int]) -> DataFrame:
+    """Adds the generation that takes the rows of a month, so large that it could hold all `keys` of it, known and new."""
     generation = F.lit(0)
-    for month, level in levels.items():
-        generation = F.when(F.col(MONTH).eqNullSafe(F.lit(month)), level).otherwise(generation)
+    for month, n in keys.items():
+        if n > FIRST_KEYS:
+            level = ((n - 1) // FIRST_KEYS).bit_length()
+            generation = F.when(F.col(MONTH).eqNullSafe(F.lit(month)), level).otherwise(generation)
     return rows.withColumn("generation", generation)
 
 

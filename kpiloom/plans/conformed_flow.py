@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kpiloom import contracts
@@ -10,6 +10,7 @@ from kpiloom.functions import codes, dates, text
 from kpiloom.operators.joins import join_tender
 from kpiloom.operators.relational import derive
 from kpiloom.plans.facts import to_cancel, to_header, to_line, to_payment
+from kpiloom.sources import readers
 
 
 def _order_time():
@@ -82,3 +83,26 @@ def build_cancel(rows: DataFrame, tender_map: DataFrame) -> DataFrame:
         Weborder_Id=F.col("Transaction_Nbr"),
         Tender_1=F.col("TenderType"),
     )
+
+
+def read_files(spark: SparkSession, inbound: str) -> dict[str, DataFrame]:
+    """The recovery files of the four facts; one that is missing is an empty frame."""
+    schemas = {
+        "header": contracts.CONFORMED_HEADER,
+        "line": contracts.CONFORMED_LINE,
+        "payment": contracts.CONFORMED_PAYMENT,
+        "cancel": contracts.CONFORMED_CANCEL,
+    }
+
+    def read(fact: str, schema) -> DataFrame:
+        path = readers.inbound_glob(inbound, f"conformed_{fact}")
+        return readers.read_or_empty(spark, lambda: readers.read_csv(spark, path, schema), schema)
+
+    return {fact: read(fact, schema) for fact, schema in schemas.items()}
+
+
+def build(fact: str, rows: DataFrame, tender_map: DataFrame) -> DataFrame:
+    """The fact of a recovery file."""
+    if fact in ("payment", "cancel"):
+        return {"payment": build_payment, "cancel": build_cancel}[fact](rows, tender_map)
+    return {"header": build_header, "line": build_line}[fact](rows)

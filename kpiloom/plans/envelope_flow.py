@@ -105,3 +105,8 @@ def sales_facts(envelopes: DataFrame, tender_map: DataFrame, folder: str) -> dic
         "line": build_line(orders),
         "payment": build_payment(orders, tender_map),
     }
+
+
+def cancel_facts(envelopes: DataFrame, tender_map: DataFrame, folder: str) -> dict[str, DataFrame]:
+    """Cancellations from one parse of the pages, landed in `folder`."""
+    return {"cancel": build_cancel(land(nested.explode_orders(envelopes), folder), tender_map)}

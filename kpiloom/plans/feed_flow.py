@@ -7,7 +7,7 @@ only joins are the ones with the tender and item dimensions.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -15,10 +15,10 @@ from kpiloom import contracts
 from kpiloom.functions import measures, text
 from kpiloom.operators import entries
 from kpiloom.operators.joins import with_item
-from kpiloom.operators.relational import split_cancelled
+from kpiloom.operators.relational import earliest_date, split_cancelled
 from kpiloom.plans.facts import to_cancel, to_header, to_line, to_payment
 from kpiloom.plans.wide import FEED, wide_header
-from kpiloom.session import land
+from kpiloom.session import land_observed
 
 # Order columns that lines and cancelled lines carry.
 _CARRIED = [
@@ -38,18 +38,13 @@ def parse_orders(feed: DataFrame, text_column: str = "value", decode_first: bool
     return _fields_and_header(feed, text_column, decode_first, False).drop("names", "values")
 
 
-def parse_lines(feed: DataFrame, text_column: str = "value", decode_first: bool = False) -> DataFrame:
-    """One row per item of a record, with the order's columns."""
-    records = _fields_and_header(feed, text_column, decode_first, True)
-    items = entries.explode_items(records, _CARRIED)
-
+def _item_columns(decode_first: bool) -> list[Column]:
     def raw(name: str):
         return entries.item_field(name, decode_first)
 
     item_type = text.blank_to_null(raw("ORDER_D_FREE_ITEM31"))
     quantity = measures.number("QUANTITY", raw)
-    return items.select(
-        *_CARRIED,
+    return [
         text.to_int(raw("ORDER_D_NO")).alias("Item_Seq_Number"),
         item_type.alias("Item_Type"),
         text.blank_to_null(raw("ORDER_D_FREE_ITEM32")).alias("Barcode"),
@@ -62,7 +57,25 @@ def parse_lines(feed: DataFrame, text_column: str = "value", decode_first: bool
             quantity,
             measures.number("ORDER_D_FREE_ITEM35", raw),
         ).alias("Discount_Amount"),
-    )
+    ]
+
+
+def parse_lines(feed: DataFrame, text_column: str = "value", decode_first: bool = False) -> DataFrame:
+    """One row per item of a record, with the order's columns."""
+    records = _fields_and_header(feed, text_column, decode_first, True)
+    return entries.explode_items(records, _CARRIED).select(*_CARRIED, *_item_columns(decode_first))
+
+
+def parse_records(feed: DataFrame, text_column: str = "value", decode_first: bool = False) -> DataFrame:
+    """Orders and items in one pass: a row per item with the order's columns, the item as `line`.
+
+    `place` counts an order's rows from 0; an order without items has one row, without a line.
+    """
+    records = _fields_and_header(feed, text_column, decode_first, True)
+    header = [c for c in records.columns if c not in ("names", "values", "sequences")]
+    items = entries.explode_items(records, header, outer=True)
+    line = F.when(F.col("sequence").isNotNull(), F.struct(*_item_columns(decode_first)))
+    return items.select(*header, "place", line.alias("line"))
 
 
 def build_header(orders: DataFrame) -> DataFrame:
@@ -116,14 +129,21 @@ def build_cancel(lines: DataFrame, items: DataFrame) -> DataFrame:
     )
 
 
-def feed_facts(feed: DataFrame, tender_map: DataFrame, items: DataFrame, folder: str) -> dict[str, DataFrame]:
-    """All four facts from two passes over the feed, one for orders and one for items.
+def landed_feed(feed: DataFrame, folder: str) -> tuple[DataFrame, DataFrame, dict]:
+    """Orders and lines from one scan of the feed, landed in `folder`, with the earliest order date seen on the way.
 
-    Landed below `folder`, a work folder, are the typed columns only. Landing the parsed text as well, to save the
-    second pass, would write and read the whole feed once more.
+    The order's columns repeat on its items' rows, which the file format keeps short; each
+    fact reads its columns only.
     """
-    orders = land(parse_orders(feed), f"{folder}/orders")
-    lines = land(parse_lines(feed), f"{folder}/lines")
+    records, seen = land_observed(parse_records(feed), folder, rows=F.count(F.lit(1)), day=earliest_date("Order_Date"))
+    orders = records.filter("place = 0").drop("place", "line")
+    lines = records.filter(F.col("line").isNotNull()).select(*_CARRIED, "line.*")
+    return orders, lines, seen
+
+
+def feed_facts(feed: DataFrame, tender_map: DataFrame, items: DataFrame, folder: str) -> dict[str, DataFrame]:
+    """All four facts from one pass over the feed."""
+    orders, lines, _ = landed_feed(feed, folder)
     return {
         "header": build_header(orders),
         "line": build_line(lines, items),

@@ -1,7 +1,8 @@
 """Flat recovery files of the form vendor, one row per order and item -> the four facts.
 
-Every row yields a header and a payment of its own, as the files are defined;
-the history load keeps all of them, as rows of one load that share a key.
+Every row carries its order's header and payment. `build_header` and `build_payment` give
+one per row; the facts of the flow have one header per order and one payment per order
+and tender, from the row of the smallest item number.
 """
 
 from __future__ import annotations
@@ -121,13 +122,27 @@ def build_cancel(rows: DataFrame, items: DataFrame) -> DataFrame:
     )
 
 
+def first_rows(rows: DataFrame, *key: str) -> DataFrame:
+    """Per key the row with the smallest item number. Rows without an order number stay.
+
+    A minimum per key, so an order's rows are combined before the shuffle.
+    """
+    number = text.to_int(F.col("ORDER_D_NO"))
+    rest = [c for c in rows.columns if c not in key]
+    first = F.min(F.struct(number.isNull().alias("__none"), number.alias("__number"), *rest)).alias("__first")
+    nameless = text.is_blank(F.col("ORDER_DISP_NO"))
+    firsts = rows.filter(~nameless).groupBy(*key).agg(first)
+    firsts = firsts.select(*[F.col(c) if c in key else F.col(f"__first.{c}").alias(c) for c in rows.columns])
+    return firsts.unionByName(rows.filter(nameless))
+
+
 def sales_facts(rows: DataFrame, tender_map: DataFrame, items: DataFrame, folder: str) -> dict[str, DataFrame]:
     """Header, line and payment from one read of the files, landed in `folder`."""
     landed = land(rows, folder)
     return {
-        "header": build_header(landed),
+        "header": build_header(first_rows(landed, "ORDER_DISP_NO", "ORDER_DATE")),
         "line": build_line(landed, items),
-        "payment": build_payment(landed, tender_map),
+        "payment": build_payment(first_rows(landed, "ORDER_DISP_NO", "ORDER_DATE", "KESSAI_ID"), tender_map),
     }
 
 

@@ -18,7 +18,7 @@ from kpiloom.operators.quality import FLAG, assign, check_mandatory
 from kpiloom.plans.render import render
 from kpiloom.session import folder_exists, land, land_observed, remove_folder, work_folder
 
-DATE_KEY = {"header": "Order_Date", "line": "Order_Date", "payment": "Order_Date", "cancel": "Order_Date"}
+DATE_KEY = "Order_Date"
 
 
 @dataclass(frozen=True)
@@ -50,14 +50,11 @@ def _filter_path(root: str, fact: str) -> str:
 
 
 def _filters(spark: SparkSession, root: str, fact: str, months: list[str | None]) -> DataFrame:
-    path = _filter_path(root, fact)
-    if not folder_exists(spark, path):
-        return spark.createDataFrame([], key_filter.SCHEMA)
-    return history.in_months(spark.read.schema(key_filter.SCHEMA).parquet(path), months)
+    return history.read_months(spark, _filter_path(root, fact), months, key_filter.SCHEMA)
 
 
 def _known_keys(
-    batch: DataFrame, filters: DataFrame, table: DataFrame, keys: list[str], own: bool, months: list[str | None], folder: str
+    batch: DataFrame, filters: DataFrame, root: str, fact: str, keys: list[str], months: list[str | None], folder: str, fmt: str
 ) -> DataFrame:
     """(k_a, k_b): hashes of the keys of the batch that the table has.
 
@@ -65,14 +62,14 @@ def _known_keys(
     read, and nothing if there are none; by other keys all that can have them.
     """
     hashes = key_filter.key_hashes(keys)
-    asked = batch.select(*hashes).distinct()
-    if own:
+    asked, wanted = batch.select(*hashes).distinct(), None
+    if keys == contracts.PRIMARY_KEYS[fact]:
         asked = land(key_filter.maybe_known(batch, filters, keys), f"{folder}/maybe")
-        table = history.in_months(table, [r[0] for r in asked.select(MONTH).distinct().collect()])
-    elif "Order_Date" in keys:
-        table = history.in_months(table, months)
-    there = table.select(*hashes)
-    found = there.join(asked, ["key_a", "key_b"], "left_semi").distinct()
+        wanted = [r[0] for r in asked.select(MONTH).distinct().collect()]
+    elif DATE_KEY in keys:
+        wanted = months
+    table = history.read_done(batch.sparkSession, root, fact, "history", table_schema(fact), fmt, wanted)
+    found = table.select(*hashes).join(asked, ["key_a", "key_b"], "left_semi").distinct()
     return land(found.select(F.col("key_a").alias("k_a"), F.col("key_b").alias("k_b")), f"{folder}/known")
 
 
@@ -102,21 +99,19 @@ def load_fact(
     if load.done:
         return None
     spark = df.sparkSession
-    own = keys is None or list(keys) == contracts.PRIMARY_KEYS[fact]
     keys = list(keys or contracts.PRIMARY_KEYS[fact])
-    date_key = DATE_KEY[fact]
     folder = work_folder(spark, f"load-{fact}")
     try:
         checked = check_mandatory(assign(df, contracts.FACT_TABLES[fact], on_bad_value), contracts.MANDATORY[fact])
         stamped = history.with_stamp(checked, load.number, now).withColumns(
-            {MONTH: history.order_month(date_key), history.COMPLETE: F.lit(complete)}
+            {MONTH: history.order_month(DATE_KEY), history.COMPLETE: F.lit(complete)}
         )
         valid, rows = F.count_if(F.col(FLAG)), F.count(F.lit(1))
         batch, seen = land_observed(stamped, f"{folder}/batch", rows=rows, valid=valid)
-        months = [r[0] for r in batch.select(MONTH).distinct().collect()]
+        incoming = {r[0]: r["count"] for r in batch.groupBy(MONTH).count().collect()}
+        months = list(incoming)
         filters = _filters(spark, root, fact, months)
-        table = history.read_done(spark, root, fact, "history", table_schema(fact), fmt)
-        known = _known_keys(batch, filters, table, keys, own, months, folder)
+        known = _known_keys(batch, filters, root, fact, keys, months, folder, fmt)
         hashed = batch.select("*", *key_filter.key_hashes(keys))
         match = [F.col("key_a") == F.col("k_a"), F.col("key_b") == F.col("k_b")]
         marked = hashed.join(known, match, "left").withColumn("is_known", F.col("k_a").isNotNull()).drop("k_a", "k_b")
@@ -129,7 +124,8 @@ def load_fact(
             out = out.unionByName(_to_quarantine(marked, root, fact, months, fmt))
         # The filter first: bits of rows that never come cost a look, rows without bits would come twice.
         new = good.filter(~F.col("is_known"))
-        _add_to_filter(new, key_filter.held(filters), root, fact, load.number)
+        held = key_filter.held(filters)
+        _add_to_filter(new, {m: n + held.get(m, 0) for m, n in incoming.items()}, root, fact, load.number)
         kind = F.col(history.KIND)
         added, written = land_observed(
             out.drop("key_a", "key_b"),
@@ -138,7 +134,7 @@ def load_fact(
             updated=F.count_if((kind == "history") & F.col("is_known")),
             quarantined=F.count_if(kind == "error"),
         )
-        history.append_load(added.drop("is_known"), root, fact, date_key, fmt)
+        history.append_load(added.drop("is_known"), root, fact, DATE_KEY, fmt)
     finally:
         remove_folder(spark, folder)
     n = {name: written[name] or 0 for name in written}
@@ -158,15 +154,14 @@ def _to_quarantine(marked: DataFrame, root: str, fact: str, months: list[str | N
     invalid = marked.filter(~F.col(FLAG) & ~F.col("is_known"))
     valid = marked.filter(F.col(FLAG)).select("key_a", "key_b")
     fresh = invalid.join(valid, ["key_a", "key_b"], "left_anti").withColumn(history.DIGEST, digest)
-    errors = history.read_done(spark, root, fact, "error", table_schema(fact), fmt)
-    earlier = history.in_months(errors, months).select(history.DIGEST)
+    earlier = history.read_done(spark, root, fact, "error", table_schema(fact), fmt, months).select(history.DIGEST)
     fresh = fresh.join(earlier, history.DIGEST, "left_anti").withColumn(history.KIND, F.lit("error"))
     return fresh.select(*marked.columns, history.KIND, history.DIGEST)
 
 
-def _add_to_filter(rows: DataFrame, held: dict[str | None, int], root: str, fact: str, number: int) -> None:
+def _add_to_filter(rows: DataFrame, sizes: dict[str | None, int], root: str, fact: str, number: int) -> None:
     """By the fact's own keys, whichever the load goes by."""
-    keyed = key_filter.with_generation(rows, held)
+    keyed = key_filter.with_generation(rows, sizes)
     words = key_filter.words(keyed, contracts.PRIMARY_KEYS[fact]).withColumn(history.LOAD, F.lit(number).cast("long"))
     dealt = words.hint("rebalance", MONTH)
     dealt.write.mode("append").partitionBy(MONTH, history.LOAD).parquet(_filter_path(root, fact))

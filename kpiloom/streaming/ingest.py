@@ -4,13 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import datetime
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from kpiloom import contracts
 from kpiloom.functions.dates import UTC_PLUS_8
-from kpiloom.sources.readers import CSV_DIALECTS, with_source_file
+from kpiloom.plans import feed_flow, history_flow
+from kpiloom.session import file_system, remove_folder, work_folder
+from kpiloom.sources.readers import CSV_DIALECTS, SOURCE_FILE, with_source_file
 
 _TEXT = T.StructType([T.StructField("value", T.StringType())])
 _CSV = {"sep": ",", "encoding": "UTF-8", "header": "true"}
@@ -66,17 +69,82 @@ def ingest_inbound(
     """Hands every file that is new since the last run to `process`, then stops.
 
     The checkpoint, not the folder, says what is new. After a crash the same batch
-    is handed over again under the same number, so `process` must be repeatable;
-    the history load is, by key. A processed file moves to `<archive>/yyyy/MM/dd`
-    when a later batch commits.
+    is handed over again under the same number, so `process` must be repeatable: a history
+    load named by `source=checkpoint, batch=<number>` is. With `archive_root` the files of
+    a run move to `<archive>/yyyy/MM/dd` when all its batches are committed; those of a run
+    that crashed stay until the next one has handed them over and ended.
     """
-    day = (now or datetime.now(UTC_PLUS_8)).strftime("%Y/%m/%d")
-    archive = f"{archive_root.rstrip('/')}/{day}" if archive_root else None
-    stream = inbound_stream(spark, flow, inbound, archive, files_per_batch, max_file_age)
+    notes = f"{checkpoint.rstrip('/')}/handed_over"
+
+    def noted(batch: DataFrame, number: int) -> None:
+        # Written before the work: what is noted and not done is handed over again.
+        if archive_root:
+            batch.select(SOURCE_FILE).distinct().write.mode("overwrite").text(f"{notes}/{number}")
+        process(batch, number)
+
+    stream = inbound_stream(spark, flow, inbound, None, files_per_batch, max_file_age)
     query = (
-        stream.writeStream.foreachBatch(process)
+        stream.writeStream.foreachBatch(noted)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )
     query.awaitTermination()
+    if archive_root:
+        day = (now or datetime.now(UTC_PLUS_8)).strftime("%Y/%m/%d")
+        archive_files(spark, notes, f"{archive_root.rstrip('/')}/{day}")
+
+
+def archive_files(spark: SparkSession, notes: str, archive: str) -> list[str]:
+    """Moves the files noted below `notes` to the archive, and forgets the notes. Returns what moved.
+
+    A file that is gone was moved before a crash. One whose name the archive has already
+    gets a number.
+    """
+    fs, path = file_system(spark, notes)
+    if not fs.exists(path(notes)):
+        return []
+    moved = []
+    # One name per file of the run; the files themselves do not pass the driver.
+    for row in spark.read.text(f"{notes}/*").distinct().toLocalIterator():
+        source = path(unquote(row[0]))
+        if not fs.exists(source):
+            continue
+        fs.mkdirs(path(archive))
+        target, n = f"{archive}/{source.getName()}", 0
+        while fs.exists(path(target)):
+            n += 1
+            target = f"{archive}/{n}-{source.getName()}"
+        if not fs.rename(source, path(target)):
+            raise OSError(f"cannot move {source} to {target}")
+        moved.append(target)
+    remove_folder(spark, notes)
+    return moved
+
+
+def load_feed(
+    spark: SparkSession,
+    inbound: str,
+    checkpoint: str,
+    root: str,
+    tender_map: DataFrame,
+    items: DataFrame,
+    archive_root: str | None = None,
+    files_per_batch: int | None = None,
+    **options,
+) -> None:
+    """New files of the form feed into the history tables, each batch as a load of its own.
+
+    A batch that comes again after a crash is known by the stream and its number: if its
+    load was done, nothing changes; if not, it starts anew under the same load number.
+    """
+
+    def process(feed: DataFrame, number: int) -> None:
+        folder = work_folder(spark, "feed")
+        try:
+            facts = feed_flow.feed_facts(feed, tender_map, items, folder)
+            history_flow.load_history(facts, root, source=checkpoint, batch=number, **options)
+        finally:
+            remove_folder(spark, folder)
+
+    ingest_inbound(spark, "form_feed", inbound, checkpoint, process, archive_root, files_per_batch)

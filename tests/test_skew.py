@@ -65,13 +65,38 @@ def test_lookup(rows, shuffled):
     assert "skew=true" in final_plan(joined)
 
 
-def test_rows_without_barcode(rows, shuffled):
-    """A third of all lines without a barcode is a hot NULL key."""
+@pytest.fixture
+def plain(spark):
+    """Shuffled joins in a session that does not split hot keys."""
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false", "spark.sql.shuffle.partitions": "16"}
+    before = {key: spark.conf.get(key) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    yield
+    for key, value in before.items():
+        spark.conf.set(key, value)
+
+
+def largest_task(df):
+    return df.groupBy(F.spark_partition_id().alias("p")).count().agg(F.max("count")).first()[0]
+
+
+def test_rows_without_barcode(rows, plain):
+    """A third of all lines without a barcode is no hot key: the rows are spread."""
     lines = rows.select(F.nullif(F.col("k"), F.lit("hot")).alias("Barcode"), "payload")
     items = rows.filter("k <> 'hot'").select(F.col("k").alias("Barcode"), *[F.lit("x").alias(c) for c in joins.ITEM_COLUMNS])
     joined = joins.with_item(lines, items)
-    assert joined.filter("Style is null").count() == HOT
-    assert "skew=true" in final_plan(joined)
+    assert joined.columns == ["Barcode", "payload", *joins.ITEM_COLUMNS]
+    assert joined.filter("Style is null AND Barcode is null").count() == HOT
+    assert largest_task(joined) < 1.3 * ROWS / 16
+
+
+def test_hot_barcode_with_salts(rows, plain):
+    lines = rows.withColumnRenamed("k", "Barcode")
+    items = rows.select(F.col("k").alias("Barcode"), *[F.lit("x").alias(c) for c in joins.ITEM_COLUMNS]).dropDuplicates(["Barcode"])
+    salted = joins.with_item(lines, items, salts=32)
+    assert salted.filter("Style = 'x'").count() == ROWS
+    assert largest_task(salted) < ROWS / 4 < HOT < largest_task(joins.with_item(lines, items))
 
 
 def test_current_versions(spark, rows, shuffled):
