@@ -28,6 +28,7 @@ Texts that are equal are read once; the later ones go whole.
 from __future__ import annotations
 
 import re
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -45,8 +46,8 @@ LINE_END = re.compile(r"\n|[.!?][ \t]+\n?")
 WORDS = re.compile(r"\S+")
 #: Words of a seed, at most.
 SEED_WORDS = 16
-#: Words whose hashes a task remembers.
-KNOWN_WORDS = 1 << 18
+#: Words whose hashes a task remembers, and words that it handles at a time.
+KNOWN_WORDS, PORTION_WORDS = 1 << 17, 1 << 16
 #: Odd numbers: the base of the hash of neighbours, and what spreads it.
 BASES = (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9)
 
@@ -116,33 +117,59 @@ def seeds(hashes: np.ndarray, min_words: int) -> tuple[np.ndarray, np.ndarray]:
     return x, slid(np.minimum, x, min_words - size + 1)
 
 
+def selected_seeds(hashes: np.ndarray, sizes: np.ndarray, min_words: int) -> tuple[np.ndarray, np.ndarray]:
+    """(text, seed hash) of the places that windows select, of texts of `sizes` words one after the other."""
+    own, least = seeds(hashes, min_words)
+    if not len(least):
+        return np.zeros(0, dtype=np.int64), least
+    ends = sizes.cumsum()
+    # Windows over the end of a text are none.
+    start = np.arange(len(least))
+    text = np.searchsorted(ends, start, side="right")
+    least = np.where(start + min_words <= ends[text], least, -1)
+    # A place is selected if the greatest of the minima of the windows around it is its own hash.
+    reach = min_words - min(SEED_WORDS, min_words) + 1
+    edge = np.full(reach - 1, -1)
+    place = np.flatnonzero(slid(np.maximum, np.concatenate([edge, least, edge]), reach) == own)
+    return np.searchsorted(ends, place, side="right"), own[place]
+
+
+def _portions(batch: pa.RecordBatch):
+    """Neighbouring rows of PORTION_WORDS words or a little more, with their words."""
+    start, split, size = 0, [], 0
+    for i, text in enumerate(batch.column("text")):
+        split.append((text.as_py() or "").split())
+        size += len(split[-1])
+        if size >= PORTION_WORDS:
+            yield batch.slice(start, i + 1 - start), split
+            start, split, size = i + 1, [], 0
+    if split:
+        yield batch.slice(start), split
+
+
 def _read_seeds(min_words: int):
     """The seeds that windows of a text select, and in how many of its places each."""
 
     def run(batches):
-        reach = min_words - min(SEED_WORDS, min_words) + 1
-        for batch in batches:
-            prints, places = [], []
-            for text in batch.column("text").to_pylist():
-                own, least = seeds(word_hashes(text), min_words)
-                if len(least):
-                    # A place is selected if the greatest of the minima of the windows around it is its own hash.
-                    edge = np.full(reach - 1, -1)
-                    own = own[slid(np.maximum, np.concatenate([edge, least, edge]), reach) == own]
-                else:
-                    own = least
-                found, times = np.unique(own, return_counts=True)
-                prints.append(found)
-                places.append(times.astype(np.int32))
+        for rows, split in chain.from_iterable(map(_portions, batches)):
+            sizes = np.array([len(words) for words in split], dtype=np.int64)
+            hashes = np.fromiter(map(_hash_of.__getitem__, chain.from_iterable(split)), dtype=_U, count=sizes.sum())
+            text, found = selected_seeds(hashes, sizes, min_words)
+            order = np.lexsort((found, text))
+            text, found = text[order], found[order]
+            new = np.flatnonzero(np.concatenate([[True], (text[1:] != text[:-1]) | (found[1:] != found[:-1])])) if len(text) else text
+            ends = pa.array(np.searchsorted(text[new], np.arange(len(sizes) + 1)).astype(np.int32))
             yield pa.RecordBatch.from_arrays(
                 [
-                    batch.column("key_id"),
-                    batch.column("key_hash"),
-                    pa.array(prints, pa.list_(pa.int64())),
-                    pa.array(places, pa.list_(pa.int32())),
+                    rows.column("key_id"),
+                    rows.column("key_hash"),
+                    pa.ListArray.from_arrays(ends, pa.array(found[new])),
+                    pa.ListArray.from_arrays(ends, pa.array(np.diff(np.append(new, len(text))).astype(np.int32))),
                 ],
                 names=["key_id", "key_hash", "prints", "places"],
             )
+        # The next task of this worker may be another operator's.
+        _hash_of.clear()
 
     return run
 
@@ -204,6 +231,7 @@ def _groups(min_words: int):
                 ],
                 names=["key_id", "key_hash", "print", "first_word", "windows"],
             )
+        _hash_of.clear()
 
     return run
 
@@ -270,7 +298,7 @@ def repeated_words(docs: DataFrame, copies: DataFrame, min_words: int = MIN_WORD
         )
     )
     remove_folder(spark, seeds_folder)
-    around = lookup(keyed, by_doc, [("key_id", "m_id"), ("key_hash", "m_hash")], width=F.size("matched"))
+    around = _with_lists(keyed, by_doc, [("key_id", "m_id"), ("key_hash", "m_hash")], "matched")
     kind = "key_id long, key_hash long, print long, first_word int, windows array<long>"
     groups = land(around.select("key_id", "key_hash", "text", "matched").transform(mapped, _groups(min_words), kind), groups_folder)
     # The first and the last window of a group hold all its words.
@@ -290,6 +318,13 @@ def repeated_words(docs: DataFrame, copies: DataFrame, min_words: int = MIN_WORD
     return runs
 
 
+def _with_lists(rows: DataFrame, lists: DataFrame, keys: list[tuple[str, str]], column: str) -> DataFrame:
+    """The rows that have a list, with it. Texts of rows without one are not shuffled."""
+    have = lists.select(*[F.col(k).alias(f"{k}_of") for _, k in keys])
+    some = lookup(rows, have, [(a, f"{b}_of") for a, b in keys], how="left_semi")
+    return lookup(some, lists, keys, width=F.size(column))
+
+
 def _first_places(rows: DataFrame, keys: list[str]) -> DataFrame:
     """The rows with `origin`, the first place of what several rows share; null for the others."""
     firsts = rows.groupBy(*[F.col(k).alias(f"of_{k}") for k in keys]).agg(
@@ -332,32 +367,41 @@ def cut_windows(text: str, starts: np.ndarray, min_words: int) -> tuple[str, int
     return "".join([*out, text[at:]]), lines, int(gone.sum())
 
 
-def _cut_runs(text_at: int, runs_at: int, copy_at: int, kept: int, min_words: int):
-    """Rewrites the text without its runs; adds counts of the lines and words that went."""
+def cut_copy(text: str, min_words: int) -> tuple[str, int, int]:
+    """`cut_windows` for a text that occurs whole in an earlier document."""
+    words = text.split()
+    if len(words) < min_words:
+        return text, 0, 0
+    hashes = word_hashes(text)
+    filler = filler_windows(text, hashes, min_words)
+    if filler.any() or text[0].isspace() or text[-1].isspace():
+        return cut_windows(text, np.flatnonzero(~filler), min_words)
+    return "", len(cut_lines(text)), len(words)
 
-    def starts_of(text: str, runs: pa.Scalar, copy: bool) -> np.ndarray:
-        if copy:
-            return np.flatnonzero(~filler_windows(text, word_hashes(text), min_words))
-        first, size = (runs.values.field(k).to_numpy().astype(np.int64) for k in ("first_word", "size"))
-        return np.repeat(first, size) + np.arange(size.sum()) - np.repeat(size.cumsum() - size, size)
+
+def _cut_runs(text_at: int, runs_at: int, kept: int, min_words: int):
+    """Rewrites the text without its runs; adds counts of the lines and words that went."""
 
     def run(batches):
         for batch in batches:
-            runs, copies = batch.column(runs_at), batch.column(copy_at)
-            cut = [i for i in range(batch.num_rows) if copies[i].as_py() or runs[i].is_valid]
             columns = [batch.column(i) for i in range(kept)]
-            lines, words = np.zeros((2, batch.num_rows), dtype=np.int32)
-            if cut:
-                texts = columns[text_at].to_pylist()
-                for i in cut:
-                    starts = starts_of(texts[i], runs[i], copies[i].as_py())
-                    if len(starts):
-                        texts[i], lines[i], words[i] = cut_windows(texts[i], starts, min_words)
-                columns[text_at] = pa.array(texts, pa.string())
+            out, lines, words = [], [], []
+            for text, runs in zip(columns[text_at], batch.column(runs_at), strict=True):
+                text = text.as_py()
+                if runs.is_valid:
+                    first, size = (runs.values.field(k).to_numpy().astype(np.int64) for k in ("first_word", "size"))
+                    starts = np.repeat(first - size.cumsum() + size, size) + np.arange(size.sum())
+                    done = cut_windows(text, starts, min_words)
+                else:
+                    done = cut_copy(text, min_words)
+                for column, value in zip((out, lines, words), done, strict=True):
+                    column.append(value)
+            columns[text_at] = pa.array(out, pa.string())
             yield pa.RecordBatch.from_arrays(
-                [*columns, pa.array(lines), pa.array(words)],
+                [*columns, pa.array(lines, pa.int32()), pa.array(words, pa.int32())],
                 names=[*batch.schema.names[:kept], "dropped_lines", "dropped_words"],
             )
+        _hash_of.clear()
 
     return run
 
@@ -387,9 +431,15 @@ def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
         F.col("runs").alias(fresh(met, "__runs")),
     )
     key_id, key_hash, key_runs = small.columns
-    met = lookup(met, small, [("doc_id", key_id), (text_hash, key_hash)], how="left", width=F.size(key_runs))
-    met = met.select(*names, key_runs, copy)
+    keys = [("doc_id", key_id), (text_hash, key_hash)]
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
     counted = f"{schema}, dropped_lines int, dropped_words int"
-    cut = _cut_runs(names.index("text"), len(names), len(names) + 1, len(names), min_words)
-    return met.transform(mapped, cut, counted)
+    cut = _cut_runs(names.index("text"), len(names), len(names), min_words)
+    # Three kinds of rows: copies, texts with runs, and the others, which go on as they are.
+    whole = met.filter(copy).withColumn(key_runs, F.lit(None).cast(small.schema[key_runs].dataType))
+    partly = _with_lists(met.filter(~F.col(copy)), small, keys, key_runs)
+    done = [x.select(*names, key_runs).transform(mapped, cut, counted) for x in (whole, partly)]
+    rest = lookup(met.filter(~F.col(copy)), small.select(key_id, key_hash), keys, how="left_anti")
+    none = F.lit(0).cast("int")
+    rest = rest.select(*names, none.alias("dropped_lines"), none.alias("dropped_words"))
+    return rest.unionByName(done[0]).unionByName(done[1])
