@@ -4,7 +4,11 @@ Words are added up per source. Sources share the words of the mix by weight, eac
 to `cap` times what it has; what a capped source cannot take goes to the others by
 their weights. A source's repetition rate is its target over its words. Every document
 is taken floor(rate) times, and once more with the probability of the rate's fraction,
-which a hash of the seed and the document's id decides, so that reruns agree.
+which a hash of the seed, the document's id and text decides, so that reruns agree.
+
+Where a source has few documents, or a few long ones, one draw can miss its target by far.
+So each source has TURNS draws, the hash turned by so many parts of the circle, all added
+up in one aggregate, and takes the draw that comes nearest to its target.
 """
 
 from __future__ import annotations
@@ -20,6 +24,8 @@ from kpiloom.llm.common import checkpointed, fresh, lookup, ranked, words_count
 WEIGHTS = (5, 2, 1)
 CAP = 3
 SEED = "mix"
+#: Draws that a source chooses from.
+TURNS = 64
 
 _EXACT = "decimal(38,0)"
 
@@ -55,12 +61,34 @@ def source_targets(docs: DataFrame, weights: Sequence[int] = WEIGHTS, cap: int =
     return checkpointed(table.select("mix_source", "source_size", target.alias("target")))
 
 
-def unit_hash(seed: str, key: Column) -> Column:
+def unit_hash(seed: str, *keys: Column) -> Column:
     """Number from 0 to below 1, made of 52 bits of an MD5."""
-    digest = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(key.cast("string"), F.lit(""))))
+    parts = [F.coalesce(key.cast("string"), F.lit("")) for key in keys]
+    digest = F.md5(F.concat(F.lit(f"{seed}:"), F.concat_ws(":", *parts)))
     return F.conv(F.substring(digest, 1, 13), 16, 10).cast("double") / F.lit(float(1 << 52))
 
 
+def _turned(unit: Column, turn: Column) -> Column:
+    """The number moved on by a part of the circle; exact, as both have few binary digits."""
+    moved = unit + turn.cast("double") * F.lit(1.0 / TURNS)
+    return moved - F.floor(moved)
+
+
+def _rates(rows: DataFrame) -> DataFrame:
+    rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
+    return rows.withColumn("__rate", rate).withColumn("__whole", F.floor("__rate")).withColumn("__part", F.col("__rate") - F.col("__whole"))
+
+
+def nearest_turns(sized: DataFrame, targets: DataFrame) -> DataFrame:
+    """The table of sources with `mix_turn`, the draw whose words come nearest to the target; of equal ones the first."""
+    rows = _rates(lookup(sized.select("source", "size", "__unit"), targets, [("source", "mix_source")]))
+    extra = [F.sum(F.when(_turned(F.col("__unit"), F.lit(k)) < F.col("__part"), F.col("size")).otherwise(0)) for k in range(TURNS)]
+    sums = rows.groupBy("mix_source", "source_size", "target", "__whole").agg(*[x.alias(f"__{k}") for k, x in enumerate(extra)])
+    wanted = F.col("target") - F.col("__whole") * F.col("source_size")
+    misses = F.array(*[F.struct(F.abs(F.col(f"__{k}") - wanted).alias("miss"), F.lit(k).alias("turn")) for k in range(TURNS)])
+    return checkpointed(sums.select("mix_source", "source_size", "target", F.array_min(misses)["turn"].alias("mix_turn")))
+
+
 def plan_mix(
     docs: DataFrame,
     weights: Sequence[int] = WEIGHTS,
@@ -71,17 +99,18 @@ def plan_mix(
     """The documents with size, source_size, target (of the source), and copies.
 
     Needs the columns doc_id, text, source. A null text has no words, a null source is
-    a source, rows with one doc_id (null included) fare alike. Columns of these names
-    that the documents already have are replaced. Empty in, empty out.
+    a source, rows with one doc_id and text (nulls included) fare alike. Columns of these
+    names that the documents already have are replaced. Empty in, empty out.
     """
-    clash = [c for c in docs.columns if c.lower() in {"size", "source_size", "target", "copies", "mix_source"}]
-    docs = docs.drop(*clash)
-    sized = docs.withColumn("size", words_count(F.col("text")))
-    joined = lookup(sized, source_targets(docs, weights, cap, share), [("source", "mix_source")])
-    rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
-    whole = F.floor(rate)
-    extra = F.when(unit_hash(seed, F.col("doc_id")) < rate - whole, 1).otherwise(0)
-    return joined.withColumn("copies", (whole + extra).cast("int")).drop("mix_source")
+    own = {"size", "source_size", "target", "copies", "mix_source", "mix_turn", "__unit", "__rate", "__whole", "__part"}
+    docs = docs.drop(*[c for c in docs.columns if c.lower() in own])
+    unit = unit_hash(seed, F.col("doc_id"), F.col("text"))
+    sized = docs.withColumns({"size": words_count(F.col("text")), "__unit": unit})
+    chosen = nearest_turns(sized, source_targets(docs, weights, cap, share))
+    rows = _rates(lookup(sized, chosen, [("source", "mix_source")]))
+    extra = F.when(_turned(F.col("__unit"), F.col("mix_turn")) < F.col("__part"), 1).otherwise(0)
+    copies = (F.col("__whole") + extra).cast("int")
+    return rows.withColumn("copies", copies).drop("mix_source", "mix_turn", "__unit", "__rate", "__whole", "__part")
 
 
 def mix(docs: DataFrame, **settings) -> DataFrame:

@@ -78,7 +78,7 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 MIX_SQL = r"""
 WITH docs AS (
-  SELECT doc_id, source,
+  SELECT doc_id, source, text,
          CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size
   FROM documents),
 sums AS (SELECT source, CAST(sum(size) AS BIGINT) AS s FROM docs GROUP BY source),
@@ -104,14 +104,22 @@ targets AS (
               ELSE CAST(l.t - l.c AS DOUBLE) * f.w / CAST(l.left_w AS DOUBLE) END AS target
   FROM filled f LEFT JOIN level l ON TRUE),
 rates AS (
-  SELECT d.doc_id, d.size, t.source_size, t.target,
+  SELECT d.doc_id, d.size, t.source, t.source_size, t.target,
          CASE WHEN t.source_size > 0 THEN t.target / t.source_size ELSE 0 END AS rate,
-         CAST(CAST('0x' || substr(md5('mix:' || coalesce(CAST(d.doc_id AS VARCHAR), '')), 1, 13) AS BIGINT) AS DOUBLE)
-           / 4503599627370496.0 AS u
-  FROM docs d JOIN targets t ON d.source IS NOT DISTINCT FROM t.source)
+         CAST(CAST('0x' || substr(md5('mix:' || coalesce(CAST(d.doc_id AS VARCHAR), '') || ':' || coalesce(d.text, '')), 1, 13)
+           AS BIGINT) AS DOUBLE) / 4503599627370496.0 AS u
+  FROM docs d JOIN targets t ON d.source IS NOT DISTINCT FROM t.source),
+-- 64 draws a source, of which the one nearest to its target is taken.
+draws AS (
+  SELECT source, k, abs(sum(CASE WHEN u + k * 0.015625::DOUBLE - floor(u + k * 0.015625::DOUBLE) < rate - floor(rate)
+                                 THEN size ELSE 0 END)
+                        - (any_value(target) - floor(any_value(rate)) * any_value(source_size))) AS miss
+  FROM rates, range(64) AS turns(k) GROUP BY source, k),
+chosen AS (SELECT source, k FROM draws QUALIFY row_number() OVER (PARTITION BY source ORDER BY miss, k) = 1)
 SELECT doc_id, size, source_size, target,
-       CAST(size * (floor(rate) + CASE WHEN u < rate - floor(rate) THEN 1 ELSE 0 END) AS BIGINT) AS taken
-FROM rates
+       CAST(size * (floor(rate) + CASE WHEN u + k * 0.015625::DOUBLE - floor(u + k * 0.015625::DOUBLE) < rate - floor(rate)
+                                       THEN 1 ELSE 0 END) AS BIGINT) AS taken
+FROM rates r JOIN chosen c ON r.source IS NOT DISTINCT FROM c.source
 """
 
 

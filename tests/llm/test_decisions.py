@@ -88,6 +88,16 @@ def test_mix_is_near_its_targets(spark):
     assert all(abs(r["taken"] - r["target"]) < 0.05 * r["target"] for r in sums)
 
 
+@pytest.mark.parametrize(("sf", "most"), [("sf0.01", 0.1), ("sf0.1", 0.03)])
+def test_sources_with_few_documents_are_near_their_targets(spark, sf, most):
+    docs = spark.read.parquet(f"/root/testdata/{sf}/documents.parquet").select("doc_id", "text", "source")
+    plan = mixing.plan_mix(docs)
+    sums = plan.groupBy("source", "target", "source_size").agg(F.sum(F.col("copies") * F.col("size")).alias("taken")).collect()
+    assert len(sums) >= 10
+    assert all(abs(r["taken"] - r["target"]) <= most * r["target"] for r in sums)
+    assert plan.agg(F.max("copies")).first()[0] <= 3
+
+
 def ring_brute(keys, places, capacity, cell_bits):
     """Walks every key round by round to the first place clockwise that is not full."""
     spots = [c for c, _ in places]
