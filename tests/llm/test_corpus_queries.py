@@ -39,3 +39,36 @@ def test_pipeline(spark):
     assert final.columns == ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "ids", "decoded"]
     texts = sorted((r["doc_id"], r["text"]) for r in kept.select("doc_id", "text").collect())
     assert texts == sorted((r["doc_id"], r["decoded"]) for r in final.select("doc_id", "decoded").collect())
+
+
+ODD = [
+    (1, "a b c", "x"),
+    (1, "a b c", "x"),
+    (2, None, "x"),
+    (3, "", None),
+    (4, " \t\n", "y"),
+    (None, "a b c", "y"),
+    (None, None, None),
+    (5, "wörd " * 30_000, "y"),
+    (6, "x" * 5_000, "z"),
+    (7, "a<|endoftext|>b  c\n\n d é", "z"),
+]
+
+
+@pytest.mark.parametrize("rows", [ODD, []])
+def test_pipeline_over_odd_rows(spark, tmp_path, rows):
+    """Nulls, repeats, long texts, columns with names that stages use, and a table without rows."""
+    schema = "doc_id long, text string, source string, size string, copies int, __hash long, dropped_words string"
+    docs = spark.createDataFrame([(*r, "s", 9, 9, "d") for r in rows], schema)
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    spark.read.parquet(f"{SF_DIR}/labels.parquet").write.parquet(f"{tmp_path}/labels.parquet")
+    kept = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, kept, str(tmp_path))
+        # Counts that a stage adds replace columns of their names; the others come back as they were.
+        assert set(out.columns) <= set(docs.columns), name
+        kept = spark.createDataFrame(out.collect(), out.schema)
+    final = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    texts = {r["text"] or "" for r in docs.collect()}
+    assert all(r["decoded"] in texts for r in final)
+    assert bool(final) == bool(rows)
