@@ -32,7 +32,6 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -46,8 +45,11 @@ LINE_END = re.compile(r"\n|[.!?][ \t]+\n?")
 WORDS = re.compile(r"\S+")
 #: Words of a seed, at most.
 SEED_WORDS = 16
-#: Words whose hashes a task remembers, and words that it handles at a time.
-KNOWN_WORDS, PORTION_WORDS = 1 << 17, 1 << 16
+#: Bytes of text whose words are hashed at a time.
+BLOCK = 1 << 18
+#: Blanks between words that are not ASCII ones, as str.split() has them.
+OTHER_BLANKS = re.compile("[\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
+_SPACES = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
 #: Odd numbers: the base of the hash of neighbours, and what spreads it.
 BASES = (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9)
 
@@ -63,22 +65,60 @@ def cut_lines(text: str) -> list[str]:
     return [text[a:b] for a, b in zip(cuts, cuts[1:], strict=False)]
 
 
-class _WordHashes(dict):
-    """Hashes of the words met lately."""
+def _encoded(text: str | None) -> bytes:
+    """The text as UTF-8, with ASCII blanks between words only."""
+    text = text or ""
+    return (" ".join(text.split()) if OTHER_BLANKS.search(text) else text).encode("utf-8", "surrogatepass")
 
-    def __missing__(self, word: str) -> int:
-        if len(self) >= KNOWN_WORDS:
-            self.clear()
-        value = self[word] = xxhash.xxh3_64_intdigest(word)
-        return value
 
+def hashed_words(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """(hash, first byte) of each word of encoded text, block by block.
 
-_hash_of = _WordHashes()
+    A word's hash is a difference of running sums over its bytes, turned back to the power
+    at its first byte, and spread.
+    """
+    hashes, firsts, at = [np.zeros(0, dtype=_U)], [np.zeros(0, dtype=np.int64)], 0
+    while at < len(data):
+        size = BLOCK
+        while True:
+            block = np.frombuffer(data, np.uint8, min(size, len(data) - at), at)
+            space = _SPACES[block]
+            if at + len(block) == len(data):
+                break
+            last = int(space[::-1].argmax())
+            if space[len(space) - 1 - last]:
+                block, space = block[: len(block) - last], space[: len(space) - last]
+                break
+            size *= 2
+        edge = np.diff(np.concatenate([[True], space, [True]]).astype(np.int8))
+        start, end = np.flatnonzero(edge == -1), np.flatnonzero(edge == 1)
+        power, back = _powers(len(block))
+        sums = np.concatenate([np.zeros(1, dtype=_U), np.cumsum((block.astype(_U) + _U(1)) * power)])
+        x = (sums[end] - sums[start]) * back[start]
+        for m in BASES:
+            x = (x ^ (x >> _U(31))) * _U(m)
+        hashes.append(x ^ (x >> _U(32)))
+        firsts.append(start + at)
+        at += len(block)
+    return np.concatenate(hashes), np.concatenate(firsts)
+
+
+_known_powers = [np.zeros(0, dtype=_U), np.zeros(0, dtype=_U)]
+
+
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of the base from 0, and of its inverse; those of a usual block are kept."""
+    if n > len(_known_powers[0]):
+        size, inverse = max(n, BLOCK), pow(BASES[0], -1, 1 << 64)
+        made = [np.cumprod(np.concatenate([[_U(1)], np.full(size - 1, b, dtype=_U)])) for b in (BASES[0], inverse)]
+        if n > BLOCK:
+            return made[0][:n], made[1][:n]
+        _known_powers[:] = made
+    return _known_powers[0][:n], _known_powers[1][:n]
 
 
 def word_hashes(text: str | None) -> np.ndarray:
-    words = (text or "").split()
-    return np.fromiter(map(_hash_of.__getitem__, words), dtype=_U, count=len(words))
+    return hashed_words(_encoded(text))[0]
 
 
 def rolled(x: np.ndarray, size: int, base: int) -> np.ndarray:
@@ -135,25 +175,26 @@ def selected_seeds(hashes: np.ndarray, sizes: np.ndarray, min_words: int) -> tup
 
 
 def _portions(batch: pa.RecordBatch):
-    """Neighbouring rows of PORTION_WORDS words or a little more, with their words."""
-    start, split, size = 0, [], 0
+    """Neighbouring rows with BLOCK bytes of text or a little more, and their encoded texts."""
+    start, texts, size = 0, [], 0
     for i, text in enumerate(batch.column("text")):
-        split.append((text.as_py() or "").split())
-        size += len(split[-1])
-        if size >= PORTION_WORDS:
-            yield batch.slice(start, i + 1 - start), split
-            start, split, size = i + 1, [], 0
-    if split:
-        yield batch.slice(start), split
+        texts.append(_encoded(text.as_py()))
+        size += len(texts[-1])
+        if size >= BLOCK:
+            yield batch.slice(start, i + 1 - start), texts
+            start, texts, size = i + 1, [], 0
+    if texts:
+        yield batch.slice(start), texts
 
 
 def _read_seeds(min_words: int):
     """The seeds that windows of a text select, and in how many of its places each."""
 
     def run(batches):
-        for rows, split in chain.from_iterable(map(_portions, batches)):
-            sizes = np.array([len(words) for words in split], dtype=np.int64)
-            hashes = np.fromiter(map(_hash_of.__getitem__, chain.from_iterable(split)), dtype=_U, count=sizes.sum())
+        for rows, texts in chain.from_iterable(map(_portions, batches)):
+            hashes, firsts = hashed_words(b"\n".join(texts))
+            ends = np.cumsum([len(text) + 1 for text in texts])
+            sizes = np.diff(np.searchsorted(firsts, ends), prepend=0)
             text, found = selected_seeds(hashes, sizes, min_words)
             order = np.lexsort((found, text))
             text, found = text[order], found[order]
@@ -168,8 +209,6 @@ def _read_seeds(min_words: int):
                 ],
                 names=["key_id", "key_hash", "prints", "places"],
             )
-        # The next task of this worker may be another operator's.
-        _hash_of.clear()
 
     return run
 
@@ -231,7 +270,6 @@ def _groups(min_words: int):
                 ],
                 names=["key_id", "key_hash", "print", "first_word", "windows"],
             )
-        _hash_of.clear()
 
     return run
 
@@ -291,7 +329,7 @@ def repeated_words(docs: DataFrame, copies: DataFrame, min_words: int = MIN_WORD
     )
     # Added up before the shuffle; only fingerprints of several places go on.
     shared = chosen.groupBy(F.col("print").alias("shared")).agg(F.sum("places").alias("n")).filter("n > 1")
-    matches = lookup(chosen, checkpointed(shared.select("shared")), [("print", "shared")])
+    matches = _joined(chosen, shared.select("shared"), [("print", "shared")], "inner")
     by_doc = checkpointed(
         matches.groupBy(F.col("key_id").alias("m_id"), F.col("key_hash").alias("m_hash")).agg(
             F.collect_set("print").alias("matched")
@@ -331,7 +369,12 @@ def _first_places(rows: DataFrame, keys: list[str]) -> DataFrame:
         F.count(F.lit(1)).alias("n"), F.min(_place()).alias("origin")
     )
     firsts = checkpointed(firsts.filter("n > 1").drop("n"))
-    return lookup(rows, firsts, [(k, f"of_{k}") for k in keys], how="left").drop(*[f"of_{k}" for k in keys])
+    return _joined(rows, firsts, [(k, f"of_{k}") for k in keys], "left").drop(*[f"of_{k}" for k in keys])
+
+
+def _joined(rows: DataFrame, firsts: DataFrame, keys: list[tuple[str, str]], how: str) -> DataFrame:
+    """A join with a table that grows with the rows, so both sides are shuffled whatever their size."""
+    return rows.join(firsts.hint("merge"), [F.col(a) == F.col(b) for a, b in keys], how)
 
 
 def cut_windows(text: str, starts: np.ndarray, min_words: int) -> tuple[str, int, int]:
@@ -401,7 +444,6 @@ def _cut_runs(text_at: int, runs_at: int, kept: int, min_words: int):
                 [*columns, pa.array(lines, pa.int32()), pa.array(words, pa.int32())],
                 names=[*batch.schema.names[:kept], "dropped_lines", "dropped_words"],
             )
-        _hash_of.clear()
 
     return run
 
