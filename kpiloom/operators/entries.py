@@ -64,19 +64,25 @@ def explode_pairs(df: DataFrame, col: str, name: str = "pair") -> DataFrame:
 def with_record_id(df: DataFrame, text: str = "value", source: str | None = None) -> DataFrame:
     """Key per line that is the same in every run: content hash and copy number.
 
-    Identical lines are counted before the shuffle and numbered afterwards, so a
-    line that makes up a large part of the feed costs no more than a rare one;
-    its copies are written out by many tasks. Keeps `text` and `source` only.
+    Lines are counted by two hashes, so the count shuffles no texts. A line that is there
+    once, as most are, gets its number where it stands; only repeated ones are grouped by
+    their text, combined before the shuffle, and their copies are written out by many
+    tasks. Keeps `text` and `source` only.
     """
     group = [text] + ([source] if source else [])
-    counted = df.groupBy(*group).agg(F.count(F.lit(1)).alias("__copies"))
+    rows = df.select(*group, F.xxhash64(*group).alias("__a"), F.xxhash64(F.lit(1), *group).alias("__b"))
+    repeated = rows.groupBy("__a", "__b").agg(F.count(F.lit(1)).alias("__n")).filter("__n > 1")
+    marked = rows.join(repeated, ["__a", "__b"], "left")
     digest = F.sha2(F.concat_ws("\u001f", *[F.col(c) for c in reversed(group)]), 256)
 
+    single = marked.filter(F.col("__n").isNull()).withColumn("__copy", F.lit(1).cast("long"))
+    counted = marked.filter(F.col("__n").isNotNull()).groupBy(*group).agg(F.count(F.lit(1)).alias("__copies"))
     copies, first = F.col("__copies"), F.col("__from")
     starts = F.sequence(F.lit(1).cast("long"), copies, F.lit(COPIES_PER_TASK).cast("long"))
     spread = counted.withColumn("__from", F.explode(starts)).repartition(*group, "__from")
     ids = explode_range(spread, first, F.least(copies, first + F.lit(COPIES_PER_TASK - 1)), "__copy")
-    return ids.select(F.concat_ws("-", digest, F.col("__copy").cast("string")).alias(RECORD_ID), *group)
+    both = single.select(*group, "__copy").unionByName(ids.select(*group, "__copy"))
+    return both.select(F.concat_ws("-", digest, F.col("__copy").cast("string")).alias(RECORD_ID), *group)
 
 
 def record_entries(records: DataFrame, text: str = "value", decode_first: bool = False) -> DataFrame:
