@@ -336,7 +336,7 @@ def repeated_words(docs: DataFrame, copies: DataFrame, min_words: int = MIN_WORD
         )
     )
     remove_folder(spark, seeds_folder)
-    around = _with_lists(keyed, by_doc, [("key_id", "m_id"), ("key_hash", "m_hash")], "matched")
+    around = _with_lists(keyed, by_doc, [("key_id", "m_id"), ("key_hash", "m_hash")])
     kind = "key_id long, key_hash long, print long, first_word int, windows array<long>"
     groups = land(around.select("key_id", "key_hash", "text", "matched").transform(mapped, _groups(min_words), kind), groups_folder)
     # The first and the last window of a group hold all its words.
@@ -356,11 +356,11 @@ def repeated_words(docs: DataFrame, copies: DataFrame, min_words: int = MIN_WORD
     return runs
 
 
-def _with_lists(rows: DataFrame, lists: DataFrame, keys: list[tuple[str, str]], column: str) -> DataFrame:
-    """The rows that have a list, with it. Texts of rows without one are not shuffled."""
+def _with_lists(rows: DataFrame, lists: DataFrame, keys: list[tuple[str, str]]) -> DataFrame:
+    """The rows that have a list, with it, by a shuffle at every size. Texts of rows without one are not shuffled."""
     have = lists.select(*[F.col(k).alias(f"{k}_of") for _, k in keys])
     some = lookup(rows, have, [(a, f"{b}_of") for a, b in keys], how="left_semi")
-    return lookup(some, lists, keys, width=F.size(column))
+    return some.join(lists.hint("merge"), [F.col(a).eqNullSafe(F.col(b)) for a, b in keys])
 
 
 def _first_places(rows: DataFrame, keys: list[str]) -> DataFrame:
@@ -479,7 +479,7 @@ def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     cut = _cut_runs(names.index("text"), len(names), len(names), min_words)
     # Three kinds of rows: copies, texts with runs, and the others, which go on as they are.
     whole = met.filter(copy).withColumn(key_runs, F.lit(None).cast(small.schema[key_runs].dataType))
-    partly = _with_lists(met.filter(~F.col(copy)), small, keys, key_runs)
+    partly = _with_lists(met.filter(~F.col(copy)), small, keys)
     done = [x.select(*names, key_runs).transform(mapped, cut, counted) for x in (whole, partly)]
     rest = lookup(met.filter(~F.col(copy)), small.select(key_id, key_hash), keys, how="left_anti")
     none = F.lit(0).cast("int")
