@@ -1,11 +1,16 @@
 """Licence scan: text against licence templates by the Dice coefficient over word bigrams.
 
-Text is normalised to its ASCII words in lower case. Units of a document are its lines,
-its paragraphs (between blank lines) and the whole of it, each string once. The
-coefficient of two bigram multisets is 2 * shared / (size + size), so a unit can only
+Text is normalised to its ASCII words in lower case and cut into pieces: at line feeds, and
+behind sentence ends that blanks follow; pieces without words do not count. A unit is any
+run of consecutive pieces, so a notice is found inside a line, over wrapped lines and over
+several paragraphs, whatever stands around it.
+
+The coefficient of two bigram multisets is 2 * shared / (size + size), so a unit can only
 reach the threshold t with a template of n bigrams if it has from n*t/(2-t) to n*(2-t)/t
-itself; units outside of all these bounds are dropped by their word count before any
-bigram is made.
+itself. These size bounds are applied twice: a piece above all of them is dropped before
+any bigram is made, and a run is only formed within those of its template. Besides, a run
+starts and ends with pieces that have t/2 bigrams of the template per word or more, the
+one that leads into the piece included: with an end below that, it scores less than without.
 
 The templates are a parameter, and their bigrams the only side that is broadcast: at
 most MAX_BIGRAMS rows.
@@ -16,17 +21,16 @@ from __future__ import annotations
 import json
 import re
 from collections import Counter
-from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kpiloom.llm.common import fresh
+from kpiloom.llm.common import checkpointed
 
 THRESHOLD = 0.8
 MAX_BIGRAMS = 100_000
 ASCII_WORD = "[0-9A-Za-z]+"
-BLANK_LINE = "\n[ \t\r]*\n"
+SENTENCE_END = "([.!?])[ \t\r]+"
 
 # Public licence notices and texts.
 TEMPLATES = {
@@ -128,10 +132,62 @@ TEMPLATES = {
         "documentation and/or other materials provided with the distribution. 3. Neither the name of the copyright "
         "holder nor the names of its contributors may be used to endorse or promote products derived from this "
         "software without specific prior written permission.",
+        "Redistribution and use in source and binary forms, with or without modification, are permitted provided "
+        "that the following conditions are met: 1. Redistributions of source code must retain the above copyright "
+        "notice, this list of conditions and the following disclaimer. 2. Redistributions in binary form must "
+        "reproduce the above copyright notice, this list of conditions and the following disclaimer in the "
+        "documentation and/or other materials provided with the distribution. 3. Neither the name of the copyright "
+        "holder nor the names of its contributors may be used to endorse or promote products derived from this "
+        "software without specific prior written permission. "
+        'THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED '
+        "WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A "
+        "PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY "
+        "DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, "
+        "PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER "
+        "CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE "
+        "OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH "
+        "DAMAGE.",
+    ],
+    "BSD-2-Clause": [
+        "Redistribution and use in source and binary forms, with or without modification, are permitted provided "
+        "that the following conditions are met: 1. Redistributions of source code must retain the above copyright "
+        "notice, this list of conditions and the following disclaimer. 2. Redistributions in binary form must "
+        "reproduce the above copyright notice, this list of conditions and the following disclaimer in the "
+        "documentation and/or other materials provided with the distribution.",
+        "Redistribution and use in source and binary forms, with or without modification, are permitted provided "
+        "that the following conditions are met: 1. Redistributions of source code must retain the above copyright "
+        "notice, this list of conditions and the following disclaimer. 2. Redistributions in binary form must "
+        "reproduce the above copyright notice, this list of conditions and the following disclaimer in the "
+        "documentation and/or other materials provided with the distribution. "
+        'THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED '
+        "WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A "
+        "PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY "
+        "DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, "
+        "PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER "
+        "CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE "
+        "OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH "
+        "DAMAGE.",
     ],
     "ISC": [
         "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is "
         "hereby granted, provided that the above copyright notice and this permission notice appear in all copies.",
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is "
+        "hereby granted, provided that the above copyright notice and this permission notice appear in all copies. "
+        'THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE '
+        "INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR "
+        "ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, "
+        "DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN "
+        "CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE.",
+    ],
+    "Zlib": [
+        "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be "
+        "held liable for any damages arising from the use of this software. Permission is granted to anyone to use "
+        "this software for any purpose, including commercial applications, and to alter it and redistribute it freely, "
+        "subject to the following restrictions: 1. The origin of this software must not be misrepresented; you must "
+        "not claim that you wrote the original software. If you use this software in a product, an acknowledgment in "
+        "the product documentation would be appreciated but is not required. 2. Altered source versions must be "
+        "plainly marked as such, and must not be misrepresented as being the original software. 3. This notice may "
+        "not be removed or altered from any source distribution.",
     ],
 }
 
@@ -147,89 +203,145 @@ def template_rows(templates: dict[str, list[str]]) -> list[tuple[str, int, int,
         for number, text in enumerate(texts):
             words = _words(text)
             counts = Counter(f"{a} {b}" for a, b in zip(words, words[1:], strict=False))
-            rows += [(license_id, number, counts.total(), gram, n) for gram, n in sorted(counts.items())]
+            size = counts.total()
+            rows += [(license_id, number, size, gram, n) for gram, n in sorted(counts.items())]
     if len(rows) > MAX_BIGRAMS:
         raise ValueError(f"the templates have {len(rows)} bigrams, more than {MAX_BIGRAMS}")
     return rows
 
 
-def within(size: Column, bigrams: Column | int, threshold: float) -> Column:
-    """Whether sets of these sizes can reach the threshold; the sum form avoids rounding of the bounds."""
-    smaller = F.least(size, F.lit(bigrams) if isinstance(bigrams, int) else bigrams)
-    total = size + (F.lit(bigrams) if isinstance(bigrams, int) else bigrams)
-    return 2.0 * smaller / total >= threshold
+def size_bounds(size: int, threshold: float) -> tuple[int, int]:
+    """The fewest and the most bigrams that reach the threshold with a template of `size`; `dice` tells at the ends."""
+
+    def reaches(n: int) -> bool:
+        return 2.0 * min(n, size) / (n + size) >= threshold
+
+    low = next(n for n in range(1, size + 1) if reaches(n))
+    high = size
+    while reaches(high + 1):
+        high += 1
+    return low, high
 
 
 def scan_licenses(
     docs: DataFrame, templates: dict[str, list[str]] | None = None, threshold: float = THRESHOLD
 ) -> DataFrame:
-    """One row per unit of a document that reaches the threshold with a template.
-
-    Columns: doc_id, unit (line, paragraph or document), unit_no (from 0, within its
-    kind), license_id, template, dice: the unit's best template, ties to the first by
-    license_id and number. A string that is several units of a document counts once, as
-    the first of line, paragraph, document. Null and empty texts have no units; texts
-    without two ASCII words match nothing. Rows of `docs` that repeat give repeated rows.
-    Other columns are not read.
+    """One row per run of pieces of a document that is the best of one of its pieces.
+
+    Columns: doc_id, first_piece, last_piece (from 0), first_word, n_words, license_id,
+    template, dice. Of the runs that reach the threshold and hold a piece, its best is that
+    of the greatest dice; ties go to the earlier first word, then last word, license_id and
+    number of the template. Null and empty texts have no pieces; texts without two ASCII
+    words match nothing. Rows of `docs` that repeat give repeated rows. Other columns are
+    not read. `threshold` is above 0 and at most 1.
     """
     rows = template_rows(TEMPLATES if templates is None else templates)
     spark = docs.sparkSession
-    grams = spark.createDataFrame(rows, "license_id string, template int, size int, gram string, times int")
-    sizes = sorted({r[2] for r in rows})
-    row = fresh(docs, "__row")
-    text = F.col("text")
-
-    def units(kind: str, parts: Column, wanted: Callable[[Column], Column]) -> Column:
-        # The words are made here, before the rows are: later on every use would match the text again.
-        named = F.transform(parts, lambda x, i: F.struct(i.alias("unit_no"), x.alias("body")))
-        return F.transform(
-            F.filter(named, lambda u: wanted(u["body"])),
-            lambda u: F.struct(
-                F.lit(kind).alias("unit"),
-                u["unit_no"].alias("unit_no"),
-                F.regexp_extract_all(u["body"], F.lit(ASCII_WORD), F.lit(0)).alias("words"),
+    bounds = {size: size_bounds(size, threshold) for size in {r[2] for r in rows}}
+    most = max((high for _, high in bounds.values()), default=0)
+    grams = spark.createDataFrame(
+        [(*r, *bounds[r[2]]) for r in rows],
+        "license_id string, template int, size int, gram string, times int, low int, high int",
+    )
+    known = grams.select("gram").distinct()
+    text = F.regexp_replace("text", SENTENCE_END, "$1\n")
+    matched = F.transform(F.split(text, "\n", -1), lambda x: F.regexp_extract_all(x, F.lit(ASCII_WORD), F.lit(0)))
+    listed = docs.select("doc_id", F.monotonically_increasing_id().alias("row"), "text").filter(F.length("text") > 0)
+
+    # Rows are made of a list of one, as later on every use of a column would match the text again.
+    def once(column: Column, name: str) -> Column:
+        return F.explode(F.array(column)).alias(name)
+
+    pieces = listed.select("doc_id", "row", once(F.filter(matched, lambda w: F.size(w) > 0), "pieces"))
+    flat = F.flatten(
+        F.transform(
+            "pieces",
+            lambda words, i: F.transform(
+                words, lambda w, k: F.struct(i.alias("piece"), k.alias("k"), F.size(words).alias("len"), w.alias("w"))
             ),
         )
+    )
+    worded = pieces.select("doc_id", "row", once(flat, "words"))
+
+    def pair(i: Column, of: Column, first: Column) -> Column:
+        here, after = F.get("words", i - 1), F.get("words", i)
+        gram = F.lower(F.concat_ws(" ", here["w"], after["w"])).alias("gram")
+        return F.struct((i - 1).alias("at"), of["piece"].alias("piece"), first.alias("first"), of["len"].alias("len"), gram)
 
-    lines = units("line", F.split(text, "\n", -1), lambda x: F.length(x) > 0)
-    # A paragraph or text of one line is that line.
-    paragraphs = units("paragraph", F.split(text, BLANK_LINE, -1), lambda x: F.contains(x, F.lit("\n")))
-    whole = units("document", F.array(text), lambda x: x.rlike(BLANK_LINE))
-    listed = docs.select("doc_id", F.monotonically_increasing_id().alias(row), "text").filter(F.length(text) > 0)
-    found = listed.select("doc_id", row, F.inline(F.concat(lines, paragraphs, whole)))
-    worded = found.withColumn("n", F.size("words") - 1)
-    possible = F.lit(False)
-    for size in sizes:
-        possible = possible | within(F.col("n"), size, threshold)
-    pairs = F.transform(
-        F.sequence(F.lit(1), F.col("n")),
-        lambda i: F.lower(F.concat_ws(" ", F.get("words", i - 1), F.get("words", i))),
+    places = F.sequence(F.lit(1), F.size("words") - 1)
+    own = F.transform(places, lambda i: pair(i, F.get("words", i - 1), i - 1 - F.get("words", i - 1)["k"]))
+    # The bigram that leads into a piece tells of that piece, too.
+    leads = F.transform(F.filter(places, lambda i: F.get("words", i)["k"] == 0), lambda i: pair(i, F.get("words", i), i))
+    each = worded.filter(F.size("words") > 1).select("doc_id", "row", F.inline(F.concat(own, leads)))
+    hits = each.filter(F.col("len") - 1 <= most).join(F.broadcast(known), "gram")
+    # A piece has `most` + 1 words at most, so its list is bounded by the templates.
+    width = most + 1
+    found = hits.groupBy("doc_id", "row", "piece", "first", "len").agg(F.collect_list(F.struct("at", "gram")).alias("hits"))
+    found = checkpointed(found.withColumn("last", F.col("first") + F.col("len") - 1))
+
+    least = F.col("len") * (threshold / 2)
+    dense = found.filter(F.size("hits") >= least).select("row", "piece", "first", "last", "len", F.inline("hits"))
+    whose = ["row", "license_id", "template", "size", "low", "high"]
+    edges = (
+        dense.join(F.broadcast(grams), "gram")
+        .groupBy(*whose, "piece", "first", "last", "len")
+        .agg(F.count(F.lit(1)).alias("n"))
+        .filter(F.col("n") >= least)
+    )
+    edges = checkpointed(edges.drop("n", "len"))
+
+    # A run is no longer than a cell, so it lies in the cell of its first word and the next one.
+    def cell(column: str) -> Column:
+        return F.floor(F.col(column) / width)
+
+    opens = edges.select(*whose, "first", F.col("piece").alias("first_piece"), cell("first").alias("c"))
+    opens = opens.withColumn("cell", F.explode(F.array(F.col("c"), F.col("c") + 1))).drop("c")
+    closes = edges.select(
+        "row", "license_id", "template", "last", F.col("piece").alias("last_piece"), cell("last").alias("cell")
     )
-    each = worded.filter((F.col("n") > 0) & possible).select(
-        "doc_id", row, "unit", "unit_no", "n", F.explode(pairs).alias("gram")
+    runs = (
+        opens.join(closes, ["row", "license_id", "template", "cell"])
+        .withColumn("n", F.col("last") - F.col("first"))
+        .filter(F.col("n").between(F.col("low"), F.col("high")))
+        .drop("cell", "low", "high")
     )
-    hits = each.join(F.broadcast(grams), "gram").filter(within(F.col("n"), F.col("size"), threshold))
-    keys = ["doc_id", row, "unit", "unit_no", "n", "license_id", "template", "size"]
-    shared = (
-        hits.groupBy(*keys, "gram", "times")
+    at = F.explode(F.sequence(cell("first"), cell("last"))).alias("cell")
+    inside = found.select(
+        "doc_id", F.col("row").alias("of_row"), F.col("first").alias("of_first"), cell("first").alias("of_cell"), "hits"
+    )
+    met = runs.select("*", at).join(
+        inside,
+        (F.col("row") == F.col("of_row")) & (F.col("cell") == F.col("of_cell")) & F.col("of_first").between(F.col("first"), F.col("last")),
+    )
+    run = ["doc_id", "row", "license_id", "template", "size", "first", "last", "first_piece", "last_piece", "n"]
+    counted = met.select(*run, "of_first", F.inline("hits")).filter(F.col("at").between(F.col("of_first"), F.col("last") - 1))
+    asked = grams.select("license_id", "template", "gram", "times")
+    dice = (
+        counted.join(F.broadcast(asked), ["license_id", "template", "gram"])
+        .groupBy(*run, "gram", "times")
         .agg(F.count(F.lit(1)).alias("here"))
-        .groupBy(*keys)
+        .groupBy(*run)
         .agg(F.sum(F.least("here", "times")).alias("shared"))
         .withColumn("dice", 2.0 * F.col("shared") / (F.col("n") + F.col("size")))
         .filter(F.col("dice") >= threshold)
     )
-    best = F.min(F.struct((-F.col("dice")).alias("d"), "license_id", "template")).alias("best")
-    return (
-        shared.groupBy("doc_id", row, "unit", "unit_no")
-        .agg(best)
-        .select(
-            "doc_id",
-            "unit",
-            "unit_no",
-            F.col("best.license_id"),
-            F.col("best.template"),
-            (-F.col("best.d")).alias("dice"),
-        )
+    order = F.struct((-F.col("dice")).alias("d"), "first", "last", "license_id", "template", "first_piece", "last_piece")
+    best = (
+        dice.select("doc_id", "row", order.alias("run"), F.explode(F.sequence("first_piece", "last_piece")).alias("piece"))
+        .groupBy("doc_id", "row", "piece")
+        .agg(F.min("run").alias("run"))
+        .select("doc_id", "row", "run")
+        .distinct()
+    )
+    return best.select(
+        "doc_id",
+        "run.first_piece",
+        "run.last_piece",
+        F.col("run.first").alias("first_word"),
+        (F.col("run.last") - F.col("run.first") + 1).alias("n_words"),
+        "run.license_id",
+        "run.template",
+        (-F.col("run.d")).alias("dice"),
     )
 
 

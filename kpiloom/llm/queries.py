@@ -1,4 +1,4 @@
-"""Queries over the ten operators, with SQL where SQL can say the same."""
+"""Queries over the operators, with SQL where SQL can say the same."""
 
 from __future__ import annotations
 
@@ -40,34 +40,54 @@ def query(name: str, sql: str | None = None):
 
 
 LICENSE_SQL = r"""
-WITH docs AS (SELECT row_number() OVER () AS r, doc_id, text FROM documents WHERE length(text) > 0),
-lines AS (SELECT r, doc_id, string_split(text, chr(10)) AS parts FROM docs),
-paragraphs AS (SELECT r, doc_id, regexp_split_to_array(text, '\n[ \t\r]*\n') AS parts FROM docs),
-units AS (
-  SELECT r, doc_id, 'line' AS unit, generate_subscripts(parts, 1) - 1 AS unit_no, unnest(parts) AS body FROM lines
-  UNION ALL
-  SELECT * FROM (
-    SELECT r, doc_id, 'paragraph', generate_subscripts(parts, 1) - 1, unnest(parts) AS body FROM paragraphs)
-  WHERE contains(body, chr(10))
-  UNION ALL
-  SELECT r, doc_id, 'document', 0, text FROM docs WHERE regexp_matches(text, '\n[ \t\r]*\n')),
-worded AS (
-  SELECT r, doc_id, unit, unit_no, regexp_extract_all(body, '[0-9A-Za-z]+') AS words FROM units),
+WITH docs AS (
+  SELECT row_number() OVER () AS r, doc_id,
+         string_split(regexp_replace(text, '([.!?])[ \t\r]+', '\1' || chr(10), 'g'), chr(10)) AS parts
+  FROM documents WHERE length(text) > 0),
+cut AS (
+  SELECT r, doc_id, list_filter(list_transform(parts, lambda x: regexp_extract_all(x, '[0-9A-Za-z]+')),
+                                lambda w: len(w) > 0) AS pieces FROM docs),
+listed AS (SELECT r, doc_id, generate_subscripts(pieces, 1) - 1 AS piece, unnest(pieces) AS words FROM cut),
+placed AS (
+  SELECT r, doc_id, piece, len(words) AS len, words,
+         CAST(sum(len(words)) OVER w AS INTEGER) - len(words) AS first, lead(words[1]) OVER w AS after,
+         lag(words[-1]) OVER w AS before
+  FROM listed WINDOW w AS (PARTITION BY r ORDER BY piece)),
 grams AS (
-  SELECT r, doc_id, unit, unit_no, len(words) - 1 AS n, unnest(list_transform(
-    range(1, len(words)), lambda i: lower(words[i] || ' ' || words[i + 1]))) AS gram
-  FROM worded WHERE len(words) > 1),
+  SELECT r, doc_id, piece, len, first, unnest(range(first, first + len)) AS pos,
+         unnest(list_transform(range(1, len + 1),
+                lambda i: lower(words[i] || ' ' || coalesce(words[i + 1], after)))) AS gram, false AS leads
+  FROM placed
+  UNION ALL SELECT r, doc_id, piece, len, first, first - 1, lower(before || ' ' || words[1]), true
+  FROM placed WHERE piece > 0),
 templates(license_id, template, size, gram, times) AS (VALUES %s),
+hits AS (SELECT * FROM grams JOIN templates USING (gram)),
+edges AS (
+  SELECT r, license_id, template, size, piece, first, first + len - 1 AS last
+  FROM hits GROUP BY r, license_id, template, size, piece, first, len HAVING count(*) >= len * 0.4::DOUBLE),
+runs AS (
+  SELECT a.r, a.license_id, a.template, a.size, a.first, b.last, a.piece AS first_piece, b.piece AS last_piece,
+         b.last - a.first AS n
+  FROM edges a JOIN edges b ON a.r = b.r AND a.license_id = b.license_id AND a.template = b.template
+  WHERE b.last > a.first AND 2 * least(b.last - a.first, a.size)::DOUBLE / (b.last - a.first + a.size) >= 0.8::DOUBLE),
 counts AS (
-  SELECT r, doc_id, unit, unit_no, n, license_id, template, size, least(count(*), max(times)) AS shared
-  FROM grams JOIN templates USING (gram)
-  GROUP BY r, doc_id, unit, unit_no, n, license_id, template, size, gram),
+  SELECT h.doc_id, u.*, least(count(*), max(h.times)) AS shared
+  FROM runs u JOIN hits h ON h.r = u.r AND h.license_id = u.license_id AND h.template = u.template
+    AND NOT h.leads AND h.pos >= u.first AND h.pos < u.last
+  GROUP BY h.doc_id, u.r, u.license_id, u.template, u.size, u.first, u.last, u.first_piece, u.last_piece, u.n, h.gram),
 scores AS (
-  SELECT r, doc_id, unit, unit_no, license_id, template, CAST(2 * sum(shared) AS DOUBLE) / (n + size) AS dice
-  FROM counts GROUP BY r, doc_id, unit, unit_no, n, license_id, template, size)
-SELECT doc_id, unit, CAST(unit_no AS INTEGER) AS unit_no, license_id, CAST(template AS INTEGER) AS template, dice
-FROM scores WHERE dice >= 0.8
-QUALIFY row_number() OVER (PARTITION BY r, unit, unit_no ORDER BY dice DESC, license_id, template) = 1
+  SELECT doc_id, r, license_id, template, first, last, first_piece, last_piece,
+         CAST(2 * sum(shared) AS DOUBLE) / (n + size) AS dice
+  FROM counts GROUP BY doc_id, r, license_id, template, size, first, last, first_piece, last_piece, n
+  HAVING CAST(2 * sum(shared) AS DOUBLE) / (n + size) >= 0.8::DOUBLE),
+covered AS (SELECT *, unnest(range(first_piece, last_piece + 1)) AS piece FROM scores),
+best AS (
+  SELECT * EXCLUDE piece FROM covered
+  QUALIFY row_number() OVER (PARTITION BY r, piece ORDER BY dice DESC, first, last, license_id, template) = 1)
+SELECT doc_id, CAST(first_piece AS INTEGER) AS first_piece, CAST(last_piece AS INTEGER) AS last_piece,
+       CAST(first AS INTEGER) AS first_word, CAST(last - first + 1 AS INTEGER) AS n_words, license_id,
+       CAST(template AS INTEGER) AS template, dice
+FROM (SELECT DISTINCT * FROM best)
 """ % licenses.template_values()
 
 

@@ -2,6 +2,9 @@
 
 import hashlib
 import json
+import random
+import re
+from collections import Counter
 
 import pytest
 from hypothesis import given, settings
@@ -168,19 +171,33 @@ def test_loose_loads_move_few_keys(spark):
 
 def test_licenses(spark, odd, empty):
     mit = licenses.TEMPLATES["MIT"][3]
-    broken = mit.replace(", ", ",\n", 4)
+    wrapped = mit.replace(", ", ",\n", 4)
+    three = mit.replace("conditions: ", "conditions:\n\n").replace("Software. THE", "Software.\n\nTHE")
+    apache = licenses.TEMPLATES["Apache-2.0"][3].replace("License at ", "License at\n\n    ").replace("2.0 Unl", "2.0\n\nUnl")
     rows = [
         (1, "Prose.\nReleased under the MIT License.\nMore prose", "s"),
-        (2, f"Head\n\n{broken}\n\nTail", "s"),
+        (2, f"Head\n\n{wrapped}\n\nTail", "s"),
         (3, "Released under the MIT", "s"),
         (4, "released   UNDER the mit license", "s"),
         (5, "nothing of the kind stands here", "s"),
+        (6, f"A library for text, with a long description of what it does.\n\n{three}\n\nHave fun with it all.", "s"),
+        (7, "Released under the MIT License. See the LICENSE file for details.", "s"),
+        (8, f"{'Some code stands here and there. ' * 40}\n{apache}\n{'Other code comes after it. ' * 40}", "s"),
     ]
-    found = {(r["doc_id"], r["unit"]): r for r in licenses.scan_licenses(frame(spark, rows)).collect()}
-    assert found[1, "line"]["unit_no"] == 1 and found[1, "line"]["dice"] == 1.0
-    assert found[2, "paragraph"]["license_id"] == "MIT" and found[2, "paragraph"]["template"] == 3
-    assert found[3, "line"]["dice"] == pytest.approx(6 / 7) and (4, "line") in found
-    assert not any(k[0] == 5 for k in found)
+    found = {r["doc_id"]: r for r in licenses.scan_licenses(frame(spark, rows)).collect()}
+    assert found[1]["first_piece"] == found[1]["last_piece"] == 1 and found[1]["dice"] == 1.0
+    assert (found[1]["first_word"], found[1]["n_words"]) == (1, 5)
+    assert {k: (r["license_id"], r["template"]) for k, r in found.items()} == {
+        1: ("MIT", 0),
+        2: ("MIT", 3),
+        3: ("MIT", 0),
+        4: ("MIT", 0),
+        6: ("MIT", 3),
+        7: ("MIT", 0),
+        8: ("Apache-2.0", 3),
+    }
+    assert found[2]["dice"] == found[6]["dice"] == found[7]["dice"] == found[8]["dice"] == 1.0
+    assert found[3]["dice"] == pytest.approx(6 / 7)
     assert licenses.scan_licenses(odd).count() == 0 and licenses.scan_licenses(empty).count() == 0
     own = {"X": ["a b c"], "Y": ["a b c"]}
     assert [(r["doc_id"], r["license_id"]) for r in licenses.scan_licenses(odd, own).collect()].count((1, "X")) == 2
@@ -188,6 +205,57 @@ def test_licenses(spark, odd, empty):
         licenses.template_rows({"X": [" ".join(map(str, range(100_002)))]})
 
 
+def test_whole_notices_keep_their_ids(spark):
+    rows = [(i, f"Intro of a file.\n\n{texts[-1]}\n\nThe code.", "s") for i, texts in enumerate(licenses.TEMPLATES.values())]
+    found = {}
+    for r in licenses.scan_licenses(frame(spark, rows)).collect():
+        found.setdefault(r["doc_id"], {})[r["dice"]] = r["license_id"]
+    assert [found[i][1.0] for i in range(len(rows))] == list(licenses.TEMPLATES)
+
+
+def licenses_brute(text, templates, threshold, edges):
+    """Every run of pieces against every template; the best run of each piece. With `edges`, as the ends of runs ask."""
+    pieces = [w for p in re.sub(r"([.!?])[ \t\r]+", "\\1\n", text or "").split("\n") if (w := re.findall("[0-9a-z]+", p.lower()))]
+    first = [sum(map(len, pieces[:i])) for i in range(len(pieces) + 1)]
+    flat, best = sum(pieces, []), {}
+
+    def close(i, own):
+        start = max(first[i] - 1, 0)
+        n = sum(pair in own for pair in zip(flat[start : first[i + 1]], flat[start + 1 : first[i + 1] + 1], strict=False))
+        return not edges or n >= len(pieces[i]) * threshold / 2
+
+    for a in range(len(pieces)):
+        for b in range(a, len(pieces)):
+            words = sum(pieces[a : b + 1], [])
+            grams = Counter(zip(words, words[1:], strict=False))
+            for name, texts in templates.items():
+                for number, template in enumerate(texts):
+                    own = Counter(zip(template.split(), template.split()[1:], strict=False))
+                    dice = 2.0 * (grams & own).total() / max(grams.total() + own.total(), 1)
+                    if dice >= threshold and close(a, own) and close(b, own):
+                        run = (-dice, first[a], first[b + 1] - 1, name, number, a, b)
+                        for i in range(a, b + 1):
+                            best[i] = min(best.get(i, run), run)
+    return sorted({(r[5], r[6], r[1], r[2] - r[1] + 1, r[3], r[4], -r[0]) for r in best.values()})
+
+
+def test_licenses_against_every_run(spark):
+    templates = {"X": ["a b c d", "a b a b a c"], "Y": ["b c d a", "c d c d a b c d a a"]}
+    draw = random.Random(5)
+    marks = [" ", " ", " ", " ", "\n", ". ", "\n\n", "; "]
+    texts = ["".join(draw.choice("abcde") + draw.choice(marks) for _ in range(draw.randint(0, 40))) for _ in range(120)]
+    texts += ["a b. c d\n" * 30, "a\nb\nc\nd\n" * 12, None, "a"]
+    found = {}
+    for r in licenses.scan_licenses(frame(spark, [(i, t, "s") for i, t in enumerate(texts)]), templates, 0.8).collect():
+        found.setdefault(r["doc_id"], []).append(tuple(r)[1:])
+    for i, text in enumerate(texts):
+        assert sorted(found.get(i, [])) == licenses_brute(text, templates, 0.8, True), text
+        # What no other run that overlaps it beats is found whatever its ends are.
+        every = licenses_brute(text, templates, 0.8, False)
+        top = {w for w in every if not any(v[-1] >= w[-1] and v != w and v[0] <= w[1] and w[0] <= v[1] for v in every)}
+        assert top <= set(found.get(i, [])), text
+
+
 def test_neighbours_have_their_own_id(spark):
     lines = {
         "AGPL-3.0": "This work is licensed under the GNU Affero General Public License, version 3.",
