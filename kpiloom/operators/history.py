@@ -14,7 +14,7 @@ import json
 from collections.abc import Sequence
 from datetime import date, datetime
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -130,10 +130,19 @@ def append(df: DataFrame, path: str, fmt: str = "parquet") -> None:
     df.write.format(fmt).mode("append").partitionBy(PARTITION).save(path)
 
 
-def append_load(df: DataFrame, root: str, fact: str, date_key: str, fmt: str = "parquet") -> None:
-    """Writes the rows of a load, which carry their `kind`, in one job; a large month is many tasks'."""
-    dealt = df.hint("rebalance", KIND, MONTH).sortWithinPartitions(*LAYOUT, date_key)
-    dealt.write.format(fmt).mode("append").partitionBy(*LAYOUT).save(f"{root.rstrip('/')}/{fact}")
+def append_load(df: DataFrame, root: str, fact: str, date_key: str, fmt: str = "parquet", **aggregates: Column) -> dict:
+    """Writes the rows of a load, which carry their `kind`, in one job; a large month is many tasks'.
+
+    Gives the values of the aggregates over the rows, taken where these are written. Columns
+    that the table lacks serve the aggregates only.
+    """
+    own = [f.name for f in df.schema if f.name != "is_known"]
+    dealt, seen = df.hint("rebalance", KIND, MONTH), Observation()
+    if aggregates:
+        dealt = dealt.observe(seen, *[c.alias(name) for name, c in aggregates.items()])
+    sorted_rows = dealt.select(*own).sortWithinPartitions(*LAYOUT, date_key)
+    sorted_rows.write.format(fmt).mode("append").partitionBy(*LAYOUT).save(f"{root.rstrip('/')}/{fact}")
+    return seen.get if aggregates else {}
 
 
 def near_batch(history: DataFrame, batch: DataFrame, date_key: str) -> DataFrame:

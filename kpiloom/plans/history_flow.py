@@ -16,7 +16,7 @@ from kpiloom.operators.export import publish_window
 from kpiloom.operators.key_filter import MONTH
 from kpiloom.operators.quality import FLAG, assign, check_mandatory
 from kpiloom.plans.render import render
-from kpiloom.session import folder_exists, land, land_observed, remove_folder, work_folder
+from kpiloom.session import folder_exists, land_observed, remove_folder, work_folder
 
 DATE_KEY = "Order_Date"
 
@@ -46,31 +46,46 @@ def checked_schema(fact_schema: T.StructType) -> T.StructType:
 
 
 def _filter_path(root: str, fact: str) -> str:
-    return f"{root.rstrip('/')}/_keys/{fact}"
+    return f"{root.rstrip('/')}/_key_blocks/{fact}"
+
+
+def _has_old_filters(spark: SparkSession, root: str, fact: str) -> bool:
+    """The table has keys in filters of the form before (bits spread over a whole filter), which are not read."""
+    return folder_exists(spark, f"{root.rstrip('/')}/_keys/{fact}")
 
 
 def _filters(spark: SparkSession, root: str, fact: str, months: list[str | None]) -> DataFrame:
+    """The filter rows of some months; see `key_filter`."""
     return history.read_months(spark, _filter_path(root, fact), months, key_filter.SCHEMA)
 
 
+def _land_counted(df: DataFrame, folder: str) -> DataFrame | None:
+    """The landed rows, or None if there are none, so that no join with them need be made."""
+    rows, seen = land_observed(df, folder, rows=F.count(F.lit(1)))
+    return rows if seen["rows"] else None
+
+
 def _known_keys(
-    batch: DataFrame, filters: DataFrame, root: str, fact: str, keys: list[str], months: list[str | None], folder: str, fmt: str
-) -> DataFrame:
-    """(k_a, k_b): hashes of the keys of the batch that the table has.
+    batch: DataFrame, filters: DataFrame | None, root: str, fact: str, keys: list[str], months: list[str | None], folder: str, fmt: str
+) -> DataFrame | None:
+    """(key_a, key_b): hashes of the keys of the batch that the table has; None if it has none of them.
 
     By the table's own keys, only months in which a filter may hold a key of the batch are
     read, and nothing if there are none; by other keys all that can have them.
     """
-    hashes = key_filter.key_hashes(keys)
-    asked, wanted = batch.select(*hashes).distinct(), None
-    if keys == contracts.PRIMARY_KEYS[fact]:
-        asked = land(key_filter.maybe_known(batch, filters, keys), f"{folder}/maybe")
-        wanted = [r[0] for r in asked.select(MONTH).distinct().collect()]
+    spark, hashes = batch.sparkSession, key_filter.key_hashes(keys)
+    asked, wanted = batch.select(*hashes), None
+    if keys == contracts.PRIMARY_KEYS[fact] and not _has_old_filters(spark, root, fact):
+        maybe = None if filters is None else _land_counted(key_filter.maybe_known(batch, filters, keys), f"{folder}/maybe")
+        asked = asked if maybe is None else maybe
+        wanted = [] if maybe is None else [r[0] for r in maybe.select(MONTH).distinct().collect()]
     elif DATE_KEY in keys:
         wanted = months
-    table = history.read_done(batch.sparkSession, root, fact, "history", table_schema(fact), fmt, wanted)
+    table = history.read_done(spark, root, fact, "history", table_schema(fact), fmt, wanted)
+    if wanted == []:
+        return None
     found = table.select(*hashes).join(asked, ["key_a", "key_b"], "left_semi").distinct()
-    return land(found.select(F.col("key_a").alias("k_a"), F.col("key_b").alias("k_b")), f"{folder}/known")
+    return _land_counted(found, f"{folder}/known")
 
 
 def load_fact(
@@ -111,30 +126,34 @@ def load_fact(
         incoming = {r[0]: r["count"] for r in batch.groupBy(MONTH).count().collect()}
         months = list(incoming)
         filters = _filters(spark, root, fact, months)
+        filters = filters if filters.inputFiles() else None
         known = _known_keys(batch, filters, root, fact, keys, months, folder, fmt)
         hashed = batch.select("*", *key_filter.key_hashes(keys))
-        match = [F.col("key_a") == F.col("k_a"), F.col("key_b") == F.col("k_b")]
-        marked = hashed.join(known, match, "left").withColumn("is_known", F.col("k_a").isNotNull()).drop("k_a", "k_b")
-        good = marked.filter(F.col(FLAG))
-        if deduplicate:
-            good = good.filter(~F.col("is_known"))
+        valid_rows = hashed.filter(F.col(FLAG))
+        new = valid_rows if known is None else valid_rows.join(known, ["key_a", "key_b"], "left_anti")
+        good = new.withColumn("is_known", F.lit(False))
+        if not deduplicate and known is not None:
+            match = known.withColumn("met", F.lit(True))
+            good = valid_rows.join(match, ["key_a", "key_b"], "left").withColumn("is_known", F.col("met").isNotNull())
         good = good.withColumns({history.KIND: F.lit("history"), history.DIGEST: F.lit(None).cast("string")})
-        out = good
+        columns = [*batch.columns, "is_known", history.KIND, history.DIGEST]
+        out = good.select(*columns)
         if seen["rows"] > seen["valid"]:
-            out = out.unionByName(_to_quarantine(marked, root, fact, months, fmt))
+            out = out.unionByName(_to_quarantine(hashed, known, root, fact, months, f"{folder}/quarantine", fmt).select(*columns))
         # The filter first: bits of rows that never come cost a look, rows without bits would come twice.
-        new = good.filter(~F.col("is_known"))
-        held = key_filter.held(filters)
+        held = {} if filters is None else key_filter.held(filters)
         _add_to_filter(new, {m: n + held.get(m, 0) for m, n in incoming.items()}, root, fact, load.number)
         kind = F.col(history.KIND)
-        added, written = land_observed(
-            out.drop("key_a", "key_b"),
-            f"{folder}/out",
+        written = history.append_load(
+            out,
+            root,
+            fact,
+            DATE_KEY,
+            fmt,
             added=F.count_if(kind == "history"),
             updated=F.count_if((kind == "history") & F.col("is_known")),
             quarantined=F.count_if(kind == "error"),
         )
-        history.append_load(added.drop("is_known"), root, fact, DATE_KEY, fmt)
     finally:
         remove_folder(spark, folder)
     n = {name: written[name] or 0 for name in written}
@@ -146,17 +165,38 @@ def load_fact(
     )
 
 
-def _to_quarantine(marked: DataFrame, root: str, fact: str, months: list[str | None], fmt: str) -> DataFrame:
-    """The invalid rows that are of no known or valid key, and not in the error table of their months."""
-    spark = marked.sparkSession
+def _to_quarantine(
+    hashed: DataFrame, known: DataFrame | None, root: str, fact: str, months: list[str | None], folder: str, fmt: str
+) -> DataFrame:
+    """The invalid rows that are of no known or valid key, and not in the error table of their months.
+
+    What is left out is found by hashes of keys and rows; whole rows meet it only if there is any.
+    """
+    spark = hashed.sparkSession
+    keys, digests = ["key_a", "key_b"], ["digest_a", "digest_b"]
+
+    def with_digest_hashes(rows: DataFrame) -> DataFrame:
+        own = [F.xxhash64(F.lit(i), history.DIGEST).alias(name) for i, name in enumerate(digests)]
+        return rows.select("*", *own)
+
     fields = [F.col(f.name) for f in contracts.FACT_TABLES[fact]]
     digest = F.sha2(F.to_json(F.struct(*fields)), 256)
-    invalid = marked.filter(~F.col(FLAG) & ~F.col("is_known"))
-    valid = marked.filter(F.col(FLAG)).select("key_a", "key_b")
-    fresh = invalid.join(valid, ["key_a", "key_b"], "left_anti").withColumn(history.DIGEST, digest)
+    invalid = hashed.filter(~F.col(FLAG))
+    valid = hashed.filter(F.col(FLAG)).select(*keys)
+    both = _land_counted(invalid.select(*keys).join(valid, keys, "left_semi").distinct(), f"{folder}/both")
+    fresh = invalid
+    for left_out in (known, both):
+        if left_out is not None:
+            fresh = fresh.join(left_out, keys, "left_anti")
+    fresh = fresh.withColumn(history.DIGEST, digest)
     earlier = history.read_done(spark, root, fact, "error", table_schema(fact), fmt, months).select(history.DIGEST)
-    fresh = fresh.join(earlier, history.DIGEST, "left_anti").withColumn(history.KIND, F.lit("error"))
-    return fresh.select(*marked.columns, history.KIND, history.DIGEST)
+    if earlier.inputFiles():
+        mine = with_digest_hashes(invalid.withColumn(history.DIGEST, digest)).select(*digests)
+        again = mine.join(with_digest_hashes(earlier).select(*digests), digests, "left_semi").distinct()
+        again = _land_counted(again, f"{folder}/again")
+        if again is not None:
+            fresh = with_digest_hashes(fresh).join(again, digests, "left_anti")
+    return fresh.withColumns({"is_known": F.lit(False), history.KIND: F.lit("error")})
 
 
 def _add_to_filter(rows: DataFrame, sizes: dict[str | None, int], root: str, fact: str, number: int) -> None:
