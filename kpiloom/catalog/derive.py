@@ -6,12 +6,17 @@ fragments give the same values straight from the tables, as numbers, so that an
 oracle never goes through an encoding.
 
 `lineitem` repeats (order, line number) pairs; `lines` keeps one row per pair, by
-the smallest value of each column, aggregated before the shuffle. Line numbers
-run from 1 to 7, so the array of an order's lines is short.
+the smallest value of each column. Line numbers run from 1 to 7, so the array of an
+order's lines is short.
+
+Only the tables' own columns are shuffled, once, by order (or page); the much wider
+texts are made of them where the rows have met.
 """
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -121,30 +126,50 @@ def _join_facts(orders: DataFrame, per_order: DataFrame, how: str = "inner") ->
     return orders.join(per_order.hint("merge"), F.col("o_orderkey") == F.col("l_orderkey"), how)
 
 
-def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per (order, line number).
+def _line_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The columns of `lineitem` that feeds have.
 
     The one-letter flag is compared by its code: with numbers only, Spark aggregates
     by hash instead of sorting the table.
     """
-    return (
-        table(spark, sf_dir, "lineitem")
-        .groupBy("l_orderkey", "l_linenumber")
-        .agg(
-            F.min("l_quantity").alias("quantity"),
-            F.min("l_extendedprice").alias("price"),
-            F.char(F.min(F.ascii("l_returnflag"))).alias("returnflag"),
-            F.min("l_partkey").alias("partkey"),
-        )
+    return table(spark, sf_dir, "lineitem").select(
+        "l_orderkey",
+        "l_linenumber",
+        F.col("l_quantity").alias("quantity"),
+        F.col("l_extendedprice").alias("price"),
+        F.ascii("l_returnflag").alias("flag_code"),
+        F.col("l_partkey").alias("partkey"),
     )
 
 
+_LINE_MINIMA = {
+    "quantity": "min(quantity)",
+    "price": "min(price)",
+    "returnflag": "char(min(flag_code))",
+    "partkey": "min(partkey)",
+}
+
+
+def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per (order, line number), dealt by order: what follows per order needs no further shuffle."""
+    rows = _line_columns(spark, sf_dir).repartition("l_orderkey")
+    return rows.groupBy("l_orderkey", "l_linenumber").agg(*[F.expr(e).alias(name) for name, e in _LINE_MINIMA.items()])
+
+
+def _orders_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "orders").repartition("o_orderkey")
+
+
 def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw order fields of the form vendor as text, with the order's key, date and status.
 
     ORDER_D_FREE_ITEM31 is the order's own item type, by status.
     """
-    return table(spark, sf_dir, "orders").select(
+    return _raw_orders(table(spark, sf_dir, "orders"))
+
+
+def _raw_orders(orders: DataFrame) -> DataFrame:
+    return orders.select(
         "o_orderkey",
         "o_orderdate",
         "o_orderstatus",
@@ -186,12 +211,12 @@ def feed_texts(orders: DataFrame, items: DataFrame) -> DataFrame:
 
 
 def form_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return feed_texts(raw_orders(spark, sf_dir), raw_lines(spark, sf_dir))
+    return feed_texts(_raw_orders(_orders_by_key(spark, sf_dir)), raw_lines(spark, sf_dir))
 
 
 def flat_rows(spark: SparkSession, sf_dir: str, cancel: bool) -> DataFrame:
     """Recovery rows of the form vendor, one per order and line, in file layout."""
-    o, l = raw_orders(spark, sf_dir), raw_lines(spark, sf_dir)  # noqa: E741
+    o, l = _raw_orders(_orders_by_key(spark, sf_dir)), raw_lines(spark, sf_dir)  # noqa: E741
     joined = _join_facts(o.drop("ORDER_D_FREE_ITEM31", "ORDER_D_FREE_ITEM35"), l)
     at = F.expr("o_orderdate + make_dt_interval(0, o_orderkey % 24, o_orderkey % 60, o_orderkey % 50)")
     at_minute = F.expr("o_orderdate + make_dt_interval(0, o_orderkey % 24, o_orderkey % 60, 0)")
@@ -342,15 +367,38 @@ def _page(orders: DataFrame, flow: str) -> DataFrame:
     )
 
 
-def sales_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per order: `o`, the nested order of the envelope, and `o_orderkey`."""
-    line = _struct(_ENVELOPE_LINE, contracts.ORDER_LINE_FIELDS)
-    per_order = (
-        _order_with_lines(spark, sf_dir)
-        .select("l_orderkey", line.alias("line"))
-        .groupBy("l_orderkey")
-        .agg(F.collect_list("line").alias("Order_Lines"))
+def _of_line(e: str) -> str:
+    """The expression over the columns of a line, as one over the fields of its struct `x`."""
+    return re.sub(rf"\b(l_linenumber|{'|'.join(_LINE_MINIMA)})\b", r"x.\1", e)
+
+
+def _paged_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per order: its page, its columns, and its lines as an array of structs (empty for an order without).
+
+    Orders and lines go through one shuffle together, by page, so that an order meets its
+    lines and a page its orders without a join.
+    """
+    orders, items = table(spark, sf_dir, "orders"), _line_columns(spark, sf_dir).filter("l_orderkey IS NOT NULL")
+
+    def page(key: str) -> Column:
+        return F.expr(f"1 + {key} div {ORDERS_PER_PAGE}").alias("page")
+
+    heads = orders.select(page("o_orderkey"), F.col("o_orderkey").alias("l_orderkey"), F.struct(*orders.columns).alias("o"))
+    both = items.select(page("l_orderkey"), F.lit(True).alias("is_line"), "*").unionByName(heads, allowMissingColumns=True)
+    minima = [F.expr(e).alias(name) for name, e in _LINE_MINIMA.items()]
+    each = both.repartition("page").groupBy("page", "l_orderkey", "is_line", "l_linenumber")
+    each = each.agg(*minima, F.collect_list("o").alias("heads"))
+    line = F.when(F.col("is_line"), F.struct("l_linenumber", *_LINE_MINIMA))
+    per_order = each.groupBy("page", "l_orderkey").agg(
+        F.flatten(F.collect_list("heads")).alias("heads"), F.collect_list(line).alias("lines")
     )
+    return per_order.select("page", "lines", F.explode("heads").alias("o")).select("page", "lines", "o.*")
+
+
+def sales_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per order: `o`, the nested order of the envelope, `o_orderkey` and its `page`."""
+    fields = ", ".join(f"cast({_of_line(_ENVELOPE_LINE[name])} as string) as {name}" for name in contracts.ORDER_LINE_FIELDS)
+    lines_of_order = F.expr(f"if(size(lines) > 0, transform(lines, x -> struct({fields})), null)")
     shared = {"Order_Date": _ISO, "Transaction_Nbr": "concat('T', o_orderkey)", "eCom_Store_ID": _STORE}
     first = {
         "Demand_Currency": "'CNY'",
@@ -363,18 +411,16 @@ def sales_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("o_custkey") % 3 == 0,
         F.array(_struct(first, contracts.ORDER_PAYMENT_FIELDS), _struct(second, contracts.ORDER_PAYMENT_FIELDS)),
     ).otherwise(F.array(_struct(first, contracts.ORDER_PAYMENT_FIELDS)))
-    joined = _join_facts(table(spark, sf_dir, "orders"), per_order, "left")
     order = F.struct(
         *[_text(_ENVELOPE_ORDER[name]).alias(name) for name in contracts.ORDER_TEXT_FIELDS],
-        F.col("Order_Lines"),
+        lines_of_order.alias("Order_Lines"),
         payments.alias("Order_Payments"),
     )
-    return joined.select("o_orderkey", order.alias("o"))
+    return _paged_orders(spark, sf_dir).select("o_orderkey", "page", order.alias("o"))
 
 
 def sales_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    page = F.expr(f"1 + o_orderkey div {ORDERS_PER_PAGE}").alias("page")
-    return _page(sales_orders(spark, sf_dir).select(page, "o"), "Sales")
+    return _page(sales_orders(spark, sf_dir).select("page", "o"), "Sales")
 
 
 def cancel_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -394,9 +440,10 @@ def _conform(rows: DataFrame, schema, expressions: dict[str, str]) -> DataFrame:
     return rows.select(*[F.expr(expressions[f.name]).cast(f.dataType).alias(f.name) for f in schema])
 
 
-def conformed_header(spark: SparkSession, sf_dir: str) -> DataFrame:
+def conformed_header(spark: SparkSession, sf_dir: str, which: str = "true") -> DataFrame:
+    """Headers of the orders that meet `which`."""
     own = {"Order_Date": _CONFORMED_TIME, "Device_Type": "cast(left(o_orderpriority, 1) as int)", "Coupon_Amount": "o_custkey % 30"}
-    return _conform(table(spark, sf_dir, "orders"), contracts.CONFORMED_HEADER, _ENVELOPE_ORDER | own)
+    return _conform(table(spark, sf_dir, "orders").filter(which), contracts.CONFORMED_HEADER, _ENVELOPE_ORDER | own)
 
 
 def conformed_line(spark: SparkSession, sf_dir: str) -> DataFrame:
