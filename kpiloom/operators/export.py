@@ -41,9 +41,8 @@ def separator_safe(c: Column, sep: str, on_clash: str = "replace") -> Column:
     raise ValueError(f"unknown clash policy: {on_clash}")
 
 
-def export_csv(df: DataFrame, path: str, sep: str = ",", on_clash: str = "replace", files: int = 1) -> None:
-    """Writes the frame below `path` in so many files, or fewer if there are fewer rows."""
-    safe = df.select(
+def _safe(df: DataFrame, sep: str, on_clash: str) -> DataFrame:
+    return df.select(
         *[
             separator_safe(F.col(f.name), sep, on_clash).alias(f.name)
             if isinstance(f.dataType, T.StringType)
@@ -51,7 +50,34 @@ def export_csv(df: DataFrame, path: str, sep: str = ",", on_clash: str = "replac
             for f in df.schema
         ]
     )
-    safe.repartition(files).write.mode("overwrite").options(sep=sep, **_DIALECT).csv(path)
+
+
+def export_csv(df: DataFrame, path: str, sep: str = ",", on_clash: str = "replace", files: int = 1) -> None:
+    """Writes the frame below `path` in so many files, or fewer if there are fewer rows."""
+    _safe(df, sep, on_clash).repartition(files).write.mode("overwrite").options(sep=sep, **_DIALECT).csv(path)
+
+
+def export_one_file(df: DataFrame, path: str, sep: str = ",", on_clash: str = "replace") -> None:
+    """Writes the frame as the only file below `path`, printed by many tasks.
+
+    Rows are neither shuffled nor read by one task: every task writes a part without a
+    header, and the parts are then strung together as bytes, through one buffer.
+    """
+    spark, parts = df.sparkSession, f"{path}/parts"
+    _safe(df, sep, on_clash).write.mode("overwrite").options(**(_DIALECT | {"sep": sep, "header": "false"})).csv(parts)
+    fs, to_path = file_system(spark, path)
+    io = spark._jvm.org.apache.hadoop.io.IOUtils
+    target = fs.create(to_path(f"{path}/part-00000"), True)
+    try:
+        target.write(bytearray((sep.join(df.columns) + _DIALECT["lineSep"]).encode()))
+        for part in sorted(str(s.getPath()) for s in fs.globStatus(to_path(f"{parts}/part-*"))):
+            source = fs.open(to_path(part))
+            try:
+                io.copyBytes(source, target, 1 << 20, False)
+            finally:
+                source.close()
+    finally:
+        target.close()
 
 
 def publish_files(
@@ -82,7 +108,10 @@ def _write(df: DataFrame, root: str, fact: str, base: str, files: int = 1, **opt
     spark = df.sparkSession
     folder = f"{root.rstrip('/')}/{fact}s"
     staged = f"{root.rstrip('/')}/_staging/{fact}s/{base}"
-    export_csv(df, staged, contracts.FILE_SEPARATOR[fact], files=files, **options)
+    if files == 1:
+        export_one_file(df, staged, contracts.FILE_SEPARATOR[fact], **options)
+    else:
+        export_csv(df, staged, contracts.FILE_SEPARATOR[fact], files=files, **options)
     return publish_files(spark, staged, folder, base, numbered=files > 1)
 
 
