@@ -24,9 +24,10 @@ def norm_ts(c: Column, pattern: str) -> Column:
     """Text in `pattern` -> text `yyyy-MM-dd HH:mm:ss`, unparsable -> NULL.
 
     Read and printed in the zone of the session, which should be one without
-    daylight saving (see session.py): it has every local time once.
+    daylight saving (see session.py): it has every local time once. Empty texts, which
+    most orders have for a date, are set aside: each would cost the parser an exception.
     """
-    return F.date_format(F.try_to_timestamp(c, F.lit(pattern)), OUTPUT_TIME)
+    return F.date_format(F.try_to_timestamp(F.nullif(c, F.lit("")), F.lit(pattern)), OUTPUT_TIME)
 
 
 def norm_iso(c: Column) -> Column:
