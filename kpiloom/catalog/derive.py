@@ -168,8 +168,9 @@ def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _raw_orders(table(spark, sf_dir, "orders"))
 
 
-def _raw_orders(orders: DataFrame) -> DataFrame:
+def _raw_orders(orders: DataFrame, *kept: str) -> DataFrame:
     return orders.select(
+        *kept,
         "o_orderkey",
         "o_orderdate",
         "o_orderstatus",
@@ -183,8 +184,17 @@ def raw_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines(spark, sf_dir).select("l_orderkey", "l_linenumber", "partkey", *_texts(_RAW_LINE))
 
 
-def feed_texts(orders: DataFrame, items: DataFrame) -> DataFrame:
-    """URL-encoded records, one per order, as `value`."""
+def items_per_order(items: DataFrame) -> DataFrame:
+    """The encoded items of an order, as `items`."""
+    item = F.concat_ws(
+        "&",
+        *[F.concat(F.lit(name + "_"), F.col("l_linenumber"), F.lit("="), F.col(name)) for name in _RAW_LINE],
+    )
+    return items.select("l_orderkey", item.alias("item")).groupBy("l_orderkey").agg(F.collect_list("item").alias("items"))
+
+
+def feed_texts(orders: DataFrame) -> DataFrame:
+    """URL-encoded records, one per order with its `items`, as `value`."""
 
     def pair(name: Column, value: Column, encode: bool) -> Column:
         return F.concat(name, F.lit("="), F.url_encode(value) if encode else value)
@@ -201,17 +211,13 @@ def feed_texts(orders: DataFrame, items: DataFrame) -> DataFrame:
         *[pair(F.lit(name), value, name in _ENCODED) for name, value in dates.items()],
         F.lit("FREE_ITEM1=no line"),
     )
-    item = F.concat_ws(
-        "&",
-        *[pair(F.concat(F.lit(name + "_"), F.col("l_linenumber")), F.col(name), False) for name in _RAW_LINE],
-    )
-    per_order = items.select("l_orderkey", item.alias("item")).groupBy("l_orderkey").agg(F.collect_list("item").alias("items"))
-    joined = _join_facts(orders, per_order, "left")
-    return joined.select("o_orderkey", F.concat_ws("&", head, F.col("items")).alias("value"))
+    return orders.select("o_orderkey", F.concat_ws("&", head, F.col("items")).alias("value"))
 
 
 def form_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return feed_texts(_raw_orders(_orders_by_key(spark, sf_dir)), raw_lines(spark, sf_dir))
+    # The join sorts the tables' few columns; an order's texts are made behind it.
+    joined = _join_facts(_orders_by_key(spark, sf_dir), items_per_order(raw_lines(spark, sf_dir)), "left")
+    return feed_texts(_raw_orders(joined, "items"))
 
 
 def flat_rows(spark: SparkSession, sf_dir: str, cancel: bool) -> DataFrame:
