@@ -1,13 +1,17 @@
 """What is shuffled and written per row of the input."""
 
 import re
+from datetime import date
 from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
+import __spark_entry__  # noqa: F401  registers the queries
 from kpiloom.catalog import derive
-from kpiloom.operators import history, key_filter
+from kpiloom.catalog.registry import QUERIES
+from kpiloom.functions import dates
+from kpiloom.operators import export, history, key_filter
 from kpiloom.plans import history_flow
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -61,3 +65,29 @@ def test_filters_of_the_form_before_are_no_filters(spark, tmp_path):
 @pytest.mark.parametrize("feed, shuffles", [("form_feed", 2), ("sales_envelopes", 1), ("conformed_line", 2)])
 def test_feeds_shuffle_the_columns_of_the_tables_once(spark, feed, shuffles):
     assert len(re.findall(r"Exchange hashpartitioning", plan(getattr(derive, feed)(spark, SF_DIR)))) == shuffles
+
+
+def test_one_file_is_printed_by_many_tasks(spark, tmp_path, monkeypatch):
+    """The rows of a single export file go through no shuffle to one task."""
+    monkeypatch.setattr(export, "export_csv", None)
+    df = spark.range(0, 1000, 1, 4).select(F.concat(F.lit("T,"), "id").alias("Transaction_Nbr"), F.lit(None).cast("string").alias("Order_Date"))
+    (file,) = export.publish(df, str(tmp_path), "header", "JP", "BI", fallback=date(2024, 5, 1))
+    data = Path(file).read_bytes()
+    assert data.startswith(b"Transaction_Nbr,Order_Date\r\n") and data.endswith(b"\r\n")
+    assert sorted(data.split(b"\r\n")[1:-1]) == sorted(f"T {i},".encode() for i in range(1000))
+    again = export.publish(df.limit(3), str(tmp_path), "header", "JP", "BI", fallback=date(2024, 5, 1))
+    assert again == [file] and len(Path(file).read_bytes().split(b"\r\n")) == 5
+
+
+def test_an_empty_date_is_not_parsed(spark):
+    """Only the parser of a text that is there may fail; most orders have no date of cancellation."""
+    df = spark.createDataFrame([("",), ("2024/05/01",), (None,)], "d string").select(dates.norm_ts(F.col("d"), dates.FEED_DATE).alias("t"))
+    assert [r.t for r in df.collect()] == [None, "2024-05-01 00:00:00", None]
+    assert "nullif" in plan(df).lower() or "= )" in plan(df)
+
+
+@needs_tables
+def test_ids_are_not_sorted_where_they_are_read(spark):
+    text = plan(QUERIES["record_id"](spark, SF_DIR))
+    below = text[text.index("partial_first") :].split("\n")
+    assert any("Exchange hashpartitioning(record_id" in line for line in below[1:3])
