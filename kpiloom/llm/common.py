@@ -32,6 +32,13 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def release_memory() -> None:
+    """Gives what this process has freed back to the system."""
+    pa.default_memory_pool().release_unused()
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
+        trim(0)
+
+
 def mapped(df: DataFrame, function: Callable, schema: str | T.StructType) -> DataFrame:
     """`df.mapInArrow` in batches of BATCH_BYTES, whatever the session sets; a longer row is a batch of its own.
 
@@ -40,9 +47,7 @@ def mapped(df: DataFrame, function: Callable, schema: str | T.StructType) -> Dat
 
     def run(batches):
         yield from function(batches)
-        pa.default_memory_pool().release_unused()
-        if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
-            trim(0)
+        release_memory()
 
     df.sparkSession.conf.set(_BATCH_SETTING, BATCH_BYTES)
     return df.mapInArrow(run, schema)

@@ -16,7 +16,8 @@ a text does not thin out what it contains.
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterator
+from array import array
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -25,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from kpiloom.llm.common import fresh, mapped
+from kpiloom.llm.common import fresh, mapped, release_memory
 
 WINDOW = 3
 STRIDE = 1
@@ -44,6 +45,8 @@ FOLDS = 5
 #: Words whose sums a task keeps before it starts afresh.
 CACHED_WORDS = 400_000
 LONGEST_WORD = 64
+#: Entries of an index that a sum of the training takes at a time, so that its copies stay small.
+BLOCK = 1 << 16
 
 
 def held_out(doc_id: Column, folds: int = FOLDS) -> Column:
@@ -144,40 +147,59 @@ class Model:
         return out
 
 
+def _summed(index: np.ndarray, weights: Callable[[slice], np.ndarray], size: int) -> np.ndarray:
+    """`np.bincount` in the same order of additions, but block by block, as it copies index and weights."""
+    out = np.zeros(size)
+    for at in range(0, len(index), BLOCK):
+        part = slice(at, at + BLOCK)
+        np.add.at(out, index[part].astype(np.intp), weights(part))
+    return out
+
+
 class _Bags:
-    """Windows as averages over n-grams, by way of their distinct words."""
+    """Windows as averages over n-grams, by way of their distinct words. Words and n-grams are kept in packed arrays only."""
 
-    def __init__(self, windows: list[str], doc: np.ndarray):
+    def __init__(self, documents: Iterable[list[str]]):
         place: dict[str, int] = {}
-        ids = [[place.setdefault(w, len(place)) for w in window.split(" ") if w] for window in windows]
-        ids = [x or [place.setdefault("", len(place))] for x in ids]
-        per_word = [grams(w) for w in place]
-        self.word_sizes = np.array([len(g) for g in per_word])
-        self.grams = np.fromiter((g for word in per_word for g in word), dtype=np.int32)
-        self.word_of_gram = np.repeat(np.arange(len(per_word), dtype=np.int32), self.word_sizes)
-        sizes = np.array([len(x) for x in ids])
-        self.words = np.fromiter((w for x in ids for w in x), dtype=np.int32)
-        self.window_of_word = np.repeat(np.arange(len(ids), dtype=np.int32), sizes)
+        words, sizes, word_docs = array("i"), array("i"), array("i")
+        for listed in documents:
+            first = len(words)
+            for window in listed:
+                before = len(words)
+                words.extend(place.setdefault(w, len(place)) for w in window.split(" ") if w)
+                if len(words) == before:
+                    words.append(place.setdefault("", len(place)))
+                sizes.append(len(words) - before)
+            word_docs.extend([0] * (len(place) - len(word_docs)))
+            for w in set(words[first:]):
+                word_docs[w] += 1
+        found, word_sizes = array("i"), array("i")
+        for word in place:
+            before = len(found)
+            found.extend(grams(word))
+            word_sizes.append(len(found) - before)
+        self.word_sizes, self.grams, self.words = (np.frombuffer(x, dtype=np.int32) for x in (word_sizes, found, words))
+        self.word_of_gram = np.repeat(np.arange(len(word_sizes), dtype=np.int32), self.word_sizes)
+        self.window_of_word = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)
         # A bucket that few documents hold says more about them than about the label; its embedding shrinks faster.
-        pairs = np.unique(self.words.astype(np.int64) + len(per_word) * doc[self.window_of_word])
-        word_docs = np.bincount(pairs % len(per_word), minlength=len(per_word))
-        self.docs = np.bincount(self.grams, word_docs[self.word_of_gram], BUCKETS)
-        self.totals = np.bincount(self.window_of_word, self.word_sizes[self.words], len(ids))
+        held_by = np.frombuffer(word_docs, dtype=np.int32)
+        self.docs = _summed(self.grams, lambda part: held_by[self.word_of_gram[part]], BUCKETS)
+        self.totals = _summed(self.window_of_word, lambda part: self.word_sizes[self.words[part]], len(sizes))
 
     def average(self, table: np.ndarray) -> np.ndarray:
         out = np.empty((len(self.totals), table.shape[1]))
-        for d in range(table.shape[1]):
-            per_word = np.bincount(self.word_of_gram, table[self.grams, d], len(self.word_sizes))
-            out[:, d] = np.bincount(self.window_of_word, per_word[self.words], len(self.totals)) / self.totals
+        for d, column in enumerate(table.T):
+            per_word = _summed(self.word_of_gram, lambda part: column[self.grams[part]], len(self.word_sizes))
+            out[:, d] = _summed(self.window_of_word, lambda part: per_word[self.words[part]], len(out)) / self.totals
         return out
 
     def spread(self, grad: np.ndarray) -> np.ndarray:
         """Gradient of the embeddings, from that of the averages."""
         out = np.empty((BUCKETS, grad.shape[1]))
-        for d in range(grad.shape[1]):
-            share = (grad[:, d] / self.totals)[self.window_of_word]
-            per_word = np.bincount(self.words, share, len(self.word_sizes))
-            out[:, d] = np.bincount(self.grams, per_word[self.word_of_gram], BUCKETS)
+        for d, column in enumerate(grad.T):
+            share = column / self.totals
+            per_word = _summed(self.words, lambda part: share[self.window_of_word[part]], len(self.word_sizes))
+            out[:, d] = _summed(self.grams, lambda part: per_word[self.word_of_gram[part]], BUCKETS)
         return out
 
 
@@ -205,13 +227,15 @@ def train(
     sizes = np.array([len(listed) for _, _, listed in sample])
     starts = np.concatenate([[0], sizes.cumsum()[:-1]])
     doc = np.repeat(np.arange(len(sample)), sizes)
-    bags = _Bags([w for _, _, listed in sample for w in listed], doc)
+    bags = _Bags(listed for _, _, listed in sample)
+    del sample  # the windows; only the bags are needed from here on
     class_weight = 0.5 / np.bincount(label)[label]
     rng = np.random.default_rng(seed)
     # No cut by count: what a bucket may weigh falls smoothly with its documents, at any size of the sample.
     shrink = np.minimum(decay * (1 + RARE / np.maximum(bags.docs, 1)), 0.9)[:, None]
     seen = bags.docs[:, None] > 0
-    params = [rng.normal(0, 0.1, (BUCKETS, DIMENSIONS)) * seen, rng.normal(0, 0.5, (DIMENSIONS, 2)), np.zeros(2)]
+    params = [rng.normal(0, 0.1, (BUCKETS, DIMENSIONS)), rng.normal(0, 0.5, (DIMENSIONS, 2)), np.zeros(2)]
+    params[0] *= seen
     means, squares = [np.zeros_like(p) for p in params], [np.zeros_like(p) for p in params]
     for step in range(1, steps + 1):
         sharp = SHARPNESS[0] * (SHARPNESS[1] / SHARPNESS[0]) ** (step / steps)
@@ -226,10 +250,17 @@ def train(
         d_odds = slope[doc] * part / total[doc]
         dz = np.stack([-d_odds, d_odds], axis=1)
         for i, g in enumerate([bags.spread(dz @ params[1].T), h.T @ dz, dz.sum(axis=0)]):
-            means[i] = 0.9 * means[i] + 0.1 * g
-            squares[i] = 0.99 * squares[i] + 0.01 * g * g
-            move = means[i] / (1 - 0.9**step) / (np.sqrt(squares[i] / (1 - 0.99**step)) + 1e-8)
-            params[i] = params[i] * (1 - shrink if i == 0 else 1) - rate * move
+            means[i] *= 0.9
+            means[i] += 0.1 * g
+            squares[i] *= 0.99
+            squares[i] += 0.01 * g * g
+            size = np.sqrt(squares[i] / (1 - 0.99**step))
+            size += 1e-8
+            move = means[i] / (1 - 0.9**step)
+            move /= size
+            move *= rate
+            params[i] *= 1 - shrink if i == 0 else 1
+            params[i] -= move
     odds_of = (params[0] @ (params[1][:, 1] - params[1][:, 0])).astype(np.float32)
     model = Model(odds_of, float(params[2][1] - params[2][0]))
     return calibrated(model, held, share)
@@ -279,7 +310,9 @@ def learn(docs: DataFrame, labels: DataFrame) -> Model:
     """Model of the labelled rows that are not held out; see `training_sample` for its bounds."""
     known = known_labels(labels)
     share = known.agg(F.avg("toxic")).first()[0]
-    return train(training_sample(docs, known), share or 0.5)
+    model = train(training_sample(docs, known), share or 0.5)
+    release_memory()
+    return model
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, threshold: float = 0.5) -> DataFrame:

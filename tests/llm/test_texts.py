@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import tracemalloc
 from collections import defaultdict
 
 import numpy as np
@@ -354,6 +355,28 @@ def test_toxicity_of_few_labels():
     assert bad > good + 1 and misspelt > good
 
 
+def test_training_keeps_words_and_grams_packed():
+    """57,600 distinct words of some 40 n-grams each: lists of them took 180 MB, arrays and the model's tables 85."""
+    sides = ["toxic", "clean"]
+    sample = [
+        (i, i % 2, [" ".join(f"{sides[i % 2]}word{i}x{j}y{k}" for k in range(3)) for j in range(160)]) for i in range(120)
+    ]
+    tracemalloc.start()
+    try:
+        toxicity.train(sample, 0.5, steps=2)
+        assert tracemalloc.get_traced_memory()[1] < 120e6
+    finally:
+        tracemalloc.stop()
+
+
+def test_sums_go_block_by_block(monkeypatch):
+    monkeypatch.setattr(toxicity, "BLOCK", 7)
+    rng = np.random.default_rng(3)
+    index, weights = rng.integers(0, 9, 100).astype(np.int32), rng.normal(size=100)
+    found = toxicity._summed(index, lambda part: weights[part], 12)
+    assert found.tolist() == np.bincount(index, weights, 12).tolist()
+
+
 def test_training_sample_is_one_row_per_document(spark, monkeypatch):
     monkeypatch.setattr(toxicity, "SAMPLE_DOCS", {0: 3, 1: 2})
     rows = [(1, "same text here")] * 40 + [(1, f"other text {i}") for i in range(40)] + [(i, f"text {i}") for i in range(2, 9)]
