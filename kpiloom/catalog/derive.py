@@ -15,6 +15,7 @@ texts are made of them where the rows have met.
 
 from __future__ import annotations
 
+import math
 import re
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -25,6 +26,9 @@ from kpiloom.catalog.registry import table
 from kpiloom.sources.readers import SOURCE_FILE
 
 ORDERS_PER_PAGE = 200
+#: Rows of the tables that a task groups to pages. Their texts are many times as wide, and adaptive
+#: execution would size the tasks by the narrow rows that are shuffled.
+ROWS_PER_TASK = 200_000
 
 
 def _text(e: str) -> Column:
@@ -385,6 +389,9 @@ def _paged_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines and a page its orders without a join.
     """
     orders, items = table(spark, sf_dir, "orders"), _line_columns(spark, sf_dir).filter("l_orderkey IS NOT NULL")
+    # Both counts come from the files' footers.
+    rows = orders.count() + table(spark, sf_dir, "lineitem").count()
+    tasks = max(spark.sparkContext.defaultParallelism, math.ceil(rows / ROWS_PER_TASK))
 
     def page(key: str) -> Column:
         return F.expr(f"1 + {key} div {ORDERS_PER_PAGE}").alias("page")
@@ -392,7 +399,7 @@ def _paged_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     heads = orders.select(page("o_orderkey"), F.col("o_orderkey").alias("l_orderkey"), F.struct(*orders.columns).alias("o"))
     both = items.select(page("l_orderkey"), F.lit(True).alias("is_line"), "*").unionByName(heads, allowMissingColumns=True)
     minima = [F.expr(e).alias(name) for name, e in _LINE_MINIMA.items()]
-    each = both.repartition("page").groupBy("page", "l_orderkey", "is_line", "l_linenumber")
+    each = both.repartition(tasks, "page").groupBy("page", "l_orderkey", "is_line", "l_linenumber")
     each = each.agg(*minima, F.collect_list("o").alias("heads"))
     line = F.when(F.col("is_line"), F.struct("l_linenumber", *_LINE_MINIMA))
     per_order = each.groupBy("page", "l_orderkey").agg(

@@ -91,3 +91,13 @@ def test_ids_are_not_sorted_where_they_are_read(spark):
     text = plan(QUERIES["record_id"](spark, SF_DIR))
     below = text[text.index("partial_first") :].split("\n")
     assert any("Exchange hashpartitioning(record_id" in line for line in below[1:3])
+
+
+@needs_tables
+@pytest.mark.parametrize("per_task, tasks", [(200_000, 4), (1000, 8), (500, 15)])
+def test_tasks_that_build_pages_grow_with_the_rows(spark, monkeypatch, per_task, tasks):
+    """Sized by the narrow rows of the shuffle, a task spilled the wide pages that it makes of them."""
+    monkeypatch.setattr(derive, "ROWS_PER_TASK", per_task)
+    pages = derive.sales_envelopes(spark, SF_DIR)
+    assert re.findall(r"hashpartitioning\(page#\d+L, (\d+)\), (\w+)", plan(pages)) == [(str(tasks), "REPARTITION_BY_NUM")]
+    assert pages.agg(F.sum("total")).first()[0] == spark.read.parquet(f"{SF_DIR}/orders.parquet").count()
