@@ -191,25 +191,26 @@ class _Chunk:
         self.bytes += size
 
     def rows(self) -> Iterator[dict]:
+        # The dictionary is given up for a list; counts and buckets are taken document by document and bucket by bucket.
+        words, self.codes = list(self.codes), {}
         # Frequent words get small codes, which compress well.
-        every = np.concatenate([np.zeros(0, np.uint32), *(found for _, found in self.docs)])
-        used = np.bincount(every, minlength=len(self.codes))
+        used = np.zeros(len(words), dtype=np.int64)
+        for _, found in self.docs:
+            np.add.at(used, found.astype(np.intp), 1)
         order = np.argsort(-used, kind="stable")
         rank = np.empty(len(order), dtype=np.uint32)
         rank[order] = np.arange(len(order), dtype=np.uint32)
-        buckets: dict[int, list[tuple[int, str]]] = {}
-        for word, code in self.codes.items():
-            buckets.setdefault(zlib.crc32(word.encode()) % BUCKETS, []).append((int(rank[code]), word))
-        for bucket, listed in sorted(buckets.items()):
-            listed.sort()
-            codes = np.array([c for c, _ in listed])
+        bucket_of = np.fromiter((zlib.crc32(word.encode()) % BUCKETS for word in words), np.int32, len(words))[order]
+        for bucket in np.unique(bucket_of).tolist():
+            codes = np.flatnonzero(bucket_of == bucket)
             yield {
                 "kind": WORDS_OF_CHUNK,
                 "chunk": self.number,
                 "seq": bucket,
                 "codes": _pack(np.diff(codes, prepend=0)),
-                "words": _pack_words([w for _, w in listed]),
+                "words": _pack_words([words[code] for code in order[codes]]),
             }
+        del words
         for seq, first in enumerate(range(0, len(self.docs), GROUP)):
             part = self.docs[first : first + GROUP]
             yield {

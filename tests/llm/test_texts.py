@@ -4,6 +4,7 @@ import hashlib
 import random
 import tracemalloc
 from collections import defaultdict
+from itertools import islice
 
 import numpy as np
 import public_tokenizers
@@ -316,6 +317,21 @@ def test_other_kinds_are_refused():
         bpe.read_tokenizer(public_tokenizers.path("word_bpe_49k.json"))
 
 
+def test_a_closed_chunk_is_not_copied():
+    """Counts and buckets of 1,000,000 words, 100,000 of them distinct, took 15 MB on top of the chunk, now 5."""
+    chunk, words = bpe._Chunk(0), [f" w{i}" for i in range(100_000)]
+    rng = np.random.default_rng(1)
+    for i in range(200):
+        chunk.add(i, [words[k] for k in rng.integers(0, len(words), 5000)], 1)
+    distinct = len(chunk.codes)
+    tracemalloc.start()
+    try:
+        listed = sum(len(bpe._unpack_words(row["words"])) for row in islice(chunk.rows(), bpe.BUCKETS))
+        assert listed == distinct and tracemalloc.get_traced_memory()[1] < 9e6
+    finally:
+        tracemalloc.stop()
+
+
 # --- toxicity ---
 
 
