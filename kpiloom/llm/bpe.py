@@ -8,12 +8,12 @@ chunks is encoded once. The ids go back to the chunks, are joined to the positio
 are those of its words in turn.
 
 Decoding joins ids to pieces: the table of the vocabulary, whose size is checked, is
-broadcast, the ids of a chunk's words meet it where they are joined back, each word's
-pieces are put together once, and a document's text is that of its positions. `decode`
-does the same for any ids, a row per position.
+broadcast, and the ids of a document meet it where its words are joined back: its text is
+the pieces of its ids in turn. `decode` does the same for any ids, a row per position.
 
 What travels between the steps is packed: positions and ids as compressed planes of
-bytes, words as compressed lists.
+bytes, words as compressed lists. What a task holds of a chunk's words and of the
+vocabulary to join them back are flat arrays, no object per word.
 """
 
 from __future__ import annotations
@@ -22,6 +22,7 @@ import hashlib
 import json
 import unicodedata
 import zlib
+from array import array
 from collections.abc import Iterator
 from functools import cache
 from pathlib import Path
@@ -35,7 +36,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from kpiloom.llm.common import checkpointed, mapped
+from kpiloom.llm.common import BATCH_BYTES, checkpointed, mapped, release_memory
 
 #: Characters of text that make a chunk; its dictionary and positions are held by a task.
 CHUNK_BYTES = 36 << 20
@@ -46,6 +47,10 @@ GROUP = 1024
 BUCKETS = 64
 STRETCH = 128
 HELD_WORDS = 500_000
+#: Words that the tokenizer is given at a time; its results are objects of some KB each.
+ENCODED_WORDS = 1024
+#: Stretches that are strung together at a time; each byte takes an index of 8.
+STRUNG = 1 << 16
 #: Entries of a vocabulary up to which its table is broadcast.
 MAX_VOCABULARY = 1_000_000
 
@@ -75,7 +80,9 @@ def _loaded(definition: str) -> tuple[Tokenizer, regex.Pattern | None]:
     tokenizer = Tokenizer.from_str(definition)
     tokenizer.no_truncation()
     tokenizer.no_padding()
-    added = sorted((t["content"] for t in json.loads(definition)["added_tokens"]), key=len, reverse=True)
+    added = sorted((t.content for t in tokenizer.get_added_tokens_decoder().values()), key=len, reverse=True)
+    # What building it took is more than the tokenizer.
+    release_memory()
     return tokenizer, regex.compile("|".join(map(regex.escape, added))) if added else None
 
 
@@ -116,6 +123,38 @@ def piece_table(definition: str) -> dict[int, bytes]:
     return rows
 
 
+class _Strings:
+    """Byte strings by number, end to end in one array."""
+
+    def __init__(self, strings: dict[int, bytes]):
+        listed = [strings.get(i, b"") for i in range(max(strings, default=-1) + 1)]
+        self.flat = np.frombuffer(b"".join(listed), np.uint8)
+        self.sizes = np.array([len(x) for x in listed], np.uint32)
+        self.starts = self.sizes.cumsum(dtype=np.int64) - self.sizes
+
+    def of(self, numbers: np.ndarray) -> np.ndarray:
+        return _strung(self.flat, self.starts, self.sizes, numbers)
+
+
+def _strung(flat: np.ndarray, starts: np.ndarray, sizes: np.ndarray, picks: np.ndarray) -> np.ndarray:
+    """The picked stretches of `flat`, end to end."""
+    parts = [flat[:0]]
+    for at in range(0, len(picks), STRUNG):
+        own = picks[at : at + STRUNG]
+        long = sizes[own].astype(np.int64)
+        ends = long.cumsum()
+        parts.append(flat[np.repeat(starts[own] - ends + long, long) + np.arange(ends[-1])])
+    return parts[-1] if len(parts) < 3 else np.concatenate(parts)
+
+
+def piece_strings(definition: str) -> tuple[_Strings, _Strings]:
+    """The bytes of every id of the vocabulary, and its decimal behind a comma."""
+    rows = piece_table(definition)
+    if max(rows, default=0) > MAX_VOCABULARY:
+        raise ValueError(f"a vocabulary with id {max(rows)}")
+    return _Strings(rows), _Strings({i: f",{i}".encode() for i in rows})
+
+
 def vocabulary(spark: SparkSession, definition: str) -> DataFrame:
     """(id, piece): the bytes of every id."""
     rows = sorted(piece_table(definition).items())
@@ -146,11 +185,13 @@ def _unpack_codes(blob: bytes) -> np.ndarray:
     ends = 16 + np.frombuffer(blob, "<u4", 4).cumsum()
     parts = [blob[start:end] for start, end in zip([16, *ends[:-1]], ends, strict=True)]
     upper, frequent, others = (np.frombuffer(zstandard.decompress(part), np.uint8) for part in parts[:3])
-    high = upper.astype(np.uint32)
-    low = np.empty(len(high), np.uint32)
+    codes = upper.astype(np.uint32)
+    codes[upper == 255] = _unpack(parts[3])
+    codes <<= 8
+    low = np.empty(len(codes), np.uint8)
     low[upper == 0], low[upper > 0] = frequent, others
-    high[upper == 255] = _unpack(parts[3])
-    return (high << 8) | low
+    codes |= low
+    return codes
 
 
 def _pack_words(words: list[str]) -> bytes:
@@ -246,6 +287,8 @@ def _split(definition):
                     yield from closed()
                     seq += 1
                     chunk = _Chunk(base + seq)
+            # What splitting took lies between the positions, which stay.
+            release_memory()
         if chunk.docs:
             yield from closed()
 
@@ -260,7 +303,7 @@ def _encode(definition):
 
     def run(batches):
         tokenizer, _ = _loaded(definition.value)
-        bucket, known = None, {}
+        bucket, known = None, {}  # ids as packed integers of 32 bits
         for batch in batches:
             rows = []
             for row in batch.to_pylist():
@@ -268,17 +311,18 @@ def _encode(definition):
                     bucket, known = row["seq"], {}
                 words = _unpack_words(row["words"])
                 new = [w for w in words if w not in known]
-                for word, found in zip(new, tokenizer.encode_batch(new, add_special_tokens=False), strict=True):
-                    known[word] = found.ids
+                for at in range(0, len(new), ENCODED_WORDS):
+                    part = new[at : at + ENCODED_WORDS]
+                    for word, found in zip(part, tokenizer.encode_batch(part, add_special_tokens=False), strict=True):
+                        known[word] = array("I", found.ids).tobytes()
                 ids = [known[w] for w in words]
-                flat = np.array([i for x in ids for i in x], dtype=np.uint32)
                 rows.append(
                     {
                         "chunk": row["chunk"],
                         "seq": row["seq"],
                         "codes": row["codes"],
-                        "sizes": _pack(np.array([len(x) for x in ids])),
-                        "ids": _pack(flat),
+                        "sizes": _pack(np.array([len(x) // 4 for x in ids])),
+                        "ids": _pack(np.frombuffer(b"".join(ids), np.uint32)),
                     }
                 )
             yield pa.RecordBatch.from_pylist(rows, schema=_IDS_TYPES)
@@ -298,31 +342,20 @@ _IDS_TYPES = pa.schema(
 
 
 class _Dictionary:
-    """Ids, their decimals, and the decoded bytes of a chunk's words, by code."""
+    """Ids of a chunk's words, by code."""
 
     def __init__(self):
         self.parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        self.ids, self.sizes, self.starts = (np.zeros(0, kind) for kind in (np.uint32, np.uint32, np.int64))
 
-    def ready(self, pieces: dict[int, bytes]) -> None:
-        codes = np.concatenate([c for c, _, _ in self.parts])
-        sizes = np.concatenate([s for _, s, _ in self.parts]).astype(np.int64)
-        flat = np.concatenate([i for _, _, i in self.parts])
-        starts = sizes.cumsum() - sizes
-        self.ids, self.sizes, self.starts = flat, np.zeros(len(codes), np.int64), np.zeros(len(codes), np.int64)
-        self.sizes[codes], self.starts[codes] = sizes, starts
-        self.decimals, self.bytes = [""] * len(codes), [b""] * len(codes)
-        listed, at = flat.tolist(), 0
-        for code, size in zip(codes.tolist(), sizes.tolist(), strict=True):
-            own = listed[at : at + size]
-            self.decimals[code] = ",".join(map(str, own))
-            self.bytes[code] = b"".join([pieces[i] for i in own])
-            at += size
+    def ready(self) -> None:
+        codes, sizes, self.ids = (np.concatenate(column) for column in zip(*self.parts, strict=True))
         self.parts = []
+        self.sizes, self.starts = np.zeros(len(codes), np.uint32), np.zeros(len(codes), np.int64)
+        self.sizes[codes], self.starts[codes] = sizes, sizes.cumsum(dtype=np.int64) - sizes
 
     def ids_of(self, codes: np.ndarray) -> np.ndarray:
-        sizes = self.sizes[codes]
-        before = sizes.cumsum() - sizes
-        return self.ids[np.repeat(self.starts[codes] - before, sizes) + np.arange(sizes.sum())]
+        return _strung(self.ids, self.starts, self.sizes, codes)
 
 
 def _join_back(pieces, full: bool):
@@ -343,35 +376,44 @@ def _join_back(pieces, full: bool):
                     if open_:
                         open_ = False
                         if held.parts:
-                            held.ready(pieces.value)
-                    yield _documents(held, value, full)
+                            held.ready()
+                    yield from _documents(held, value, pieces.value, full)
 
     return run
 
 
-def _documents(held: _Dictionary, row: dict, full: bool) -> pa.RecordBatch:
+def _documents(held: _Dictionary, row: dict, pieces: tuple[_Strings, _Strings], full: bool) -> Iterator[pa.RecordBatch]:
+    """The documents of a row; ids and texts in batches of BATCH_BYTES, a longer document in one of its own."""
+    texts, decimals = pieces
     sizes, codes = _unpack(row["sizes"]).astype(np.int64), _unpack_codes(row["codes"])
     ends = sizes.cumsum()
-    n_tokens, shas, decoded_shas, ids, texts = [], [], [], [], []
-    for start, end in zip((ends - sizes).tolist(), ends.tolist(), strict=True):
-        own = codes[start:end].tolist()
-        decoded = b"".join([held.bytes[c] for c in own]).decode("utf-8", "replace")
-        decimals = ",".join([held.decimals[c] for c in own])
-        n_tokens.append(int(held.sizes[codes[start:end]].sum()) if own else 0)
-        shas.append(hashlib.sha256(decimals.encode()).hexdigest())
-        decoded_shas.append(hashlib.sha256(decoded.encode()).hexdigest())
-        if full:
-            ids.append(held.ids_of(codes[start:end]).astype(np.int32) if own else np.zeros(0, np.int32))
-            texts.append(decoded)
+    found, ready = [], 0
+    for doc_id, start, end in zip(row["doc_ids"], (ends - sizes).tolist(), ends.tolist(), strict=True):
+        ids = held.ids_of(codes[start:end])
+        sha = hashlib.sha256(decimals.of(ids)[1:]).hexdigest()
+        decoded = texts.of(ids).tobytes().decode("utf-8", "replace")
+        found.append((doc_id, len(ids), sha, hashlib.sha256(decoded.encode()).hexdigest(), *((ids, decoded) if full else ())))
+        ready += ids.nbytes + len(decoded) if full else 0
+        if ready >= BATCH_BYTES:
+            yield _batch(found)
+            found, ready = [], 0
+    if found:
+        yield _batch(found)
+
+
+def _batch(found: list[tuple]) -> pa.RecordBatch:
+    doc_ids, n_tokens, shas, decoded_shas, *more = zip(*found, strict=True)
     arrays = [
-        pa.array(row["doc_ids"], pa.int64()),
+        pa.array(doc_ids, pa.int64()),
         pa.array(n_tokens, pa.int64()),
         pa.array(shas, pa.string()),
         pa.array(decoded_shas, pa.string()),
     ]
     names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
-    if full:
-        arrays += [pa.array(ids, pa.list_(pa.int32())), pa.array(texts, pa.string())]
+    if more:
+        ids, texts = more
+        offsets = np.cumsum([0, *n_tokens]).astype(np.int32)
+        arrays += [pa.ListArray.from_arrays(offsets, np.concatenate(ids).astype(np.int32)), pa.array(texts, pa.string())]
         names += ["ids", "decoded"]
     return pa.RecordBatch.from_arrays(arrays, names=names)
 
@@ -386,7 +428,7 @@ def round_trip(docs: DataFrame, path: str, full: bool = True) -> DataFrame:
     spark = docs.sparkSession
     text = read_tokenizer(path)
     definition = spark.sparkContext.broadcast(text)
-    pieces = spark.sparkContext.broadcast(piece_table(text))
+    pieces = spark.sparkContext.broadcast(piece_strings(text))
     split = checkpointed(docs.select("doc_id", "text").transform(mapped, _split(definition), _SPLIT))
     words = split.filter(F.col("kind") == WORDS_OF_CHUNK).select("chunk", "seq", "codes", "words")
     stretch = F.floor(F.shiftright("chunk", 32) / STRETCH)
