@@ -69,13 +69,15 @@ def parse_lines(feed: DataFrame, text_column: str = "value", decode_first: bool
 def parse_records(feed: DataFrame, text_column: str = "value", decode_first: bool = False) -> DataFrame:
     """Orders and items in one pass: a row per item with the order's columns, the item as `line`.
 
-    `place` counts an order's rows from 0; an order without items has one row, without a line.
+    `place` counts an order's rows from 0; an order without items has one row, which is no `is_item`
+    and whose line is empty. The line is made without a condition: in a branch no field that several
+    columns share is looked up once only, and the generated code gets too long to be compiled.
     """
     records = _fields_and_header(feed, text_column, decode_first, True)
     header = [c for c in records.columns if c not in ("names", "values", "sequences")]
     items = entries.explode_items(records, header, outer=True)
-    line = F.when(F.col("sequence").isNotNull(), F.struct(*_item_columns(decode_first)))
-    return items.select(*header, "place", line.alias("line"))
+    line = F.struct(*_item_columns(decode_first)).alias("line")
+    return items.select(*header, "place", F.col("sequence").isNotNull().alias("is_item"), line)
 
 
 def build_header(orders: DataFrame) -> DataFrame:
@@ -136,8 +138,8 @@ def landed_feed(feed: DataFrame, folder: str) -> tuple[DataFrame, DataFrame, dic
     fact reads its columns only.
     """
     records, seen = land_observed(parse_records(feed), folder, rows=F.count(F.lit(1)), day=earliest_date("Order_Date"))
-    orders = records.filter("place = 0").drop("place", "line")
-    lines = records.filter(F.col("line").isNotNull()).select(*_CARRIED, "line.*")
+    orders = records.filter("place = 0").drop("place", "is_item", "line")
+    lines = records.filter("is_item").select(*_CARRIED, "line.*")
     return orders, lines, seen
 
 
