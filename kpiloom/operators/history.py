@@ -21,7 +21,7 @@ from pyspark.sql import types as T
 from kpiloom.functions.dates import in_window, ingestion_ts
 from kpiloom.operators import ledger
 from kpiloom.operators.key_filter import MONTH
-from kpiloom.session import file_system, folder_exists, remove_folder
+from kpiloom.session import file_system, folder_exists, land_observed, remove_folder, work_folder
 
 STAMP = "ingestion_timestamp"
 PARTITION = "ingestion_date"
@@ -162,42 +162,69 @@ def one_per_key(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return best.select(*[F.col(c) if c in keys else F.col(f"__best.{c}").alias(c) for c in df.columns])
 
 
+def _version() -> Column:
+    """Load and stamp of a row as one number, the later the greater.
+
+    Of a number, unlike of a struct, Spark takes the greatest by hash, without a sort of all keys.
+    """
+    load, micros = F.col(LOAD).cast("decimal(19,0)"), F.unix_micros(STAMP).cast("decimal(19,0)")
+    return load * F.lit(10**18).cast("decimal(19,0)") + micros
+
+
 def _replaced(history: DataFrame, keys: Sequence[str], newest: DataFrame) -> DataFrame:
     """The rows without those of a key that `newest` (`keys`, __last) has a later version of."""
     # The hash adds nothing to the match, but keeps the join from reusing the shuffle
     # of the aggregate: AQE splits a hot key's partition only where both sides of the
     # join come straight from a shuffle of the join itself.
     digest = F.xxhash64(*keys).alias("__hash")
-    old, new = history.select("*", digest).alias("old"), newest.select("*", digest).alias("new")
+    old, new = history.select("*", digest, _version().alias("__version")).alias("old"), newest.select("*", digest).alias("new")
     match = [F.col(f"old.{key}").eqNullSafe(F.col(f"new.{key}")) for key in [*keys, "__hash"]]
-    older = F.struct(f"old.{LOAD}", f"old.{STAMP}") < F.col("new.__last")
-    return old.join(new, [*match, older], "left_anti").drop("__hash")
+    older = F.col("old.__version") < F.col("new.__last")
+    return old.join(new, [*match, older], "left_anti").drop("__hash", "__version")
 
 
-def current(history: DataFrame, keys: Sequence[str], set_keys: Sequence[str] | None = None) -> DataFrame:
+def current(
+    history: DataFrame, keys: Sequence[str], set_keys: Sequence[str] | None = None, folder: str | None = None
+) -> DataFrame:
     """Rows that no later load has replaced.
 
     A later load replaces the rows of its keys; where it says that it has all rows of an
     order (`COMPLETE`), it replaces all of the order, by `set_keys`. Only keys with more
     than one load enter the join; in a table that was never updated there are none.
+
+    With a new `folder`, which the caller removes, these keys are landed in it first: whole
+    rows are then shuffled only if the keys are many, and meet no join if there are none.
     """
-    version = F.struct(LOAD, STAMP)
+
+    def without(rows: DataFrame, by: Sequence[str], newest: DataFrame, name: str) -> DataFrame:
+        if folder:
+            newest, seen = land_observed(newest, f"{folder}/{name}", rows=F.count(F.lit(1)))
+            if not seen["rows"]:
+                return rows
+        return _replaced(rows, by, newest)
+
+    version = _version()
     loads = history.groupBy(*keys).agg(F.max(version).alias("__last"), F.min(version).alias("__first"))
-    rows = _replaced(history, keys, loads.filter(F.col("__first") < F.col("__last")).drop("__first"))
+    rows = without(history, keys, loads.filter(F.col("__first") < F.col("__last")).drop("__first"), "keys")
     if not set_keys or COMPLETE not in history.columns:
         return rows
     whole = history.filter(COMPLETE).groupBy(*set_keys).agg(F.max(version).alias("__last"))
-    return _replaced(rows, set_keys, whole)
+    return without(rows, set_keys, whole, "sets")
 
 
 def window_slice(
-    history: DataFrame, keys: Sequence[str], start: date, end: date, set_keys: Sequence[str] | None = None
+    history: DataFrame,
+    keys: Sequence[str],
+    start: date,
+    end: date,
+    set_keys: Sequence[str] | None = None,
+    folder: str | None = None,
 ) -> DataFrame:
-    """Current rows ingested from `start` to `end`, both days included.
+    """Current rows ingested from `start` to `end`, both days included; `folder` as in `current`.
 
     Partitions before `start` are not read: a row is only ever replaced later.
     """
-    since = current(history.filter(F.col(PARTITION) >= F.lit(start)), keys, set_keys)
+    since = current(history.filter(F.col(PARTITION) >= F.lit(start)), keys, set_keys, folder)
     day = since.filter(F.col(PARTITION) <= F.lit(end))
     lo, hi = F.lit(start).cast("timestamp"), F.date_add(F.lit(end), 1).cast("timestamp")
     return day.filter(in_window(F.col(STAMP), lo, hi))
@@ -213,6 +240,13 @@ def snapshot(history: DataFrame, keys: Sequence[str], target: str, fmt: str = "p
 AS_OF = "as_of"
 
 
+def _written_loads(spark: SparkSession, root: str, fact: str) -> set[int]:
+    """Numbers of the loads that have rows in the history table, by its folders."""
+    fs, path = file_system(spark, root)
+    found = fs.globStatus(path(f"{table_path(root, fact, 'history')}/{MONTH}=*/{PARTITION}=*/{LOAD}=*")) or []
+    return {int(str(s.getPath().getName()).split("=")[1]) for s in found}
+
+
 def _snapshot_path(root: str, fact: str) -> str:
     return f"{root.rstrip('/')}/_current/{fact}"
 
@@ -245,11 +279,16 @@ def compact(spark: SparkSession, root: str, fact: str, schema: T.StructType, key
     new = rows.filter((F.col(LOAD) > since) & (F.col(LOAD) <= upto))
     touched = [r[0] for r in new.select(MONTH).distinct().collect()]
     target = _snapshot_path(root, fact)
-    kept = current(read_done(spark, root, fact, "history", schema, fmt, touched).filter(F.col(LOAD) <= upto), keys, set_keys).withColumn(AS_OF, F.lit(upto).cast("long"))
-    dealt = kept.hint("rebalance", MONTH)
-    # What a failed compaction has left under this number is replaced.
-    writer = dealt.write.format(fmt).mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    writer.partitionBy(MONTH, AS_OF).save(target)
+    folder = work_folder(spark, f"compact-{fact}")
+    try:
+        versions = read_done(spark, root, fact, "history", schema, fmt, touched).filter(F.col(LOAD) <= upto)
+        kept = current(versions, keys, set_keys, folder).withColumn(AS_OF, F.lit(upto).cast("long"))
+        dealt = kept.hint("rebalance", MONTH)
+        # What a failed compaction has left under this number is replaced.
+        writer = dealt.write.format(fmt).mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        writer.partitionBy(MONTH, AS_OF).save(target)
+    finally:
+        remove_folder(spark, folder)
     fs, path = file_system(spark, root)
     now = months | {month or "": upto for month in touched}
     with_text = fs.create(path(f"{target}/_pointers/{upto:012d}"), True)
@@ -272,15 +311,16 @@ def read_current(spark: SparkSession, root: str, fact: str, schema: T.StructType
     if not pointers:
         return current(rows, keys, set_keys)
     upto, months = pointers[-1]
-    later = current(rows.filter(F.col(LOAD) > upto), keys, set_keys)
     wanted = F.lit(False)
     for month, as_of in months.items():
         wanted |= F.col(MONTH).eqNullSafe(F.lit(month or None)) & (F.col(AS_OF) == as_of)
     whole = T.StructType([*schema.fields, T.StructField(AS_OF, T.LongType())])
     base = read_table(spark, _snapshot_path(root, fact), whole, fmt).filter(wanted).drop(AS_OF)
     new = rows.filter(F.col(LOAD) > upto)
-    version = F.max(F.struct(LOAD, STAMP)).alias("__last")
+    if max(_written_loads(spark, root, fact) - set(ledger.unfinished(spark, root)), default=0) <= upto:
+        return base
+    version = F.max(_version()).alias("__last")
     base = _replaced(base, keys, new.groupBy(*keys).agg(version))
     if set_keys:
         base = _replaced(base, set_keys, new.filter(COMPLETE).groupBy(*set_keys).agg(version))
-    return base.unionByName(later)
+    return base.unionByName(current(new, keys, set_keys))

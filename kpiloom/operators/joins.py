@@ -79,9 +79,10 @@ def cancel_match(
     give one row per combination.
     """
     head, line = header.alias("head"), lines.alias("line")
+    # Sorts compare the first key most, and of all three the order tells most rows apart.
     match = [
-        F.col("head.eCom_Store_ID") == F.col("line.eCom_Store_ID"),
         F.col("head.Transaction_Nbr") == F.col("line.Transaction_Nbr"),
+        F.col("head.eCom_Store_ID") == F.col("line.eCom_Store_ID"),
         to_int(F.col(f"head.{line_number}")) == F.col("line.Item_Seq_Number"),
     ]
     return head.join(line, match, "left").select("head.*", *[f"line.{c}" for c in line_columns])

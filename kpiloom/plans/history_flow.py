@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 from datetime import date, datetime
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,9 +17,11 @@ from kpiloom.operators.export import publish_window
 from kpiloom.operators.key_filter import MONTH
 from kpiloom.operators.quality import FLAG, assign, check_mandatory
 from kpiloom.plans.render import render
-from kpiloom.session import folder_exists, land_observed, remove_folder, work_folder
+from kpiloom.session import folder_exists, land_observed, remove_folder, side_by_side, work_folder
 
 DATE_KEY = "Order_Date"
+#: The hashes that stand for a key, see `key_filter.key_hashes`.
+_HASHES = ["key_a", "key_b"]
 
 
 @dataclass(frozen=True)
@@ -84,7 +87,7 @@ def _known_keys(
     table = history.read_done(spark, root, fact, "history", table_schema(fact), fmt, wanted)
     if wanted == []:
         return None
-    found = table.select(*hashes).join(asked, ["key_a", "key_b"], "left_semi").distinct()
+    found = table.select(*hashes).join(asked, _HASHES, "left_semi").distinct()
     return _land_counted(found, f"{folder}/known")
 
 
@@ -130,16 +133,20 @@ def load_fact(
         known = _known_keys(batch, filters, root, fact, keys, months, folder, fmt)
         hashed = batch.select("*", *key_filter.key_hashes(keys))
         valid_rows = hashed.filter(F.col(FLAG))
-        new = valid_rows if known is None else valid_rows.join(known, ["key_a", "key_b"], "left_anti")
-        good = new.withColumn("is_known", F.lit(False))
-        if not deduplicate and known is not None:
+        new = valid_rows if known is None else valid_rows.join(known, _HASHES, "left_anti")
+        # Valid and invalid rows go on together, so that the batch is read once.
+        if known is None or deduplicate:
+            out = hashed if known is None else hashed.join(known, _HASHES, "left_anti")
+            out = out.withColumn("is_known", F.lit(False))
+        else:
             match = known.withColumn("met", F.lit(True))
-            good = valid_rows.join(match, ["key_a", "key_b"], "left").withColumn("is_known", F.col("met").isNotNull())
-        good = good.withColumns({history.KIND: F.lit("history"), history.DIGEST: F.lit(None).cast("string")})
-        columns = [*batch.columns, "is_known", history.KIND, history.DIGEST]
-        out = good.select(*columns)
+            out = hashed.join(match, _HASHES, "left").withColumn("is_known", F.col("met").isNotNull())
+            out = out.filter(F.col(FLAG) | ~F.col("is_known"))
         if seen["rows"] > seen["valid"]:
-            out = out.unionByName(_to_quarantine(hashed, known, root, fact, months, f"{folder}/quarantine", fmt).select(*columns))
+            out = _to_quarantine(out, hashed, root, fact, months, f"{folder}/quarantine", fmt)
+        else:
+            out = out.withColumns({history.KIND: F.lit("history"), history.DIGEST: F.lit(None).cast("string")})
+        out = out.select(*batch.columns, "is_known", history.KIND, history.DIGEST)
         # The filter first: bits of rows that never come cost a look, rows without bits would come twice.
         held = {} if filters is None else key_filter.held(filters)
         _add_to_filter(new, {m: n + held.get(m, 0) for m, n in incoming.items()}, root, fact, load.number)
@@ -166,37 +173,42 @@ def load_fact(
 
 
 def _to_quarantine(
-    hashed: DataFrame, known: DataFrame | None, root: str, fact: str, months: list[str | None], folder: str, fmt: str
+    rows: DataFrame, hashed: DataFrame, root: str, fact: str, months: list[str | None], folder: str, fmt: str
 ) -> DataFrame:
-    """The invalid rows that are of no known or valid key, and not in the error table of their months.
+    """The rows with their kind, and with a digest if they are invalid.
 
-    What is left out is found by hashes of keys and rows; whole rows meet it only if there is any.
+    Without the invalid ones that are of a key valid in the batch `hashed`, or in the error table of
+    their months. These are found by hashes of keys and rows; whole rows meet them only if there is any.
     """
     spark = hashed.sparkSession
-    keys, digests = ["key_a", "key_b"], ["digest_a", "digest_b"]
+    is_valid, digests = F.col(FLAG), ["digest_a", "digest_b"]
 
     def with_digest_hashes(rows: DataFrame) -> DataFrame:
         own = [F.xxhash64(F.lit(i), history.DIGEST).alias(name) for i, name in enumerate(digests)]
         return rows.select("*", *own)
 
-    fields = [F.col(f.name) for f in contracts.FACT_TABLES[fact]]
-    digest = F.sha2(F.to_json(F.struct(*fields)), 256)
-    invalid = hashed.filter(~F.col(FLAG))
-    valid = hashed.filter(F.col(FLAG)).select(*keys)
-    both = _land_counted(invalid.select(*keys).join(valid, keys, "left_semi").distinct(), f"{folder}/both")
-    fresh = invalid
-    for left_out in (known, both):
-        if left_out is not None:
-            fresh = fresh.join(left_out, keys, "left_anti")
-    fresh = fresh.withColumn(history.DIGEST, digest)
+    def without(rows: DataFrame, left_out: DataFrame, names: list[str]) -> DataFrame:
+        """The rows without the invalid ones that `left_out` names; the valid ones stay where their hashes put them."""
+        match = [F.col(f"row.{c}") == F.col(f"out.{c}") for c in names]
+        return rows.alias("row").join(left_out.alias("out"), [*match, ~F.col(f"row.{FLAG}")], "left_anti")
+
+    digest = F.sha2(F.to_json(F.struct(*[F.col(f.name) for f in contracts.FACT_TABLES[fact]])), 256)
+    invalid, valid = hashed.filter(~is_valid), hashed.filter(is_valid).select(*_HASHES)
+    both = _land_counted(invalid.select(*_HASHES).join(valid, _HASHES, "left_semi").distinct(), f"{folder}/both")
+    if both is not None:
+        rows = without(rows, both, _HASHES)
+    rows = rows.withColumns(
+        {history.KIND: F.when(is_valid, "history").otherwise("error"), history.DIGEST: F.when(~is_valid, digest)}
+    )
     earlier = history.read_done(spark, root, fact, "error", table_schema(fact), fmt, months).select(history.DIGEST)
     if earlier.inputFiles():
         mine = with_digest_hashes(invalid.withColumn(history.DIGEST, digest)).select(*digests)
         again = mine.join(with_digest_hashes(earlier).select(*digests), digests, "left_semi").distinct()
         again = _land_counted(again, f"{folder}/again")
         if again is not None:
-            fresh = with_digest_hashes(fresh).join(again, digests, "left_anti")
-    return fresh.withColumns({"is_known": F.lit(False), history.KIND: F.lit("error")})
+            spread = {name: F.when(is_valid, key).otherwise(F.col(name)) for name, key in zip(digests, map(F.col, _HASHES), strict=True)}
+            rows = without(with_digest_hashes(rows).withColumns(spread), again, digests)
+    return rows
 
 
 def _add_to_filter(rows: DataFrame, sizes: dict[str | None, int], root: str, fact: str, number: int) -> None:
@@ -225,7 +237,12 @@ def load_history(
         return {}
     spark = next(iter(facts.values())).sparkSession
     with ledger.loading(spark, root, source, batch) as load:
-        return {fact: load_fact(df, root, fact, deduplicate, now, fmt=fmt, load=load, **options) for fact, df in facts.items()}
+        # No fact reads or writes what another has.
+        loads = {
+            fact: partial(load_fact, df, root, fact, deduplicate, now, fmt=fmt, load=load, **options)
+            for fact, df in facts.items()
+        }
+        return side_by_side(spark, loads)
 
 
 def _set_keys(fact: str) -> list[str]:
@@ -265,11 +282,14 @@ def read_history(
 
 
 def compact_history(spark: SparkSession, root: str, facts: list[str] | None = None, fmt: str = "parquet") -> dict[str, list[str]]:
-    """Writes down the current rows of the months that changed, fact by fact."""
-    return {
-        fact: history.compact(spark, root, fact, table_schema(fact), contracts.PRIMARY_KEYS[fact], _set_keys(fact), fmt)
+    """Writes down the current rows of the months that changed, of each fact."""
+    compactions = {
+        fact: partial(
+            history.compact, spark, root, fact, table_schema(fact), contracts.PRIMARY_KEYS[fact], _set_keys(fact), fmt
+        )
         for fact in facts or list(contracts.FACT_TABLES)
     }
+    return side_by_side(spark, compactions)
 
 
 def export_history(
@@ -292,10 +312,15 @@ def export_history(
     """
     yesterday = dates.request_window()[0].date()
     start, end = start or yesterday, end or yesterday
-    written = {}
-    for fact, schema in schemas.items():
+
+    def export(fact: str, schema: T.StructType) -> list[str]:
         table = history.read_done(spark, root, fact, "history", table_schema(fact), fmt)
         own = (keys or {}).get(fact) or contracts.PRIMARY_KEYS[fact]
-        rows = _as(history.window_slice(table, own, start, end, _set_keys(fact)), schema)
-        written[fact] = publish_window(render(rows, feed, fact), outbound, fact, region, prefix, start, end)
-    return written
+        folder = work_folder(spark, f"window-{fact}")
+        try:
+            rows = _as(history.window_slice(table, own, start, end, _set_keys(fact), folder), schema)
+            return publish_window(render(rows, feed, fact), outbound, fact, region, prefix, start, end)
+        finally:
+            remove_folder(spark, folder)
+
+    return side_by_side(spark, {fact: partial(export, fact, schema) for fact, schema in schemas.items()})

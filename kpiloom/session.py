@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 RECOMMENDED_CONF = {
@@ -39,6 +41,23 @@ def work_folder(spark: SparkSession, purpose: str) -> str:
     return f"{shared_folder(spark)}/{purpose}-{uuid.uuid4().hex}"
 
 
+def side_by_side[R](spark: SparkSession, calls: dict[str, Callable[[], R]]) -> dict[str, R]:
+    """The results of calls that need nothing of each other, made at the same time.
+
+    While one of them plans, lists files or commits, the tasks of the others have the machines.
+    An error is raised once all of them have ended.
+    """
+
+    def inheriting(call: Callable[[], R]) -> Callable[[], R]:
+        """The call, with the properties that this thread has set, such as its job group; they belong to threads if pinned."""
+        wrap = inheritable_thread_target(spark)
+        return call if wrap is spark else wrap(call)
+
+    with ThreadPoolExecutor(max(1, len(calls))) as pool:
+        made = {name: pool.submit(inheriting(call)) for name, call in calls.items()}
+    return {name: future.result() for name, future in made.items()}
+
+
 def land_observed(df: DataFrame, folder: str, **aggregates: Column) -> tuple[DataFrame, dict]:
     """As `land`, with values of the aggregates that the same pass has taken."""
     seen = Observation()

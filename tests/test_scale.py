@@ -1,6 +1,7 @@
 """What is shuffled and written per row of the input."""
 
 import re
+import threading
 from datetime import date
 from pathlib import Path
 
@@ -113,3 +114,52 @@ def test_the_parse_of_orders_and_items_is_compiled(spark):
     assert sizes and max(sizes) < 8000
     rows = records.select("Transaction_Nbr", "place", "is_item", "line.Demand_Net").collect()
     assert sorted(map(tuple, rows)) == [("1", 0, True, 6.0), ("2", 0, False, None)]
+
+
+PAYMENT = "eCom_Store_ID string, Transaction_Nbr string, Order_Date string, Tender string, Tender_Amt double"
+
+
+def payments(spark, *orders):
+    return spark.createDataFrame([("s", txn, "2024-04-01 00:00:00", "Card", 1.0) for txn in orders], PAYMENT)
+
+
+def test_valid_and_invalid_rows_are_read_once(spark, tmp_path, monkeypatch):
+    """The landed batch is read once to be written, also when some of its keys are known."""
+    plans = []
+    original = history.append_load
+
+    def watched(df, *args, **kwargs):
+        plans.append(plan(df))
+        return original(df, *args, **kwargs)
+
+    monkeypatch.setattr(history, "append_load", watched)
+    load = lambda *orders: history_flow.load_fact(payments(spark, *orders), f"{tmp_path}/t", "payment", False)
+    assert load("1", None) == history_flow.LoadCount(2, 1, 0, 0, 1, 0)
+    assert load("1", "2", "") == history_flow.LoadCount(3, 2, 1, 0, 1, 0)
+    assert [len(re.findall(r"Scan parquet .*Tender_Amt", text)) for text in plans] == [1, 1]
+
+
+def test_facts_are_loaded_side_by_side(spark, tmp_path, monkeypatch):
+    """While one fact's load lists or commits, the tasks of the others run."""
+    all_there = threading.Barrier(3, timeout=60)
+    monkeypatch.setattr(history_flow, "load_fact", lambda df, root, fact, *args, **kwargs: (all_there.wait(), fact)[1])
+    facts = dict.fromkeys(("header", "line", "payment"), payments(spark, "1"))
+    assert history_flow.load_history(facts, f"{tmp_path}/t") == {fact: fact for fact in facts}
+
+
+def test_rows_that_nothing_replaces_meet_no_join(spark, tmp_path):
+    """What is exported or written down is shuffled whole only where a key has a later version."""
+    root = f"{tmp_path}/t"
+    history_flow.load_fact(payments(spark, "1", "2"), root, "payment", False)
+    history_flow.load_fact(payments(spark, "3"), root, "payment", False)
+    keys, sets = ["eCom_Store_ID", "Transaction_Nbr", "Order_Date", "Tender"], ["eCom_Store_ID", "Transaction_Nbr", "Order_Date"]
+    rows = history.read_done(spark, root, "payment", "history", history_flow.table_schema("payment"))
+    assert "SortAggregate" not in plan(history.current(rows, keys, sets))
+    assert "Join" not in plan(history.current(rows, keys, sets, f"{tmp_path}/a"))
+    assert history_flow.compact_history(spark, root, ["payment"])["payment"]
+    assert "Join" not in plan(history_flow.read_history(spark, root, "payment"))
+    history_flow.load_fact(payments(spark, "3"), root, "payment", False)
+    rows = history.read_done(spark, root, "payment", "history", history_flow.table_schema("payment"))
+    landed = history.current(rows, keys, sets, f"{tmp_path}/b")
+    assert "Join" in plan(landed) and (rows.count(), landed.count()) == (4, 3)
+    assert history_flow.read_history(spark, root, "payment").count() == 3
