@@ -163,12 +163,8 @@ def one_per_key(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def _version() -> Column:
-    """Load and stamp of a row as one number, the later the greater.
-
-    Of a number, unlike of a struct, Spark takes the greatest by hash, without a sort of all keys.
-    """
-    load, micros = F.col(LOAD).cast("decimal(19,0)"), F.unix_micros(STAMP).cast("decimal(19,0)")
-    return load * F.lit(10**18).cast("decimal(19,0)") + micros
+    """Load and stamp of a row, the later the greater."""
+    return F.struct(LOAD, STAMP)
 
 
 def _replaced(history: DataFrame, keys: Sequence[str], newest: DataFrame) -> DataFrame:
